@@ -24,6 +24,20 @@ def micros(df: DataFrame, name: str) -> Column:
     return c.cast("long")
 
 
+def to_instant(df: DataFrame, name: str) -> Column:
+    """A wall-clock column read as UTC, whatever the session zone."""
+    return F.timestamp_micros(micros(df, name))
+
+
+def to_wall_clock(instant: Column) -> Column:
+    """The UTC wall clock of an instant, whatever the session zone."""
+    us = F.unix_micros(instant)
+    seconds = (us / F.lit(1_000_000).cast("decimal(20,0)")).cast("decimal(18,6)")
+    zero = F.lit(0)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(zero, zero, zero, seconds)
+
+
 def within(time: Column, asof: Column, interval: str) -> Column:
     """Strictly newer than ``asof`` minus the interval."""
     return time > asof - F.expr(f"interval {interval}")

@@ -1,7 +1,8 @@
 """As-of joins without row multiplication, safe for hot keys.
 
-Both sides are stacked on one time line per key; a running ``last`` carries the newest right
-row to each left row, so the work is linear in the rows of both sides and takes one shuffle.
+All sides are stacked on one time line per key; a running ``last`` carries the newest right row
+to each left row, so the work is linear in the rows of the sides and takes one shuffle, however
+many right sides share the key.
 
 Hot keys.  A key whose rows exceed ``split_rows`` is cut into time slices that are handled by
 different tasks.  Cuts are quantiles of that key's own times, refined evenly by its row count.
@@ -13,58 +14,74 @@ rank holds at most 1/MAX_SPLIT_KEYS of the rows and is left whole.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions.timeval import micros
-from sparkmart.session import is_small
+from sparkmart.session import is_small, settle
 
 MAX_SPLIT_KEYS = 4096
 SPLIT_ROWS = 4_000_000
 # Inputs that are estimated smaller than this cannot hold a hot key worth cutting.
-SMALL_INPUT_BYTES = 64 << 20
+SMALL_INPUT_BYTES = 16 << 20
 # Left rows with a null key never match; they are spread over this many groups.
 NULL_KEY_GROUPS = 4096
 _CUTS = 32
 _CARRY, _RIGHT, _LEFT = -1, 0, 1
 
 
+@dataclass(frozen=True)
+class Right:
+    """A right side: its key and time columns, and output names of the columns to bring over.
+
+    Of rows with equal time the one with the greatest ``ties`` wins; ``required`` drops left
+    rows without a match.
+    """
+
+    df: DataFrame
+    keys: Sequence[str]
+    time: str
+    select: Mapping[str, str]
+    ties: Sequence[str] = ("id",)
+    required: bool = False
+
+
 def _all_present(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
 def _stack(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[tuple[str, str]],
-    left_time: str,
-    right_time: str,
-    ties: Sequence[str],
-    payload: Sequence[str],
+    left: DataFrame, left_keys: Sequence[str], left_time: str, rights: Sequence[Right]
 ) -> tuple[DataFrame, list[str]]:
-    keys = [f"_k{i}" for i in range(len(on))]
-    left_rows = left.select(
-        *[F.col(a).alias(k) for k, (a, _) in zip(keys, on)],
+    """Left and right rows under common keys ``_k*``, time ``_t`` and side; ``_r<i>`` holds the
+    row of right side i, ``_tie<i>`` its tie-break and ``_n<i>`` one per row."""
+    keys = [f"_k{i}" for i in range(len(left_keys))]
+    stacked = left.select(
+        *[F.col(c).alias(k) for k, c in zip(keys, left_keys)],
         F.col(left_time).alias("_t"),
         micros(left, left_time).alias("_us"),
         F.lit(_LEFT).alias("_side"),
         # flat, so that columns nobody reads later are pruned at the scan
         *left.columns,
     )
-    usable = right.filter(_all_present([b for _, b in on] + [right_time]))
-    right_rows = usable.select(
-        *[F.col(b).alias(k) for k, (_, b) in zip(keys, on)],
-        F.col(right_time).alias("_t"),
-        micros(right, right_time).alias("_us"),
-        F.lit(_RIGHT).alias("_side"),
-        F.struct(F.col(right_time).alias("_rt"), *payload).alias("_r"),
-        F.struct(*ties).alias("_tie"),
-        F.lit(1).cast("long").alias("_n"),
-    )
-    return left_rows.unionByName(right_rows, allowMissingColumns=True), keys
+    for i, right in enumerate(rights):
+        usable = right.df.filter(_all_present([*right.keys, right.time]))
+        payload = [c for c in dict.fromkeys(right.select.values())]
+        rows = usable.select(
+            *[F.col(c).alias(k) for k, c in zip(keys, right.keys)],
+            F.col(right.time).alias("_t"),
+            micros(right.df, right.time).alias("_us"),
+            F.lit(_RIGHT).alias("_side"),
+            F.struct(F.col(right.time).alias("_rt"), *payload).alias(f"_r{i}"),
+            F.struct(*right.ties).alias(f"_tie{i}"),
+            F.lit(1).cast("long").alias(f"_n{i}"),
+        )
+        stacked = stacked.unionByName(rows, allowMissingColumns=True)
+    return stacked, keys
 
 
 def _cut_table(rows: DataFrame, keys: list[str], split_rows: int) -> DataFrame:
@@ -110,78 +127,124 @@ def _slice(rows: DataFrame, keys: list[str], split_rows: int) -> DataFrame:
     )
 
 
-def _carry_rows(rows: DataFrame, keys: list[str], backward: bool) -> DataFrame:
-    """One row per (hot key, slice): the nearest right row outside it, and the count before it."""
+def _carry_rows(rows: DataFrame, keys: list[str], sides: int, way: str) -> DataFrame:
+    """One row per (hot key, slice): the nearest right rows outside it, and the counts before it."""
     hot = rows.filter(F.col("_slice").isNotNull())
-    rank = F.struct(F.col("_us") if backward else -F.col("_us"), F.col("_tie"))
-    is_right = F.col("_side") == _RIGHT
-    summary = hot.groupBy(*keys, "_slice").agg(
-        F.max_by(F.when(is_right, F.col("_r")), F.when(is_right, rank)).alias("_r"),
-        F.sum("_n").alias("_n"),
-    )
-    order = F.col("_slice").asc() if backward else F.col("_slice").desc()
-    before = (
-        Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    time = F.col("_us") if way == "b" else -F.col("_us")
+    best = []
+    for i in range(sides):
+        mine = F.col(f"_r{i}").isNotNull()
+        rank = F.when(mine, F.struct(time.alias("t"), F.col(f"_tie{i}")))
+        best.append(F.max_by(f"_r{i}", rank).alias(f"_r{i}"))
+        best.append(F.sum(f"_n{i}").alias(f"_n{i}"))
+    summary = hot.groupBy(*keys, "_slice").agg(*best)
+    order = F.col("_slice").asc() if way == "b" else F.col("_slice").desc()
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(
         *keys,
         "_slice",
-        F.last("_r", ignorenulls=True).over(before).alias("_r"),
-        F.sum("_n").over(before).alias("_n"),
         F.lit(_CARRY).alias("_side"),
-        F.lit("b" if backward else "f").alias("_way"),
+        F.lit(way).alias("_way"),
+        *[F.last(f"_r{i}", ignorenulls=True).over(before).alias(f"_r{i}") for i in range(sides)],
+        *[F.sum(f"_n{i}").over(before).alias(f"_n{i}") for i in range(sides)],
     )
-    return carried.filter(F.col("_r").isNotNull())
+    return carried.filter(F.coalesce(*[f"_r{i}._rt" for i in range(sides)]).isNotNull())
 
 
 def _run(
     left: DataFrame,
-    right: DataFrame,
-    on: Sequence[tuple[str, str]],
+    left_keys: Sequence[str],
     left_time: str,
-    right_time: str,
-    ties: Sequence[str],
-    payload: Sequence[str],
+    rights: Sequence[Right],
     ways: str,
     split_rows: int | None,
+    bounded_by: Iterable[DataFrame] | None,
+    derived: bool,
 ) -> DataFrame:
-    """Left rows with ``_b`` / ``_f`` (nearest right row before / after) and ``_before`` (count)."""
-    rows, keys = _stack(left, right, on, left_time, right_time, ties, payload)
-    if split_rows is None:
-        split_rows = SPLIT_ROWS
-        small = is_small(left, SMALL_INPUT_BYTES) and is_small(right, SMALL_INPUT_BYTES)
-    else:
-        small = False
+    """Left rows with ``_b<i>`` / ``_f<i>`` (nearest row of side i before / after) and
+    ``_before<i>`` (how many came before)."""
+    sizes = [left, *[r.df for r in rights]] if bounded_by is None else list(bounded_by)
+    whole = split_rows is None and all(is_small(df, SMALL_INPUT_BYTES) for df in sizes)
+    if derived and not whole:
+        # the search for hot keys, the carry rows and the join itself each read the left rows
+        left = settle(left, "asof")
+    rows, keys = _stack(left, left_keys, left_time, rights)
+    n = len(rights)
     rows = rows.withColumn("_way", F.lit(None).cast("string"))
-    if small:
+    if whole:
         rows = rows.withColumn("_slice", F.lit(None).cast("long"))
     else:
-        rows = _slice(rows, keys, split_rows)
-        carries = [_carry_rows(rows, keys, way == "b") for way in ways]
+        rows = _slice(rows, keys, SPLIT_ROWS if split_rows is None else split_rows)
+        carries = [_carry_rows(rows, keys, n, way) for way in ways]
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), carries, rows)
     spread = F.when(
         ~_all_present(keys), F.pmod(F.xxhash64("_us", *keys), F.lit(NULL_KEY_GROUPS))
     ).otherwise(F.col("_slice"))
     rows = rows.withColumn("_group", spread)
-
-    def running(time_order: Column, way: str) -> tuple[Column, Column]:
-        first = F.when(F.col("_side") == _CARRY, F.lit(0)).otherwise(F.lit(1))
+    ties = [F.col(f"_tie{i}") for i in range(n)]
+    carry_first = F.when(F.col("_side") == _CARRY, F.lit(0)).otherwise(F.lit(1))
+    added: dict[str, Column] = {}
+    for way in ways:
+        line = F.col("_t").asc_nulls_first() if way == "b" else F.col("_t").desc_nulls_first()
         w = (
             Window.partitionBy(*keys, "_group")
-            .orderBy(first, time_order, F.col("_side"), F.col("_tie"))
+            .orderBy(carry_first, line, F.col("_side"), *ties)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
         mine = F.col("_way").isNull() | (F.col("_way") == way)
-        nearest = F.last(F.when(mine, F.col("_r")), ignorenulls=True).over(w)
-        return nearest, F.sum(F.when(mine, F.col("_n"))).over(w)
+        for i in range(n):
+            added[f"_{way}{i}"] = F.last(F.when(mine, F.col(f"_r{i}")), ignorenulls=True).over(w)
+            if way == "b":
+                added[f"_before{i}"] = F.sum(F.when(mine, F.col(f"_n{i}"))).over(w)
+    return rows.withColumns(added).filter(F.col("_side") == _LEFT)
+
+
+def _match(direction: str, i: int) -> Column:
+    before, after = F.col(f"_b{i}"), F.col(f"_f{i}")
+    if direction == "backward":
+        found = before
+    elif direction == "forward":
+        found = after
+    else:
+        gap_before = F.col("_t") - F.col(f"_b{i}._rt")
+        gap_after = F.col(f"_f{i}._rt") - F.col("_t")
+        nearer = after.isNull() | (before.isNotNull() & (gap_before <= gap_after))
+        found = F.when(nearer, before).otherwise(after)
+    # a left row without a time sorts ahead of every right row, so it has no match
+    return F.when(F.col("_t").isNotNull(), found)
+
+
+def asof_join_many(
+    left: DataFrame,
+    left_keys: Sequence[str],
+    left_time: str,
+    rights: Sequence[Right],
+    direction: str = "backward",
+    split_rows: int | None = None,
+    bounded_by: Iterable[DataFrame] | None = None,
+    derived: bool = False,
+) -> DataFrame:
+    """Left rows with columns of the nearest row of each right side of the same key.
 
-    if "b" in ways:
-        nearest, count = running(F.col("_t").asc_nulls_first(), "b")
-        rows = rows.withColumn("_b", nearest).withColumn("_before", count)
-    if "f" in ways:
-        nearest, _ = running(F.col("_t").desc_nulls_first(), "f")
-        rows = rows.withColumn("_f", nearest)
-    return rows.filter(F.col("_side") == _LEFT)
+    ``direction`` is ``backward`` (newest at or before), ``forward`` (earliest at or after) or
+    ``nearest`` (least gap, the earlier one if gaps are equal).  Null keys and null times never
+    match.  ``bounded_by`` names frames that together hold at least as many rows per key as the
+    sides do; the optimizer's size estimate of these then decides whether looking for hot keys
+    can be skipped (its estimate of a join is far too high to tell).  ``derived`` says that the
+    left rows are costly to compute, so a large input is written out once and read from there.
+    """
+    ways = {"backward": "b", "forward": "f", "nearest": "bf"}[direction]
+    found = _run(left, left_keys, left_time, rights, ways, split_rows, bounded_by, derived)
+    found = found.withColumns({f"_m{i}": _match(direction, i) for i in range(len(rights))})
+    for i, right in enumerate(rights):
+        if right.required:
+            found = found.filter(F.col(f"_m{i}").isNotNull())
+    brought = [
+        F.col(f"_m{i}")[src].alias(out)
+        for i, right in enumerate(rights)
+        for out, src in right.select.items()
+    ]
+    return found.select(*left.columns, *brought)
 
 
 def asof_join(
@@ -195,32 +258,16 @@ def asof_join(
     direction: str = "backward",
     ties: Sequence[str] = ("id",),
     split_rows: int | None = None,
+    bounded_by: Iterable[DataFrame] | None = None,
+    derived: bool = False,
 ) -> DataFrame:
-    """Left rows with columns of the newest right row of the same key at or before them.
-
-    ``on`` pairs (left, right) key columns; ``select`` maps output names to right columns; of
-    right rows with equal time the greatest ``ties`` wins.  ``how`` is ``left`` or ``inner``;
-    ``direction`` is ``backward``, ``forward`` (earliest at or after) or ``nearest`` (least gap,
-    the earlier one if gaps are equal).  Null keys and null times never match.
-    """
+    """``asof_join_many`` with one right side; ``on`` pairs (left, right) key columns."""
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
-    ways = {"backward": "b", "forward": "f", "nearest": "bf"}[direction]
-    payload = list(dict.fromkeys(select.values()))
-    found = _run(left, right, on, left_time, right_time, ties, payload, ways, split_rows)
-    if direction == "nearest":
-        gap_before = F.col("_t") - F.col("_b._rt")
-        gap_after = F.col("_f._rt") - F.col("_t")
-        match = F.when(
-            F.col("_f").isNull() | (F.col("_b").isNotNull() & (gap_before <= gap_after)), F.col("_b")
-        ).otherwise(F.col("_f"))
-    else:
-        match = F.col(f"_{ways}")
-    # a left row without a time sorts ahead of every right row, so it carries no match
-    found = found.withColumn("_m", F.when(F.col("_t").isNotNull(), match))
-    if how == "inner":
-        found = found.filter(F.col("_m").isNotNull())
-    return found.select(*left.columns, *[F.col("_m")[src].alias(out) for out, src in select.items()])
+    side = Right(right, [b for _, b in on], right_time, select, ties, required=how == "inner")
+    return asof_join_many(
+        left, [a for a, _ in on], left_time, [side], direction, split_rows, bounded_by, derived
+    )
 
 
 def count_preceding(
@@ -237,6 +284,7 @@ def count_preceding(
 
     This is the row count of the unreduced inequality join, without building its pairs.
     """
-    found = _run(left, right, on, left_time, right_time, ties, [], "b", split_rows)
-    timed = F.when(F.col("_t").isNotNull(), F.col("_before"))
+    side = Right(right, [b for _, b in on], right_time, {}, ties)
+    found = _run(left, [a for a, _ in on], left_time, [side], "b", split_rows, None, False)
+    timed = F.when(F.col("_t").isNotNull(), F.col("_before0"))
     return found.select(*left.columns, F.coalesce(timed, F.lit(0)).cast("long").alias(name))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import rules
 from sparkmart.functions.geo import distance_or_unknown, haversine_km, travel_seconds
-from sparkmart.operators.asof import asof_join
+from sparkmart.operators.asof import Right, asof_join, asof_join_many
 from sparkmart.operators.keyed import fill_defaults, latest_per_key, latest_snapshot, require_keys
 from sparkmart.specs import (
     ENUMS,
@@ -55,8 +55,9 @@ def _newest_condition(t: Tables, measures: Sequence[str], times: bool = False) -
 
 
 def _asof_condition(
-    facts: DataFrame, t: Tables, measures: Sequence[str], how: str = "left", times: bool = False
+    facts: DataFrame, t: Tables, driver: str, measures: Sequence[str], times: bool = False
 ) -> DataFrame:
+    """Newest condition at or before each fact; facts hold at most the driver table's rows."""
     extra = ["event_time"] if times else []
     return asof_join(
         facts,
@@ -65,16 +66,22 @@ def _asof_condition(
         left_time="event_time",
         right_time="event_time",
         select={f"condition_{m}": m for m in [*measures, *extra]},
-        how=how,
+        bounded_by=[t[driver], t["condition"]],
+        derived=True,
     )
 
 
 def _with_condition(
-    facts: DataFrame, t: Tables, measures: Sequence[str], variant: str, times: bool = False
+    facts: DataFrame,
+    t: Tables,
+    driver: str,
+    measures: Sequence[str],
+    variant: str,
+    times: bool = False,
 ) -> DataFrame:
     if variant == PRODUCT:
         return facts.join(_newest_condition(t, measures, times), "region_id", "left")
-    return _asof_condition(facts, t, measures, times=times)
+    return _asof_condition(facts, t, driver, measures, times)
 
 
 def _severity(*kinds: str):
@@ -107,7 +114,7 @@ def asset_strength(t: Tables, variant: str = PRODUCT, clamp: bool = False) -> Da
         "asset_id", F.col("id").alias("equipment_id"), "range_km", "hit_probability"
     )
     # conditions join the few status rows, before equipment multiplies them
-    placed = _with_condition(status, t, measures, variant)
+    placed = _with_condition(status, t, "asset_status", measures, variant)
     rows = placed.join(known, "asset_id").join(_regions(t), "region_id").join(equipment, "asset_id")
     wind = rules.zero_if_null(F.col("condition_wind_speed_kmh"))
     wet = F.lit(0.15) * rules.zero_if_null(F.col("condition_precipitation_mm"))
@@ -165,8 +172,10 @@ def subject_priority(t: Tables, variant: str = PRODUCT, clamp: bool = False) ->
             left_time="event_time",
             right_time="event_time",
             select={"interference_effect": "effect"},
+            bounded_by=[t["observation"], t["interference"]],
+            derived=True,
         )
-    seen = _with_condition(seen, t, ["type", "intensity"], variant)
+    seen = _with_condition(seen, t, "observation", ["type", "intensity"], variant)
     rows = (
         seen.join(subject, "subject_id")
         .join(sensor, "sensor_id", "inner" if variant == PRODUCT else "left")
@@ -256,7 +265,7 @@ def supply_readiness(t: Tables, variant: str = PRODUCT, clamp: bool = False) ->
         place = t["asset_status"].select("asset_id", "region_id").distinct()
     facts = supply.join(place, "asset_id").join(_regions(t), "region_id")
     measures = ["type", "intensity", "wind_speed_kmh", "precipitation_mm"]
-    rows = _with_condition(facts, t, measures, variant, times=True)
+    rows = _with_condition(facts, t, "asset_status", measures, variant, times=True)
     terrain = rules.lookup_factor(F.col("terrain_type"), SUPPLY_TERRAIN_FACTOR)
     loss = F.lit(0.5) * _severity("storm", "rain") * terrain
     level = F.col("supply_level").cast("double")
@@ -297,25 +306,19 @@ def interaction_review(
     facts = t["interaction"].select(
         "id", "asset_id", "subject_id", "equipment_id", "result", "event_time"
     )
-    located = asof_join(
-        facts,
-        t["asset_status"],
-        on=[("asset_id", "asset_id")],
-        left_time="event_time",
-        right_time="event_time",
-        select={"region_id": "region_id"},
-        how="inner",
-    )
     other = interference_by_asset(t) if interference is None else interference
-    exposed = asof_join(
-        located,
-        other,
-        on=[("asset_id", interference_key)],
-        left_time="event_time",
-        right_time="event_time",
-        select={"interference_effect": "effect"},
+    # both sides are keyed by the asset, so one pass over the facts finds both
+    exposed = asof_join_many(
+        facts,
+        ["asset_id"],
+        "event_time",
+        [
+            Right(t["asset_status"], ["asset_id"], "event_time", {"region_id": "region_id"}, required=True),
+            Right(other, [interference_key], "event_time", {"interference_effect": "effect"}),
+        ],
+        bounded_by=[t["interaction"], t["asset_status"], t["interference"]],
     )
-    placed = _asof_condition(exposed, t, ["type", "intensity"])
+    placed = _asof_condition(exposed, t, "interaction", ["type", "intensity"])
     how = "left" if variant == PRODUCT else "inner"
     equipment = t["equipment"].select(F.col("id").alias("equipment_id"), "hit_probability")
     rows = placed.join(_regions(t), "region_id", how).join(equipment, "equipment_id", how)

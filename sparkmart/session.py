@@ -53,14 +53,24 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's own size estimate of a plan; ``None`` if it is not available."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
-    except AttributeError:
+    """Catalyst's own size estimate of a plan; ``None`` if the session does not expose it."""
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
         return None
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def is_small(df: DataFrame, limit_bytes: int) -> bool:
     size = estimated_bytes(df)
     return size is not None and size <= limit_bytes
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate to the shared scratch folder and go on from there.
+
+    For a result that several branches of a later plan read: they then scan it (only the columns
+    they need) instead of computing it again, and a lost executor costs no recomputation.
+    """
+    path = f"{scratch_dir(df.sparkSession, label)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,19 +1,22 @@
 """A keyed current-state table on parquet: merge by key, guarded by event time.
 
-Rows live in hash buckets of the key.  A merge reads only the buckets its batch touches, writes
-those anew, and commits by adding a manifest file that names the folder of every bucket; other
-buckets keep their folder and running readers keep theirs.  Where a table format with MERGE is
-at hand, ``sources.lake.merge_into`` does the same with one statement.
+Rows live in hash buckets of the key.  A merge first adds the batch's rows as a small change
+folder to each bucket it touches; a bucket that has gathered ``compact_after`` of them is written
+anew, so a small batch against a large table does not rewrite it each time.  A commit adds one
+manifest file that names the folders of every bucket: other buckets keep theirs, and running
+readers keep what they read.  Reading reduces only the buckets that have change folders.  Where a
+table format with MERGE is at hand, ``sources.lake.merge_into`` does the same in one statement.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,8 +34,16 @@ class KeyedTable:
     replayed batch changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], buckets: int = 16):
-        self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), list(key), buckets
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        key: Sequence[str],
+        buckets: int = 16,
+        compact_after: int = 4,
+    ):
+        self.spark, self.path, self.key = spark, path.rstrip("/"), list(key)
+        self.buckets, self.compact_after = buckets, compact_after
 
     # -- state ---------------------------------------------------------------------------
 
@@ -50,25 +61,24 @@ class KeyedTable:
     def _manifest_path(self, version: int) -> str:
         return f"{self.path}/_manifest/{version:010d}.json"
 
-    def _rows(self, manifest: dict, buckets: Sequence[int] | None = None) -> DataFrame | None:
-        folders = [
-            f"{self.path}/{folder}"
-            for b, folder in manifest["buckets"].items()
-            if buckets is None or int(b) in set(buckets)
-        ]
-        if not folders:
-            return None
+    def _scan(self, manifest: dict, folders: Sequence[str]) -> DataFrame:
         schema = T.StructType.fromJson(manifest["schema"])
-        return self.spark.read.schema(schema).parquet(*folders)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders])
 
     def read(self, version: int | None = None, with_meta: bool = False) -> DataFrame:
         """Live rows of the latest (or a kept earlier) version."""
         manifest = self.manifest(version)
-        rows = self._rows(manifest)
-        if rows is None:
-            if manifest["schema"] is None:
-                raise FileNotFoundError(f"{self.path} has no committed version")
-            rows = self.spark.createDataFrame([], T.StructType.fromJson(manifest["schema"]))
+        if manifest["schema"] is None:
+            raise FileNotFoundError(f"{self.path} has no committed version")
+        folders = manifest["buckets"].values()
+        settled = [f[0] for f in folders if len(f) == 1]
+        changed = [f for several in folders if len(several) > 1 for f in several]
+        parts = []
+        if settled:
+            parts.append(self._scan(manifest, settled))
+        if changed:
+            parts.append(self._reduced(self._scan(manifest, changed), self.key))
+        rows = reduce(DataFrame.unionByName, parts)
         live = rows.filter(F.col("_op") != DELETE)
         return live if with_meta else live.drop(*META)
 
@@ -79,31 +89,55 @@ class KeyedTable:
         manifest = self.manifest()
         if manifest["writers"].get(writer, -1) >= batch_id:
             return False
-        incoming = self._last_changes(batch, batch_id, manifest["count"])
-        incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
+        count = manifest["count"]
+        incoming = self._last_changes(batch, batch_id, count).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # at most one row per bucket comes back
             touched = [r[0] for r in incoming.select("_bucket").distinct().collect()]
             if not touched:
                 return False
+            held = {b: manifest["buckets"].get(str(b), []) for b in touched}
+            full = [b for b in touched if len(held[b]) > self.compact_after]
+            rows = incoming.repartition(len(touched), "_bucket")
+            if full:
+                old = self._scan(manifest, [f for b in full for f in held[b]])
+                old = old.withColumn("_bucket", self._bucket(count))
+                both = old.unionByName(incoming, allowMissingColumns=True)
+                # one exchange serves the reduction (grouped by bucket and key) and the write
+                both = both.repartition(len(touched), "_bucket")
+                rows = self._reduced(both, ["_bucket", *self.key])
             version = manifest["version"] + 1
-            merged = self._merged(self._rows(manifest, touched), incoming, len(touched))
-            folder = f"data/v{version:010d}"
-            merged.write.partitionBy("_bucket").parquet(f"{self.path}/{folder}")
+            # a fresh name, so that what a failed attempt left behind is never read or in the way
+            folder = f"data/v{version:010d}-{uuid.uuid4().hex}"
+            rows.write.partitionBy("_bucket").parquet(f"{self.path}/{folder}")
         finally:
             incoming.unpersist()
-        stored = T.StructType([f for f in merged.schema.fields if f.name != "_bucket"])
-        schema = _merged_schema(manifest["schema"], stored)
+        stored = T.StructType([f for f in rows.schema.fields if f.name != "_bucket"])
+        written = {
+            str(b): [*([] if b in full else held[b]), f"{folder}/_bucket={b}"] for b in touched
+        }
         commit = {
             "version": version,
-            "count": manifest["count"],
-            "buckets": {**manifest["buckets"], **{str(b): f"{folder}/_bucket={b}" for b in touched}},
+            "count": count,
+            "buckets": {**manifest["buckets"], **written},
             "writers": {**manifest["writers"], writer: batch_id},
-            "schema": schema.jsonValue(),
+            "schema": _merged_schema(manifest["schema"], stored).jsonValue(),
         }
         storage.create_text(self.spark, self._manifest_path(version), json.dumps(commit))
         return True
 
+    def _bucket(self, count: int) -> Column:
+        return F.pmod(F.xxhash64(*self.key), F.lit(count)).cast("int")
+
+    def _reduced(self, rows: DataFrame, grouping: Sequence[str]) -> DataFrame:
+        """Newest change per key; the row keeps the time its key was first written."""
+        rest = [c for c in rows.columns if c not in (*grouping, "_created_at")]
+        picked = rows.groupBy(*grouping).agg(
+            F.max_by(F.struct(*rest), F.struct("_ts", "_seq", "_batch")).alias("_best"),
+            F.min("_created_at").alias("_created_at"),
+        )
+        return picked.select(*grouping, "_best.*", "_created_at").select(*rows.columns)
+
     def _last_changes(self, batch: DataFrame, batch_id: int, buckets: int) -> DataFrame:
         from sparkmart.operators.keyed import latest_per_key
 
@@ -115,26 +149,10 @@ class KeyedTable:
                 "_batch": F.lit(batch_id).cast("long"),
                 "_created_at": now,
                 "_updated_at": now,
-                "_bucket": F.pmod(F.xxhash64(*self.key), F.lit(buckets)).cast("int"),
+                "_bucket": self._bucket(buckets),
             }
         )
 
-    def _merged(self, current: DataFrame | None, incoming: DataFrame, touched: int) -> DataFrame:
-        if current is None:
-            return incoming.repartition(touched, "_bucket")
-        bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.manifest()["count"])).cast("int")
-        current = current.withColumn("_bucket", bucket)
-        both = current.unionByName(incoming, allowMissingColumns=True)
-        rest = [c for c in both.columns if c not in (*self.key, "_bucket", "_created_at")]
-        # the aggregate below groups by bucket and key, so this one exchange serves it and
-        # leaves every bucket's rows together for the write; rows per key are at most two
-        grouped = both.repartition(touched, "_bucket").groupBy("_bucket", *self.key)
-        order = F.struct("_ts", "_seq", "_batch")
-        picked = grouped.agg(
-            F.max_by(F.struct(*rest), order).alias("_best"), F.min("_created_at").alias("_created_at")
-        )
-        return picked.select(*self.key, "_best.*", "_created_at", "_bucket")
-
     # -- housekeeping --------------------------------------------------------------------
 
     def vacuum(self, keep: int = 2) -> int:
@@ -142,7 +160,8 @@ class KeyedTable:
         versions = self.versions()
         used = set()
         for v in versions[-keep:]:
-            used.update(self.manifest(v)["buckets"].values())
+            for folders in self.manifest(v)["buckets"].values():
+                used.update(folders)
         removed = 0
         for v in storage.list_names(self.spark, f"{self.path}/data"):
             for b in storage.list_names(self.spark, f"{self.path}/data/{v}"):

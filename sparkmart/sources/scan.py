@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sparkmart.operators.keyed import latest_n
+from sparkmart.sources import storage
 
 
 def scan_table(spark: SparkSession, base: str, name: str, fmt: str = "parquet", suffix: str = "") -> DataFrame:
@@ -24,9 +24,6 @@ def scan_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
 
     Only a missing path is tolerated; any other fault is raised.
     """
-    try:
-        return spark.read.schema(schema).format(fmt).load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+    if not storage.exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).format(fmt).load(path)

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkmart.operators.cdc import TIME_FORMATS
+
 
 def to_keyed(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.select(
-        F.to_json(F.struct(*key)).alias("key"), F.to_json(F.struct(*df.columns)).alias("value")
+        F.to_json(F.struct(*key), TIME_FORMATS).alias("key"),
+        F.to_json(F.struct(*df.columns), TIME_FORMATS).alias("value"),
     )
 
 

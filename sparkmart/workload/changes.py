@@ -47,7 +47,7 @@ def account_lines(t: Tables) -> DataFrame:
     return e.select(text.alias("value"))
 
 
-_DECODED = f"""SELECT user_id, value, ts, {_OP} AS op, epoch_ms(ts) AS ts_ms, event_id AS seq FROM events"""
+_DECODED = f"""SELECT user_id, value, ts, {_OP} AS op, epoch_us(ts) // 1000 AS ts_ms, event_id AS seq FROM events"""
 LAST_ACCOUNT = f"""SELECT user_id, value, ts FROM (SELECT *, ROW_NUMBER() OVER (
         PARTITION BY user_id ORDER BY ts_ms DESC, seq DESC) AS rn FROM ({_DECODED}))
     WHERE rn = 1 AND op <> 'd'"""
@@ -103,9 +103,9 @@ def _apply_ignoring(t: Tables) -> DataFrame:
     "cdc_before_after_diff",
     """SELECT o_orderkey, column_name, old_value, new_value, ts_ms FROM (
         SELECT o_orderkey, 'o_orderstatus' AS column_name, 'O' AS old_value,
-            o_orderstatus AS new_value, epoch_ms(o_orderdate) AS ts_ms FROM orders
+            o_orderstatus AS new_value, epoch_us(o_orderdate) // 1000 AS ts_ms FROM orders
         UNION ALL SELECT o_orderkey, 'o_orderpriority', '5-LOW', o_orderpriority,
-            epoch_ms(o_orderdate) FROM orders) WHERE old_value <> new_value""",
+            epoch_us(o_orderdate) // 1000 FROM orders) WHERE old_value <> new_value""",
 )
 def _diff(t: Tables) -> DataFrame:
     """Every order is an update of the row it was first entered as."""

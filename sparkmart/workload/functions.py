@@ -73,7 +73,7 @@ def _json(t: Tables) -> DataFrame:
 
 @query(
     "fn_time",
-    """SELECT event_id, strftime(ts, '%Y%m') AS month, epoch_ms(ts) AS ts_ms,
+    """SELECT event_id, strftime(ts, '%Y%m') AS month, epoch_us(ts) // 1000 AS ts_ms,
             ts - INTERVAL 1 HOUR AS hour_before,
             round(epoch((SELECT max(ts) FROM events) - ts) / 60, 4) AS minutes_ago,
             ts AS parsed, date_trunc('second', ts) AS parsed_space FROM events""",

@@ -150,6 +150,7 @@ def _asof_chain(t: Tables) -> DataFrame:
         left_time="event_time",
         right_time="event_time",
         select={"type": "type", "intensity": "intensity"},
+        bounded_by=[t["interaction"], t["condition"]],
     )
 
 

@@ -137,8 +137,8 @@ def _validate_range(t: Tables) -> DataFrame:
 
 @query(
     "normalize_angle",
-    """SELECT id, lon * 3 AS heading, ((lon * 3) % 360 + 360) % 360 AS heading_deg
-        FROM r_observation""",
+    """SELECT id, lon * 3 AS heading, CASE WHEN (lon * 3) % 360 < 0
+            THEN ((lon * 3) % 360 + 360) % 360 ELSE (lon * 3) % 360 END AS heading_deg FROM r_observation""",
 )
 def _angle(t: Tables) -> DataFrame:
     heading = F.col("lon") * 3

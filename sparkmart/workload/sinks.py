@@ -192,7 +192,7 @@ def _by_month(t: Tables) -> DataFrame:
 
 @query(
     "json_path_extract",
-    """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, epoch_ms(ts) AS event_ms
+    """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, epoch_us(ts) // 1000 AS event_ms
         FROM events""",
 )
 def _json_paths(t: Tables) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.functions.timeval import micros
+from sparkmart.functions.timeval import micros, to_instant, to_wall_clock
 from sparkmart.operators import cdc
 from sparkmart.plans import marts, refresh
 from sparkmart.session import scratch_dir
@@ -204,8 +204,8 @@ def _streams(t: Tables) -> DataFrame:
     )
     sides = []
     for name, rows, time in (("a", incident, "created_at"), ("c", instruction, "event_time")):
-        # event-time columns of a stream carry a zone; the session's is used both ways
-        zoned = rows.withColumn(time, F.col(time).cast("timestamp"))
+        # a watermark needs instants; the tables hold wall-clock times
+        zoned = rows.withColumn(time, to_instant(rows, time))
         zoned.write.parquet(f"{base}/{name}")
         sides.append(t.spark.readStream.schema(zoned.schema).parquet(f"{base}/{name}"))
     joined = ingest.join_streams(
@@ -213,4 +213,4 @@ def _streams(t: Tables) -> DataFrame:
     ).drop("answers")
     ingest.append_stream(joined, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     out = t.spark.read.parquet(f"{base}/out")
-    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("created_at", "event_time")})
+    return out.withColumns({c: to_wall_clock(F.col(c)) for c in ("created_at", "event_time")})
