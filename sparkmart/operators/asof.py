@@ -9,7 +9,9 @@ different tasks.  Cuts are quantiles of that key's own times, refined evenly by
 Each slice then starts with a carry row: the last right row of the earlier slices, found from
 one (partially aggregated) summary row per slice.  The result is the same with or without cuts.
 The list of hot keys is broadcast; it is bounded by ``MAX_SPLIT_KEYS``, and a key beyond that
-rank holds at most 1/MAX_SPLIT_KEYS of the rows and is left whole.
+rank holds at most 1/MAX_SPLIT_KEYS of the rows and is left whole.  Finding hot keys costs one
+pass over keys and times, which inputs that are small by the optimizer's estimate are spared;
+where none is found, the plan is the plain one.
 """
 
 from __future__ import annotations
@@ -84,19 +86,28 @@ def _stack(
     return stacked, keys
 
 
-def _cut_table(rows: DataFrame, keys: list[str], split_rows: int) -> DataFrame:
-    """Hot keys with their quantile cuts and the number of even parts per cut."""
-    points = rows.select(*keys, "_us").filter(_all_present(keys + ["_us"]))
-    hot = (
-        points.groupBy(*keys)
+def _points(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.select(*keys, "_us").filter(_all_present(keys + ["_us"]))
+
+
+def _hot_keys(rows: DataFrame, keys: list[str], split_rows: int) -> DataFrame:
+    """The keys with the most rows, of those that have more than ``split_rows``."""
+    return (
+        _points(rows, keys)
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > split_rows)
         .orderBy(F.col("_rows").desc(), *keys)
         .limit(MAX_SPLIT_KEYS)
     )
+
+
+def _cut_table(rows: DataFrame, keys: list[str], hot: DataFrame, split_rows: int) -> DataFrame:
+    """Hot keys with their quantile cuts and the number of even parts per cut."""
     steps = [i / _CUTS for i in range(_CUTS + 1)]
     return (
-        points.join(F.broadcast(hot), keys)
+        _points(rows, keys)
+        .join(F.broadcast(hot), keys)
         .groupBy(*keys)
         .agg(
             F.percentile_approx("_us", steps, 2000).alias("_cuts"),
@@ -105,9 +116,9 @@ def _cut_table(rows: DataFrame, keys: list[str], split_rows: int) -> DataFrame:
     )
 
 
-def _slice(rows: DataFrame, keys: list[str], split_rows: int) -> DataFrame:
+def _slice(rows: DataFrame, keys: list[str], cuts: DataFrame) -> DataFrame:
     """Adds ``_slice``: null for ordinary keys, else a number that rises with time."""
-    cut = rows.join(F.broadcast(_cut_table(rows, keys, split_rows)), keys, "left")
+    cut = rows.join(F.broadcast(cuts), keys, "left")
     cell = F.size(F.filter("_cuts", lambda c: c <= F.col("_us")))
     low = F.try_element_at(F.col("_cuts"), F.col("_cell"))
     high = F.try_element_at(F.col("_cuts"), F.col("_cell") + 1)
@@ -169,12 +180,18 @@ def _run(
         # the search for hot keys, the carry rows and the join itself each read the left rows
         left = settle(left, "asof")
     rows, keys = _stack(left, left_keys, left_time, rights)
-    n = len(rights)
-    rows = rows.withColumn("_way", F.lit(None).cast("string"))
+    n, limit = len(rights), SPLIT_ROWS if split_rows is None else split_rows
+    if not whole:
+        # written, so that every branch below sees the same keys and the same (approximate) cuts
+        hot = settle(_hot_keys(rows, keys, limit), "hot-keys")
+        whole = hot.isEmpty()
     if whole:
-        rows = rows.withColumn("_slice", F.lit(None).cast("long"))
+        rows = rows.withColumns(
+            {"_way": F.lit(None).cast("string"), "_slice": F.lit(None).cast("long")}
+        )
     else:
-        rows = _slice(rows, keys, SPLIT_ROWS if split_rows is None else split_rows)
+        cuts = settle(_cut_table(rows, keys, hot, limit), "cuts")
+        rows = _slice(rows.withColumn("_way", F.lit(None).cast("string")), keys, cuts)
         carries = [_carry_rows(rows, keys, n, way) for way in ways]
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), carries, rows)
     spread = F.when(

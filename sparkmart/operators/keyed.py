@@ -11,15 +11,26 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 
-def _total_order(df: DataFrame, leading: Sequence[str], ties: Sequence[str] | None) -> list[str]:
-    """Ordering columns: the leading ones, then ties (by default every other orderable column)."""
-    if ties is None:
-        ties = [
-            f.name
-            for f in df.schema.fields
-            if not isinstance(f.dataType, (T.MapType, T.VariantType))
-        ]
-    return list(leading) + [c for c in ties if c not in leading]
+def _unordered(dtype: T.DataType) -> bool:
+    """Types Spark cannot compare."""
+    if isinstance(dtype, (T.MapType, T.VariantType)):
+        return True
+    if isinstance(dtype, T.ArrayType):
+        return _unordered(dtype.elementType)
+    return isinstance(dtype, T.StructType) and any(_unordered(f.dataType) for f in dtype.fields)
+
+
+def newest_of(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Column:
+    """Aggregate that keeps a whole row: the greatest by ``order``, then by the other columns.
+
+    One struct carries both the ordering and the row, so that the partial results which are
+    shuffled hold each column once.
+    """
+    rest = [f for f in df.schema.fields if f.name not in (*keys, *order)]
+    ordered = [*order, *[f.name for f in rest if not _unordered(f.dataType)]]
+    if len(ordered) == len(order) + len(rest):
+        return F.max(F.struct(*ordered))
+    return F.max_by(F.struct(*order, *[f.name for f in rest]), F.struct(*ordered))
 
 
 def resolve_time_column(df: DataFrame, time_column: str = "event_time") -> str | None:
@@ -36,19 +47,17 @@ def latest_per_key(
     order: Sequence[str] = ("event_time",),
     ties: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The row with the greatest ``order`` (then ``ties``) of every key.
+    """The row with the greatest ``order``, then ``ties``, then other columns, of every key.
 
     An aggregate, not a window: each map task keeps one row per key before the shuffle, so a
     key that holds a third of the input sends one row per task and never gathers in one place.
     """
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
+    if set(df.columns) == set(keys):
         return df.dropDuplicates(keys)
-    ordering = F.struct(*[F.col(c) for c in _total_order(df, order, ties) if c not in keys])
-    best = F.max_by(F.struct(*rest), ordering).alias("_best")
-    picked = df.groupBy(*keys).agg(best)
-    return picked.select(*keys, *[F.col("_best")[c].alias(c) for c in rest]).select(*df.columns)
+    leading = [c for c in dict.fromkeys([*order, *(ties or ())]) if c not in keys]
+    picked = df.groupBy(*keys).agg(newest_of(df, keys, leading).alias("_best"))
+    return picked.select(*[c if c in keys else F.col("_best")[c].alias(c) for c in df.columns])
 
 
 def latest_snapshot(

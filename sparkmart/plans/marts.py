@@ -71,7 +71,7 @@ def _asof_condition(
     )
 
 
-def _with_condition(
+def _placed(
     facts: DataFrame,
     t: Tables,
     driver: str,
@@ -79,9 +79,12 @@ def _with_condition(
     variant: str,
     times: bool = False,
 ) -> DataFrame:
+    """Facts with the terrain of their region and the condition that applies to them."""
     if variant == PRODUCT:
-        return facts.join(_newest_condition(t, measures, times), "region_id", "left")
-    return _asof_condition(facts, t, driver, measures, times)
+        # region and newest condition are one row per region: joined first, the facts move once
+        places = _regions(t).join(_newest_condition(t, measures, times), "region_id", "left")
+        return facts.join(places, "region_id")
+    return _asof_condition(facts, t, driver, measures, times).join(_regions(t), "region_id")
 
 
 def _severity(*kinds: str):
@@ -113,9 +116,9 @@ def asset_strength(t: Tables, variant: str = PRODUCT, clamp: bool = False) -> Da
     equipment = t["equipment"].select(
         "asset_id", F.col("id").alias("equipment_id"), "range_km", "hit_probability"
     )
-    # conditions join the few status rows, before equipment multiplies them
-    placed = _with_condition(status, t, "asset_status", measures, variant)
-    rows = placed.join(known, "asset_id").join(_regions(t), "region_id").join(equipment, "asset_id")
+    # places join the few status rows, before equipment multiplies them; then both asset joins
+    placed = _placed(status, t, "asset_status", measures, variant)
+    rows = placed.join(known, "asset_id").join(equipment, "asset_id")
     wind = rules.zero_if_null(F.col("condition_wind_speed_kmh"))
     wet = F.lit(0.15) * rules.zero_if_null(F.col("condition_precipitation_mm"))
     fog = F.lit(0.2) * _severity("fog")
@@ -175,7 +178,11 @@ def subject_priority(t: Tables, variant: str = PRODUCT, clamp: bool = False) ->
             bounded_by=[t["observation"], t["interference"]],
             derived=True,
         )
-    seen = _with_condition(seen, t, "observation", ["type", "intensity"], variant)
+    measures = ["type", "intensity"]
+    if variant == PRODUCT:
+        seen = seen.join(_newest_condition(t, measures), "region_id", "left")
+    else:
+        seen = _asof_condition(seen, t, "observation", measures)
     rows = (
         seen.join(subject, "subject_id")
         .join(sensor, "sensor_id", "inner" if variant == PRODUCT else "left")
@@ -263,9 +270,9 @@ def supply_readiness(t: Tables, variant: str = PRODUCT, clamp: bool = False) ->
         place = _newest(t["asset_status"], ["asset_id"], ["region_id"])
     else:
         place = t["asset_status"].select("asset_id", "region_id").distinct()
-    facts = supply.join(place, "asset_id").join(_regions(t), "region_id")
+    facts = supply.join(place, "asset_id")
     measures = ["type", "intensity", "wind_speed_kmh", "precipitation_mm"]
-    rows = _with_condition(facts, t, "asset_status", measures, variant, times=True)
+    rows = _placed(facts, t, "asset_status", measures, variant, times=True)
     terrain = rules.lookup_factor(F.col("terrain_type"), SUPPLY_TERRAIN_FACTOR)
     loss = F.lit(0.5) * _severity("storm", "rain") * terrain
     level = F.col("supply_level").cast("double")

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart.operators.cdc import DELETE
+from sparkmart.operators.keyed import latest_per_key, newest_of
 from sparkmart.sources import storage
 
 META = ("_op", "_ts", "_seq", "_batch", "_created_at", "_updated_at", "_bucket")
@@ -131,16 +132,13 @@ class KeyedTable:
 
     def _reduced(self, rows: DataFrame, grouping: Sequence[str]) -> DataFrame:
         """Newest change per key; the row keeps the time its key was first written."""
-        rest = [c for c in rows.columns if c not in (*grouping, "_created_at")]
+        best = newest_of(rows, [*grouping, "_created_at"], ["_ts", "_seq", "_batch"])
         picked = rows.groupBy(*grouping).agg(
-            F.max_by(F.struct(*rest), F.struct("_ts", "_seq", "_batch")).alias("_best"),
-            F.min("_created_at").alias("_created_at"),
+            best.alias("_best"), F.min("_created_at").alias("_created_at")
         )
         return picked.select(*grouping, "_best.*", "_created_at").select(*rows.columns)
 
     def _last_changes(self, batch: DataFrame, batch_id: int, buckets: int) -> DataFrame:
-        from sparkmart.operators.keyed import latest_per_key
-
         rows = batch.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.key]))
         last = latest_per_key(rows, self.key, order=("_ts", "_seq"))
         now = F.current_timestamp()

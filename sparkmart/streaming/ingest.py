@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkmart.operators import cdc
+from sparkmart.operators.keyed import newest_of
 from sparkmart.sources.keyed_table import KeyedTable
 
 
@@ -103,8 +104,7 @@ def latest_state(
     A streaming aggregate: the micro-batch is reduced map-side and the state lives in the JVM
     state store, one row per key.
     """
-    rest = [c for c in events.columns if c not in key]
-    newest = F.max_by(F.struct(*rest), F.struct("_ts", "_seq")).alias("_best")
+    newest = newest_of(events, key, ["_ts", "_seq"]).alias("_best")
     state = events.groupBy(*key).agg(newest).select(*key, "_best.*")
 
     def write(batch: DataFrame, batch_id: int) -> None:
