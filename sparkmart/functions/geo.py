@@ -13,8 +13,9 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     phi1, lam1, phi2, lam2 = (F.radians(c.cast("double")) for c in (lat1, lon1, lat2, lon2))
     half_dphi, half_dlam = F.sin((phi2 - phi1) / 2), F.sin((lam2 - lam1) / 2)
     chord = half_dphi * half_dphi + F.cos(phi1) * F.cos(phi2) * half_dlam * half_dlam
-    # rounding may push the chord of antipodal points above one
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
+    # rounding may push the chord of antipodal points above one (``least`` would hide a null)
+    bounded = F.when(chord > 1, F.lit(1.0)).otherwise(chord)
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(bounded))
 
 
 def distance_or_unknown(distance: Column) -> Column:

@@ -33,10 +33,17 @@ def envelope_schema(row: T.StructType) -> T.StructType:
     )
 
 
-def decode(raw: DataFrame, row: T.StructType, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(change events, undecodable lines) from JSON text; one parse per line."""
+def decode(
+    raw: DataFrame, row: T.StructType, value: str = "value", key: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """(change events, undecodable lines) from JSON text; one parse per line.
+
+    With ``key``, an event that names no key in either image is undecodable too.
+    """
     parsed = raw.withColumn("_e", F.from_json(F.col(value).cast("string"), envelope_schema(row)))
     readable = F.col("_e.op").isNotNull()
+    for k in key:
+        readable = readable & F.coalesce(F.col("_e.after")[k], F.col("_e.before")[k]).isNotNull()
     events = parsed.filter(readable).select("_e.*")
     quarantine = parsed.filter(~readable).select(F.col(value).cast("string").alias("value"))
     return events, quarantine

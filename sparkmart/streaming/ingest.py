@@ -47,7 +47,7 @@ def ingest(
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        events, bad = cdc.decode(batch, row)
+        events, bad = cdc.decode(batch, row, key=table.key)
         flat = cdc.changes(events, table.key)
         if deletes == "ignore":
             flat = cdc.keep_ops(flat.withColumnRenamed("_op", "op")).withColumnRenamed("op", "_op")

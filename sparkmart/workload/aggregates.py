@@ -68,9 +68,9 @@ def _avg(t: Tables) -> DataFrame:
 @query(
     "agg_min_distance",
     f"""SELECT subject_id, round(MIN(COALESCE(dist, 1e9)), 4) AS min_distance_km FROM (
-        SELECT o.subject_id, 2 * 6371.0 * asin(sqrt(least(1.0,
+        SELECT o.subject_id, CASE WHEN p.lat IS NOT NULL THEN 2 * 6371.0 * asin(sqrt(least(1.0,
             power(sin(radians(o.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(o.lat))
-            * power(sin(radians(o.lon - p.lon) / 2), 2)))) AS dist
+            * power(sin(radians(o.lon - p.lon) / 2), 2)))) END AS dist
         FROM r_observation o LEFT JOIN r_sensor s ON s.id = o.sensor_id
         LEFT JOIN {latest_sql("r_asset_status", "asset_id")} p ON p.asset_id = s.asset_id)
         GROUP BY subject_id""",
