@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from sparkmart.session import settle
 from sparkmart.operators.asof import Right, asof_join, asof_join_many, count_preceding
 
 T0 = dt.datetime(2024, 1, 1)
@@ -21,7 +22,8 @@ def minute(m):
 def frames(spark, left, right):
     l = spark.createDataFrame([(i, k, minute(m)) for i, k, m in left], LEFT)
     r = spark.createDataFrame([(i, k, minute(m), v) for i, k, m, v in right], RIGHT)
-    return l, r
+    # from files, so that their size is known and the plain plan is taken unless cuts are forced
+    return settle(l.coalesce(1), "l"), settle(r.coalesce(1), "r")
 
 
 def run(l, r, **kw):
