@@ -58,11 +58,10 @@ def _count_distinct(t: Tables) -> DataFrame:
 
 @query(
     "agg_avg",
-    "SELECT region_id, round(AVG(health_percent), 6) AS mean_health FROM r_asset_status GROUP BY region_id",
+    "SELECT region_id, AVG(health_percent) AS mean_health FROM r_asset_status GROUP BY region_id",
 )
 def _avg(t: Tables) -> DataFrame:
-    mean = F.round(F.avg("health_percent"), 6).alias("mean_health")
-    return t["asset_status"].groupBy("region_id").agg(mean)
+    return t["asset_status"].groupBy("region_id").agg(F.avg("health_percent").alias("mean_health"))
 
 
 @query(

@@ -75,7 +75,7 @@ def _json(t: Tables) -> DataFrame:
     "fn_time",
     """SELECT event_id, strftime(ts, '%Y%m') AS month, epoch_us(ts) // 1000 AS ts_ms,
             ts - INTERVAL 1 HOUR AS hour_before,
-            round(epoch((SELECT max(ts) FROM events) - ts) / 60, 4) AS minutes_ago,
+            (epoch_us((SELECT max(ts) FROM events)) - epoch_us(ts)) / 6e7::DOUBLE AS minutes_ago,
             ts AS parsed, date_trunc('second', ts) AS parsed_space FROM events""",
 )
 def _time(t: Tables) -> DataFrame:
@@ -88,7 +88,7 @@ def _time(t: Tables) -> DataFrame:
         month_key(ts).alias("month"),
         F.floor(micros(events, "ts") / 1000).alias("ts_ms"),
         (ts - F.expr("interval 1 hour")).alias("hour_before"),
-        F.round(minutes_between(newest(events, "ts"), ts), 4).alias("minutes_ago"),
+        minutes_between(newest(events, "ts"), ts).alias("minutes_ago"),
         F.to_timestamp_ntz(iso, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("parsed"),
         F.to_timestamp_ntz(spaced, F.lit("yyyy-MM-dd HH:mm:ss")).alias("parsed_space"),
     )
