@@ -67,12 +67,15 @@ def enum_rank(value: Column, ordered: Sequence[str]) -> Column:
 
 
 def at_least(value: Column, floor: str, ordered: Sequence[str]) -> Column:
-    """``value >= floor`` by declared order, which string comparison would get wrong."""
-    return enum_rank(value, ordered) >= F.lit(ordered.index(floor) + 1)
+    """``value >= floor`` by declared order, which text comparison would get wrong.
+
+    A membership test, so that it reaches the scan as a pushed filter.
+    """
+    return value.isin(*ordered[ordered.index(floor) :])
 
 
 def at_most(value: Column, ceiling: str, ordered: Sequence[str]) -> Column:
-    return enum_rank(value, ordered) <= F.lit(ordered.index(ceiling) + 1)
+    return value.isin(*ordered[: ordered.index(ceiling) + 1])
 
 
 def gated(value: Column, condition: Column, otherwise: Column | None = None) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.plans import marts
+from sparkmart.session import settle
 from sparkmart.sources.keyed_table import KeyedTable, upsert_rows
 
 
@@ -135,6 +136,16 @@ class _Restricted(Mapping[str, DataFrame]):
         return len(self._base)
 
 
+def _build(
+    name: str, tables: Mapping[str, DataFrame], keys: DataFrame, variant: str
+) -> DataFrame:
+    replaced = {
+        role: tables[role].join(keys, F.col(column) == F.col("_touched"), "left_semi")
+        for role, column in DRIVERS[name].restrict
+    }
+    return marts.BUILDERS[name](_Restricted(tables, replaced), variant)
+
+
 def affected_rows(
     name: str,
     tables: Mapping[str, DataFrame],
@@ -142,12 +153,7 @@ def affected_rows(
     variant: str = marts.PRODUCT,
 ) -> DataFrame:
     """Mart rows of the touched keys, computed from those keys' facts only."""
-    keys = touched_keys(name, tables, changed)
-    replaced = {
-        role: tables[role].join(keys, F.col(column) == F.col("_touched"), "left_semi")
-        for role, column in DRIVERS[name].restrict
-    }
-    return marts.BUILDERS[name](_Restricted(tables, replaced), variant)
+    return _build(name, tables, touched_keys(name, tables, changed), variant)
 
 
 def refresh(
@@ -158,7 +164,25 @@ def refresh(
     batch_id: int,
     variant: str = marts.PRODUCT,
 ) -> bool:
-    """Upsert the affected rows; a later refresh of a key always replaces the earlier one."""
-    rows = affected_rows(name, tables, changed, variant)
-    stamped = upsert_rows(rows, "event_time").withColumn("_ts", F.lit(batch_id).cast("long"))
-    return target.merge(stamped, batch_id, writer=f"refresh-{name}")
+    """Bring the mart up to date with a batch of changes.
+
+    Rows of touched keys are upserted, and rows that those keys no longer have are deleted; a
+    later refresh always replaces an earlier one.  ``changed`` holds the changed rows as they
+    were before, after, or both, so that keys a row has left are touched too.
+    """
+    # read by three branches below
+    keys = settle(touched_keys(name, tables, changed), "touched")
+    rows = settle(_build(name, tables, keys, variant), "affected")
+    changes = upsert_rows(rows, "event_time", batch_id=batch_id)
+    if target.versions():
+        key = list(marts.mart_key(name, variant))
+        held = target.read().select(*key)
+        gone = held.join(keys, F.col(marts.MARTS[name].key[0]) == F.col("_touched"), "left_semi")
+        gone = gone.join(rows.select(*key), key, "left_anti").select(
+            *key,
+            F.lit("d").alias("_op"),
+            F.lit(batch_id).cast("long").alias("_ts"),
+            F.lit(0).cast("long").alias("_seq"),
+        )
+        changes = changes.unionByName(gone, allowMissingColumns=True)
+    return target.merge(changes, batch_id, writer=f"refresh-{name}")

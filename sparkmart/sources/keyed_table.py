@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkmart.functions.timeval import micros
 from sparkmart.operators.cdc import DELETE
 from sparkmart.operators.keyed import latest_per_key, newest_of
 from sparkmart.sources import storage
@@ -55,25 +56,34 @@ class KeyedTable:
     def manifest(self, version: int | None = None) -> dict:
         versions = self.versions()
         if not versions:
-            return {"version": 0, "buckets": {}, "writers": {}, "schema": None, "count": self.buckets}
+            return {
+                "version": 0,
+                "count": self.buckets,
+                "folders": {},
+                "buckets": {},
+                "writers": {},
+                "schema": None,
+            }
         chosen = versions[-1] if version is None else version
         return json.loads(storage.read_text(self.spark, self._manifest_path(chosen)))
 
     def _manifest_path(self, version: int) -> str:
         return f"{self.path}/_manifest/{version:010d}.json"
 
-    def _scan(self, manifest: dict, folders: Sequence[str]) -> DataFrame:
+    def _scan(self, manifest: dict, parts: Sequence[tuple[str, int]]) -> DataFrame:
+        """Rows of (bucket, version) parts, in the shape of the latest schema."""
         schema = T.StructType.fromJson(manifest["schema"])
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders])
+        paths = [f"{self.path}/data/{manifest['folders'][str(v)]}/_bucket={b}" for b, v in parts]
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def read(self, version: int | None = None, with_meta: bool = False) -> DataFrame:
         """Live rows of the latest (or a kept earlier) version."""
         manifest = self.manifest(version)
         if manifest["schema"] is None:
             raise FileNotFoundError(f"{self.path} has no committed version")
-        folders = manifest["buckets"].values()
-        settled = [f[0] for f in folders if len(f) == 1]
-        changed = [f for several in folders if len(several) > 1 for f in several]
+        held = manifest["buckets"].items()
+        settled = [(b, versions[0]) for b, versions in held if len(versions) == 1]
+        changed = [(b, v) for b, versions in held if len(versions) > 1 for v in versions]
         parts = []
         if settled:
             parts.append(self._scan(manifest, settled))
@@ -101,7 +111,7 @@ class KeyedTable:
             full = [b for b in touched if len(held[b]) > self.compact_after]
             rows = incoming.repartition(len(touched), "_bucket")
             if full:
-                old = self._scan(manifest, [f for b in full for f in held[b]])
+                old = self._scan(manifest, [(str(b), v) for b in full for v in held[b]])
                 old = old.withColumn("_bucket", self._bucket(count))
                 both = old.unionByName(incoming, allowMissingColumns=True)
                 # one exchange serves the reduction (grouped by bucket and key) and the write
@@ -109,18 +119,23 @@ class KeyedTable:
                 rows = self._reduced(both, ["_bucket", *self.key])
             version = manifest["version"] + 1
             # a fresh name, so that what a failed attempt left behind is never read or in the way
-            folder = f"data/v{version:010d}-{uuid.uuid4().hex}"
-            rows.write.partitionBy("_bucket").parquet(f"{self.path}/{folder}")
+            folder = f"v{version:010d}-{uuid.uuid4().hex}"
+            rows.write.partitionBy("_bucket").parquet(f"{self.path}/data/{folder}")
         finally:
             incoming.unpersist()
         stored = T.StructType([f for f in rows.schema.fields if f.name != "_bucket"])
-        written = {
-            str(b): [*([] if b in full else held[b]), f"{folder}/_bucket={b}"] for b in touched
+        rewritten = set(full)
+        buckets = {
+            **manifest["buckets"],
+            **{str(b): [version] if b in rewritten else [*held[b], version] for b in touched},
         }
+        in_use = {v for versions in buckets.values() for v in versions}
+        folders = {**manifest["folders"], str(version): folder}
         commit = {
             "version": version,
             "count": count,
-            "buckets": {**manifest["buckets"], **written},
+            "folders": {v: name for v, name in folders.items() if int(v) in in_use},
+            "buckets": buckets,
             "writers": {**manifest["writers"], writer: batch_id},
             "schema": _merged_schema(manifest["schema"], stored).jsonValue(),
         }
@@ -154,18 +169,27 @@ class KeyedTable:
     # -- housekeeping --------------------------------------------------------------------
 
     def vacuum(self, keep: int = 2) -> int:
-        """Drop folders that none of the last ``keep`` versions uses; returns how many."""
+        """Drop bucket folders that none of the last ``keep`` versions uses; returns how many.
+
+        Run it while no merge is under way: a folder that is not committed yet counts as unused.
+        """
         versions = self.versions()
-        used = set()
-        for v in versions[-keep:]:
-            for folders in self.manifest(v)["buckets"].values():
-                used.update(folders)
+        used: set[tuple[str, str]] = set()
+        for kept in versions[-keep:]:
+            manifest = self.manifest(kept)
+            for bucket, held in manifest["buckets"].items():
+                used.update((manifest["folders"][str(v)], bucket) for v in held)
         removed = 0
-        for v in storage.list_names(self.spark, f"{self.path}/data"):
-            for b in storage.list_names(self.spark, f"{self.path}/data/{v}"):
-                if b.startswith("_bucket=") and f"data/{v}/{b}" not in used:
-                    storage.remove(self.spark, f"{self.path}/data/{v}/{b}")
-                    removed += 1
+        for folder in storage.list_names(self.spark, f"{self.path}/data"):
+            names = storage.list_names(self.spark, f"{self.path}/data/{folder}")
+            buckets = [n.split("=")[1] for n in names if n.startswith("_bucket=")]
+            unused = [b for b in buckets if (folder, b) not in used]
+            if len(unused) == len(buckets):
+                storage.remove(self.spark, f"{self.path}/data/{folder}")
+            else:
+                for b in unused:
+                    storage.remove(self.spark, f"{self.path}/data/{folder}/_bucket={b}")
+            removed += len(unused)
         for v in versions[:-keep]:
             storage.remove(self.spark, self._manifest_path(v))
         return removed
@@ -180,15 +204,19 @@ def _merged_schema(old: dict | None, new: T.StructType) -> T.StructType:
     return T.StructType(fields + [f for f in new.fields if f.name not in known])
 
 
-def upsert_rows(df: DataFrame, time: str, ties: Sequence[str] = ()) -> DataFrame:
-    """Change rows that upsert a plain frame, ordered by its time column."""
-    from sparkmart.functions.timeval import micros
+def upsert_rows(
+    df: DataFrame, time: str, ties: Sequence[str] = (), batch_id: int | None = None
+) -> DataFrame:
+    """Change rows that upsert a plain frame.
 
-    seq = F.xxhash64(*ties) if ties else F.lit(0).cast("long")
-    return df.withColumns(
-        {
-            "_op": F.lit("u"),
-            "_ts": F.coalesce(micros(df, time), F.lit(0).cast("long")),
-            "_seq": seq,
-        }
-    )
+    They are ordered by the time column, so an older row never replaces a newer one.  With
+    ``batch_id`` a later batch always replaces an earlier one, as a recomputed result should,
+    and the time column only decides within a batch.
+    """
+    at = F.coalesce(micros(df, time), F.lit(0).cast("long"))
+    tie = F.xxhash64(*ties) if ties else F.lit(0).cast("long")
+    if batch_id is None:
+        ordering = {"_ts": at, "_seq": tie}
+    else:
+        ordering = {"_ts": F.lit(batch_id).cast("long"), "_seq": at}
+    return df.withColumns({"_op": F.lit("u"), **ordering})

@@ -203,6 +203,16 @@ def test_refresh_writes_only_touched_rows(spark, tables):
     assert {r.asset_id: r.supply_level for r in target.read().collect()} == {1: 5.0, 2: 10.0}
 
 
+def test_refresh_withdraws_rows_that_are_gone(spark, tables):
+    target = KeyedTable(spark, scratch_dir(spark, "gone"), ["asset_id", "equipment_id"], 4)
+    assert refresh.refresh("asset_strength", tables, {"asset": tables["asset"]}, target, 0)
+    assert {(r.asset_id, r.equipment_id) for r in target.read().collect()} == {(1, 1), (1, 2), (2, 3)}
+    removed = tables["equipment"].filter("id = 2")
+    later = {**tables, "equipment": tables["equipment"].filter("id <> 2")}
+    assert refresh.refresh("asset_strength", later, {"equipment": removed}, target, 1)
+    assert {(r.asset_id, r.equipment_id) for r in target.read().collect()} == {(1, 1), (2, 3)}
+
+
 def test_large_inputs_give_the_same_marts(spark, monkeypatch):
     """The hot-key path of every as-of step, forced on the given tables."""
     from sparkmart.operators import asof

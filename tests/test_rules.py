@@ -21,7 +21,9 @@ def test_bands(spark):
 def test_level_order_is_not_text_order(spark):
     keep = rules.at_least(F.col("v"), "high", ENUMS["level"])
     got = {v: one(spark, keep, v=v) for v in ("low", "medium", "high", "critical", "odd")}
-    assert got == {"low": False, "medium": False, "high": True, "critical": True, "odd": None}
+    assert got == {"low": False, "medium": False, "high": True, "critical": True, "odd": False}
+    ranks = [one(spark, rules.enum_rank(F.col("v"), ENUMS["level"]), v=v) for v in ("low", "critical", "odd")]
+    assert ranks == [1, 4, None]
 
 
 def test_penalties(spark):
