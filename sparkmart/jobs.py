@@ -99,6 +99,6 @@ def marts_job(
         rows = marts.publish(build(tables, variant), name)
         rows = upsert_rows(rows, "event_time", batch_id=batch_id).observe(seen, F.count(F.lit(1)).alias("rows"))
         target = KeyedTable(spark, f"{base}/{name}", marts.mart_key(name, variant), buckets)
-        target.merge(rows, batch_id, writer="marts")
-        written[name] = seen.get["rows"]
+        # without a merge (a replayed batch) nothing ran that could be observed
+        written[name] = seen.get["rows"] if target.merge(rows, batch_id, writer="marts") else 0
     return written

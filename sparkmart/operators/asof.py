@@ -116,31 +116,35 @@ def _cut_table(rows: DataFrame, keys: list[str], hot: DataFrame, split_rows: int
     )
 
 
+def _cuts_passed(us: Column, low: int = 0, high: int = _CUTS + 1) -> Column:
+    """How many cuts are at or before ``us``: a binary search as nested conditions."""
+    if low == high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    return F.when(us >= F.col("_cuts")[middle], _cuts_passed(us, middle + 1, high)).otherwise(
+        _cuts_passed(us, low, middle)
+    )
+
+
 def _slice(rows: DataFrame, keys: list[str], cuts: DataFrame) -> DataFrame:
-    """Adds ``_slice``: null for ordinary keys, else a number that rises with time."""
-    cut = rows.join(F.broadcast(cuts), keys, "left")
-    cell = F.size(F.filter("_cuts", lambda c: c <= F.col("_us")))
+    """Adds ``_hot``, and ``_slice``: a number that rises with time (null for ordinary keys)."""
+    cut = rows.join(F.broadcast(cuts), keys, "left").withColumn("_hot", F.col("_cuts").isNotNull())
+    cut = cut.withColumn("_cell", F.when(F.col("_hot"), _cuts_passed(F.col("_us"))))
     low = F.try_element_at(F.col("_cuts"), F.col("_cell"))
     high = F.try_element_at(F.col("_cuts"), F.col("_cell") + 1)
     inside = (F.col("_cell") > 0) & (F.col("_cell") <= _CUTS) & (high > low)
     part = F.floor((F.col("_us") - low) / (high - low) * F.col("_parts"))
-    return (
-        cut.withColumn("_cell", F.when(F.col("_cuts").isNotNull() & F.col("_us").isNotNull(), cell))
-        .withColumn(
-            "_slice",
-            F.when(
-                F.col("_cuts").isNotNull(),
-                F.coalesce(F.col("_cell"), F.lit(0)).cast("long") * F.lit(1 << 32)
-                + F.when(inside, part).otherwise(F.lit(0)),
-            ),
-        )
-        .drop("_cuts", "_parts", "_cell")
-    )
+    number = F.col("_cell").cast("long") * F.lit(1 << 32) + F.when(inside, part).otherwise(F.lit(0))
+    return cut.withColumn("_slice", F.when(F.col("_hot"), number)).drop("_cuts", "_parts", "_cell")
 
 
 def _carry_rows(rows: DataFrame, keys: list[str], sides: int, way: str) -> DataFrame:
-    """One row per (hot key, slice): the nearest right rows outside it, and the counts before it."""
-    hot = rows.filter(F.col("_slice").isNotNull())
+    """One row per (hot key, slice with left rows): the nearest right rows outside the slice, and
+    the counts of those before it.
+
+    Only right rows are reduced to whole rows; of left rows just the slices are needed.
+    """
+    hot = rows.filter("_hot")
     time = F.col("_us") if way == "b" else -F.col("_us")
     best = []
     for i in range(sides):
@@ -148,18 +152,23 @@ def _carry_rows(rows: DataFrame, keys: list[str], sides: int, way: str) -> DataF
         rank = F.when(mine, F.struct(time.alias("t"), F.col(f"_tie{i}")))
         best.append(F.max_by(f"_r{i}", rank).alias(f"_r{i}"))
         best.append(F.sum(f"_n{i}").alias(f"_n{i}"))
-    summary = hot.groupBy(*keys, "_slice").agg(*best)
+    summary = hot.filter(F.col("_side") == _RIGHT).groupBy(*keys, "_slice").agg(*best)
+    wanted = hot.filter(F.col("_side") == _LEFT).select(*keys, "_slice", F.lit(1).alias("_want"))
+    both = summary.unionByName(wanted.distinct(), allowMissingColumns=True)
+    # by value of the slice, so that rows of the same slice do not see each other
     order = F.col("_slice").asc() if way == "b" else F.col("_slice").desc()
-    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.select(
+    before = Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
+    carried = both.select(
         *keys,
         "_slice",
+        "_want",
         F.lit(_CARRY).alias("_side"),
         F.lit(way).alias("_way"),
         *[F.last(f"_r{i}", ignorenulls=True).over(before).alias(f"_r{i}") for i in range(sides)],
         *[F.sum(f"_n{i}").over(before).alias(f"_n{i}") for i in range(sides)],
     )
-    return carried.filter(F.coalesce(*[f"_r{i}._rt" for i in range(sides)]).isNotNull())
+    useful = F.coalesce(*[f"_r{i}._rt" for i in range(sides)]).isNotNull()
+    return carried.filter((F.col("_want") == 1) & useful).drop("_want")
 
 
 def _run(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,19 +43,26 @@ def ingest(
 ) -> StreamingQuery:
     """Decode change-log lines and merge each micro-batch into a keyed table.
 
-    The decode is one parse per line; malformed lines go to ``quarantine`` if given.  The merge
+    Malformed lines, and events without a key, go to ``quarantine`` if given.  The merge
     records the batch id, so a batch replayed after a failure changes nothing.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        events, bad = cdc.decode(batch, row, key=table.key)
-        flat = cdc.changes(events, table.key)
-        if deletes == "ignore":
-            flat = cdc.keep_ops(flat.withColumnRenamed("_op", "op")).withColumnRenamed("op", "_op")
-        table.merge(flat, batch_id, writer)
         if quarantine is not None:
-            # one folder per batch: a replay rewrites it instead of adding to it
-            bad.write.mode("overwrite").text(f"{quarantine}/batch={batch_id}")
+            # read by both writes below; the second one parses only operation and key
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            events, bad = cdc.decode(batch, row, key=table.key)
+            flat = cdc.changes(events, table.key)
+            if deletes == "ignore":
+                flat = flat.filter(F.col("_op") != cdc.DELETE)
+            table.merge(flat, batch_id, writer)
+            if quarantine is not None:
+                # one folder per batch: a replay rewrites it instead of adding to it
+                bad.write.mode("overwrite").text(f"{quarantine}/batch={batch_id}")
+        finally:
+            if quarantine is not None:
+                batch.unpersist()
 
     return _start(lines, merge, checkpoint, every)
 

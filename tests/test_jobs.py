@@ -67,6 +67,7 @@ def test_end_to_end(spark):
         "supply_readiness": 1,
         "interaction_review": 1,
     }
+    assert set(jobs.marts_job(spark, tables, gold, 0, buckets=2).values()) == {0}
     strength = KeyedTable(spark, f"{gold}/asset_strength", ["asset_id", "equipment_id"]).read().collect()[0]
     assert float(strength.adjusted_hit_probability) == pytest.approx(0.45)
     assert float(strength.effective_range_km) == pytest.approx(100 * 0.8 * 0.98)
