@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparkmart.specs import CONFIDENT, FAST_KMH, HOSTILE, MAX_PRECIPITATION_MM, MAX_WIND_KMH
+
 
 def zero_if_null(value: Column) -> Column:
     return F.coalesce(value.cast("double"), F.lit(0.0))
@@ -98,10 +100,12 @@ def normalise_angle(degrees: Column) -> Column:
 
 def priority_class(speed: Column, iff_status: Column, confidence: Column) -> Column:
     """Two-level classifier: fast or hostile, and confidently observed."""
-    notable = (speed > F.lit(500)) | (iff_status == F.lit("foe"))
-    return F.when(notable & (confidence > F.lit(0.8)), F.lit("high")).otherwise(F.lit("medium"))
+    notable = (speed > F.lit(FAST_KMH)) | (iff_status == F.lit(HOSTILE))
+    return F.when(notable & (confidence > F.lit(CONFIDENT)), F.lit("high")).otherwise(F.lit("medium"))
 
 
 def feasible(wind: Column, precipitation: Column) -> Column:
-    blocked = (zero_if_null(wind) > F.lit(50)) | (zero_if_null(precipitation) > F.lit(10))
+    blocked = (zero_if_null(wind) > F.lit(MAX_WIND_KMH)) | (
+        zero_if_null(precipitation) > F.lit(MAX_PRECIPITATION_MM)
+    )
     return F.when(blocked, F.lit(0)).otherwise(F.lit(1))

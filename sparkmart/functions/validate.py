@@ -60,3 +60,13 @@ def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame,
     checked = with_reasons(df, rules)
     clean = checked.filter(F.size(REASONS) == 0).drop(REASONS)
     return clean, checked.filter(F.size(REASONS) > 0)
+
+
+def cast_split(df: DataFrame, casts: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(rows with the columns cast, rows that hold a value which does not cast, with reasons)."""
+    rules = {
+        f"{c}:{kind}": F.col(c).isNull() | F.col(c).try_cast(kind).isNotNull()
+        for c, kind in casts.items()
+    }
+    clean, bad = split_valid(df, rules)
+    return clean.withColumns({c: F.col(c).cast(kind) for c, kind in casts.items()}), bad

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.functions import rules
@@ -23,10 +23,22 @@ from sparkmart.functions.geo import distance_or_unknown, haversine_km, travel_se
 from sparkmart.operators.asof import Right, asof_join, asof_join_many
 from sparkmart.operators.keyed import fill_defaults, latest_per_key, latest_snapshot, require_keys
 from sparkmart.specs import (
+    CONFIDENCE_JAM_WEIGHT,
+    CONFIDENCE_POOR_WEIGHT,
     ENUMS,
+    FOG_KINDS,
+    HIT_FOG_WEIGHT,
+    HIT_PRECIPITATION_WEIGHT,
     IMPACT_TERRAIN_FACTOR,
+    JAM_EFFECT,
     MARTS,
+    POOR_KINDS,
+    RANGE_WIND_WEIGHT,
+    REVIEW_FOG_WEIGHT,
+    REVIEW_JAM_WEIGHT,
+    SUPPLY_KINDS,
     SUPPLY_TERRAIN_FACTOR,
+    SUPPLY_WEATHER_WEIGHT,
     TERRAIN_FACTOR,
     MartSpec,
 )
@@ -87,14 +99,14 @@ def _placed(
     return _asof_condition(facts, t, driver, measures, times).join(_regions(t), "region_id")
 
 
-def _severity(*kinds: str):
+def _severity(kinds: Sequence[str]) -> Column:
     """Intensity where the condition is of one of these kinds, else zero."""
     present = rules.indicator(F.col("condition_type").isin(*kinds))
     return rules.zero_if_null(F.col("condition_intensity")) * present
 
 
-def _jammed(column: str = "interference_effect"):
-    return rules.indicator(F.col(column) == "jammed")
+def _jammed(column: str = "interference_effect") -> Column:
+    return rules.indicator(F.col(column) == JAM_EFFECT)
 
 
 def _finish(df: DataFrame, spec: MartSpec) -> DataFrame:
@@ -120,8 +132,8 @@ def asset_strength(t: Tables, variant: str = PRODUCT, clamp: bool = False) -> Da
     placed = _placed(status, t, "asset_status", measures, variant)
     rows = placed.join(known, "asset_id").join(equipment, "asset_id")
     wind = rules.zero_if_null(F.col("condition_wind_speed_kmh"))
-    wet = F.lit(0.15) * rules.zero_if_null(F.col("condition_precipitation_mm"))
-    fog = F.lit(0.2) * _severity("fog")
+    wet = F.lit(HIT_PRECIPITATION_WEIGHT) * rules.zero_if_null(F.col("condition_precipitation_mm"))
+    fog = F.lit(HIT_FOG_WEIGHT) * _severity(FOG_KINDS)
     terrain = rules.lookup_factor(F.col("terrain_type"), TERRAIN_FACTOR)
     hit = rules.penalise(F.col("hit_probability").cast("double"), [wet, fog], variant, clamp)
     health = F.col("health_percent").cast("double")
@@ -137,7 +149,7 @@ def asset_strength(t: Tables, variant: str = PRODUCT, clamp: bool = False) -> Da
             (
                 F.col("range_km").cast("double")
                 * F.col("terrain_factor")
-                * (F.lit(1.0) - F.lit(0.1) * wind / F.lit(100))
+                * (F.lit(1.0) - F.lit(RANGE_WIND_WEIGHT) * wind / F.lit(100))
             ).alias("effective_range_km"),
             "adjusted_hit_probability",
             (F.col("adjusted_hit_probability") * health / F.lit(100)).alias("strength"),
@@ -188,8 +200,8 @@ def subject_priority(t: Tables, variant: str = PRODUCT, clamp: bool = False) ->
         .join(sensor, "sensor_id", "inner" if variant == PRODUCT else "left")
         .join(position, "observer_id", "left")
     )
-    poor = F.lit(0.3) * _severity("fog", "storm")
-    jam = F.lit(0.5) * _jammed()
+    poor = F.lit(CONFIDENCE_POOR_WEIGHT) * _severity(POOR_KINDS)
+    jam = F.lit(CONFIDENCE_JAM_WEIGHT) * _jammed()
     confidence = rules.penalise(F.col("confidence").cast("double"), [poor, jam], variant, clamp)
     distance = haversine_km(
         F.col("observer_lat"), F.col("observer_lon"), F.col("lat"), F.col("lon")
@@ -274,7 +286,7 @@ def supply_readiness(t: Tables, variant: str = PRODUCT, clamp: bool = False) ->
     measures = ["type", "intensity", "wind_speed_kmh", "precipitation_mm"]
     rows = _placed(facts, t, "asset_status", measures, variant, times=True)
     terrain = rules.lookup_factor(F.col("terrain_type"), SUPPLY_TERRAIN_FACTOR)
-    loss = F.lit(0.5) * _severity("storm", "rain") * terrain
+    loss = F.lit(SUPPLY_WEATHER_WEIGHT) * _severity(SUPPLY_KINDS) * terrain
     level = F.col("supply_level").cast("double")
     return _finish(
         rows.select(
@@ -329,9 +341,9 @@ def interaction_review(
     how = "left" if variant == PRODUCT else "inner"
     equipment = t["equipment"].select(F.col("id").alias("equipment_id"), "hit_probability")
     rows = placed.join(_regions(t), "region_id", how).join(equipment, "equipment_id", how)
-    fog = F.lit(0.2) * _severity("fog")
-    jam = F.lit(0.3) * _jammed()
-    foggy = F.lit(0.2) * rules.indicator(F.col("condition_type") == "fog")
+    fog = F.lit(REVIEW_FOG_WEIGHT) * _severity(FOG_KINDS)
+    jam = F.lit(REVIEW_JAM_WEIGHT) * _jammed()
+    foggy = F.lit(REVIEW_FOG_WEIGHT) * rules.indicator(F.col("condition_type").isin(*FOG_KINDS))
     impact = rules.penalise(F.lit(1.0), [foggy, jam], variant, clamp) * rules.lookup_factor(
         F.col("terrain_type"), IMPACT_TERRAIN_FACTOR
     )

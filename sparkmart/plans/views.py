@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import rules
 from sparkmart.functions.timeval import minutes_between, within
-
-# Upper limits and labels of the supply bands.
-SUPPLY_BANDS = ((20, "CRITICAL"), (40, "LOW"))
+from sparkmart.specs import LOW_SUPPLY, SUPPLY_BAND_ABOVE, SUPPLY_BANDS
 
 
 def recent_high(subject_priority: DataFrame, asof: Column, interval: str = "1 hour") -> DataFrame:
@@ -28,8 +26,8 @@ def recent_high(subject_priority: DataFrame, asof: Column, interval: str = "1 ho
 
 
 def low_supply(supply_readiness: DataFrame) -> DataFrame:
-    rows = supply_readiness.filter(F.col("supply_level") < 60)
-    label = rules.band(F.col("supply_level"), SUPPLY_BANDS, "MODERATE")
+    rows = supply_readiness.filter(F.col("supply_level") < LOW_SUPPLY)
+    label = rules.band(F.col("supply_level"), SUPPLY_BANDS, SUPPLY_BAND_ABOVE)
     return rows.withColumn("supply_band", label).orderBy("supply_level")
 
 

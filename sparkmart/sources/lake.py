@@ -6,8 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmart.functions.timeval import month_key
+from sparkmart.sources import storage
+from sparkmart.sources.scan import scan_or_empty
 
 
 def append(df: DataFrame, path: str, max_records_per_file: int = 0, fmt: str = "parquet") -> None:
@@ -49,9 +52,13 @@ def retain(df: DataFrame, time: str, asof: Column, days: int = 30) -> DataFrame:
     return df.filter(F.col(time) >= asof - F.expr(f"interval {int(days)} days"))
 
 
-def expired_months(months: Sequence[str], asof_month_floor: str) -> list[str]:
-    """Month partitions that lie wholly before the retention floor (``yyyyMM`` text)."""
-    return [m for m in months if m < asof_month_floor]
+def drop_expired_months(spark: SparkSession, path: str, first_kept: str) -> list[str]:
+    """Remove the month folders before ``first_kept`` (``yyyyMM`` text); returns their months."""
+    months = [n.split("=")[1] for n in storage.list_names(spark, path) if n.startswith("month=")]
+    expired = [m for m in months if m < first_kept]
+    for month in expired:
+        storage.remove(spark, f"{path}/month={month}")
+    return expired
 
 
 def table_of(path: Column, depth_after: str) -> Column:
@@ -78,9 +85,6 @@ def bulk_import(spark: SparkSession, root: str, target: str, log: str) -> list[s
 
     Imported paths are written to ``log``, so a second run loads nothing twice.
     """
-    from sparkmart.sources.scan import scan_or_empty
-    from pyspark.sql import types as T
-
     known = scan_or_empty(spark, log, T.StructType().add("table_name", "string").add("path", "string"))
     fresh = new_files(spark, root, known)
     # one entry per table; the path lists are file metadata, as in any file source

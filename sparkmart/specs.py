@@ -77,10 +77,36 @@ ENUMS: dict[str, tuple[str, ...]] = {
 # Ordered classification labels, least restricted first.
 CLASSIFICATIONS = ("unclassified", "confidential", "secret", "top_secret")
 
-# Terrain, penalty and sentinel constants of the scoring rules.
+# Factors of terrain (any other terrain counts 1.0).
 TERRAIN_FACTOR = {"mountain": 0.8, "swamp": 0.7}
 IMPACT_TERRAIN_FACTOR = {"mountain": 0.8}
 SUPPLY_TERRAIN_FACTOR = {"mountain": 0.7}
+
+# Weights of the penalty terms, and the kinds of condition they apply to.
+RANGE_WIND_WEIGHT = 0.1
+HIT_PRECIPITATION_WEIGHT = 0.15
+HIT_FOG_WEIGHT = 0.2
+CONFIDENCE_POOR_WEIGHT = 0.3
+CONFIDENCE_JAM_WEIGHT = 0.5
+SUPPLY_WEATHER_WEIGHT = 0.5
+REVIEW_FOG_WEIGHT = 0.2
+REVIEW_JAM_WEIGHT = 0.3
+FOG_KINDS = ("fog",)
+POOR_KINDS = ("fog", "storm")
+SUPPLY_KINDS = ("storm", "rain")
+JAM_EFFECT = "jammed"
+
+# Thresholds of the classifier, of feasibility and of the supply view.
+FAST_KMH = 500
+HOSTILE = "foe"
+CONFIDENT = 0.8
+MAX_WIND_KMH = 50
+MAX_PRECIPITATION_MM = 10
+LOW_SUPPLY = 60
+SUPPLY_BANDS = ((20, "CRITICAL"), (40, "LOW"))
+SUPPLY_BAND_ABOVE = "MODERATE"
+
+# Stand-in for an unknown distance or time, and the radius of the earth.
 UNKNOWN_DISTANCE = 1e9
 EARTH_RADIUS_KM = 6371.0
 

@@ -76,15 +76,19 @@ def _enum_rank(t: Tables) -> DataFrame:
 
 @query(
     "validate_enum",
-    """SELECT event_id AS id, event_type, event_type IN ('view', 'click') AS valid FROM events""",
+    """SELECT o_orderkey, lower(split_part(o_orderpriority, '-', 2)) AS threat_level,
+            CASE WHEN lower(split_part(o_orderpriority, '-', 2)) IN ('low', 'medium', 'high', 'critical')
+                THEN '' ELSE 'threat_level:value' END AS reasons FROM orders""",
 )
 def _validate_enum(t: Tables) -> DataFrame:
-    # the declared condition types plus the event types that count as known here
-    checked = validate.with_reasons(
-        t.raw("events").select(F.col("event_id").alias("id"), "event_type"),
-        {"event_type:value": F.col("event_type").isin("view", "click")},
+    """Priority texts as levels: two of the five are not declared levels."""
+    level = F.lower(F.split_part("o_orderpriority", F.lit("-"), F.lit(2)))
+    rows = t.raw("orders").select("o_orderkey", level.alias("threat_level"))
+    rule = {"threat_level:value": validate.in_enum(F.col("threat_level"), "level")}
+    checked = validate.with_reasons(rows, rule)
+    return checked.select(
+        "o_orderkey", "threat_level", F.array_join(validate.REASONS, ",").alias("reasons")
     )
-    return checked.select("id", "event_type", (F.size(validate.REASONS) == 0).alias("valid"))
 
 
 @query(

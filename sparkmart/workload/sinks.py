@@ -131,19 +131,28 @@ def _mart_replace(t: Tables) -> DataFrame:
 
 @query(
     "sink_typed_cast",
-    """SELECT CAST(o_orderkey AS VARCHAR) AS row_id, CAST(o_totalprice AS DECIMAL(19,4)) AS price,
-            CAST(o_orderdate AS DATE) AS ordered_on,
-            TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority,
-            TRY_CAST(o_orderstatus AS INTEGER) IS NULL AS invalid FROM orders""",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS row_id,
+            CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS DECIMAL(19,4)) END AS price,
+            CASE WHEN o_orderstatus <> 'P' THEN CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS priority,
+            CASE WHEN o_orderstatus = 'P' THEN 'row_id:bigint' ELSE '' END AS reasons FROM orders""",
 )
 def _typed(t: Tables) -> DataFrame:
-    return t.raw("orders").select(
-        F.col("o_orderkey").cast("string").alias("row_id"),
-        F.col("o_totalprice").cast("decimal(19,4)").alias("price"),
-        F.col("o_orderdate").cast("date").alias("ordered_on"),
-        F.substring("o_orderpriority", 1, 1).try_cast("int").alias("priority"),
-        F.col("o_orderstatus").try_cast("int").isNull().alias("invalid"),
+    """Text keys of pending orders do not cast; those rows are set aside with the reason."""
+    from sparkmart.functions import validate
+
+    text = F.when(F.col("o_orderstatus") == "P", F.lit("pending")).otherwise(
+        F.col("o_orderkey").cast("string")
+    )
+    rows = t.raw("orders").select(
+        "o_orderkey",
+        text.alias("row_id"),
+        F.col("o_totalprice").alias("price"),
+        F.substring("o_orderpriority", 1, 1).alias("priority"),
     )
+    casts = {"row_id": "bigint", "price": "decimal(19,4)", "priority": "int"}
+    clean, bad = validate.cast_split(rows, casts)
+    aside = bad.select("o_orderkey", F.array_join(validate.REASONS, ",").alias("reasons"))
+    return clean.withColumn("reasons", F.lit("")).unionByName(aside, allowMissingColumns=True)
 
 
 @query(
@@ -192,25 +201,32 @@ def _by_month(t: Tables) -> DataFrame:
 
 @query(
     "json_path_extract",
-    """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, epoch_us(ts) // 1000 AS event_ms
-        FROM events""",
+    """SELECT event_id, user_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+            epoch_us(ts) // 1000 AS event_ms FROM events""",
 )
 def _json_paths(t: Tables) -> DataFrame:
     """Columns of a table pulled out of change-event text by path, times as epoch milliseconds."""
-    from sparkmart.functions.timeval import micros
-
-    text = F.to_json(
-        F.struct(F.struct("event_id", "props", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts")).alias("after"))
-    )
-    lines = t.raw("events").select(text.alias("value"))
-    pulled = lines.select(
-        F.get_json_object("value", "$.after.event_id").cast("long").alias("event_id"),
-        F.get_json_object(F.get_json_object("value", "$.after.props"), "$.k").cast("int").alias("k"),
-        F.get_json_object("value", "$.after.ts").cast("timestamp_ntz").alias("ts"),
+    from sparkmart.functions.jsonval import extract_paths, iso_to_millis
+
+    at = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("ts")
+    row = F.struct("event_id", "user_id", "event_type", "value", "props", at)
+    lines = t.raw("events").select(F.to_json(F.struct(row.alias("after"))).alias("value"))
+    pulled = extract_paths(
+        lines,
+        "value",
+        {
+            "event_id": ("$.after.event_id", "bigint"),
+            "user_id": ("$.after.user_id", "bigint"),
+            "event_type": ("$.after.event_type", "string"),
+            "value": ("$.after.value", "double"),
+            "props": ("$.after.props", "string"),
+            "ts": ("$.after.ts", "string"),
+        },
     )
-    return pulled.select(
-        "event_id", "k", F.floor(micros(pulled, "ts") / 1000).alias("event_ms")
+    inner = extract_paths(
+        pulled, "props", {"k": ("$.k", "int")}, "event_id", "user_id", "event_type", "value", "ts"
     )
+    return inner.withColumn("event_ms", iso_to_millis(F.col("ts"))).drop("ts")
 
 
 @query(

@@ -21,11 +21,14 @@ def test_month_refresh_replaces_only_its_months(spark):
     assert "PartitionFilters: [isnotnull(month" in plan
 
 
-def test_retention_and_expired_months(spark):
+def test_retention(spark):
     df = monthly(spark, (1, 2024, 1, "a"), (2, 2024, 3, "b"))
     asof = F.lit(dt.datetime(2024, 3, 5)).cast("timestamp_ntz")
     assert [r.id for r in lake.retain(df, "at", asof).collect()] == [2]
-    assert lake.expired_months(["202312", "202401", "202402"], "202402") == ["202312", "202401"]
+    path = scratch_dir(spark, "r") + "/t"
+    lake.write_by_month(df, path, "at", ["id"])
+    assert lake.drop_expired_months(spark, path, "202402") == ["202401"]
+    assert [r.id for r in spark.read.parquet(path).collect()] == [2]
 
 
 def test_bulk_import_loads_each_file_once(spark):
@@ -90,3 +93,30 @@ def test_jdbc_statements():
         "DELETE FROM t",
         'INSERT INTO t ("id") SELECT "id" FROM s',
     ]
+
+
+def test_extract_paths(spark):
+    from sparkmart.functions.jsonval import extract_paths, iso_to_millis
+
+    text = '{"op": "c", "after": {"id": "7", "n": {"x": 1.5}, "at": "2024-01-01T00:00:01.5Z"}}'
+    df = spark.createDataFrame([(1, text), (2, "junk"), (3, None)], "row int, value string")
+    paths = {"id": ("$.after.id", "string"), "x": ("$.after.n.x", "double"), "at": ("$.after.at", "string"), "op": ("$.op", "string")}
+    out = extract_paths(df, "value", paths, "row").withColumn("at", iso_to_millis(F.col("at")))
+    assert [tuple(r) for r in out.orderBy("row").collect()] == [
+        (1, "7", 1.5, 1704067201500, "c"),
+        (2, None, None, None, None),
+        (3, None, None, None, None),
+    ]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    with pytest.raises(ValueError):
+        extract_paths(df, "value", {"a": ("$.x", "int"), "b": ("$.x.y", "int")})
+
+
+def test_cast_split(spark):
+    from sparkmart.functions.validate import REASONS, cast_split
+
+    df = spark.createDataFrame([("1", "2.5"), ("x", "1"), (None, "y")], "a string, b string")
+    clean, bad = cast_split(df, {"a": "int", "b": "decimal(19,4)"})
+    assert [(r.a, float(r.b)) for r in clean.collect()] == [(1, 2.5)]
+    assert sorted(r[REASONS] for r in bad.collect()) == [["a:int"], ["b:decimal(19,4)"]]
