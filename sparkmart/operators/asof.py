@@ -8,8 +8,8 @@ Hot keys.  A key whose rows exceed ``split_rows`` is cut into time slices that a
 different tasks.  Cuts are quantiles of that key's own times, refined evenly by its row count.
 Each slice then starts with a carry row: the last right row of the earlier slices, found from
 one (partially aggregated) summary row per slice.  The result is the same with or without cuts.
-The list of hot keys is broadcast; it is bounded by ``MAX_SPLIT_KEYS``, and a key beyond that
-rank holds at most 1/MAX_SPLIT_KEYS of the rows and is left whole.  Finding hot keys costs one
+The list of hot keys is broadcast; it is bounded by ``skew.MAX_SPLIT_KEYS``, and a key beyond
+that rank holds less than 1/MAX_SPLIT_KEYS of the rows and is left whole.  Finding hot keys costs one
 pass over keys and times, which inputs that are small by the optimizer's estimate are spared;
 where none is found, the plan is the plain one.
 """
@@ -24,12 +24,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions.timeval import micros
-from sparkmart.session import is_small, settle
+from sparkmart.operators import skew
+from sparkmart.operators.skew import all_present
+from sparkmart.session import settle
 
-MAX_SPLIT_KEYS = 4096
-SPLIT_ROWS = 4_000_000
-# Inputs that are estimated smaller than this cannot hold a hot key worth cutting.
-SMALL_INPUT_BYTES = 16 << 20
 # Left rows with a null key never match; they are spread over this many groups.
 NULL_KEY_GROUPS = 4096
 _CUTS = 32
@@ -52,10 +50,6 @@ class Right:
     required: bool = False
 
 
-def _all_present(columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-
-
 def _stack(
     left: DataFrame, left_keys: Sequence[str], left_time: str, rights: Sequence[Right]
 ) -> tuple[DataFrame, list[str]]:
@@ -71,7 +65,7 @@ def _stack(
         *left.columns,
     )
     for i, right in enumerate(rights):
-        usable = right.df.filter(_all_present([*right.keys, right.time]))
+        usable = right.df.filter(all_present([*right.keys, right.time]))
         payload = [c for c in dict.fromkeys(right.select.values())]
         rows = usable.select(
             *[F.col(c).alias(k) for k, c in zip(keys, right.keys)],
@@ -87,19 +81,7 @@ def _stack(
 
 
 def _points(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.select(*keys, "_us").filter(_all_present(keys + ["_us"]))
-
-
-def _hot_keys(rows: DataFrame, keys: list[str], split_rows: int) -> DataFrame:
-    """The keys with the most rows, of those that have more than ``split_rows``."""
-    return (
-        _points(rows, keys)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > split_rows)
-        .orderBy(F.col("_rows").desc(), *keys)
-        .limit(MAX_SPLIT_KEYS)
-    )
+    return rows.select(*keys, "_us").filter(all_present(keys + ["_us"]))
 
 
 def _cut_table(rows: DataFrame, keys: list[str], hot: DataFrame, split_rows: int) -> DataFrame:
@@ -184,15 +166,15 @@ def _run(
     """Left rows with ``_b<i>`` / ``_f<i>`` (nearest row of side i before / after) and
     ``_before<i>`` (how many came before)."""
     sizes = [left, *[r.df for r in rights]] if bounded_by is None else list(bounded_by)
-    whole = split_rows is None and all(is_small(df, SMALL_INPUT_BYTES) for df in sizes)
+    whole = split_rows is None and skew.all_small(sizes)
     if derived and not whole:
         # the search for hot keys, the carry rows and the join itself each read the left rows
         left = settle(left, "asof")
     rows, keys = _stack(left, left_keys, left_time, rights)
-    n, limit = len(rights), SPLIT_ROWS if split_rows is None else split_rows
+    n, limit = len(rights), skew.SPLIT_ROWS if split_rows is None else split_rows
     if not whole:
         # written, so that every branch below sees the same keys and the same (approximate) cuts
-        hot = settle(_hot_keys(rows, keys, limit), "hot-keys")
+        hot = settle(skew.hot_keys(_points(rows, keys), keys, limit), "hot-keys")
         whole = hot.isEmpty()
     if whole:
         rows = rows.withColumns(
@@ -204,7 +186,7 @@ def _run(
         carries = [_carry_rows(rows, keys, n, way) for way in ways]
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), carries, rows)
     spread = F.when(
-        ~_all_present(keys), F.pmod(F.xxhash64("_us", *keys), F.lit(NULL_KEY_GROUPS))
+        ~all_present(keys), F.pmod(F.xxhash64("_us", *keys), F.lit(NULL_KEY_GROUPS))
     ).otherwise(F.col("_slice"))
     rows = rows.withColumn("_group", spread)
     ties = [F.col(f"_tie{i}") for i in range(n)]

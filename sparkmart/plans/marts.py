@@ -6,9 +6,9 @@ Every mart is a function of a mapping role -> DataFrame and comes in two variant
 ``linear``   penalties add up, and the condition is the newest one at or before the fact; the
              asset and subject marts keep one row per region
 
-Inputs are current-state tables (one row per ``id``), so the grain follows from the joins; only
-the incident mart fans out and is reduced to its key.  Columns are selected before every
-reduction, which is what lets the parquet scans read only those.
+Inputs are current-state tables (one row per ``id``), so the grain follows from the joins and no
+mart needs a last deduplication.  Columns are selected before every reduction, which is what
+lets the parquet scans read only those.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from sparkmart.functions import rules
 from sparkmart.functions.geo import distance_or_unknown, haversine_km, travel_seconds
 from sparkmart.operators.asof import Right, asof_join, asof_join_many
-from sparkmart.operators.keyed import fill_defaults, latest_per_key, latest_snapshot, require_keys
+from sparkmart.operators.keyed import fill_defaults, latest_snapshot, newest_of, require_keys
+from sparkmart.operators.skew import join_many_to_one
 from sparkmart.specs import (
     CONFIDENCE_JAM_WEIGHT,
     CONFIDENCE_POOR_WEIGHT,
@@ -128,9 +129,13 @@ def asset_strength(t: Tables, variant: str = PRODUCT, clamp: bool = False) -> Da
     equipment = t["equipment"].select(
         "asset_id", F.col("id").alias("equipment_id"), "range_km", "hit_probability"
     )
-    # places join the few status rows, before equipment multiplies them; then both asset joins
-    placed = _placed(status, t, "asset_status", measures, variant)
-    rows = placed.join(known, "asset_id").join(equipment, "asset_id")
+    # everything joins the few status rows first, so equipment meets finished rows
+    placed = _placed(status.join(known, "asset_id"), t, "asset_status", measures, variant)
+    if variant == PRODUCT:
+        # one row per asset: equipment of a hot asset need not gather in one task
+        rows = join_many_to_one(equipment, placed, ["asset_id"], bounded_by=[t["equipment"]])
+    else:
+        rows = placed.join(equipment, "asset_id")
     wind = rules.zero_if_null(F.col("condition_wind_speed_kmh"))
     wet = F.lit(HIT_PRECIPITATION_WEIGHT) * rules.zero_if_null(F.col("condition_precipitation_mm"))
     fog = F.lit(HIT_FOG_WEIGHT) * _severity(FOG_KINDS)
@@ -238,20 +243,35 @@ def incident_instructions(t: Tables, variant: str = PRODUCT, strict: bool = Fals
     )
     incident = incident.filter(rules.at_least(F.col("threat_level"), "high", ENUMS["level"]))
     observation = t["observation"].select(F.col("id").alias("observation_id"), "region_id")
-    instruction = t["instruction"].select(
+    user = t["operator_user"].select("id", "role")
+    issued = t["instruction"].select(
         "incident_id",
         F.col("id").alias("instruction_id"),
         "user_id",
         "action",
         F.col("event_time").alias("issued_at"),
     )
-    user = t["operator_user"].select(
-        F.col("id").alias("user_id"), F.col("role"), F.col("id").alias("known_user_id")
+    if strict:
+        issued = issued.filter(F.col("instruction_id").isNotNull()).join(
+            user, F.col("user_id") == F.col("id"), "left_semi"
+        )
+    # The row kept is the one of latest greatest(created, issued), then of greatest id.  That is
+    # the last issued one if it came after the incident, else the one of greatest id: two
+    # candidates, found by one map-side reduced aggregate, so no incident fans out.
+    candidates = issued.groupBy("incident_id").agg(
+        newest_of(issued, ["incident_id"], ["issued_at", "instruction_id", "user_id"]).alias("_last"),
+        newest_of(issued, ["incident_id"], ["instruction_id", "issued_at", "user_id"]).alias("_top"),
     )
+    after = F.coalesce(F.col("_last.issued_at") > F.col("created_at"), F.lit(False))
+    picked = {
+        c: F.when(after, F.col("_last")[c]).otherwise(F.col("_top")[c])
+        for c in ("instruction_id", "user_id", "action", "issued_at")
+    }
     rows = (
         incident.join(observation, "observation_id")
-        .join(instruction, "incident_id", "left")
-        .join(user, "user_id", "left")
+        .join(candidates, "incident_id", "inner" if strict else "left")
+        .withColumns(picked)
+        .join(user, F.col("user_id") == F.col("id"), "left")
     )
     hidden = F.lit("none") if variant == PRODUCT else None
     action = rules.gated(F.col("action"), F.col("role") == "commander", hidden)
@@ -264,14 +284,10 @@ def incident_instructions(t: Tables, variant: str = PRODUCT, strict: bool = Fals
         "threat_level",
         "instruction_id",
         action.alias("action"),
-        F.col("known_user_id").alias("user_id"),
+        F.col("id").alias("user_id"),
         rules.latest_of([F.col("created_at"), F.col("issued_at")]).alias("event_time"),
     )
-    spec = MARTS["incident_instructions"]
-    gated = _finish(shaped, spec)
-    if strict:
-        gated = require_keys(gated, ["instruction_id", "user_id"])
-    return latest_per_key(gated, spec.key)
+    return _finish(shaped, MARTS["incident_instructions"])
 
 
 def supply_readiness(t: Tables, variant: str = PRODUCT, clamp: bool = False) -> DataFrame:

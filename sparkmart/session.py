@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# temporary scratch folders of local-mode sessions, by application
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def build_session(app_name: str = "sparkmart", **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -37,9 +40,10 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="sparkmart-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="sparkmart-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkmart.operators import quality
 from sparkmart.operators.asof import asof_join, count_preceding
 from sparkmart.operators.keyed import latest_per_key, latest_snapshot
+from sparkmart.operators.skew import join_many_to_one
 from sparkmart.specs import TABLES
 from sparkmart.workload.base import Tables, query
 from sparkmart.workload.marts import asof_sql, latest_sql
@@ -40,20 +41,35 @@ def _left(t: Tables) -> DataFrame:
 
 @query(
     "join_star",
-    """SELECT s.id, u.domain, r.terrain_type, w.id AS equipment_id, w.range_km
-        FROM r_asset_status s JOIN r_asset u ON u.id = s.asset_id
-        JOIN r_region r ON r.id = s.region_id LEFT JOIN r_equipment w ON w.asset_id = s.asset_id""",
+    f"""SELECT w.id AS equipment_id, s.id AS status_id, u.domain, r.terrain_type, w.range_km
+        FROM {latest_sql("r_asset_status", "asset_id")} s JOIN r_asset u ON u.id = s.asset_id
+        JOIN r_region r ON r.id = s.region_id JOIN r_equipment w ON w.asset_id = s.asset_id""",
 )
 def _star(t: Tables) -> DataFrame:
-    equipment = _renamed(t["equipment"], "equipment_id", "asset_id", "range_km")
-    return (
-        t["asset_status"]
-        .select("id", "asset_id", "region_id")
-        .join(_renamed(t["asset"], "asset_id", "domain"), "asset_id")
-        .join(_renamed(t["region"], "region_id", "terrain_type"), "region_id")
-        .join(equipment, "asset_id", "left")
-        .select("id", "domain", "terrain_type", "equipment_id", "range_km")
+    status = latest_snapshot(
+        t["asset_status"].select("id", "asset_id", "region_id", "event_time"), ["asset_id"], ties=("id",)
+    ).select(F.col("id").alias("status_id"), "asset_id", "region_id")
+    placed = status.join(_renamed(t["asset"], "asset_id", "domain"), "asset_id").join(
+        _renamed(t["region"], "region_id", "terrain_type"), "region_id"
     )
+    equipment = _renamed(t["equipment"], "equipment_id", "asset_id", "range_km")
+    rows = join_many_to_one(equipment, placed, ["asset_id"], bounded_by=[t["equipment"]])
+    return rows.select("equipment_id", "status_id", "domain", "terrain_type", "range_km")
+
+
+@query(
+    "join_split_keys",
+    f"""SELECT w.id AS equipment_id, s.id AS status_id, s.region_id FROM r_equipment w
+        LEFT JOIN {latest_sql("r_asset_status", "asset_id")} s ON s.asset_id = w.asset_id""",
+)
+def _split_keys(t: Tables) -> DataFrame:
+    """The hot-key path of the many-to-one join, forced by a low limit."""
+    status = latest_snapshot(
+        t["asset_status"].select("id", "asset_id", "region_id", "event_time"), ["asset_id"], ties=("id",)
+    ).select(F.col("id").alias("status_id"), "asset_id", "region_id")
+    equipment = _renamed(t["equipment"], "equipment_id", "asset_id")
+    rows = join_many_to_one(equipment, status, ["asset_id"], "left", split_rows=12)
+    return rows.select("equipment_id", "status_id", "region_id")
 
 
 @query(

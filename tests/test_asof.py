@@ -124,17 +124,30 @@ def test_many_sides_in_one_pass(spark, split_rows):
 
 def test_hot_key_is_cut_into_many_tasks(spark):
     """With one key, the join's window works on many groups, none much above the limit."""
-    from sparkmart.operators import asof
+    from sparkmart.operators import asof, skew
 
     l = spark.range(5000).select("id", F.lit("hot").alias("k"), (F.lit(T0) + F.make_dt_interval(F.lit(0), F.lit(0), F.col("id"))).cast("timestamp_ntz").alias("at"))
     r = l.select("id", "k", F.col("at").alias("seen"))
     rows, keys = asof._stack(l, ["k"], "at", [Right(r, ["k"], "seen", {"rid": "id"})])
-    hot = asof._hot_keys(rows, keys, 50)
+    hot = skew.hot_keys(rows, keys, 50)
     sliced = asof._slice(rows, keys, asof._cut_table(rows, keys, hot, 50))
     sizes = [x["count"] for x in sliced.groupBy("_slice").count().collect()]
     assert sum(sizes) == 10000 and len(sizes) > 150 and max(sizes) <= 200
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_many_to_one_join_splits_hot_keys(spark, how):
+    from sparkmart.operators.skew import join_many_to_one
+
+    _, many = random_frames(spark, 5)
+    one = spark.createDataFrame([("hot", 1), ("a", 2), ("z", 3), (None, 4)], "k string, w int")
+    one = settle(one.coalesce(1), "one")
+    plain = sorted(map(tuple, many.join(one, ["k"], how).collect()), key=repr)
+    for split_rows in (None, 10, 50, 10**6):
+        got = join_many_to_one(many, one, ["k"], how, split_rows=split_rows)
+        assert sorted(map(tuple, got.collect()), key=repr) == plain
+
+
 def test_timestamps_with_zone(spark):
     l = spark.createDataFrame([(1, "a", minute(10))], "id long, k string, at timestamp")
     r = spark.createDataFrame([(1, "a", minute(9), 1.0)], "id long, k string, seen timestamp, v double")

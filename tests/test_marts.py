@@ -215,13 +215,13 @@ def test_refresh_withdraws_rows_that_are_gone(spark, tables):
 
 def test_large_inputs_give_the_same_marts(spark, monkeypatch):
     """The hot-key path of every as-of step, forced on the given tables."""
-    from sparkmart.operators import asof
+    from sparkmart.operators import skew
 
     t = Tables(spark, "/root/testdata/sf0.001")
     for name in ("asset_strength", "interaction_review"):
         plain = sorted(map(tuple, marts.BUILDERS[name](t, "linear").collect()), key=repr)
         with monkeypatch.context() as m:
-            m.setattr(asof, "SMALL_INPUT_BYTES", 0)
-            m.setattr(asof, "SPLIT_ROWS", 5)
+            m.setattr(skew, "SMALL_INPUT_BYTES", 0)
+            m.setattr(skew, "SPLIT_ROWS", 5)
             cut = sorted(map(tuple, marts.BUILDERS[name](t, "linear").collect()), key=repr)
         assert plain and cut == plain

@@ -120,3 +120,19 @@ def test_cast_split(spark):
     clean, bad = cast_split(df, {"a": "int", "b": "decimal(19,4)"})
     assert [(r.a, float(r.b)) for r in clean.collect()] == [(1, 2.5)]
     assert sorted(r[REASONS] for r in bad.collect()) == [["a:int"], ["b:decimal(19,4)"]]
+
+
+def test_scratch_follows_the_session(monkeypatch):
+    from types import SimpleNamespace
+
+    from sparkmart.session import scratch_root
+
+    def session(folder, master):
+        conf = SimpleNamespace(get=lambda key, default=None: folder)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="a"))
+
+    assert scratch_root(session("hdfs://shared/x/", "yarn")) == "hdfs://shared/x"
+    with pytest.raises(RuntimeError):
+        scratch_root(session(None, "yarn"))
+    local = scratch_root(session(None, "local[2]"))
+    assert local == scratch_root(session(None, "local[2]"))
