@@ -83,11 +83,21 @@ class Tables(Mapping[str, DataFrame]):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        # reading a table looks up its files and schema, so each is defined once
+        self._raw: dict[str, DataFrame] = {}
+        self._roles: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._raw[name]
 
     def __getitem__(self, role: str) -> DataFrame:
+        if role not in self._roles:
+            self._roles[role] = self._define(role)
+        return self._roles[role]
+
+    def _define(self, role: str) -> DataFrame:
         text = ROLES[role].replace("{K}", _K["spark"])
         used = re.findall(r"\{(\w+)\}", text)
         return self.spark.sql(text, **{name: self.raw(name) for name in used})

@@ -38,9 +38,9 @@ def account_events(t: Tables) -> DataFrame:
     )
 
 
-def account_lines(t: Tables) -> DataFrame:
+def account_lines(t: Tables, ops: tuple[str, ...] = ("c", "u", "r", "d")) -> DataFrame:
     """The change log as JSON text, one event per line."""
-    e = account_events(t)
+    e = account_events(t).filter(F.col("op").isin(*ops))
     text = cdc.to_envelope(
         F.col("after"), F.col("before"), F.col("op"), F.col("ts_ms"), F.col("seq")
     )

@@ -28,6 +28,12 @@ def bucket_count(df: DataFrame) -> int:
     return max(8, min(65536, -(-size // _BUCKET_BYTES)))
 
 
+def file_count(df: DataFrame) -> int:
+    """Files of a written log: a multiple of four, each up to about a quarter gigabyte."""
+    size = estimated_bytes(df) or 0
+    return 4 * max(1, -(-size // (4 * _BUCKET_BYTES)))
+
+
 @query("scan_table", "SELECT * FROM part")
 def _scan(t: Tables) -> DataFrame:
     return scan.scan_table(t.spark, t.sf_dir, "part", suffix=".parquet")
@@ -79,8 +85,10 @@ def _append(t: Tables) -> DataFrame:
 )
 def _sizing(t: Tables) -> DataFrame:
     """No file holds more records than the cap."""
-    path, cap = f"{scratch_dir(t.spark, 'sizing')}/lineitem", 5000
-    lake.append(t.raw("lineitem"), path, max_records_per_file=cap)
+    rows, path = t.raw("lineitem"), f"{scratch_dir(t.spark, 'sizing')}/lineitem"
+    # about 16 MB a file; less only where the whole table would fit a single one
+    cap = min(200_000, max(5000, (estimated_bytes(rows) or 0) // 1000))
+    lake.append(rows, path, max_records_per_file=cap)
     per_file = (
         t.spark.read.parquet(path)
         .groupBy(F.col("_metadata.file_path").alias("file"))

@@ -20,27 +20,41 @@ from sparkmart.workload.changes import (
     account_lines,
 )
 from sparkmart.workload.marts import SUPPLY_PRODUCT, latest_sql
-from sparkmart.workload.sinks import bucket_count
+from sparkmart.workload.sinks import bucket_count, file_count
 
-FILES = 4
 
+def _log_folder(t: Tables, label: str) -> tuple[str, str, int]:
+    """(base folder, folder of change-log files, number of files)."""
+    base, files = scratch_dir(t.spark, label), file_count(t.raw("events"))
+    account_lines(t).repartition(files).write.text(f"{base}/log")
+    return base, f"{base}/log", files
 
-def _log_folder(t: Tables, label: str) -> tuple[str, str]:
-    """(base folder, folder of change-log files)."""
-    base = scratch_dir(t.spark, label)
-    account_lines(t).repartition(FILES).write.text(f"{base}/log")
-    return base, f"{base}/log"
+
+def _parquet_stream(t: Tables, rows: DataFrame, path: str, order: str | None = None) -> DataFrame:
+    """The rows as a stream of files that takes two micro-batches."""
+    files = file_count(rows)
+    spread = rows.repartition(files) if order is None else rows.repartitionByRange(files, order)
+    spread.write.parquet(path)
+    return (
+        t.spark.readStream.schema(rows.schema)
+        .option("maxFilesPerTrigger", files // 2)
+        .parquet(path)
+    )
 
 
 def _account_table(t: Tables, base: str) -> KeyedTable:
     return KeyedTable(t.spark, f"{base}/table", ["user_id"], bucket_count(t.raw("events")))
 
 
+# micro-batches of the rate-limited stream
+BATCHES = 4
+
+
 @query("cdc_stream_ingest", LAST_ACCOUNT)
 def _ingest(t: Tables) -> DataFrame:
-    base, log = _log_folder(t, "ingest")
+    base, log, files = _log_folder(t, "ingest")
     table = _account_table(t, base)
-    lines = ingest.text_stream(t.spark, log, max_files=2)
+    lines = ingest.text_stream(t.spark, log, max_files=files // 2)
     ingest.ingest(lines, ACCOUNT, table, f"{base}/checkpoint").awaitTermination()
     return table.read()
 
@@ -48,9 +62,9 @@ def _ingest(t: Tables) -> DataFrame:
 @query("stream_foreach_merge", LAST_KEPT_ACCOUNT)
 def _foreach(t: Tables) -> DataFrame:
     """Micro-batches merged by a batch function, deletes ignored, bad lines set aside."""
-    base, log = _log_folder(t, "foreach")
+    base, log, files = _log_folder(t, "foreach")
     table = _account_table(t, base)
-    lines = ingest.text_stream(t.spark, log, max_files=2)
+    lines = ingest.text_stream(t.spark, log, max_files=files // 2)
     q = ingest.ingest(
         lines, ACCOUNT, table, f"{base}/checkpoint", deletes="ignore", quarantine=f"{base}/bad"
     )
@@ -63,10 +77,10 @@ def _resume(t: Tables) -> DataFrame:
     """Stopped after part of the log, then continued from the checkpoint."""
     base = scratch_dir(t.spark, "resume")
     log, table = f"{base}/log", _account_table(t, base)
-    lines = account_lines(t).withColumn("half", F.pmod(F.xxhash64("value"), F.lit(2)))
-    for half in (0, 1):
-        part = lines.filter(F.col("half") == half).drop("half")
-        part.write.mode("append").text(log)
+    ops = {0: ("c", "d"), 1: ("u", "r")}
+    for kinds in ops.values():
+        # the later delivery holds events of all times, so many of them come late
+        account_lines(t, kinds).write.mode("append").text(log)
         stream = ingest.text_stream(t.spark, log)
         ingest.ingest(stream, ACCOUNT, table, f"{base}/checkpoint").awaitTermination()
     return table.read()
@@ -74,12 +88,12 @@ def _resume(t: Tables) -> DataFrame:
 
 @query(
     "stream_rate_limited",
-    f"SELECT CAST({FILES} AS BIGINT) AS batches, COUNT(*) AS rows FROM events",
+    f"SELECT CAST({BATCHES} AS BIGINT) AS batches, COUNT(*) AS rows FROM events",
 )
 def _rate_limited(t: Tables) -> DataFrame:
-    """One file per micro-batch."""
-    base, log = _log_folder(t, "rate")
-    lines = ingest.text_stream(t.spark, log, max_files=1)
+    """A quarter of the files per micro-batch."""
+    base, log, files = _log_folder(t, "rate")
+    lines = ingest.text_stream(t.spark, log, max_files=files // BATCHES)
     batches = lines.select("value", F.lit(1).alias("one"))
     q = ingest.append_stream(batches, f"{base}/copy", f"{base}/checkpoint")
     q.awaitTermination()
@@ -126,8 +140,7 @@ def _multi(t: Tables) -> DataFrame:
 def _latest_state(t: Tables) -> DataFrame:
     base = scratch_dir(t.spark, "state")
     status = t["asset_status"].select("id", "asset_id", "region_id", "health_percent", "event_time")
-    status.repartition(FILES).write.parquet(f"{base}/in")
-    stream = t.spark.readStream.schema(status.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/in")
+    stream = _parquet_stream(t, status, f"{base}/in")
     changes = stream.select(
         "asset_id",
         "region_id",
@@ -147,7 +160,6 @@ def _mart_refresh(t: Tables) -> DataFrame:
     """Supply rows stream in; each micro-batch recomputes only the assets it touches."""
     base = scratch_dir(t.spark, "refresh")
     supply = t["supply"]
-    supply.repartitionByRange(FILES, "event_time").write.parquet(f"{base}/in")
     silver = KeyedTable(t.spark, f"{base}/supply", ["id"], bucket_count(supply))
     mart = KeyedTable(t.spark, f"{base}/mart", ["asset_id"], bucket_count(supply))
 
@@ -162,7 +174,7 @@ def _mart_refresh(t: Tables) -> DataFrame:
         tables = Replaced(t, supply=silver.read())
         refresh.refresh("supply_readiness", tables, {"supply": batch}, mart, batch_id)
 
-    stream = t.spark.readStream.schema(supply.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/in")
+    stream = _parquet_stream(t, supply, f"{base}/in", order="event_time")
     q = (
         stream.writeStream.foreachBatch(step)
         .option("checkpointLocation", f"{base}/checkpoint")
@@ -181,8 +193,7 @@ def _mart_refresh(t: Tables) -> DataFrame:
 def _static(t: Tables) -> DataFrame:
     base = scratch_dir(t.spark, "static")
     facts = t["interaction"]
-    facts.repartition(FILES).write.parquet(f"{base}/in")
-    stream = t.spark.readStream.schema(facts.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/in")
+    stream = _parquet_stream(t, facts, f"{base}/in")
     equipment = t["equipment"].select(F.col("id").alias("equipment_id"), "hit_probability")
     enriched = stream.join(equipment, "equipment_id").select("id", "result", "hit_probability")
     ingest.append_stream(enriched, f"{base}/out", f"{base}/checkpoint").awaitTermination()
