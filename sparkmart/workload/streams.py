@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.timeval import micros, to_instant, to_wall_clock
 from sparkmart.operators import cdc
-from sparkmart.plans import marts, refresh
+from sparkmart.plans import refresh
 from sparkmart.session import scratch_dir
 from sparkmart.sources.keyed_table import KeyedTable
 from sparkmart.streaming import ingest
@@ -16,7 +16,6 @@ from sparkmart.workload.changes import (
     ACCOUNT,
     LAST_ACCOUNT,
     LAST_KEPT_ACCOUNT,
-    account_events,
     account_lines,
 )
 from sparkmart.workload.marts import SUPPLY_PRODUCT, latest_sql

@@ -39,8 +39,27 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], sorted(out, key=repr)
 
 
+_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
+def types_of(df):
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return {name: _TYPES.get(kind, kind.upper()) for name, kind in kinds.items()}
+
+
 def compare(df, con, sql: str) -> str | None:
     """None if equal, else what differs."""
+    want_types = {r[0]: str(r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if types_of(df) != want_types:
+        return f"types {types_of(df)} != {want_types}"
     answer = con.execute(sql)
     want_cols, want = rows_of([d[0] for d in answer.description], answer.fetchall())
     got_cols, got = rows_of(df.columns, df.collect())

@@ -2,7 +2,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from sparkmart.session import scratch_dir
 from sparkmart.sources.keyed_table import KeyedTable
