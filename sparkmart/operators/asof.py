@@ -11,7 +11,7 @@ one (partially aggregated) summary row per slice.  The result is the same with o
 The list of hot keys is broadcast; it is bounded by ``skew.MAX_SPLIT_KEYS``, and a key beyond
 that rank holds less than 1/MAX_SPLIT_KEYS of the rows and is left whole.  Finding hot keys costs one
 pass over keys and times, which inputs that are small by the optimizer's estimate are spared;
-where none is found, the plan is the plain one.
+where none is found, the plan is the plain one.  Rows of one key at one instant stay together.
 """
 
 from __future__ import annotations

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,21 +81,37 @@ def new_files(spark: SparkSession, root: str, loaded: DataFrame | None = None) -
     return files if loaded is None else files.join(loaded.select("path"), "path", "left_anti")
 
 
+_IMPORT_LOG = (
+    T.StructType().add("import_id", "string").add("table_name", "string").add("path", "string")
+)
+
+
 def bulk_import(spark: SparkSession, root: str, target: str, log: str) -> list[str]:
-    """Append every new file under ``root/<table>/`` to ``target/<table>``; returns the tables.
+    """Load every new file under ``root/<table>/`` into ``target/<table>``; returns the tables.
 
-    Imported paths are written to ``log``, so a second run loads nothing twice.
+    The files of an import are logged first and then written to a folder of that import, so a
+    second run loads nothing twice, and one that follows a failed run first completes it.
     """
-    known = scan_or_empty(spark, log, T.StructType().add("table_name", "string").add("path", "string"))
+    known = scan_or_empty(spark, log, _IMPORT_LOG)
     fresh = new_files(spark, root, known)
-    # one entry per table; the path lists are file metadata, as in any file source
+    # one entry per table; path lists are file metadata, as in any file source
     listing = fresh.groupBy("table_name").agg(F.collect_list("path").alias("paths")).collect()
-    for entry in listing:
-        rows = spark.read.parquet(*entry["paths"])
-        rows.write.mode("append").parquet(f"{target}/{entry['table_name']}")
     if listing:
-        logged = [(e["table_name"], p) for e in listing for p in e["paths"]]
-        spark.createDataFrame(logged, "table_name string, path string").coalesce(1).write.mode(
-            "append"
-        ).parquet(log)
-    return sorted(e["table_name"] for e in listing)
+        import_id = uuid.uuid4().hex
+        logged = [(import_id, e["table_name"], p) for e in listing for p in e["paths"]]
+        spark.createDataFrame(logged, _IMPORT_LOG).coalesce(1).write.mode("append").parquet(log)
+    if not storage.exists(spark, log):
+        return []
+    imports = scan_or_empty(spark, log, _IMPORT_LOG).select("import_id", "table_name").distinct()
+    loaded = []
+    for entry in imports.collect():
+        folder = f"{target}/{entry['table_name']}/import={entry['import_id']}"
+        if storage.exists(spark, f"{folder}/_SUCCESS"):
+            continue
+        mine = (F.col("import_id") == entry["import_id"]) & (
+            F.col("table_name") == entry["table_name"]
+        )
+        paths = [r["path"] for r in scan_or_empty(spark, log, _IMPORT_LOG).filter(mine).collect()]
+        spark.read.parquet(*paths).write.mode("overwrite").parquet(folder)
+        loaded.append(entry["table_name"])
+    return sorted(loaded)

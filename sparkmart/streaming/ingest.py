@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -13,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sparkmart.operators import cdc
 from sparkmart.operators.keyed import newest_of
+from sparkmart.sources import storage
 from sparkmart.sources.keyed_table import KeyedTable
 
 
@@ -31,6 +33,11 @@ def _start(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint
     return writer.trigger(**trigger).start()
 
 
+def writer_of(spark: SparkSession, name: str, checkpoint: str) -> str:
+    """Writer name under which a stream commits: batch ids count from zero per checkpoint."""
+    return f"{name}:{json.loads(storage.read_text(spark, f'{checkpoint}/metadata'))['id']}"
+
+
 def ingest(
     lines: DataFrame,
     row: T.StructType,
@@ -56,7 +63,7 @@ def ingest(
             flat = cdc.changes(events, table.key)
             if deletes == "ignore":
                 flat = flat.filter(F.col("_op") != cdc.DELETE)
-            table.merge(flat, batch_id, writer)
+            table.merge(flat, batch_id, writer_of(table.spark, writer, checkpoint))
             if quarantine is not None:
                 # one folder per batch: a replay rewrites it instead of adding to it
                 bad.write.mode("overwrite").text(f"{quarantine}/batch={batch_id}")
@@ -78,7 +85,8 @@ class Feed:
 
 
 def ingest_all(feeds: Mapping[str, Feed], every: str | None = None, wave: int = 8) -> dict[str, int]:
-    """Run the feeds as concurrent queries; any fault is raised.  Returns rows read per feed.
+    """Run the feeds as concurrent queries; any fault is raised.  Returns rows read per feed (in
+    the micro-batches whose progress Spark still keeps).
 
     With a steady interval all feeds run until one stops; otherwise they run to the end of the
     available input, ``wave`` at a time.
@@ -116,7 +124,7 @@ def latest_state(
     state = events.groupBy(*key).agg(newest).select(*key, "_best.*")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.merge(batch, batch_id, "latest_state")
+        table.merge(batch, batch_id, writer_of(table.spark, "latest_state", checkpoint))
 
     writer = state.writeStream.outputMode("update").foreachBatch(write)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
@@ -138,14 +146,17 @@ def join_streams(
     right_time: str,
     within: str,
     late: str,
+    how: str = "inner",
 ) -> DataFrame:
     """Stream–stream equi join; the right row follows the left one within an interval.
 
     Watermarks on both sides and the time bound let Spark drop state that can no longer match.
+    With ``how="left_outer"`` a left row without a match appears once the watermark has passed
+    the last time one could come.
     """
-    l = left.withWatermark(left_time, late)
-    r = right.withWatermark(right_time, late)
+    earlier = left.withWatermark(left_time, late)
+    later = right.withWatermark(right_time, late)
     bound = (F.col(right_time) >= F.col(left_time)) & (
         F.col(right_time) <= F.col(left_time) + F.expr(f"interval {within}")
     )
-    return l.join(r, (F.col(on[0]) == F.col(on[1])) & bound, "inner")
+    return earlier.join(later, (F.col(on[0]) == F.col(on[1])) & bound, how)

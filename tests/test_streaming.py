@@ -114,3 +114,33 @@ def test_stream_join_bounds(spark):
     joined = ingest.join_streams(l, r, ("a", "b"), "at", "seen", "24 hours", "48 hours")
     ingest.append_stream(joined, f"{base}/out", f"{base}/cp").awaitTermination()
     assert [(x.a, x.seen) for x in spark.read.parquet(f"{base}/out").collect()] == [(1, t(1))]
+
+
+def test_outer_stream_join_emits_unmatched_rows_late(spark):
+    base = scratch_dir(spark, "outer")
+    t = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+    left, right = "a long, at timestamp", "b long, seen timestamp"
+
+    def feed(l, r):
+        spark.createDataFrame(l, left).coalesce(1).write.mode("append").parquet(f"{base}/l")
+        spark.createDataFrame(r, right).coalesce(1).write.mode("append").parquet(f"{base}/r")
+        ls = spark.readStream.schema(left).parquet(f"{base}/l")
+        rs = spark.readStream.schema(right).parquet(f"{base}/r")
+        joined = ingest.join_streams(ls, rs, ("a", "b"), "at", "seen", "2 hours", "1 hour", "left_outer")
+        ingest.append_stream(joined, f"{base}/out", f"{base}/cp").awaitTermination()
+        return sorted((x.a, x.b) for x in spark.read.parquet(f"{base}/out").collect())
+
+    assert feed([(1, t(0)), (2, t(0))], [(1, t(1))]) == [(1, 1)]
+    # times move on by a day: nothing can follow row 2 any more
+    assert (2, None) in [r for r in feed([(3, t(24))], [(9, t(24))])]
+
+
+def test_a_new_checkpoint_is_not_taken_for_a_replay(spark, setup):
+    base, log, table = setup
+    drop(spark, log, line("c", 1, "1", "1"))
+    run(spark, setup)
+    drop(spark, log, line("u", 2, "1", "2"))
+    # the checkpoint is lost: the log is read again from its start, as batch 0 of a new stream
+    q = ingest.ingest(ingest.text_stream(spark, log), ROW, table, f"{base}/cp2")
+    q.awaitTermination()
+    assert state(table) == {"1": 2.0}
