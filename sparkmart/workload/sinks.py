@@ -11,10 +11,11 @@ from sparkmart.plans import marts
 from sparkmart.session import estimated_bytes, scratch_dir
 from sparkmart.sources import lake, scan, topics
 from sparkmart.sources.keyed_table import KeyedTable, upsert_rows
-from sparkmart.workload.base import Tables, query
+from sparkmart.workload.base import ROLES, Tables, query
 from sparkmart.workload.marts import (
     ASSET_STRENGTH_PRODUCT,
     INCIDENTS_PRODUCT,
+    MART_SQL,
     SUPPLY_PRODUCT,
     newest,
 )
@@ -107,6 +108,48 @@ def _topic(t: Tables) -> DataFrame:
     return topics.from_keyed(topics.compact(log, ["offset"]), mart.schema)
 
 
+@query(
+    "keyed_topics_all_marts",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS mart, COUNT(*) AS keys, max(event_time) AS newest
+            FROM ({MART_SQL[name, "linear"]})"""
+        for name in marts.BUILDERS
+    ),
+)
+def _topics(t: Tables) -> DataFrame:
+    """All five marts as keyed topics, read back after compaction."""
+    parts = []
+    for name, build in marts.BUILDERS.items():
+        mart = build(t, "linear")
+        sent = topics.to_keyed(mart, marts.mart_key(name, "linear")).withColumn("offset", F.lit(0))
+        back = topics.from_keyed(topics.compact(sent, ["offset"]), mart.schema)
+        parts.append(
+            back.agg(F.count(F.lit(1)).alias("keys"), F.max("event_time").alias("newest")).select(
+                F.lit(name).alias("mart"), "keys", "newest"
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "lake_copy_all_tables",
+    " UNION ALL ".join(
+        f"SELECT '{role}' AS table_name, COUNT(*) AS rows, COUNT(DISTINCT id) AS keys FROM r_{role}"
+        for role in ROLES
+    ),
+)
+def _copies(t: Tables) -> DataFrame:
+    """An append copy of every table, read back."""
+    base, parts = scratch_dir(t.spark, "copies"), []
+    for role in ROLES:
+        lake.append(t[role], f"{base}/{role}")
+        counted = t.spark.read.parquet(f"{base}/{role}").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("keys")
+        )
+        parts.append(counted.select(F.lit(role).alias("table_name"), "rows", "keys"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "mart_upsert",
     f"""SELECT incident_id, observation_id, region_id, threat_level, instruction_id, action, user_id,
@@ -207,6 +250,26 @@ def _by_month(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "mart_month_layout_all_marts",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS mart, CAST(strftime(event_time, '%Y%m') AS INTEGER) AS month,
+            COUNT(*) AS rows FROM ({MART_SQL[name, "product"]}) GROUP BY 2"""
+        for name in marts.BUILDERS
+    ),
+)
+def _months(t: Tables) -> DataFrame:
+    """All five marts partitioned by month and clustered by region, key and time."""
+    base, parts = scratch_dir(t.spark, "months"), []
+    for name, build in marts.BUILDERS.items():
+        order = ["region_id", *marts.mart_key(name, "product"), "event_time"]
+        lake.write_by_month(build(t, "product"), f"{base}/{name}", "event_time", order)
+        months = t.spark.read.parquet(f"{base}/{name}").groupBy(F.col("month").cast("int").alias("month"))
+        counted = months.agg(F.count(F.lit(1)).alias("rows"))
+        parts.append(counted.select(F.lit(name).alias("mart"), "month", "rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "json_path_extract",
     """SELECT event_id, user_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
