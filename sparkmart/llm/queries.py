@@ -5,6 +5,7 @@ from __future__ import annotations
 from sparkmart.llm.common import table
 from sparkmart.llm.host_reputation import judge_urls
 from sparkmart.llm.mixing import mix_plan
+from sparkmart.llm.outliers import quality_verdicts
 from sparkmart.llm.registry import llm_query
 from sparkmart.llm.sharding import byte_shards
 
@@ -114,3 +115,8 @@ FROM m JOIN v ON m.host = v.host
 @llm_query("op10_host_reputation", HOSTS_SQL)
 def _(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages"))
+
+
+@llm_query("op2_robust_outliers")
+def _(spark, sf_dir):
+    return quality_verdicts(table(spark, sf_dir, "documents"))
