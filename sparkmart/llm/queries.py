@@ -6,6 +6,7 @@ from sparkmart.llm.common import table
 from sparkmart.llm.host_reputation import judge_urls
 from sparkmart.llm.mixing import mix_plan
 from sparkmart.llm.outliers import quality_verdicts
+from sparkmart.llm.quotes import reply_ordered
 from sparkmart.llm.registry import llm_query
 from sparkmart.llm.sharding import byte_shards
 
@@ -120,3 +121,8 @@ def _(spark, sf_dir):
 @llm_query("op2_robust_outliers")
 def _(spark, sf_dir):
     return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+@llm_query("op9_quote_threads")
+def _(spark, sf_dir):
+    return reply_ordered(table(spark, sf_dir, "conversations"))
