@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from sparkmart.llm import queries  # noqa: F401  (importing registers the queries)
-from sparkmart.llm.registry import ORACLES, QUERIES
+import sys
+
+from pyspark import cloudpickle
+
+# functions go to the executors with their code, so these need not have the library installed
+cloudpickle.register_pickle_by_value(sys.modules["sparkmart"])
+
+from sparkmart.llm import queries  # noqa: E402, F401  (importing registers the queries)
+from sparkmart.llm.registry import ORACLES, QUERIES  # noqa: E402
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -75,3 +76,19 @@ def running_sums(
             *[(F.col(f"_{m}_offset") + F.col(f"_{m}_within")).alias(f"{m}_before") for m in values],
         )
     )
+
+
+def shared_value(spark: SparkSession, value):
+    """A broadcast of a bounded value, and a function that reads it in a task (code included)."""
+    from pyspark import cloudpickle
+
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)
+
+
+def texts_of(batch, column: str = "text"):
+    """UTF-8 bytes of a text column, one at a time; nulls are empty."""
+    import pyarrow as pa
+
+    for value in batch.column(column).cast(pa.large_binary()):
+        yield value.as_py() or b""

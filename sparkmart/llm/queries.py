@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from sparkmart.llm.common import table
+from sparkmart.llm.decontaminate import contaminated
 from sparkmart.llm.host_reputation import judge_urls
 from sparkmart.llm.mixing import mix_plan
 from sparkmart.llm.outliers import quality_verdicts
 from sparkmart.llm.quotes import reply_ordered
 from sparkmart.llm.registry import llm_query
 from sparkmart.llm.sharding import byte_shards
+from sparkmart.llm.simhash import near_duplicate_components
 
 # Only the id order is random here: ids are unique in `documents`.
 MIX_SQL = r"""
@@ -126,3 +128,13 @@ def _(spark, sf_dir):
 @llm_query("op9_quote_threads")
 def _(spark, sf_dir):
     return reply_ordered(table(spark, sf_dir, "conversations"))
+
+
+@llm_query("op5_simhash_components")
+def _(spark, sf_dir):
+    return near_duplicate_components(table(spark, sf_dir, "documents"))
+
+
+@llm_query("op8_spaced_seeds")
+def _(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
