@@ -9,6 +9,7 @@ from sparkmart.llm.mixing import mix_plan
 from sparkmart.llm.outliers import quality_verdicts
 from sparkmart.llm.quotes import reply_ordered
 from sparkmart.llm.registry import llm_query
+from sparkmart.llm.repeats import repeat_digests
 from sparkmart.llm.sharding import byte_shards
 from sparkmart.llm.simhash import near_duplicate_components
 
@@ -138,3 +139,8 @@ def _(spark, sf_dir):
 @llm_query("op8_spaced_seeds")
 def _(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@llm_query("op3_repeated_passages")
+def _(spark, sf_dir):
+    return repeat_digests(table(spark, sf_dir, "documents"))
