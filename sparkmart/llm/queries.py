@@ -12,6 +12,7 @@ from sparkmart.llm.registry import llm_query
 from sparkmart.llm.repeats import repeat_digests
 from sparkmart.llm.sharding import byte_shards
 from sparkmart.llm.simhash import near_duplicate_components
+from sparkmart.llm.toxicity import toxicity_scores
 
 # Only the id order is random here: ids are unique in `documents`.
 MIX_SQL = r"""
@@ -144,3 +145,8 @@ def _(spark, sf_dir):
 @llm_query("op3_repeated_passages")
 def _(spark, sf_dir):
     return repeat_digests(table(spark, sf_dir, "documents"))
+
+
+@llm_query("op4_nb_ngram_toxicity")
+def _(spark, sf_dir):
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
