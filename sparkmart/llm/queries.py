@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from sparkmart.llm.common import table
 from sparkmart.llm.decontaminate import contaminated
 from sparkmart.llm.host_reputation import judge_urls
+from sparkmart.llm.lm_score import lm_scores
 from sparkmart.llm.mixing import mix_plan
 from sparkmart.llm.outliers import quality_verdicts
 from sparkmart.llm.quotes import reply_ordered
@@ -150,3 +153,9 @@ def _(spark, sf_dir):
 @llm_query("op4_nb_ngram_toxicity")
 def _(spark, sf_dir):
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@llm_query("op1_backoff_automaton")
+def _(spark, sf_dir):
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return lm_scores(table(spark, sf_dir, "documents"), held)
