@@ -21,8 +21,8 @@ from sparkmart.session import settle
 
 ORDER = 2  # words of the longest n-gram
 PRIOR = 500.0  # weight of the shorter context against the counts of a longer one (Dirichlet); best of 5 to 5000 on held-out texts
-CHUNK_BYTES = 4 << 20  # text of a chunk, about
-ASKED_PER_TASK = 2_000_000  # n-grams that a counting task handles at a time, about
+CHUNK_BYTES = 3 << 20  # text of a chunk, about
+ASKED_PER_TASK = 1_000_000  # n-grams that a counting task handles at a time, about
 PIECE = 1 << 22  # bytes of a text that are cut into words at a time
 END, BEGIN = 0, 1  # local numbers of the marks; words count from 2
 _MARKS = np.array([xxhash.xxh64_intdigest(b" end"), xxhash.xxh64_intdigest(b" begin")], np.uint64)  # no words: they have a blank
