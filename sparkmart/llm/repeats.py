@@ -23,7 +23,7 @@ LENGTH = 400  # bytes of a match
 ANCHOR = 200  # bytes that an anchor's hash covers
 PIECE = 1 << 19  # window starts of a text that are hashed at a time
 CLASS_LIMIT = 4000  # different surroundings of one anchor that are sorted in one task; beyond, see `_hot_spans`
-BUCKET_SEGMENTS = 4000  # segments per sorting task, about 2.4 MB of text
+BUCKET_SEGMENTS = 2000  # segments per sorting task, about 1.2 MB of text
 SPAN_BITS = 10  # a segment's place is its first window start, shifted, plus its number of windows
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd multiplier, base of the rolling hash
