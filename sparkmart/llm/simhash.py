@@ -90,7 +90,9 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     )
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= RADIUS
     pairs = met.where((F.col("n") == 2) & near).select("u", "v")
-    crowded = settle(halves.join(met.where("n > 2").select("key"), "key", "left_semi").select("fp").distinct(), "simhash-crowded")
+    # written first, so that the planner knows the true size of this side and moves the other only if it must
+    keys_met = settle(met.where("n > 2").select("key"), "simhash-keys")
+    crowded = settle(halves.join(keys_met, "key", "left_semi").select("fp").distinct(), "simhash-crowded")
     balls = crowded.select("fp", F.explode(_variants(F.col("fp"), 64, RADIUS // 2)).alias("variant"))
     stars = balls.groupBy("variant").agg(F.sort_array(F.collect_list("fp")).alias("fps")).where("size(fps) > 1")
     spokes = stars.select(F.col("fps")[0].alias("u"), F.explode(F.slice("fps", 2, 1 << 30)).alias("v"))
