@@ -64,6 +64,11 @@ def _variants(value: Column, bits: int, radius: int) -> Column:
     return F.transform(F.lit(np.array(_ball(bits, radius), np.int64)), lambda m: value.bitwiseXOR(m))
 
 
+def _spread(fps: DataFrame) -> DataFrame:
+    """The few narrow rows over all tasks, before each becomes many."""
+    return fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+
+
 def fingerprint_links(fps: DataFrame) -> DataFrame:
     """Links ``u, v`` between distinct fingerprints that keep all within RADIUS bits connected.
 
@@ -81,7 +86,7 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     keys = F.concat(
         _variants(low, 32, radius), F.transform(_variants(high, 32, radius), lambda v: v.bitwiseOR(F.lit(1 << 32)))
     )
-    halves = fps.select("fp", F.explode(keys).alias("key"))
+    halves = _spread(fps).select("fp", F.explode(keys).alias("key"))
     met = settle(
         halves.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v"))
@@ -93,7 +98,7 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     # written first, so that the planner knows the true size of this side and moves the other only if it must
     keys_met = settle(met.where("n > 2").select("key"), "simhash-keys")
     crowded = settle(halves.join(keys_met, "key", "left_semi").select("fp").distinct(), "simhash-crowded")
-    balls = crowded.select("fp", F.explode(_variants(F.col("fp"), 64, RADIUS // 2)).alias("variant"))
+    balls = _spread(crowded).select("fp", F.explode(_variants(F.col("fp"), 64, RADIUS // 2)).alias("variant"))
     stars = balls.groupBy("variant").agg(F.sort_array(F.collect_list("fp")).alias("fps")).where("size(fps) > 1")
     spokes = stars.select(F.col("fps")[0].alias("u"), F.explode(F.slice("fps", 2, 1 << 30)).alias("v"))
     return pairs.unionByName(spokes).distinct()
