@@ -39,6 +39,7 @@ def ingest_job(
             spec.schema,
             silver_table(spark, base, spec, buckets),
             f"{base}/_checkpoints/{name}",
+            f"{base}/_quarantine/{name}",
         )
         for name, spec in specs.items()
     }
@@ -52,16 +53,30 @@ def lake_copy_job(
     specs: Mapping[str, TableSpec] = TABLES,
     every: str | None = None,
 ) -> None:
-    """Append the inserted and updated rows of every change log to a lake copy."""
+    """Append the inserted and updated rows of every change log to a lake copy, undecodable lines to a quarantine."""
     queries = []
     for name, spec in specs.items():
-        events, _ = cdc.decode(lines(name), spec.schema)
+        events, bad = cdc.decode(lines(name), spec.schema)
         rows = cdc.keep_ops(events).select("after.*", "op", "ts_ms")
         queries.append(
             ingest.append_stream(rows, f"{base}/{name}", f"{base}/_checkpoints/{name}", every)
         )
+        queries.append(
+            ingest.append_stream(
+                bad, f"{base}/_quarantine/{name}", f"{base}/_checkpoints/{name}-quarantine", every
+            )
+        )
+    try:
+        if every is not None:
+            spark.streams.awaitAnyTermination()
+        for q in queries if every is None else []:
+            q.awaitTermination()
+    finally:  # one has stopped or failed: the others go with it
+        for q in queries:
+            q.stop()
     for q in queries:
-        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
 
 
 class Silver(Mapping[str, DataFrame]):

@@ -14,6 +14,8 @@ from sparkmart.operators.keyed import latest_per_key
 SNAPSHOT, CREATE, UPDATE, DELETE = "r", "c", "u", "d"
 UPSERTS = (CREATE, UPDATE, SNAPSHOT)
 
+_CORRUPT = "_corrupt"
+
 # Text form of times in written events (reading accepts any ISO fraction).
 TIME_FORMATS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -33,18 +35,33 @@ def envelope_schema(row: T.StructType) -> T.StructType:
     )
 
 
+def _parse_schema(row: T.StructType) -> T.StructType:
+    """The envelope as it comes: with the log position in ``source`` and a mark for what does not parse."""
+    source = T.StructType([T.StructField("lsn", T.LongType())])
+    return T.StructType(
+        [*envelope_schema(row).fields, T.StructField("source", source), T.StructField(_CORRUPT, T.StringType())]
+    )
+
+
 def decode(
     raw: DataFrame, row: T.StructType, value: str = "value", key: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """(change events, undecodable lines) from JSON text; one parse per line.
 
-    With ``key``, an event that names no key in either image is undecodable too.
+    Undecodable are malformed lines, lines with a field that does not parse as its declared type (it would
+    else become null and overwrite a good value), unknown operations and, with ``key``, events that name no key
+    in either image. ``seq`` orders events of equal time: the envelope's own, else the log position in
+    ``source.lsn``, else the ``offset`` of the record where the reader kept it.
     """
-    parsed = raw.withColumn("_e", F.from_json(F.col(value).cast("string"), envelope_schema(row)))
-    readable = F.col("_e.op").isNotNull()
+    text = F.col(value).cast("string")
+    parsed = raw.withColumn("_e", F.from_json(text, _parse_schema(row), {"columnNameOfCorruptRecord": _CORRUPT}))
+    readable = F.col(f"_e.{_CORRUPT}").isNull() & F.coalesce(F.col("_e.op").isin(*UPSERTS, DELETE), F.lit(False))
     for k in key:
         readable = readable & F.coalesce(F.col("_e.after")[k], F.col("_e.before")[k]).isNotNull()
-    events = parsed.filter(readable).select("_e.*")
+    position = [F.col("_e.seq"), F.col("_e.source.lsn")] + ([F.col("offset")] if "offset" in raw.columns else [])
+    events = parsed.filter(readable).select(
+        "_e.before", "_e.after", "_e.op", "_e.ts_ms", F.coalesce(*position).alias("seq")
+    )
     quarantine = parsed.filter(~readable).select(F.col(value).cast("string").alias("value"))
     return events, quarantine
 

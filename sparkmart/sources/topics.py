@@ -36,16 +36,20 @@ def write_kafka(keyed: DataFrame, servers: str, topic: str) -> None:
 
 
 def read_kafka_stream(
-    spark: SparkSession, servers: str, topic: str, max_offsets: int = 100, fail_on_loss: bool = False
+    spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None, fail_on_loss: bool = True
 ) -> DataFrame:
-    """Change-log stream of one topic from its start; needs the Kafka connector jar."""
-    return (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", "earliest")
-        .option("maxOffsetsPerTrigger", max_offsets)
-        .option("failOnDataLoss", str(fail_on_loss).lower())
-        .load()
-        .select(F.col("value").cast("string").alias("value"))
-    )
+    """Change-log stream of one topic from its start; needs the Kafka connector jar.
+
+    Records keep partition and offset, which order the changes of a key (a key stays in its partition).
+    A micro-batch takes all there is unless ``max_offsets`` bounds it.
+    """
+    options = {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": "earliest",
+        "failOnDataLoss": str(fail_on_loss).lower(),
+    }
+    if max_offsets is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
+    records = spark.readStream.format("kafka").options(**options).load()
+    return records.select(F.col("value").cast("string").alias("value"), "partition", "offset")

@@ -50,8 +50,7 @@ def ingest(
 ) -> StreamingQuery:
     """Decode change-log lines and merge each micro-batch into a keyed table.
 
-    Malformed lines, and events without a key, go to ``quarantine`` if given.  The merge
-    records the batch id, so a batch replayed after a failure changes nothing.
+    Undecodable lines (see ``cdc.decode``) go to ``quarantine`` if given.  The merge records the batch id, so a batch replayed after a failure changes nothing.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -65,8 +64,9 @@ def ingest(
                 flat = flat.filter(F.col("_op") != cdc.DELETE)
             table.merge(flat, batch_id, writer_of(table.spark, writer, checkpoint))
             if quarantine is not None:
-                # one folder per batch: a replay rewrites it instead of adding to it
-                bad.write.mode("overwrite").text(f"{quarantine}/batch={batch_id}")
+                # one folder per stream and batch: a replay rewrites it, a new checkpoint leaves it alone
+                stream = writer_of(table.spark, writer, checkpoint).rpartition(":")[2]
+                bad.write.mode("overwrite").text(f"{quarantine}/stream={stream}/batch={batch_id}")
         finally:
             if quarantine is not None:
                 batch.unpersist()
@@ -82,6 +82,7 @@ class Feed:
     row: T.StructType
     table: KeyedTable
     checkpoint: str
+    quarantine: str
 
 
 def ingest_all(feeds: Mapping[str, Feed], every: str | None = None, wave: int = 8) -> dict[str, int]:
@@ -92,9 +93,11 @@ def ingest_all(feeds: Mapping[str, Feed], every: str | None = None, wave: int =
     available input, ``wave`` at a time.
     """
     if every is not None:
-        running = [ingest(f.lines, f.row, f.table, f.checkpoint, every=every) for f in feeds.values()]
+        running = [ingest(f.lines, f.row, f.table, f.checkpoint, every=every, quarantine=f.quarantine) for f in feeds.values()]
         feeds_spark = next(iter(feeds.values())).table.spark
         feeds_spark.streams.awaitAnyTermination()
+        for q in running:  # one has stopped: the others go with it
+            q.stop()
         for q in running:
             if q.exception() is not None:
                 raise q.exception()
@@ -103,8 +106,9 @@ def ingest_all(feeds: Mapping[str, Feed], every: str | None = None, wave: int =
     names = list(feeds)
     for start in range(0, len(names), wave):
         started = {
-            n: ingest(feeds[n].lines, feeds[n].row, feeds[n].table, feeds[n].checkpoint)
+            n: ingest(f.lines, f.row, f.table, f.checkpoint, quarantine=f.quarantine)
             for n in names[start : start + wave]
+            for f in [feeds[n]]
         }
         for name, q in started.items():
             q.awaitTermination()

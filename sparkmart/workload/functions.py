@@ -155,7 +155,16 @@ def _haversine(t: Tables) -> DataFrame:
     return t["asset_status"].select("id", F.round(km, 4).alias("km"))
 
 
-@query("fn_uuid")
+@query(
+    "fn_uuid",
+    """SELECT COUNT(*) AS n_rows, COUNT(DISTINCT c_custkey) AS n_keys, COUNT(*) AS n_well_formed FROM customer""",
+)
 def _uuid(t: Tables) -> DataFrame:
-    """Generated keys (values differ in every run, so only the rows are checked)."""
-    return t.raw("customer").select("c_custkey", F.uuid().alias("key"), F.current_timestamp().alias("at"))
+    """Generated keys: their values differ in every run, but all are distinct and of the form of a UUID."""
+    keyed = t.raw("customer").select(F.uuid().alias("key"))
+    form = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+    return keyed.groupBy("key").count().agg(
+        F.sum("count").alias("n_rows"),
+        F.count("key").alias("n_keys"),
+        F.count_if(F.col("key").rlike(form)).alias("n_well_formed"),
+    )

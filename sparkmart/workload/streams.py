@@ -124,6 +124,7 @@ def _multi(t: Tables) -> DataFrame:
             rows.schema,
             KeyedTable(t.spark, f"{base}/{role}/table", ["id"], bucket_count(rows)),
             f"{base}/{role}/checkpoint",
+            f"{base}/{role}/bad",
         )
     read = ingest.ingest_all(feeds)
     parts = None

@@ -2,6 +2,8 @@ import datetime as dt
 import json
 from decimal import Decimal
 
+from pyspark.sql import types as T
+
 from sparkmart.operators import cdc
 from sparkmart.specs import TABLES
 
@@ -75,3 +77,28 @@ def test_diff_rebuilds_the_next_snapshot(spark):
     then = cdc.snapshot_diff(old, new, ["id"]).withColumns({"ts_ms": F.lit(1).cast("long"), "seq": F.lit(0).cast("long")})
     rebuilt = cdc.apply_changes(first.unionByName(then), ["id"])
     assert sorted(rebuilt.collect()) == sorted(new.collect())
+
+
+def test_order_within_a_millisecond_and_bad_fields(spark):
+    row = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.DoubleType())])
+    line = '{"before":%s,"after":%s,"op":"%s","ts_ms":7,"source":{"lsn":%d,"db":"x"}}'
+    lines = [
+        line % ("null", '{"id":"a","v":1}', "c", 10),
+        line % ('{"id":"a","v":1}', "null", "d", 11),
+        line % ("null", '{"id":"b","v":9.0}', "u", 20),
+        line % ("null", '{"id":"b","v":2.0}', "u", 21),
+        line % ("null", '{"id":"c","v":5.0}', "c", 30),
+        line % ("null", '{"id":"c","v":"junk"}', "u", 31),
+        line % ("null", '{"id":"d","v":1.0}', "x", 40),
+        "not json",
+    ]
+    events, bad = cdc.decode(spark.createDataFrame([(x,) for x in lines], "value string"), row, key=["id"])
+    assert {r.id: r.v for r in cdc.apply_changes(events, ["id"]).collect()} == {"b": 2.0, "c": 5.0}
+    assert sorted(r.value for r in bad.collect()) == sorted(lines[5:])
+
+
+def test_offsets_order_events(spark):
+    row = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.DoubleType())])
+    line = '{"before":null,"after":{"id":"a","v":%s},"op":"u","ts_ms":7}'
+    raw = spark.createDataFrame([(line % "9.0", 0, 1), (line % "2.0", 0, 2)], "value string, partition int, offset long")
+    assert [r.v for r in cdc.apply_changes(cdc.decode(raw, row)[0], ["id"]).collect()] == [2.0]

@@ -95,3 +95,7 @@ def test_lake_copy(spark):
     jobs.lake_copy_job(spark, lines_of(spark, f"{base}/log"), f"{base}/lake", only)
     jobs.lake_copy_job(spark, lines_of(spark, f"{base}/log"), f"{base}/lake", only)
     assert [r.op for r in spark.read.parquet(f"{base}/lake/supply").collect()] == ["c"]
+    spark.createDataFrame([("not json",)], "value string").coalesce(1).write.mode("append").text(f"{base}/log/supply")
+    jobs.lake_copy_job(spark, lines_of(spark, f"{base}/log"), f"{base}/lake", only)
+    assert [r.value for r in spark.read.parquet(f"{base}/lake/_quarantine/supply").collect()] == ["not json"]
+    assert spark.read.parquet(f"{base}/lake/supply").count() == 1

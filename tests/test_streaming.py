@@ -83,7 +83,7 @@ def test_many_tables_side_by_side(spark):
     for i, name in enumerate(("a", "b", "c")):
         drop(spark, f"{base}/{name}/log", *[line("c", k, str(k), "1") for k in range(i + 1)])
         feeds[name] = ingest.Feed(
-            ingest.text_stream(spark, f"{base}/{name}/log"), ROW, KeyedTable(spark, f"{base}/{name}/t", ["id"], 2), f"{base}/{name}/cp"
+            ingest.text_stream(spark, f"{base}/{name}/log"), ROW, KeyedTable(spark, f"{base}/{name}/t", ["id"], 2), f"{base}/{name}/cp", f"{base}/{name}/bad"
         )
     assert ingest.ingest_all(feeds, wave=2) == {"a": 1, "b": 2, "c": 3}
     assert [feeds[n].table.read().count() for n in feeds] == [1, 2, 3]
@@ -144,3 +144,13 @@ def test_a_new_checkpoint_is_not_taken_for_a_replay(spark, setup):
     q = ingest.ingest(ingest.text_stream(spark, log), ROW, table, f"{base}/cp2")
     q.awaitTermination()
     assert state(table) == {"1": 2.0}
+
+
+def test_quarantine_outlives_a_new_checkpoint(spark):
+    base = scratch_dir(spark, "bad")
+    spark.createDataFrame([("not json",)], "value string").coalesce(1).write.text(f"{base}/log")
+    for run_ in (1, 2):
+        table = KeyedTable(spark, f"{base}/t", ["id"], 2)
+        query = ingest.ingest(ingest.text_stream(spark, f"{base}/log"), ROW, table, f"{base}/cp{run_}", quarantine=f"{base}/bad")
+        query.awaitTermination()
+        assert [r.value for r in spark.read.text(f"{base}/bad").collect()] == ["not json"] * run_
