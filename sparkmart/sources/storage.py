@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -32,8 +34,12 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a new file; fails if it exists, so two writers cannot commit the same version."""
-    fs, staged = _fs(spark, path), f"{path}.staged"
+    """Write a new file; fails if it exists, so two writers cannot commit the same version.
+
+    Each writer stages under a name of its own, so none can rename the other's text. The test and the
+    rename are not one step on object stores without atomic rename; there a table needs a single writer.
+    """
+    fs, staged = _fs(spark, path), f"{path}.staged-{uuid.uuid4().hex}"
     stream = fs.create(_path(spark, staged), True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
