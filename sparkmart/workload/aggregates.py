@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sparkmart.functions import rules
 from sparkmart.operators import keyed
 from sparkmart.workload.base import ROLES, Tables, query
-from sparkmart.workload.marts import latest_sql
+from sparkmart.workload.mart_sql import latest_sql
 
 
 @query(

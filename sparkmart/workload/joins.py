@@ -11,7 +11,7 @@ from sparkmart.operators.keyed import latest_per_key, latest_snapshot
 from sparkmart.operators.skew import join_many_to_one
 from sparkmart.specs import TABLES
 from sparkmart.workload.base import Tables, query
-from sparkmart.workload.marts import asof_sql, latest_sql
+from sparkmart.workload.mart_sql import asof_sql, latest_sql
 
 
 def _renamed(df: DataFrame, key: str, *columns: str) -> DataFrame:

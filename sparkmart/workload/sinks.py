@@ -12,13 +12,8 @@ from sparkmart.session import estimated_bytes, scratch_dir
 from sparkmart.sources import lake, scan, topics
 from sparkmart.sources.keyed_table import KeyedTable, upsert_rows
 from sparkmart.workload.base import ROLES, Tables, query
-from sparkmart.workload.marts import (
-    ASSET_STRENGTH_PRODUCT,
-    INCIDENTS_PRODUCT,
-    MART_SQL,
-    SUPPLY_PRODUCT,
-    newest,
-)
+from sparkmart.workload.mart_sql import MART_SQL
+from sparkmart.workload.marts import newest
 
 _BUCKET_BYTES = 256 << 20
 
@@ -98,7 +93,7 @@ def _sizing(t: Tables) -> DataFrame:
     return per_file.agg(F.sum("n").alias("rows"), (F.max("n") <= cap).alias("within_cap"))
 
 
-@query("keyed_topic_sink", ASSET_STRENGTH_PRODUCT)
+@query("keyed_topic_sink", MART_SQL["asset_strength", "product"])
 def _topic(t: Tables) -> DataFrame:
     """The mart as keyed JSON, delivered twice; compaction leaves one value per key."""
     mart = marts.asset_strength(t)
@@ -153,7 +148,7 @@ def _copies(t: Tables) -> DataFrame:
 @query(
     "mart_upsert",
     f"""SELECT incident_id, observation_id, region_id, threat_level, instruction_id, action, user_id,
-            event_time FROM ({INCIDENTS_PRODUCT})""",
+            event_time FROM ({MART_SQL["incident_instructions", "product"]})""",
 )
 def _mart_upsert(t: Tables) -> DataFrame:
     """The mart goes to its table twice: the second delivery updates every key in place."""
@@ -170,7 +165,7 @@ def _mart_upsert(t: Tables) -> DataFrame:
 
 @query(
     "mart_replace",
-    f"SELECT * FROM ({SUPPLY_PRODUCT})",
+    f"SELECT * FROM ({MART_SQL['supply_readiness', 'product']})",
 )
 def _mart_replace(t: Tables) -> DataFrame:
     """Replace-all: a reader sees the old or the new rows, never a mix of both."""

@@ -18,7 +18,7 @@ from sparkmart.workload.changes import (
     LAST_KEPT_ACCOUNT,
     account_lines,
 )
-from sparkmart.workload.marts import SUPPLY_PRODUCT, latest_sql
+from sparkmart.workload.mart_sql import MART_SQL, latest_sql
 from sparkmart.workload.sinks import bucket_count, file_count
 
 
@@ -155,7 +155,7 @@ def _latest_state(t: Tables) -> DataFrame:
     return table.read()
 
 
-@query("stream_mart_refresh", f"SELECT * FROM ({SUPPLY_PRODUCT})")
+@query("stream_mart_refresh", f"SELECT * FROM ({MART_SQL['supply_readiness', 'product']})")
 def _mart_refresh(t: Tables) -> DataFrame:
     """Supply rows stream in; each micro-batch recomputes only the assets it touches."""
     base = scratch_dir(t.spark, "refresh")
