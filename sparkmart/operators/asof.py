@@ -5,18 +5,21 @@ to each left row, so the work is linear in the rows of the sides and takes one s
 many right sides share the key.
 
 Hot keys.  A key whose rows exceed ``split_rows`` is cut into time slices that are handled by
-different tasks.  Cuts are quantiles of that key's own times, refined evenly by its row count.
+different tasks.  Cuts are quantiles of that key's own times, then quantiles again within each of
+these cells (so a burst is cut like any other stretch), refined evenly by the row count of the cell.
 Each slice then starts with a carry row: the last right row of the earlier slices, found from
 one (partially aggregated) summary row per slice.  The result is the same with or without cuts.
-The list of hot keys is broadcast; it is bounded by ``skew.MAX_SPLIT_KEYS``, and a key beyond
-that rank holds less than 1/MAX_SPLIT_KEYS of the rows and is left whole.  Finding hot keys costs one
-pass over keys and times, which inputs that are small by the optimizer's estimate are spared;
+Every key above the limit is cut; their list and their cuts are written and joined without a hint,
+so Spark picks the join by their true size.  Finding hot keys costs one pass over keys and times;
 where none is found, the plan is the plain one.  Rows of one key at one instant stay together.
+
+Left rows with a null key or time match nothing: they are set aside before the exchange and added
+to the result.  Building a result runs the search for hot keys (and writes ``derived`` left rows).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -28,8 +31,6 @@ from sparkmart.operators import skew
 from sparkmart.operators.skew import all_present
 from sparkmart.session import settle
 
-# Left rows with a null key never match; they are spread over this many groups.
-NULL_KEY_GROUPS = 4096
 _CUTS = 32
 _CARRY, _RIGHT, _LEFT = -1, 0, 1
 
@@ -80,22 +81,11 @@ def _stack(
     return stacked, keys
 
 
-def _points(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.select(*keys, "_us").filter(all_present(keys + ["_us"]))
-
-
-def _cut_table(rows: DataFrame, keys: list[str], hot: DataFrame, split_rows: int) -> DataFrame:
-    """Hot keys with their quantile cuts and the number of even parts per cut."""
+def _cells(rows: DataFrame, by: list[str], counted: bool = False) -> DataFrame:
+    """Quantile cuts of the times of each group, and with ``counted`` its rows."""
     steps = [i / _CUTS for i in range(_CUTS + 1)]
-    return (
-        _points(rows, keys)
-        .join(F.broadcast(hot), keys)
-        .groupBy(*keys)
-        .agg(
-            F.percentile_approx("_us", steps, 2000).alias("_cuts"),
-            F.ceil(F.count(F.lit(1)) / F.lit(_CUTS * split_rows)).alias("_parts"),
-        )
-    )
+    count = [F.count(F.lit(1)).alias("_rows")] if counted else []
+    return rows.groupBy(*by).agg(F.percentile_approx("_us", steps, 2000).alias("_cuts"), *count)
 
 
 def _cuts_passed(us: Column, low: int = 0, high: int = _CUTS + 1) -> Column:
@@ -108,16 +98,28 @@ def _cuts_passed(us: Column, low: int = 0, high: int = _CUTS + 1) -> Column:
     )
 
 
-def _slice(rows: DataFrame, keys: list[str], cuts: DataFrame) -> DataFrame:
+def _cell(rows: DataFrame, by: list[str], cuts: DataFrame, name: str) -> DataFrame:
+    """Adds the number of cuts a row's time has passed (null for groups that have no cuts)."""
+    cut = rows.join(cuts, by, "left")
+    return cut.withColumn(name, F.when(F.col("_cuts").isNotNull(), _cuts_passed(F.col("_us"))))
+
+
+def _slice(rows: DataFrame, keys: list[str], hot: DataFrame, split_rows: int) -> DataFrame:
     """Adds ``_hot``, and ``_slice``: a number that rises with time (null for ordinary keys)."""
-    cut = rows.join(F.broadcast(cuts), keys, "left").withColumn("_hot", F.col("_cuts").isNotNull())
-    cut = cut.withColumn("_cell", F.when(F.col("_hot"), _cuts_passed(F.col("_us"))))
-    low = F.try_element_at(F.col("_cuts"), F.col("_cell"))
-    high = F.try_element_at(F.col("_cuts"), F.col("_cell") + 1)
-    inside = (F.col("_cell") > 0) & (F.col("_cell") <= _CUTS) & (high > low)
-    part = F.floor((F.col("_us") - low) / (high - low) * F.col("_parts"))
-    number = F.col("_cell").cast("long") * F.lit(1 << 32) + F.when(inside, part).otherwise(F.lit(0))
-    return cut.withColumn("_slice", F.when(F.col("_hot"), number)).drop("_cuts", "_parts", "_cell")
+    # written, so that every branch that reads the slices sees the same (approximate) cuts
+    points = rows.select(*keys, "_us").join(hot.select(*keys), keys, "left_semi")
+    coarse = settle(_cells(points, keys), "cuts")
+    points = _cell(points, keys, coarse, "_cell").drop("_cuts")
+    fine = settle(_cells(points, [*keys, "_cell"], counted=True), "cuts")
+    cut = _cell(rows, keys, coarse, "_cell").drop("_cuts").withColumn("_hot", F.col("_cell").isNotNull())
+    cut = _cell(cut, [*keys, "_cell"], fine, "_part")
+    low = F.try_element_at(F.col("_cuts"), F.col("_part"))
+    high = F.try_element_at(F.col("_cuts"), F.col("_part") + 1)
+    inside = (F.col("_part") > 0) & (F.col("_part") <= _CUTS) & (high > low)
+    parts = F.ceil(F.col("_rows") / F.lit(_CUTS * split_rows))
+    even = F.when(inside, F.floor((F.col("_us") - low) / (high - low) * parts)).otherwise(F.lit(0))
+    number = (F.col("_cell") * F.lit(2 * _CUTS) + F.col("_part")).cast("long") * F.lit(1 << 32) + even
+    return cut.withColumn("_slice", F.when(F.col("_hot"), number)).drop("_cuts", "_rows", "_cell", "_part")
 
 
 def _carry_rows(rows: DataFrame, keys: list[str], sides: int, way: str) -> DataFrame:
@@ -160,42 +162,28 @@ def _run(
     rights: Sequence[Right],
     ways: str,
     split_rows: int | None,
-    bounded_by: Iterable[DataFrame] | None,
-    derived: bool,
 ) -> DataFrame:
-    """Left rows with ``_b<i>`` / ``_f<i>`` (nearest row of side i before / after) and
-    ``_before<i>`` (how many came before)."""
-    sizes = [left, *[r.df for r in rights]] if bounded_by is None else list(bounded_by)
-    whole = split_rows is None and skew.all_small(sizes)
-    if derived and not whole:
-        # the search for hot keys, the carry rows and the join itself each read the left rows
-        left = settle(left, "asof")
+    """Left rows with key and time, with ``_b<i>`` / ``_f<i>`` (nearest row of side i before / after)
+    and ``_before<i>`` (how many came before)."""
+    left = left.filter(all_present([*left_keys, left_time]))
     rows, keys = _stack(left, left_keys, left_time, rights)
     n, limit = len(rights), skew.SPLIT_ROWS if split_rows is None else split_rows
-    if not whole:
-        # written, so that every branch below sees the same keys and the same (approximate) cuts
-        hot = settle(skew.hot_keys(_points(rows, keys), keys, limit), "hot-keys")
-        whole = hot.isEmpty()
-    if whole:
+    hot = settle(skew.hot_keys(rows, keys, limit), "hot-keys")
+    if hot.isEmpty():
         rows = rows.withColumns(
             {"_way": F.lit(None).cast("string"), "_slice": F.lit(None).cast("long")}
         )
     else:
-        cuts = settle(_cut_table(rows, keys, hot, limit), "cuts")
-        rows = _slice(rows.withColumn("_way", F.lit(None).cast("string")), keys, cuts)
+        rows = _slice(rows.withColumn("_way", F.lit(None).cast("string")), keys, hot, limit)
         carries = [_carry_rows(rows, keys, n, way) for way in ways]
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), carries, rows)
-    spread = F.when(
-        ~all_present(keys), F.pmod(F.xxhash64("_us", *keys), F.lit(NULL_KEY_GROUPS))
-    ).otherwise(F.col("_slice"))
-    rows = rows.withColumn("_group", spread)
     ties = [F.col(f"_tie{i}") for i in range(n)]
     carry_first = F.when(F.col("_side") == _CARRY, F.lit(0)).otherwise(F.lit(1))
     added: dict[str, Column] = {}
     for way in ways:
-        line = F.col("_t").asc_nulls_first() if way == "b" else F.col("_t").desc_nulls_first()
+        line = F.col("_t").asc() if way == "b" else F.col("_t").desc()
         w = (
-            Window.partitionBy(*keys, "_group")
+            Window.partitionBy(*keys, "_slice")
             .orderBy(carry_first, line, F.col("_side"), *ties)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
@@ -218,8 +206,7 @@ def _match(direction: str, i: int) -> Column:
         gap_after = F.col(f"_f{i}._rt") - F.col("_t")
         nearer = after.isNull() | (before.isNotNull() & (gap_before <= gap_after))
         found = F.when(nearer, before).otherwise(after)
-    # a left row without a time sorts ahead of every right row, so it has no match
-    return F.when(F.col("_t").isNotNull(), found)
+    return found
 
 
 def asof_join_many(
@@ -229,20 +216,19 @@ def asof_join_many(
     rights: Sequence[Right],
     direction: str = "backward",
     split_rows: int | None = None,
-    bounded_by: Iterable[DataFrame] | None = None,
     derived: bool = False,
 ) -> DataFrame:
     """Left rows with columns of the nearest row of each right side of the same key.
 
     ``direction`` is ``backward`` (newest at or before), ``forward`` (earliest at or after) or
     ``nearest`` (least gap, the earlier one if gaps are equal).  Null keys and null times never
-    match.  ``bounded_by`` names frames that together hold at least as many rows per key as the
-    sides do; the optimizer's size estimate of these then decides whether looking for hot keys
-    can be skipped (its estimate of a join is far too high to tell).  ``derived`` says that the
-    left rows are costly to compute, so a large input is written out once and read from there.
+    match.  ``derived`` says that the left rows are costly to compute, so they are written out once and
+    read from there: the search for hot keys, the carry rows and the join itself each read them.
     """
     ways = {"backward": "b", "forward": "f", "nearest": "bf"}[direction]
-    found = _run(left, left_keys, left_time, rights, ways, split_rows, bounded_by, derived)
+    if derived:
+        left = settle(left, "asof")
+    found = _run(left, left_keys, left_time, rights, ways, split_rows)
     found = found.withColumns({f"_m{i}": _match(direction, i) for i in range(len(rights))})
     for i, right in enumerate(rights):
         if right.required:
@@ -252,7 +238,11 @@ def asof_join_many(
         for i, right in enumerate(rights)
         for out, src in right.select.items()
     ]
-    return found.select(*left.columns, *brought)
+    found = found.select(*left.columns, *brought)
+    if any(r.required for r in rights):
+        return found
+    unmatched = left.filter(~all_present([*left_keys, left_time]))
+    return found.unionByName(unmatched, allowMissingColumns=True)
 
 
 def asof_join(
@@ -266,7 +256,6 @@ def asof_join(
     direction: str = "backward",
     ties: Sequence[str] = ("id",),
     split_rows: int | None = None,
-    bounded_by: Iterable[DataFrame] | None = None,
     derived: bool = False,
 ) -> DataFrame:
     """``asof_join_many`` with one right side; ``on`` pairs (left, right) key columns."""
@@ -274,7 +263,7 @@ def asof_join(
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
     side = Right(right, [b for _, b in on], right_time, select, ties, required=how == "inner")
     return asof_join_many(
-        left, [a for a, _ in on], left_time, [side], direction, split_rows, bounded_by, derived
+        left, [a for a, _ in on], left_time, [side], direction, split_rows, derived
     )
 
 
@@ -293,6 +282,8 @@ def count_preceding(
     This is the row count of the unreduced inequality join, without building its pairs.
     """
     side = Right(right, [b for _, b in on], right_time, {}, ties)
-    found = _run(left, [a for a, _ in on], left_time, [side], "b", split_rows, None, False)
-    timed = F.when(F.col("_t").isNotNull(), F.col("_before0"))
-    return found.select(*left.columns, F.coalesce(timed, F.lit(0)).cast("long").alias(name))
+    left_keys = [a for a, _ in on]
+    found = _run(left, left_keys, left_time, [side], "b", split_rows)
+    unmatched = left.filter(~all_present([*left_keys, left_time])).withColumn("_before0", F.lit(0).cast("long"))
+    rows = found.select(*left.columns, "_before0").unionByName(unmatched)
+    return rows.select(*left.columns, F.coalesce("_before0", F.lit(0)).cast("long").alias(name))

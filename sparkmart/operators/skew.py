@@ -2,68 +2,56 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.session import is_small, settle
+from sparkmart.session import settle
 
-# A key beyond this rank by row count holds less than 1/MAX_SPLIT_KEYS of the rows.
-MAX_SPLIT_KEYS = 4096
 # Rows of one key that one task is expected to handle with ease.
 SPLIT_ROWS = 4_000_000
-# Inputs that are estimated smaller than this cannot hold a hot key worth splitting.
-SMALL_INPUT_BYTES = 16 << 20
 
 
 def all_present(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
-def all_small(frames: Iterable[DataFrame]) -> bool:
-    return all(is_small(df, SMALL_INPUT_BYTES) for df in frames)
-
-
 def hot_keys(rows: DataFrame, keys: Sequence[str], split_rows: int) -> DataFrame:
-    """The keys with the most rows, of those with more than ``split_rows``; at most
-    ``MAX_SPLIT_KEYS`` of them, which bounds what is broadcast."""
-    return (
-        rows.filter(all_present(keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > split_rows)
-        .orderBy(F.col("_rows").desc(), *keys)
-        .limit(MAX_SPLIT_KEYS)
-    )
+    """All keys with more than ``split_rows`` rows, with their number of rows.
+
+    There are fewer of them than rows / ``split_rows``.  Rows are counted before they are exchanged.
+    """
+    counted = rows.filter(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.filter(F.col("_rows") > split_rows)
 
 
 def join_many_to_one(
-    many: DataFrame,
-    one: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    split_rows: int | None = None,
-    bounded_by: Iterable[DataFrame] | None = None,
+    many: DataFrame, one: DataFrame, on: Sequence[str], how: str = "inner", split_rows: int | None = None
 ) -> DataFrame:
     """``many`` joined to the row of its key in ``one``, which has at most one row per key.
 
     Adaptive execution splits a skewed partition only where both sides come straight from an
-    exchange, which a chain of joins on one key does not.  Here the rows of hot keys stay where
-    they are and the few ``one`` rows they need are broadcast (no more than ``MAX_SPLIT_KEYS``);
-    all other rows are joined as usual.  ``bounded_by`` as in ``asof_join_many``.
+    exchange, which a chain of joins on one key does not.  Here the hot keys and the ``one`` rows they
+    need are written first (fewer than rows / ``split_rows`` of each), so Spark knows their true size:
+    it broadcasts them where they are small and the rows of hot keys stay where they are; else it
+    splits their partitions, as both sides come from an exchange.  All other rows are joined as usual.
+    Rows with a null key match nothing and are set aside.
+
+    Building the result runs the search for hot keys: one pass over the keys of ``many``.
     """
     on = list(on)
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
-    if split_rows is None and all_small([many] if bounded_by is None else bounded_by):
-        return many.join(one, on, how)
-    limit = SPLIT_ROWS if split_rows is None else split_rows
-    hot = settle(hot_keys(many, on, limit), "hot-keys").select(*on)
+    hot = settle(hot_keys(many, on, SPLIT_ROWS if split_rows is None else split_rows), "hot-keys").select(*on)
+    keyed = many.filter(all_present(on))
     if hot.isEmpty():
-        return many.join(one, on, how)
-    needed = one.join(F.broadcast(hot), on, "left_semi")
-    split = many.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(needed), on, how)
-    rest = many.join(F.broadcast(hot), on, "left_anti").join(one, on, how)
-    return split.unionByName(rest)
+        joined = keyed.join(one, on, how)
+    else:
+        needed = settle(one.join(hot, on, "left_semi"), "hot-rows")
+        split = keyed.join(hot, on, "left_semi").join(needed, on, how)
+        joined = split.unionByName(keyed.join(hot, on, "left_anti").join(one, on, how))
+    if how == "inner":
+        return joined
+    return joined.unionByName(many.filter(~all_present(on)), allowMissingColumns=True)

@@ -68,9 +68,9 @@ def _newest_condition(t: Tables, measures: Sequence[str], times: bool = False) -
 
 
 def _asof_condition(
-    facts: DataFrame, t: Tables, driver: str, measures: Sequence[str], times: bool = False
+    facts: DataFrame, t: Tables, measures: Sequence[str], times: bool = False
 ) -> DataFrame:
-    """Newest condition at or before each fact; facts hold at most the driver table's rows."""
+    """Newest condition at or before each fact."""
     extra = ["event_time"] if times else []
     return asof_join(
         facts,
@@ -79,7 +79,6 @@ def _asof_condition(
         left_time="event_time",
         right_time="event_time",
         select={f"condition_{m}": m for m in [*measures, *extra]},
-        bounded_by=[t[driver], t["condition"]],
         derived=True,
     )
 
@@ -87,7 +86,6 @@ def _asof_condition(
 def _placed(
     facts: DataFrame,
     t: Tables,
-    driver: str,
     measures: Sequence[str],
     variant: str,
     times: bool = False,
@@ -97,7 +95,7 @@ def _placed(
         # region and newest condition are one row per region: joined first, the facts move once
         places = _regions(t).join(_newest_condition(t, measures, times), "region_id", "left")
         return facts.join(places, "region_id")
-    return _asof_condition(facts, t, driver, measures, times).join(_regions(t), "region_id")
+    return _asof_condition(facts, t, measures, times).join(_regions(t), "region_id")
 
 
 def _severity(kinds: Sequence[str]) -> Column:
@@ -130,10 +128,10 @@ def asset_strength(t: Tables, variant: str = PRODUCT, clamp: bool = False) -> Da
         "asset_id", F.col("id").alias("equipment_id"), "range_km", "hit_probability"
     )
     # everything joins the few status rows first, so equipment meets finished rows
-    placed = _placed(status.join(known, "asset_id"), t, "asset_status", measures, variant)
+    placed = _placed(status.join(known, "asset_id"), t, measures, variant)
     if variant == PRODUCT:
         # one row per asset: equipment of a hot asset need not gather in one task
-        rows = join_many_to_one(equipment, placed, ["asset_id"], bounded_by=[t["equipment"]])
+        rows = join_many_to_one(equipment, placed, ["asset_id"])
     else:
         rows = placed.join(equipment, "asset_id")
     wind = rules.zero_if_null(F.col("condition_wind_speed_kmh"))
@@ -192,14 +190,13 @@ def subject_priority(t: Tables, variant: str = PRODUCT, clamp: bool = False) ->
             left_time="event_time",
             right_time="event_time",
             select={"interference_effect": "effect"},
-            bounded_by=[t["observation"], t["interference"]],
             derived=True,
         )
     measures = ["type", "intensity"]
     if variant == PRODUCT:
         seen = seen.join(_newest_condition(t, measures), "region_id", "left")
     else:
-        seen = _asof_condition(seen, t, "observation", measures)
+        seen = _asof_condition(seen, t, measures)
     rows = (
         seen.join(subject, "subject_id")
         .join(sensor, "sensor_id", "inner" if variant == PRODUCT else "left")
@@ -300,7 +297,7 @@ def supply_readiness(t: Tables, variant: str = PRODUCT, clamp: bool = False) ->
         place = t["asset_status"].select("asset_id", "region_id").distinct()
     facts = supply.join(place, "asset_id")
     measures = ["type", "intensity", "wind_speed_kmh", "precipitation_mm"]
-    rows = _placed(facts, t, "asset_status", measures, variant, times=True)
+    rows = _placed(facts, t, measures, variant, times=True)
     terrain = rules.lookup_factor(F.col("terrain_type"), SUPPLY_TERRAIN_FACTOR)
     loss = F.lit(SUPPLY_WEATHER_WEIGHT) * _severity(SUPPLY_KINDS) * terrain
     level = F.col("supply_level").cast("double")
@@ -351,9 +348,8 @@ def interaction_review(
             Right(t["asset_status"], ["asset_id"], "event_time", {"region_id": "region_id"}, required=True),
             Right(other, [interference_key], "event_time", {"interference_effect": "effect"}),
         ],
-        bounded_by=[t["interaction"], t["asset_status"], t["interference"]],
     )
-    placed = _asof_condition(exposed, t, "interaction", ["type", "intensity"])
+    placed = _asof_condition(exposed, t, ["type", "intensity"])
     how = "left" if variant == PRODUCT else "inner"
     equipment = t["equipment"].select(F.col("id").alias("equipment_id"), "hit_probability")
     rows = placed.join(_regions(t), "region_id", how).join(equipment, "equipment_id", how)

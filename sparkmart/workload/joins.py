@@ -53,7 +53,7 @@ def _star(t: Tables) -> DataFrame:
         _renamed(t["region"], "region_id", "terrain_type"), "region_id"
     )
     equipment = _renamed(t["equipment"], "equipment_id", "asset_id", "range_km")
-    rows = join_many_to_one(equipment, placed, ["asset_id"], bounded_by=[t["equipment"]])
+    rows = join_many_to_one(equipment, placed, ["asset_id"])
     return rows.select("equipment_id", "status_id", "domain", "terrain_type", "range_km")
 
 
@@ -166,7 +166,6 @@ def _asof_chain(t: Tables) -> DataFrame:
         left_time="event_time",
         right_time="event_time",
         select={"type": "type", "intensity": "intensity"},
-        bounded_by=[t["interaction"], t["condition"]],
     )
 
 

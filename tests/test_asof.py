@@ -130,7 +130,7 @@ def test_hot_key_is_cut_into_many_tasks(spark):
     r = l.select("id", "k", F.col("at").alias("seen"))
     rows, keys = asof._stack(l, ["k"], "at", [Right(r, ["k"], "seen", {"rid": "id"})])
     hot = skew.hot_keys(rows, keys, 50)
-    sliced = asof._slice(rows, keys, asof._cut_table(rows, keys, hot, 50))
+    sliced = asof._slice(rows, keys, hot, 50)
     sizes = [x["count"] for x in sliced.groupBy("_slice").count().collect()]
     assert sum(sizes) == 10000 and len(sizes) > 150 and max(sizes) <= 200
 
@@ -153,3 +153,30 @@ def test_timestamps_with_zone(spark):
     r = spark.createDataFrame([(1, "a", minute(9), 1.0)], "id long, k string, seen timestamp, v double")
     for split_rows in (None, 1):
         assert found(run(l, r, split_rows=split_rows)) == {1: 1}
+
+
+def test_a_burst_within_a_hot_key_is_cut(spark):
+    """Half of a key's rows lie within two seconds of a year."""
+    from sparkmart.operators import asof, skew
+
+    at = F.when(F.col("id") < 10_000, F.col("id") * 200).otherwise(F.lit(10**12) + F.col("id") * 3_000_000)
+    l = spark.range(20_000).select("id", F.lit("hot").alias("k"), F.timestamp_micros(at).alias("at"))
+    r = l.select("id", "k", F.col("at").alias("seen")).limit(0)
+    rows, keys = asof._stack(l, ["k"], "at", [Right(r, ["k"], "seen", {"rid": "id"})])
+    sliced = asof._slice(rows, keys, skew.hot_keys(rows, keys, 50), 50)
+    sizes = [x["count"] for x in sliced.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 200
+
+
+def test_more_hot_keys_than_a_list_would_hold(spark):
+    l = spark.range(20_000).select("id", (F.col("id") % 5000).cast("string").alias("k"), F.timestamp_seconds("id").alias("at"))
+    r = l.select("id", "k", F.col("at").alias("seen"), F.lit(1.0).alias("v"))
+    got = run(settle(l, "l"), settle(r, "r"), split_rows=3)
+    assert got.filter("rid = id").count() == 20_000
+
+
+def test_rows_without_key_or_time_do_not_enter_the_exchange(spark):
+    l, r = frames(spark, [(i, None, None) for i in range(50)] + [(50, "a", 3)], [(1, "a", 2, 0.5)])
+    got = run(l, r, split_rows=1)
+    assert found(got) == {**{i: None for i in range(50)}, 50: 1}
+    assert "isnotnull(k" in got._jdf.queryExecution().optimizedPlan().toString().lower()

@@ -221,7 +221,6 @@ def test_large_inputs_give_the_same_marts(spark, monkeypatch):
     for name in ("asset_strength", "interaction_review"):
         plain = sorted(map(tuple, marts.BUILDERS[name](t, "linear").collect()), key=repr)
         with monkeypatch.context() as m:
-            m.setattr(skew, "SMALL_INPUT_BYTES", 0)
             m.setattr(skew, "SPLIT_ROWS", 5)
             cut = sorted(map(tuple, marts.BUILDERS[name](t, "linear").collect()), key=repr)
         assert plain and cut == plain
