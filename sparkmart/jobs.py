@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.operators import cdc
-from sparkmart.plans import marts
+from sparkmart.plans import marts, refresh
 from sparkmart.sources.keyed_table import KeyedTable, upsert_rows
 from sparkmart.specs import TABLES, TableSpec
 from sparkmart.streaming import ingest
@@ -98,6 +98,42 @@ class Silver(Mapping[str, DataFrame]):
         return len(self.specs)
 
 
+def mart_table(spark: SparkSession, base: str, name: str, variant: str, buckets: int = 64) -> KeyedTable:
+    return KeyedTable(spark, f"{base}/{name}", marts.mart_key(name, variant), buckets)
+
+
+def mart_refresh_job(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    changed: Mapping[str, DataFrame],
+    base: str,
+    batch_id: int,
+    stream: str,
+    variant: str = marts.PRODUCT,
+    buckets: int = 64,
+) -> dict[str, bool]:
+    """Bring every mart that a batch of changes can reach up to date; says which were changed.
+
+    ``tables`` hold the state after the batch, ``changed`` its rows by role (before, after, or both) and
+    ``stream`` names the checkpoint that ``batch_id`` counts in.  A repeated batch changes nothing, and one
+    that failed half way goes on with the marts it had not reached.
+    """
+    return {
+        name: refresh.refresh(
+            name,
+            tables,
+            changed,
+            mart_table(spark, base, name, variant, buckets),
+            batch_id,
+            variant,
+            stream,
+            sink_types=True,
+        )
+        for name in marts.BUILDERS
+        if refresh.feeds(name) & set(changed)
+    }
+
+
 def marts_job(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
@@ -112,8 +148,9 @@ def marts_job(
         # counted while the one pass that writes them runs
         seen = Observation()
         rows = marts.publish(build(tables, variant), name)
-        rows = upsert_rows(rows, "event_time", batch_id=batch_id).observe(seen, F.count(F.lit(1)).alias("rows"))
-        target = KeyedTable(spark, f"{base}/{name}", marts.mart_key(name, variant), buckets)
+        target = mart_table(spark, base, name, variant, buckets)
+        rows = upsert_rows(rows, "event_time", generation=target.generation())
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
         # without a merge (a replayed batch) nothing ran that could be observed
         written[name] = seen.get["rows"] if target.merge(rows, batch_id, writer="marts") else 0
     return written

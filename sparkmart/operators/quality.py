@@ -1,4 +1,9 @@
-"""Table-level checks driven by the declared specs."""
+"""Table-level checks driven by the declared specs.
+
+All references, and all keys, are checked together: each table is read once and gives a row per
+rule, so there is one exchange for the values that refer and one for those referred to.  Values are
+counted before the exchange, so a parent with a third of all references is one row per task.
+"""
 
 from __future__ import annotations
 
@@ -8,56 +13,100 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.operators.keyed import duplicate_keys, orphans
 from sparkmart.specs import TABLES, TableSpec
 
 
-def reference_violations(
-    tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec] = TABLES
-) -> DataFrame:
-    """Rows that refer to a missing parent: (table, column, target, id, missing key)."""
+def _need(df: DataFrame, columns: tuple[str, ...], table: str) -> None:
+    absent = [c for c in columns if c not in df.columns]
+    if absent:
+        raise ValueError(f"table {table} has no column {', '.join(absent)}, which a rule names")
+
+
+def _references(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:
+    """(table, column, target, row id, key) of every reference that is not null."""
     found = []
     for name, child in tables.items():
-        for ref in specs[name].references:
-            if ref.column not in child.columns or ref.target not in tables:
-                continue
-            key = specs[ref.target].key[0]
-            bad = orphans(child, ref.column, tables[ref.target], key)
-            found.append(
-                bad.select(
-                    F.lit(name).alias("table_name"),
-                    F.lit(ref.column).alias("column_name"),
-                    F.lit(ref.target).alias("target"),
-                    F.col(specs[name].key[0]).cast("string").alias("row_id"),
-                    F.col(ref.column).cast("string").alias("missing_key"),
+        refs = [r for r in specs[name].references if r.target in tables]
+        if not refs:
+            continue
+        key = specs[name].key[0]
+        _need(child, (key, *[r.column for r in refs]), name)
+        each = F.array(
+            *[
+                F.struct(
+                    F.lit(r.column).alias("column_name"),
+                    F.lit(r.target).alias("target"),
+                    F.col(r.column).cast("string").alias("missing_key"),
                 )
+                for r in refs
+            ]
+        )
+        found.append(
+            child.select(
+                F.lit(name).alias("table_name"), F.col(key).cast("string").alias("row_id"), F.inline(each)
             )
-    return reduce(DataFrame.unionByName, found)
+        )
+    return reduce(DataFrame.unionByName, found).filter(F.col("missing_key").isNotNull())
 
 
-def reference_violation_counts(
+def _parents(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:
+    """(target, key) of every table that is referred to."""
+    targets = sorted({r.target for name in tables for r in specs[name].references if r.target in tables})
+    keys = [
+        tables[name].select(
+            F.lit(name).alias("target"), F.col(specs[name].key[0]).cast("string").alias("missing_key")
+        )
+        for name in targets
+    ]
+    return reduce(DataFrame.unionByName, keys)
+
+
+def reference_violations(
     tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec] = TABLES
 ) -> DataFrame:
-    violations = reference_violations(tables, specs)
-    return violations.groupBy("table_name", "column_name", "target").agg(
-        F.count(F.lit(1)).alias("violations"), F.countDistinct("missing_key").alias("missing_keys")
-    )
+    """Rows that refer to a missing parent: (table, column, target, id, missing key).
+
+    References to tables that are not given are not checked; an absent column is an error.
+    """
+    rows = _references(tables, specs).join(_parents(tables, specs), ["target", "missing_key"], "left_anti")
+    return rows.select("table_name", "column_name", "target", "row_id", "missing_key")
 
 
-def key_violations(
+def reference_violation_counts(
     tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec] = TABLES
 ) -> DataFrame:
-    """Duplicate primary and unique keys of every table, as (table, key, value, copies)."""
+    rule = ["table_name", "column_name", "target"]
+    used = _references(tables, specs).groupBy(*rule, "missing_key").agg(F.count(F.lit(1)).alias("_rows"))
+    missing = used.join(_parents(tables, specs), ["target", "missing_key"], "left_anti")
+    return missing.groupBy(*rule).agg(
+        F.sum("_rows").alias("violations"), F.count(F.lit(1)).alias("missing_keys")
+    )
+
+
+def _key_values(tables: Mapping[str, DataFrame], specs: Mapping) -> DataFrame:
+    """(table, key columns, values) of every key that has no null in it."""
     found = []
     for name, df in tables.items():
-        for key in (specs[name].key, *specs[name].unique):
-            if all(k in df.columns for k in key):
-                found.append(
-                    duplicate_keys(df, key).select(
-                        F.lit(name).alias("table_name"),
-                        F.lit(",".join(key)).alias("key_columns"),
-                        F.concat_ws(",", *[F.col(k).cast("string") for k in key]).alias("key_value"),
-                        "copies",
-                    )
+        rules = (specs[name].key, *getattr(specs[name], "unique", ()))
+        for rule in rules:
+            _need(df, rule, name)
+        each = F.array(
+            *[
+                F.struct(
+                    F.lit(",".join(rule)).alias("key_columns"),
+                    F.array(*[F.col(k).cast("string") for k in rule]).alias("_values"),
                 )
-    return reduce(DataFrame.unionByName, found)
+                for rule in rules
+            ]
+        )
+        found.append(df.select(F.lit(name).alias("table_name"), F.inline(each)))
+    return reduce(DataFrame.unionByName, found).filter(~F.exists("_values", lambda v: v.isNull()))
+
+
+def key_violations(tables: Mapping[str, DataFrame], specs: Mapping = TABLES) -> DataFrame:
+    """Duplicate primary and unique keys of every table or mart, as (table, key, value, copies)."""
+    counted = _key_values(tables, specs).groupBy("table_name", "key_columns", "_values")
+    copies = counted.agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
+    return copies.select(
+        "table_name", "key_columns", F.array_join("_values", ",").alias("key_value"), "copies"
+    )

@@ -100,6 +100,11 @@ DRIVERS: dict[str, Driver] = {
 }
 
 
+def feeds(name: str) -> set[str]:
+    """Roles whose changes can reach the mart."""
+    return {path.role for path in DRIVERS[name].paths}
+
+
 def touched_keys(
     name: str, tables: Mapping[str, DataFrame], changed: Mapping[str, DataFrame]
 ) -> DataFrame:
@@ -163,17 +168,24 @@ def refresh(
     target: KeyedTable,
     batch_id: int,
     variant: str = marts.PRODUCT,
+    stream: str = "",
+    sink_types: bool = False,
 ) -> bool:
     """Bring the mart up to date with a batch of changes.
 
-    Rows of touched keys are upserted, and rows that those keys no longer have are deleted; a
-    later refresh always replaces an earlier one.  ``changed`` holds the changed rows as they
+    Rows of touched keys are upserted, and rows that those keys no longer have are deleted.  Both carry
+    the next generation of the target, so a later refresh or rebuild always replaces an earlier one, whichever
+    job or checkpoint its batch numbers come from; ``stream`` names the source of ``batch_id``, and a
+    batch that this stream has committed is not applied again.  ``sink_types`` writes measures as ``marts.publish``
+    does, which a target shared with a rebuild needs.  ``changed`` holds the changed rows as they
     were before, after, or both, so that keys a row has left are touched too.
     """
     # read by three branches below
     keys = settle(touched_keys(name, tables, changed), "touched")
-    rows = settle(_build(name, tables, keys, variant), "affected")
-    changes = upsert_rows(rows, "event_time", batch_id=batch_id)
+    rows = _build(name, tables, keys, variant)
+    rows = settle(marts.publish(rows, name) if sink_types else rows, "affected")
+    generation = target.generation()
+    changes = upsert_rows(rows, "event_time", generation=generation)
     if target.versions():
         key = list(marts.mart_key(name, variant))
         held = target.read().select(*key)
@@ -181,8 +193,8 @@ def refresh(
         gone = gone.join(rows.select(*key), key, "left_anti").select(
             *key,
             F.lit("d").alias("_op"),
-            F.lit(batch_id).cast("long").alias("_ts"),
+            F.lit(generation).cast("long").alias("_ts"),
             F.lit(0).cast("long").alias("_seq"),
         )
         changes = changes.unionByName(gone, allowMissingColumns=True)
-    return target.merge(changes, batch_id, writer=f"refresh-{name}")
+    return target.merge(changes, batch_id, writer=f"refresh-{name}-{stream}")

@@ -53,6 +53,10 @@ class KeyedTable:
         names = storage.list_names(self.spark, f"{self.path}/_manifest")
         return sorted(int(n.split(".")[0]) for n in names if n.endswith(".json"))
 
+    def generation(self) -> int:
+        """A number above that of every commit so far, for results that replace whatever came before."""
+        return (self.versions() or [0])[-1] + 1
+
     def manifest(self, version: int | None = None) -> dict:
         versions = self.versions()
         if not versions:
@@ -205,18 +209,18 @@ def _merged_schema(old: dict | None, new: T.StructType) -> T.StructType:
 
 
 def upsert_rows(
-    df: DataFrame, time: str, ties: Sequence[str] = (), batch_id: int | None = None
+    df: DataFrame, time: str, ties: Sequence[str] = (), generation: int | None = None
 ) -> DataFrame:
     """Change rows that upsert a plain frame.
 
     They are ordered by the time column, so an older row never replaces a newer one.  With
-    ``batch_id`` a later batch always replaces an earlier one, as a recomputed result should,
-    and the time column only decides within a batch.
+    ``generation`` (``KeyedTable.generation`` of the target) they replace whatever was committed before,
+    as a recomputed result should, and the time column only decides among them.
     """
     at = F.coalesce(micros(df, time), F.lit(0).cast("long"))
     tie = F.xxhash64(*ties) if ties else F.lit(0).cast("long")
-    if batch_id is None:
+    if generation is None:
         ordering = {"_ts": at, "_seq": tie}
     else:
-        ordering = {"_ts": F.lit(batch_id).cast("long"), "_seq": at}
+        ordering = {"_ts": F.lit(generation).cast("long"), "_seq": at}
     return df.withColumns({"_op": F.lit("u"), **ordering})

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparkmart.functions.timeval import month_key
 from sparkmart.sources import storage
-from sparkmart.sources.scan import scan_or_empty
 
 
 def append(df: DataFrame, path: str, max_records_per_file: int = 0, fmt: str = "parquet") -> None:
@@ -62,56 +59,33 @@ def drop_expired_months(spark: SparkSession, path: str, first_kept: str) -> list
     return expired
 
 
-def table_of(path: Column, depth_after: str) -> Column:
-    """The path segment after ``/<depth_after>/``."""
-    return F.split_part(F.split_part(path, F.lit(f"/{depth_after}/"), F.lit(2)), F.lit("/"), F.lit(1))
+def bulk_import(spark: SparkSession, root: str, target: str, log: str, max_files: int | None = None) -> list[str]:
+    """Load every new file under ``root/<table>/`` into ``target/<table>``; returns the tables that got rows.
 
-
-def new_files(spark: SparkSession, root: str, loaded: DataFrame | None = None) -> DataFrame:
-    """(table_name, path) of parquet files under ``root/<table>/…`` not listed in ``loaded``."""
-    marker = root.rstrip("/").split("/")[-1]
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(root)
-        .select("path")
-    )
-    files = files.select(table_of(F.col("path"), marker).alias("table_name"), "path")
-    return files if loaded is None else files.join(loaded.select("path"), "path", "left_anti")
-
-
-_IMPORT_LOG = (
-    T.StructType().add("import_id", "string").add("table_name", "string").add("path", "string")
-)
-
-
-def bulk_import(spark: SparkSession, root: str, target: str, log: str) -> list[str]:
-    """Load every new file under ``root/<table>/`` into ``target/<table>``; returns the tables.
-
-    The files of an import are logged first and then written to a folder of that import, so a
-    second run loads nothing twice, and one that follows a failed run first completes it.
+    One file stream per table folder, run until nothing new is left (``max_files`` at a time if given). Its checkpoint
+    under ``log`` knows the loaded files and the sink's log the committed ones, so nothing is loaded twice, and a
+    run that follows a failed one completes it. Read the target through Spark, which keeps to the committed files.
     """
-    known = scan_or_empty(spark, log, _IMPORT_LOG)
-    fresh = new_files(spark, root, known)
-    # one entry per table; path lists are file metadata, as in any file source
-    listing = fresh.groupBy("table_name").agg(F.collect_list("path").alias("paths")).collect()
-    if listing:
-        import_id = uuid.uuid4().hex
-        logged = [(import_id, e["table_name"], p) for e in listing for p in e["paths"]]
-        spark.createDataFrame(logged, _IMPORT_LOG).coalesce(1).write.mode("append").parquet(log)
-    if not storage.exists(spark, log):
-        return []
-    imports = scan_or_empty(spark, log, _IMPORT_LOG).select("import_id", "table_name").distinct()
-    loaded = []
-    for entry in imports.collect():
-        folder = f"{target}/{entry['table_name']}/import={entry['import_id']}"
-        if storage.exists(spark, f"{folder}/_SUCCESS"):
-            continue
-        mine = (F.col("import_id") == entry["import_id"]) & (
-            F.col("table_name") == entry["table_name"]
-        )
-        paths = [r["path"] for r in scan_or_empty(spark, log, _IMPORT_LOG).filter(mine).collect()]
-        spark.read.parquet(*paths).write.mode("overwrite").parquet(folder)
-        loaded.append(entry["table_name"])
-    return sorted(loaded)
+    names = [n for n in storage.list_names(spark, root) if not n.startswith(("_", "."))]
+    queries = {}
+    try:
+        for name in names:
+            source = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/{name}")
+            files = spark.readStream.schema(source.schema).option("recursiveFileLookup", "true")
+            # files may be older than those loaded before them
+            files = files.option("pathGlobFilter", "*.parquet").option("maxFileAge", "36500d")
+            if max_files is not None:
+                files = files.option("maxFilesPerTrigger", max_files)
+            queries[name] = (
+                files.parquet(f"{root}/{name}")
+                .writeStream.format("parquet")
+                .option("checkpointLocation", f"{log}/{name}")
+                .trigger(availableNow=True)
+                .start(f"{target}/{name}")
+            )
+        for q in queries.values():
+            q.awaitTermination()  # raises what failed
+    finally:
+        for q in queries.values():
+            q.stop()
+    return sorted(n for n, q in queries.items() if any(p["numInputRows"] for p in q.recentProgress))

@@ -33,7 +33,7 @@ ROLES: dict[str, str] = {
     "operator_user": """SELECT s_suppkey AS id, s_name AS username,
         CASE s_suppkey % 3 WHEN 0 THEN 'commander' WHEN 1 THEN 'analyst' ELSE 'operator' END AS role
         FROM {supplier}""",
-    "subject": """SELECT p_partkey AS id, p_name AS name,
+    "subject": """SELECT p_partkey AS id, p_name AS name, p_name AS designator,
         CASE p_size % 4 WHEN 0 THEN 'friend' WHEN 1 THEN 'foe' WHEN 2 THEN 'neutral'
             ELSE 'unknown' END AS iff_status FROM {part}""",
     "asset_status": """SELECT event_id AS id, user_id AS asset_id, event_id % 25 AS region_id,
@@ -47,9 +47,10 @@ ROLES: dict[str, str] = {
         CAST({K} AS DOUBLE) / 100 AS intensity, value AS wind_speed_kmh,
         CAST({K} AS DOUBLE) / 5 AS precipitation_mm, ts AS event_time
         FROM {events} WHERE event_type = 'error'""",
-    "supply": """SELECT event_id AS id, user_id AS asset_id, CAST({K} AS DOUBLE) AS supply_level,
+    "supply": """SELECT event_id AS id, user_id AS asset_id, event_id % 27 AS region_id,
+        CAST({K} AS DOUBLE) AS supply_level,
         ts AS event_time FROM {events} WHERE event_type = 'purchase'""",
-    "interference": """SELECT event_id AS id, user_id % 10 AS sensor_id,
+    "interference": """SELECT event_id AS id, event_id % 200 AS source_id, user_id % 10 AS sensor_id,
         CASE {K} % 4 WHEN 0 THEN 'jammed' WHEN 1 THEN 'spoofed' WHEN 2 THEN 'disabled'
             ELSE 'ddos' END AS effect, ts AS event_time
         FROM {events} WHERE event_type = 'signup'""",
@@ -69,7 +70,7 @@ ROLES: dict[str, str] = {
             WHEN '3-MEDIUM' THEN 'medium' ELSE 'low' END AS threat_level, o_orderdate AS created_at
         FROM {orders}""",
     "instruction": """SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS incident_id,
-        l_suppkey AS user_id,
+        l_partkey AS asset_id, l_suppkey AS user_id,
         CASE l_returnflag WHEN 'A' THEN 'hold' WHEN 'R' THEN 'retreat' ELSE 'recon' END AS action,
         l_shipdate AS event_time FROM {lineitem}""",
     "policy_update": """SELECT event_id AS id,

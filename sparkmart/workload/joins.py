@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,9 +11,10 @@ from sparkmart.operators import quality
 from sparkmart.operators.asof import asof_join, count_preceding
 from sparkmart.operators.keyed import latest_per_key, latest_snapshot
 from sparkmart.operators.skew import join_many_to_one
+from sparkmart.plans import marts
 from sparkmart.specs import TABLES
 from sparkmart.workload.base import Tables, query
-from sparkmart.workload.mart_sql import asof_sql, latest_sql
+from sparkmart.workload.mart_sql import MART_SQL, asof_sql, latest_sql
 
 
 def _renamed(df: DataFrame, key: str, *columns: str) -> DataFrame:
@@ -232,13 +235,9 @@ def _range_keep_last(t: Tables) -> DataFrame:
     ).select("asset_id", "region_id", "event_time", "type")
 
 
-_REFS = [
-    (name, ref.column, ref.target)
-    for name, spec in TABLES.items()
-    for ref in spec.references
-    if (name, ref.column)
-    not in (("supply", "region_id"), ("interference", "source_id"), ("instruction", "asset_id"))
-]
+_REFS = [(name, ref.column, ref.target) for name, spec in TABLES.items() for ref in spec.references]
+_KEYS = [(name, ",".join(key)) for name, spec in TABLES.items() for key in (spec.key, *spec.unique)]
+_MART_KEYS = [(name, variant, marts.mart_key(name, variant)) for name, variant in MART_SQL]
 
 
 @query(
@@ -257,8 +256,32 @@ def _orphans(t: Tables) -> DataFrame:
 
 @query(
     "duplicate_key_check",
-    """SELECT 'instruction' AS table_name, 'id' AS key_columns, CAST(id AS VARCHAR) AS key_value,
-            COUNT(*) AS copies FROM r_instruction GROUP BY id HAVING COUNT(*) > 1""",
+    " UNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, '{key}' AS key_columns, CAST({key} AS VARCHAR) AS key_value,
+            COUNT(*) AS copies FROM r_{table} WHERE {key} IS NOT NULL GROUP BY {key} HAVING COUNT(*) > 1"""
+        for table, key in _KEYS
+    ),
 )
 def _duplicates(t: Tables) -> DataFrame:
     return quality.key_violations(t)
+
+
+@query(
+    "mart_key_check",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS mart, '{variant}' AS variant, COUNT(*) AS rows,
+            COUNT(DISTINCT ({", ".join(key)})) AS keys FROM ({MART_SQL[name, variant]})"""
+        for name, variant, key in _MART_KEYS
+    ),
+)
+def _mart_keys(t: Tables) -> DataFrame:
+    """Rows and distinct keys of every mart in both variants; they are equal where the key is unique."""
+    counted = [
+        marts.BUILDERS[name](t, variant)
+        .groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .agg(F.sum("_copies").alias("rows"), F.count(F.lit(1)).alias("keys"))
+        .select(F.lit(name).alias("mart"), F.lit(variant).alias("variant"), "rows", "keys")
+        for name, variant, key in _MART_KEYS
+    ]
+    return reduce(DataFrame.unionByName, counted)

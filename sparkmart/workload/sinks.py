@@ -201,26 +201,30 @@ def _typed(t: Tables) -> DataFrame:
     return clean.withColumn("reasons", F.lit("")).unionByName(aside, allowMissingColumns=True)
 
 
+_BULK = {
+    "customer": "c_custkey AS id, c_name AS label, c_acctbal AS amount",
+    "orders": "o_orderkey AS id, o_orderstatus AS label, o_totalprice AS amount",
+    "part": "p_partkey AS id, p_name AS label, p_retailprice AS amount",
+}
+
+
 @query(
     "bulk_import_by_path",
-    """SELECT 'customer' AS table_name, COUNT(*) AS rows FROM customer
-        UNION ALL SELECT 'orders', COUNT(*) FROM orders
-        UNION ALL SELECT 'part', COUNT(*) FROM part""",
+    " UNION ALL ".join(f"SELECT '{name}' AS table_name, {columns} FROM {name}" for name, columns in _BULK.items()),
 )
 def _bulk(t: Tables) -> DataFrame:
     """Files are routed by their folder; the second run finds nothing new."""
     base = scratch_dir(t.spark, "bulk")
     root, target, log = f"{base}/marts", f"{base}/loaded", f"{base}/log"
-    names = ("customer", "orders", "part")
-    for name in names:
+    for name in _BULK:
         t.raw(name).write.parquet(f"{root}/{name}/run=1")
     lake.bulk_import(t.spark, root, target, log)
     lake.bulk_import(t.spark, root, target, log)
     parts = [
-        t.spark.read.parquet(f"{target}/{name}")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit(name).alias("table_name"), "rows")
-        for name in names
+        t.spark.read.parquet(f"{target}/{name}").selectExpr(
+            f"'{name}' AS table_name", *[c.strip() for c in columns.split(",")]
+        )
+        for name, columns in _BULK.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -213,6 +213,32 @@ def test_refresh_withdraws_rows_that_are_gone(spark, tables):
     assert {(r.asset_id, r.equipment_id) for r in target.read().collect()} == {(1, 1), (2, 3)}
 
 
+def test_a_rebuild_or_a_new_checkpoint_replaces_an_earlier_refresh(spark, tables):
+    from sparkmart import jobs
+
+    base = scratch_dir(spark, "gold")
+
+    def levels():
+        target = jobs.mart_table(spark, base, "supply_readiness", "product", 2)
+        return {r.asset_id: float(r.supply_level) for r in target.read().collect()}
+
+    def given(level):
+        return {**tables, "supply": tables["supply"].withColumn("supply_level", F.lit(level))}
+
+    def refreshed(level, batch_id, stream):
+        t = given(level)
+        done = jobs.mart_refresh_job(spark, t, {"supply": t["supply"]}, base, batch_id, stream, buckets=2)
+        assert set(done) == {"supply_readiness"}
+        return done["supply_readiness"]
+
+    assert refreshed(1.0, 57, "a") and levels() == {1: 1.0, 2: 1.0}
+    jobs.marts_job(spark, given(2.0), base, 2, buckets=2)
+    assert levels() == {1: 2.0, 2: 2.0}
+    assert refreshed(3.0, 0, "b") and levels() == {1: 3.0, 2: 3.0}
+    # a repeated batch changes nothing
+    assert not refreshed(4.0, 57, "a") and levels() == {1: 3.0, 2: 3.0}
+
+
 def test_large_inputs_give_the_same_marts(spark, monkeypatch):
     """The hot-key path of every as-of step, forced on the given tables."""
     from sparkmart.operators import skew
