@@ -108,6 +108,15 @@ def _jammed(column: str = "interference_effect") -> Column:
     return rules.indicator(F.col(column) == JAM_EFFECT)
 
 
+def _since(facts: DataFrame, since: Column | None) -> DataFrame:
+    """Only the facts after ``since``, taken before anything is reduced or joined.
+
+    A mart's rows after a time are those of the facts after it: its time is the fact's own, and a key whose newest row
+    is after a time has the same newest row among those after it.
+    """
+    return facts if since is None else facts.filter(F.col("event_time") > since)
+
+
 def _finish(df: DataFrame, spec: MartSpec) -> DataFrame:
     return require_keys(fill_defaults(df, spec.defaults), spec.required)
 
@@ -117,11 +126,13 @@ def _check(variant: str) -> None:
         raise ValueError(f"unknown variant {variant!r}: use 'product' or 'linear'")
 
 
-def asset_strength(t: Tables, variant: str = PRODUCT, clamp: bool = False) -> DataFrame:
+def asset_strength(
+    t: Tables, variant: str = PRODUCT, clamp: bool = False, since: Column | None = None
+) -> DataFrame:
     """Terrain- and condition-adjusted strength of every (asset, equipment)."""
     _check(variant)
     grain = ["asset_id"] if variant == PRODUCT else ["asset_id", "region_id"]
-    status = _newest(t["asset_status"], grain, ["region_id", "health_percent", "event_time"])
+    status = _newest(_since(t["asset_status"], since), grain, ["region_id", "health_percent", "event_time"])
     measures = ["type", "intensity", "wind_speed_kmh", "precipitation_mm"]
     known = t["asset"].select(F.col("id").alias("asset_id"))
     equipment = t["equipment"].select(
@@ -162,12 +173,14 @@ def asset_strength(t: Tables, variant: str = PRODUCT, clamp: bool = False) -> Da
     )
 
 
-def subject_priority(t: Tables, variant: str = PRODUCT, clamp: bool = False) -> DataFrame:
+def subject_priority(
+    t: Tables, variant: str = PRODUCT, clamp: bool = False, since: Column | None = None
+) -> DataFrame:
     """Class, distance and response time of every observed subject."""
     _check(variant)
     grain = ["subject_id"] if variant == PRODUCT else ["subject_id", "region_id"]
     seen = _newest(
-        t["observation"],
+        _since(t["observation"], since),
         grain,
         ["sensor_id", "region_id", "lat", "lon", "speed_kmh", "confidence", "event_time"],
     )
@@ -328,6 +341,7 @@ def interaction_review(
     clamp: bool = False,
     interference: DataFrame | None = None,
     interference_key: str = "asset_id",
+    since: Column | None = None,
 ) -> DataFrame:
     """Interactions with the region, condition and interference that held at their time.
 
@@ -335,7 +349,7 @@ def interaction_review(
     ``interference_key`` is matched with the interaction's asset.
     """
     _check(variant)
-    facts = t["interaction"].select(
+    facts = _since(t["interaction"], since).select(
         "id", "asset_id", "subject_id", "equipment_id", "result", "event_time"
     )
     other = interference_by_asset(t) if interference is None else interference

@@ -70,7 +70,7 @@ ROLES: dict[str, str] = {
             WHEN '3-MEDIUM' THEN 'medium' ELSE 'low' END AS threat_level, o_orderdate AS created_at
         FROM {orders}""",
     "instruction": """SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS incident_id,
-        l_partkey AS asset_id, l_suppkey AS user_id,
+        l_suppkey AS user_id,
         CASE l_returnflag WHEN 'A' THEN 'hold' WHEN 'R' THEN 'retreat' ELSE 'recon' END AS action,
         l_shipdate AS event_time FROM {lineitem}""",
     "policy_update": """SELECT event_id AS id,
@@ -79,6 +79,13 @@ ROLES: dict[str, str] = {
 }
 
 
+# Instructions with the asset they name, for the checks of references and keys.
+CHECKED = {
+    "instruction": """SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS incident_id,
+        l_partkey AS asset_id, l_suppkey AS user_id FROM {lineitem}"""
+}
+
+
 class Tables(Mapping[str, DataFrame]):
     """Roles by name (``t["asset"]``) and driver tables (``t.raw("orders")``) of one data folder."""
 
@@ -95,11 +102,15 @@ class Tables(Mapping[str, DataFrame]):
 
     def __getitem__(self, role: str) -> DataFrame:
         if role not in self._roles:
-            self._roles[role] = self._define(role)
+            self._roles[role] = self._define(ROLES[role])
         return self._roles[role]
 
-    def _define(self, role: str) -> DataFrame:
-        text = ROLES[role].replace("{K}", _K["spark"])
+    def checked(self) -> dict[str, DataFrame]:
+        """All roles, with every column that a reference or a key names."""
+        return {**{role: self[role] for role in ROLES}, **{role: self._define(CHECKED[role]) for role in CHECKED}}
+
+    def _define(self, text: str) -> DataFrame:
+        text = text.replace("{K}", _K["spark"])
         used = re.findall(r"\{(\w+)\}", text)
         return self.spark.sql(text, **{name: self.raw(name) for name in used})
 

@@ -13,7 +13,7 @@ from sparkmart.operators.keyed import latest_per_key, latest_snapshot
 from sparkmart.operators.skew import join_many_to_one
 from sparkmart.plans import marts
 from sparkmart.specs import TABLES
-from sparkmart.workload.base import Tables, query
+from sparkmart.workload.base import CHECKED, Tables, query
 from sparkmart.workload.mart_sql import MART_SQL, asof_sql, latest_sql
 
 
@@ -236,6 +236,7 @@ def _range_keep_last(t: Tables) -> DataFrame:
 
 
 _REFS = [(name, ref.column, ref.target) for name, spec in TABLES.items() for ref in spec.references]
+_CHECKED_SQL = {role: f"({text.replace('{', '').replace('}', '')})" for role, text in CHECKED.items()}
 _KEYS = [(name, ",".join(key)) for name, spec in TABLES.items() for key in (spec.key, *spec.unique)]
 _MART_KEYS = [(name, variant, marts.mart_key(name, variant)) for name, variant in MART_SQL]
 
@@ -245,13 +246,13 @@ _MART_KEYS = [(name, variant, marts.mart_key(name, variant)) for name, variant i
     " UNION ALL ".join(
         f"""SELECT '{child}' AS table_name, '{column}' AS column_name, '{target}' AS target,
             COUNT(*) AS violations, COUNT(DISTINCT c.{column}) AS missing_keys
-            FROM r_{child} c ANTI JOIN r_{target} p ON p.id = c.{column}
+            FROM {_CHECKED_SQL.get(child, f'r_{child}')} c ANTI JOIN r_{target} p ON p.id = c.{column}
             WHERE c.{column} IS NOT NULL HAVING COUNT(*) > 0"""
         for child, column, target in _REFS
     ),
 )
 def _orphans(t: Tables) -> DataFrame:
-    return quality.reference_violation_counts(t)
+    return quality.reference_violation_counts(t.checked())
 
 
 @query(
@@ -263,7 +264,7 @@ def _orphans(t: Tables) -> DataFrame:
     ),
 )
 def _duplicates(t: Tables) -> DataFrame:
-    return quality.key_violations(t)
+    return quality.key_violations(t.checked())
 
 
 @query(
