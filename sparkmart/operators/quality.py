@@ -1,7 +1,7 @@
 """Table-level checks driven by the declared specs.
 
-All references, and all keys, are checked together: each table is read once and gives a row per
-rule, so there is one exchange for the values that refer and one for those referred to.  Values are
+Rows that refer to nothing, and all keys, are found together: each table is read once and gives a row
+per rule, so there is one exchange.  Counts of references take one pass per rule over typed values, which are
 counted before the exchange, so a parent with a third of all references is one row per task.
 """
 
@@ -75,10 +75,19 @@ def reference_violations(
 def reference_violation_counts(
     tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec] = TABLES
 ) -> DataFrame:
-    rule = ["table_name", "column_name", "target"]
-    used = _references(tables, specs).groupBy(*rule, "missing_key").agg(F.count(F.lit(1)).alias("_rows"))
-    missing = used.join(_parents(tables, specs), ["target", "missing_key"], "left_anti")
-    return missing.groupBy(*rule).agg(
+    """Violations and distinct missing keys per reference that has any; counted by key before they are joined."""
+    found = []
+    for name, child in tables.items():
+        for ref in specs[name].references:
+            if ref.target not in tables:
+                continue
+            _need(child, (ref.column,), name)
+            used = child.groupBy(F.col(ref.column).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+            known = tables[ref.target].select(F.col(specs[ref.target].key[0]).alias("_key"))
+            missing = used.filter(F.col("_key").isNotNull()).join(known, "_key", "left_anti")
+            rule = {"table_name": name, "column_name": ref.column, "target": ref.target}
+            found.append(missing.select(*[F.lit(v).alias(k) for k, v in rule.items()], "_rows"))
+    return reduce(DataFrame.unionByName, found).groupBy("table_name", "column_name", "target").agg(
         F.sum("_rows").alias("violations"), F.count(F.lit(1)).alias("missing_keys")
     )
 
