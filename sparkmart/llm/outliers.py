@@ -16,14 +16,15 @@ MAX_REPEAT_PCT = 50
 GRID = 1024  # vectors are whole numbers of 1/GRID, so that sums do not depend on their order
 FLOORS = (0.06, 0.5, 0.5, 0.15)  # least standard deviation of each coordinate
 DIMS = len(FLOORS)
-SUPPORT = 0.75  # share of a group's rows that the estimate rests on
-CHI2_MEDIAN = 3.356694  # fixed value: median of chi-square with four degrees of freedom
+HALF_FACTOR = 2.109063  # fixed value: makes the covariance of the nearest half consistent, 0.5 / P(chi2_6 <= median of chi2_4)
+REWEIGHT = 11.143287  # fixed value: quantile of chi-square with four degrees of freedom at 0.975
+REWEIGHT_FACTOR = 1.064466  # fixed value: the same factor for the rows up to there, 0.975 / P(chi2_6 <= REWEIGHT)
 CUTOFF = 33.38  # fixed value: its quantile at 1 - 1e-6; a clean row is rejected once in a million
 MIN_GROUP = 60  # smaller groups of one language are pooled, then all that is left
 BINS_PER_E = 32  # distances are ranked in bins of 3 percent
 MAX_BROADCAST_GROUPS = 10_000  # beyond that, estimates are joined by a shuffle
 STARTS = ("median", "all", "half")
-FIRST_STEPS, LAST_STEPS = 2, 3
+FIRST_STEPS, LAST_STEPS, REWEIGHT_STEPS = 2, 3, 2
 
 PAIRS = [(i, j) for i in range(DIMS) for j in range(i + 1)]
 
@@ -124,13 +125,13 @@ def _bounded(rows: DataFrame, estimates: DataFrame, keys: list[str]) -> DataFram
     return rows.join(estimates, keys)
 
 
-def _factored(moments: DataFrame, keep: list[str]) -> DataFrame:
-    """Mean and Cholesky factor of the covariance (with the floors added) from sums ``n, s_i, s_ij``."""
+def _factored(moments: DataFrame, keep: list[str], factor: float = 1.0) -> DataFrame:
+    """Mean and Cholesky factor of ``factor`` times the covariance (with the floors added) from sums ``n, s_i, s_ij``."""
     n = F.col("n").cast("double")
     out = moments.withColumns({f"m_{i}": F.col(f"s_{i}").cast("double") / n for i in range(DIMS)})
     for i in range(DIMS):
         for j in range(i + 1):
-            value = F.col(f"s_{i}_{j}").cast("double") / n - F.col(f"m_{i}") * F.col(f"m_{j}")
+            value = factor * (F.col(f"s_{i}_{j}").cast("double") / n - F.col(f"m_{i}") * F.col(f"m_{j}"))
             for k in range(j):
                 value = value - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
             if i == j:
@@ -190,7 +191,9 @@ def _medians(rows: DataFrame) -> DataFrame:
 
 
 def _concentrated(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """One C-step: the estimate from the SUPPORT share of rows nearest to the estimate before.
+    """One C-step: the estimate from the (n + p + 1) / 2 rows nearest to the estimate before.
+
+    No larger support withstands junk in nearly half of a group's rows.
 
     Sums are kept per bin of the distance, so one pass over the rows and one small exchange (groups times
     bins) give the new subset and its moments at once.
@@ -204,18 +207,18 @@ def _concentrated(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     names = ["n", *[f"s_{i}" for i in range(DIMS)], *[f"s_{i}_{j}" for i, j in PAIRS]]
     summed = bins.select(
         "_group", "start", "bin", F.sum("n").over(by).alias("all"), *[F.sum(c).over(upto).alias(c) for c in names]
-    ).where(F.col("n") >= F.col("all") * SUPPORT)
+    ).where(F.col("n") >= F.least("all", F.floor((F.col("all") + DIMS + 1) / 2)))
     first = F.row_number().over(by.orderBy("bin"))
     chosen = summed.withColumn("first", first).where("first = 1")
-    return settle(_factored(chosen, ["_group", "start"]), "mcd-step")
+    return settle(_factored(chosen, ["_group", "start"], HALF_FACTOR), "mcd-step")
 
 
 def fit_outliers(rows: DataFrame) -> DataFrame:
     """Minimum-covariance-determinant estimate per group, from rows with ``_group`` and ``v``.
 
     Three starts that do not depend on chance (medians, all rows, a half chosen by hash of the vector) take
-    two C-steps each; the one with the smallest determinant goes on. ``scale`` makes distances
-    consistent at the median; it only widens, as the floors would otherwise be undone.
+    two C-steps each; the one with the smallest determinant goes on. The rows within REWEIGHT of it
+    give the final estimate (twice), which uses more of the clean rows than half.
     """
     starts = rows.select("_group", "v").withColumn(
         "start", F.explode(F.when(F.xxhash64("v") % 2 == 0, F.array(F.lit("all"), F.lit("half"))).otherwise(F.array(F.lit("all"))))
@@ -228,17 +231,12 @@ def fit_outliers(rows: DataFrame) -> DataFrame:
     found = found.withColumn("best", best).where("best = 1").drop("best")
     for _ in range(LAST_STEPS):
         found = _concentrated(rows, found)
-    bins = (
-        _bounded(rows, found, ["_group"])
-        .groupBy("_group", F.ceil(F.log(_distance(F.col("v")) + 1e-3) * BINS_PER_E).alias("bin"))
-        .count()
-    )
-    by = Window.partitionBy("_group")
-    upto = by.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = bins.select("_group", "bin", F.sum("count").over(upto).alias("upto"), F.sum("count").over(by).alias("all"))
-    middle = ranked.where(F.col("upto") * 2 >= F.col("all")).groupBy("_group").agg(F.min("bin").alias("bin"))
-    scale = F.greatest(F.lit(1.0), F.exp(F.col("bin") / BINS_PER_E) / CHI2_MEDIAN)
-    return settle(found.drop("start", "log_det").join(middle.select("_group", scale.alias("scale")), "_group"), "mcd")
+    found = found.drop("start", "log_det")
+    for _ in range(REWEIGHT_STEPS):
+        near = _bounded(rows, found, ["_group"]).where(_distance(F.col("v")) <= REWEIGHT)
+        moments = near.groupBy("_group").agg(*_sums(F.col("v")))
+        found = settle(_factored(moments, ["_group"], REWEIGHT_FACTOR).drop("log_det"), "mcd")
+    return found
 
 
 def _narrow(docs: DataFrame, *more: str) -> DataFrame:
@@ -262,7 +260,7 @@ def _verdicts(stats: DataFrame, estimates: DataFrame) -> DataFrame:
     keys = ["_no_lang", "_lang", "_no_source", "_source"]
     if estimates.count() <= MAX_BROADCAST_GROUPS:
         estimates = F.broadcast(estimates)
-    far = _distance(vector(F.col("_s"))) > CUTOFF * F.col("scale")
+    far = _distance(vector(F.col("_s"))) > CUTOFF
     joined = stats.join(estimates, keys, "left")
     return joined.withColumn("_kept", ~base_failed(F.col("_s")) & ~F.coalesce(far, F.lit(False)))
 
