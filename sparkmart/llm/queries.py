@@ -10,6 +10,7 @@ from sparkmart.llm.host_reputation import judge_urls
 from sparkmart.llm.lm_score import lm_scores
 from sparkmart.llm.mixing import mix_plan
 from sparkmart.llm.outliers import quality_verdicts
+from sparkmart.llm.pieces import piece_digests
 from sparkmart.llm.quotes import reply_ordered
 from sparkmart.llm.registry import llm_query
 from sparkmart.llm.repeats import repeat_digests
@@ -159,3 +160,10 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
     return lm_scores(table(spark, sf_dir, "documents"), held)
+
+
+@llm_query("op13_piece_agenda")
+def _(spark, sf_dir):
+    import public_tokenizers
+
+    return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
