@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 from heapq import heapify, heappop, heappush
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,7 +17,7 @@ from sparkmart.llm.common import shared_value, texts_of
 MARK = "▁"  # fixed value: what stands for a blank in a piece
 MAX_MODEL = 64 << 20  # bytes of a model that is sent to the tasks
 GROUP = 1 << 20  # bytes of text that are held as ids at a time (one text at least)
-HELD_CHUNKS = 1 << 18  # chunks whose ids a task remembers
+HELD_CHUNKS = 1 << 19  # chunks whose ids a task remembers
 HELD_LENGTH = 48  # characters of a chunk that is remembered
 
 
@@ -53,15 +55,24 @@ class PieceCoder:
         self.unknown_text = lib.decode([self.unknown])
         first = lib.encode("a", out_type=str)
         self.prefix = " " if first and first[0].startswith(MARK) else ""
+        self.cut = re.compile(self._chunk_pattern())
+        self.held: dict[str, tuple[int, str, str]] = {}
+
+    def _chunk_pattern(self) -> str:
+        """What parts texts into chunks that no merge can leave: every merge makes a piece of the vocabulary, so
+        two characters that are neighbours in no piece are never merged across.
+        """
         merging = [p for p in self.ids if len(p) > 1]
         if any(MARK in p.lstrip(MARK) for p in merging):
-            self.cut = re.compile(r"[\s\S]+")
-        else:
-            # white space that is in no longer piece never merges, so it parts chunks as well
-            alone = "".join(c for c in "\n\t\r" if not any(c in p for p in merging))
-            part = f"[^ {alone}]+"
-            self.cut = re.compile(f" *{part}| +" + (f"|[{alone}]" if alone else ""))
-        self.held: dict[str, tuple[int, str, str]] = {}
+            return r"[\s\S]+"
+        alone = "".join(c for c in "\n\t\r" if not any(c in p for p in merging))
+        beside = {pair for p in merging for pair in zip(p, p[1:])}
+        worded = {c for pair in beside for c in pair if any(x.isalnum() for x in pair)}
+        signs = re.escape("".join(c for c in string.punctuation if c not in worded and c != "_"))
+        # words, then signs that stand beside no letter or digit in any piece, unless what follows may join them
+        runs = [r"[^\W_]++"] + ([f"[{signs}]++"] if signs else [])
+        unjoined = "|".join(f"{run}(?!_|[^\\w {alone}{signs}])" for run in runs)
+        return f" *+(?:{unjoined}|[^ {alone}]+)| +" + (f"|[{alone}]" if alone else "")
 
     def merges(self, text: str) -> list[str]:
         """Pieces of a chunk: the pair with the best score merges first, the leftmost among equals."""
@@ -69,11 +80,8 @@ class PieceCoder:
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         parts: dict[str, tuple[str, str]] = {}
-        agenda = []
-        for i in range(n - 1):
-            known = cost.get(symbols[i] + symbols[i + 1])
-            if known is not None:
-                agenda.append((known, i, i + 1, 2))
+        pairs = map(cost.get, map(add, symbols, symbols[1:]))
+        agenda = [(known, i, i + 1, 2) for i, known in enumerate(pairs) if known is not None]
         heapify(agenda)
         while agenda:
             _, left, right, size = heappop(agenda)
@@ -102,8 +110,12 @@ class PieceCoder:
         return found
 
     def chunk_ids(self, chunk: str) -> list[int]:
-        out: list[int] = []
-        for piece in self.merges(chunk.replace(" ", MARK)):
+        found = self.merges(chunk.replace(" ", MARK))
+        out = [self.ids.get(piece) for piece in found]
+        if None not in out:
+            return out
+        out = []
+        for piece in found:
             i = self.ids.get(piece)
             if i is not None:
                 out.append(i)
@@ -119,12 +131,16 @@ class PieceCoder:
     def encode(self, text: str) -> list[int]:
         return [i for chunk in self.chunks(text) for i in self.chunk_ids(chunk)]
 
-    def decode(self, ids: list[int]) -> str:
-        """Characters of the pieces; runs of bytes as UTF-8; the blank put before a text goes again."""
+    def plain(self, ids: list[int]) -> str:
+        """Characters of the pieces; runs of bytes as UTF-8."""
+        parts = [self.texts[i] for i in ids]
+        try:
+            return "".join(parts)
+        except TypeError:  # bytes, or pieces without characters
+            pass
         out: list[str] = []
         run = bytearray()
-        for i in ids:
-            held = self.texts[i]
+        for i, held in zip(ids, parts):
             if isinstance(held, int):
                 run.append(held)
                 continue
@@ -132,36 +148,31 @@ class PieceCoder:
                 out.append(run.decode("utf-8", "replace"))
                 run.clear()
             out.append(held if held is not None else self.unknown_text if i == self.unknown else "")
-        if run:
-            out.append(run.decode("utf-8", "replace"))
-        text = "".join(out)
+        return "".join(out) + run.decode("utf-8", "replace")
+
+    def decode(self, ids: list[int]) -> str:
+        """The text of the ids, without the blank that encoding puts before a text."""
+        text = self.plain(ids)
         return text[1:] if self.prefix and text.startswith(" ") else text
 
     def _of_chunk(self, chunk: str) -> tuple[int, str, str]:
         ids = self.chunk_ids(chunk)
-        # a blank more in front: the one that decoding takes away
-        found = len(ids), ",".join(map(str, ids)), self._plain(ids)
+        found = len(ids), ",".join(map(str, ids)), self.plain(ids)
         if len(chunk) <= HELD_LENGTH:
             if len(self.held) >= HELD_CHUNKS:
                 self.held.clear()
             self.held[chunk] = found
         return found
 
-    def _plain(self, ids: list[int]) -> str:
-        saved, self.prefix = self.prefix, ""
-        try:
-            return self.decode(ids)
-        finally:
-            self.prefix = saved
-
     def text_digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, the ids joined by commas, and what they decode to, chunk by chunk."""
         held = self.held
         found = [held.get(c) or self._of_chunk(c) for c in self.chunks(text)]
-        plain = "".join([f[2] for f in found])
-        if self.prefix and plain.startswith(" "):
-            plain = plain[1:]
-        return sum([f[0] for f in found]), ",".join([f[1] for f in found]), plain
+        if not found:
+            return 0, "", ""
+        counts, ids, parts = zip(*found)
+        plain = "".join(parts)
+        return sum(counts), ",".join(ids), plain[1:] if self.prefix and plain.startswith(" ") else plain
 
 
 def _coder(df: DataFrame, model_path: str):
