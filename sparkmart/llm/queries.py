@@ -16,7 +16,9 @@ from sparkmart.llm.registry import llm_query
 from sparkmart.llm.repeats import repeat_digests
 from sparkmart.llm.sharding import byte_shards
 from sparkmart.llm.simhash import near_duplicate_components
+from sparkmart.llm.strata import build_index, search
 from sparkmart.llm.toxicity import toxicity_scores
+from sparkmart.llm.whitening import whitened_rows
 
 # Only the id order is random here: ids are unique in `documents`.
 MIX_SQL = r"""
@@ -162,6 +164,43 @@ def _(spark, sf_dir):
     return lm_scores(table(spark, sf_dir, "documents"), held)
 
 
+SEARCH_SQL = r"""
+WITH t AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents),
+f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+d AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM f GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+m AS (SELECT doc_id, 25 + (75 * n * docs) // terms AS m FROM d, c),
+w AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM f, c GROUP BY term),
+q AS (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark),
+qt AS (SELECT item_id, term, count(*) AS repeats FROM q GROUP BY item_id, term),
+s AS (
+    SELECT item_id, doc_id, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM qt JOIN f USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+    FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+@llm_query("op11_length_strata", SEARCH_SQL)
+def _(spark, sf_dir):
+    return search(build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+@llm_query("op12_exact_whitening")
+def _(spark, sf_dir):
+    return whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
 @llm_query("op13_piece_agenda")
 def _(spark, sf_dir):
     import public_tokenizers
