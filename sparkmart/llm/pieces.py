@@ -12,12 +12,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import shared_value, texts_of
+from sparkmart.llm.common import texts_of
 
 MARK = "▁"  # fixed value: what stands for a blank in a piece
 MAX_MODEL = 64 << 20  # bytes of a model that is sent to the tasks
 GROUP = 1 << 20  # bytes of text that are held as ids at a time (one text at least)
-HELD_CHUNKS = 1 << 19  # chunks whose ids a task remembers
+HELD_CHUNKS = 1 << 20  # chunks whose ids a worker remembers, about 300 MB
 HELD_LENGTH = 48  # characters of a chunk that is remembered
 
 
@@ -51,6 +51,7 @@ class PieceCoder:
                 self.texts.append(piece.replace(MARK, " "))
                 if lib.is_unused(i):
                     self.unused.add(piece)
+        self.numbers = list(map(str, range(len(self.texts))))
         self.unknown = lib.unk_id()
         self.unknown_text = lib.decode([self.unknown])
         first = lib.encode("a", out_type=str)
@@ -76,21 +77,23 @@ class PieceCoder:
 
     def merges(self, text: str) -> list[str]:
         """Pieces of a chunk: the pair with the best score merges first, the leftmost among equals."""
-        symbols, cost = list(text), self.cost
+        symbols, cost, unused = list(text), self.cost, self.unused
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         parts: dict[str, tuple[str, str]] = {}
         pairs = map(cost.get, map(add, symbols, symbols[1:]))
-        agenda = [(known, i, i + 1, 2) for i, known in enumerate(pairs) if known is not None]
+        agenda = [(known, i, 2) for i, known in enumerate(pairs) if known is not None]
         heapify(agenda)
         while agenda:
-            _, left, right, size = heappop(agenda)
-            a, b = symbols[left], symbols[right]
-            if not a or not b or len(a) + len(b) != size:
-                continue  # one of the two has merged with another since
-            whole = a + b
-            if whole in self.unused:
-                parts[whole] = (a, b)
+            _, left, size = heappop(agenda)
+            right = after[left]
+            if right == n or not symbols[left]:
+                continue
+            whole = symbols[left] + symbols[right]
+            if len(whole) != size:
+                continue  # symbols only grow: one of the two has merged with another since
+            if whole in unused:
+                parts[whole] = (symbols[left], symbols[right])
             symbols[left], symbols[right] = whole, ""
             behind = after[right]
             after[left] = behind
@@ -98,20 +101,20 @@ class PieceCoder:
                 before[behind] = left
                 known = cost.get(whole + symbols[behind])
                 if known is not None:
-                    heappush(agenda, (known, left, behind, size + len(symbols[behind])))
+                    heappush(agenda, (known, left, size + len(symbols[behind])))
             ahead = before[left]
             if ahead >= 0:
                 known = cost.get(symbols[ahead] + whole)
                 if known is not None:
-                    heappush(agenda, (known, ahead, left, len(symbols[ahead]) + size))
-        found = [s for s in symbols if s]
+                    heappush(agenda, (known, ahead, len(symbols[ahead]) + size))
+        found = list(filter(None, symbols))
         while parts and any(s in parts for s in found):  # pieces not to be used fall back to what they came from
             found = [x for s in found for x in (parts[s] if s in parts else (s,))]
         return found
 
     def chunk_ids(self, chunk: str) -> list[int]:
         found = self.merges(chunk.replace(" ", MARK))
-        out = [self.ids.get(piece) for piece in found]
+        out = list(map(self.ids.get, found))
         if None not in out:
             return out
         out = []
@@ -157,7 +160,7 @@ class PieceCoder:
 
     def _of_chunk(self, chunk: str) -> tuple[int, str, str]:
         ids = self.chunk_ids(chunk)
-        found = len(ids), ",".join(map(str, ids)), self.plain(ids)
+        found = len(ids), ",".join([self.numbers[i] for i in ids]), self.plain(ids)
         if len(chunk) <= HELD_LENGTH:
             if len(self.held) >= HELD_CHUNKS:
                 self.held.clear()
@@ -181,8 +184,15 @@ def _coder(df: DataFrame, model_path: str):
         model = file.read(MAX_MODEL + 1)
     if len(model) > MAX_MODEL:
         raise ValueError(f"a model of more than {MAX_MODEL} bytes")
-    held = shared_value(df.sparkSession, model)
-    return lambda: PieceCoder(held())
+    held = df.sparkSession.sparkContext.broadcast({"model": model})
+
+    def coder() -> PieceCoder:
+        kept = held.value  # a worker keeps it from task to task, and with it the coder and what it remembers
+        if "coder" not in kept:
+            kept["coder"] = PieceCoder(kept["model"])
+        return kept["coder"]
+
+    return coder
 
 
 def _groups(texts):
@@ -217,7 +227,7 @@ def piece_digests(docs: DataFrame, model_path: str) -> DataFrame:
                 decoded = coder.library.decode(theirs, num_threads=1)
                 for text, ids, back in zip(group, theirs, decoded):
                     n, joined, plain = coder.text_digest(text)
-                    same = n == len(ids) and joined == ",".join(map(str, ids)) and plain == back
+                    same = n == len(ids) and joined == ",".join([coder.numbers[i] for i in ids]) and plain == back
                     digest = hashlib.sha256(joined.encode()).hexdigest()
                     rows.append((n, digest, hashlib.sha256(plain.encode()).hexdigest(), same))
             if rows:

@@ -240,8 +240,9 @@ def largest_roots(sums: list[int], wanted: int) -> list[Root]:
     rank = max(k for k, e in enumerate(sums) if e)
     coefficients = [(-1) ** (rank - k) * sums[rank - k] for k in range(rank + 1)]
     out: list[Root] = []
-    found, top, s = 0, sums[1], 0
+    found, top, coarse = 0, sums[1], 0
     while found < min(wanted, rank):
+        s = coarse
         lo, hi, above_lo = 0, top, rank  # more than ``found`` roots above lo, ``found`` above hi
         while True:
             width = hi - lo
@@ -249,13 +250,15 @@ def largest_roots(sums: list[int], wanted: int) -> list[Root]:
                 break
             if width << PRECISE <= hi:
                 break
-            lo, hi, s = 2 * lo, 2 * hi, s + 1
+            if width < 2:
+                lo, hi, s = 2 * lo, 2 * hi, s + 1
             middle = (lo + hi) // 2
             count = roots_above(coefficients, middle, s)
             if count > found:
                 lo, above_lo = middle, count
             else:
                 hi = middle
+        top, coarse = lo, s
         # one root, and hi is above it or the root itself: its sign tells on which side a point lies
         if above_lo == found + 1 and _sign(coefficients, hi, s) != 0:
             side = _sign(coefficients, hi, s)
@@ -270,7 +273,7 @@ def largest_roots(sums: list[int], wanted: int) -> list[Root]:
                 if here == 0:
                     break
         out.append(Root(hi if _sign(coefficients, hi, s) == 0 else (lo + hi) // 2, s, above_lo - found))
-        found, top = above_lo, lo
+        found = above_lo
     return out
 
 
