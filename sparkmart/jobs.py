@@ -56,7 +56,7 @@ def lake_copy_job(
     """Append the inserted and updated rows of every change log to a lake copy, undecodable lines to a quarantine."""
     queries = []
     for name, spec in specs.items():
-        events, bad = cdc.decode(lines(name), spec.schema)
+        events, bad = cdc.decode(lines(name), spec.schema, key=spec.key)
         rows = cdc.keep_ops(events).select("after.*", "op", "ts_ms")
         queries.append(
             ingest.append_stream(rows, f"{base}/{name}", f"{base}/_checkpoints/{name}", every)

@@ -43,21 +43,35 @@ def _parse_schema(row: T.StructType) -> T.StructType:
     )
 
 
+def has_image(key: Sequence[str] = (), at: str = "") -> Column:
+    """Whether an event holds the image it is about, with its key: ``before`` of a delete, else ``after``.
+
+    An update without an ``after`` image says nothing about the row; taken for one, it would make all columns null.
+    """
+
+    def there(image: str) -> Column:
+        present = F.col(f"{at}{image}").isNotNull()
+        for k in key:
+            present = present & F.col(f"{at}{image}")[k].isNotNull()
+        return present
+
+    return F.when(F.col(f"{at}op") == DELETE, there("before")).otherwise(there("after"))
+
+
 def decode(
     raw: DataFrame, row: T.StructType, value: str = "value", key: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """(change events, undecodable lines) from JSON text; one parse per line.
 
     Undecodable are malformed lines, lines with a field that does not parse as its declared type (it would
-    else become null and overwrite a good value), unknown operations and, with ``key``, events that name no key
-    in either image. ``seq`` orders events of equal time: the envelope's own, else the log position in
+    else become null and overwrite a good value), unknown operations and events without the image they are
+    about or, with ``key``, without its key (see ``has_image``). ``seq`` orders events of equal time: the envelope's own, else the log position in
     ``source.lsn``, else the ``offset`` of the record where the reader kept it.
     """
     text = F.col(value).cast("string")
     parsed = raw.withColumn("_e", F.from_json(text, _parse_schema(row), {"columnNameOfCorruptRecord": _CORRUPT}))
     readable = F.col(f"_e.{_CORRUPT}").isNull() & F.coalesce(F.col("_e.op").isin(*UPSERTS, DELETE), F.lit(False))
-    for k in key:
-        readable = readable & F.coalesce(F.col("_e.after")[k], F.col("_e.before")[k]).isNotNull()
+    readable = readable & has_image(key, "_e.")
     position = [F.col("_e.seq"), F.col("_e.source.lsn")] + ([F.col("offset")] if "offset" in raw.columns else [])
     events = parsed.filter(readable).select(
         "_e.before", "_e.after", "_e.op", "_e.ts_ms", F.coalesce(*position).alias("seq")
@@ -71,18 +85,19 @@ def keep_ops(events: DataFrame, ops: Sequence[str] = UPSERTS) -> DataFrame:
 
 
 def row_image(image_key: Sequence[str]) -> list[Column]:
-    """Key columns of an event: from ``after``, or from ``before`` when it is a delete."""
-    return [F.coalesce(F.col("after")[k], F.col("before")[k]).alias(k) for k in image_key]
+    """Key columns of an event: from ``before`` when it is a delete, else from ``after``."""
+    gone = F.col("op") == DELETE
+    return [F.when(gone, F.col("before")[k]).otherwise(F.col("after")[k]).alias(k) for k in image_key]
 
 
 def changes(events: DataFrame, key: Sequence[str]) -> DataFrame:
     """Flat change rows: key, the remaining columns, and ``_op``, ``_ts``, ``_seq``.
 
-    Events of unknown kind are left out; ``_seq`` orders events of equal time.
+    Events of unknown kind and those without their image or key are left out; ``_seq`` orders events of equal time.
     """
     row = events.schema["after"].dataType
     rest = [F.col("after")[f.name].alias(f.name) for f in row.fields if f.name not in key]
-    known = events.filter(F.col("op").isin(*UPSERTS, DELETE))
+    known = events.filter(F.col("op").isin(*UPSERTS, DELETE) & has_image(key))
     return known.select(
         *row_image(key),
         *rest,

@@ -10,6 +10,7 @@ from sparkmart.functions.timeval import micros
 from sparkmart.operators import cdc
 from sparkmart.session import scratch_dir
 from sparkmart.sources.keyed_table import KeyedTable
+from sparkmart.streaming import ingest
 from sparkmart.workload.base import Tables, query
 from sparkmart.workload.sinks import bucket_count
 
@@ -70,15 +71,47 @@ def _decode(t: Tables) -> DataFrame:
 
 @query(
     "cdc_quarantine",
-    """SELECT (SELECT COUNT(*) FROM events) AS decoded, (SELECT COUNT(*) FROM conversations) AS quarantined""",
+    """SELECT event_id, CAST(NULL AS VARCHAR) AS line FROM events UNION ALL SELECT NULL, text FROM conversations""",
 )
 def _quarantine(t: Tables) -> DataFrame:
-    """Plain text mixed into the log is set aside, not lost and not decoded."""
+    """Plain text mixed into the log is set aside as it came, not lost and not decoded."""
     lines = account_lines(t).unionByName(t.raw("conversations").select(F.col("text").alias("value")))
     events, bad = cdc.decode(lines, ACCOUNT)
-    tagged = events.select(F.lit(1).alias("ok")).unionByName(bad.select(F.lit(0).alias("ok")))
-    return tagged.agg(
-        F.count_if(F.col("ok") == 1).alias("decoded"), F.count_if(F.col("ok") == 0).alias("quarantined")
+    return events.select(F.col("seq").alias("event_id"), F.lit(None).cast("string").alias("line")).unionByName(
+        bad.select(F.lit(None).cast("long").alias("event_id"), F.col("value").alias("line"))
+    )
+
+
+# Clicks come as updates that name their row but bring no new image.
+_IMAGED = _DECODED + " WHERE event_type <> 'click'"
+
+
+@query(
+    "cdc_missing_image_quarantine",
+    f"""SELECT user_id, value, ts, COALESCE(n, 0) AS set_aside FROM (
+            SELECT user_id, value, ts FROM (SELECT *, ROW_NUMBER() OVER (
+                PARTITION BY user_id ORDER BY ts_ms DESC, seq DESC) AS rn FROM ({_IMAGED})) WHERE rn = 1 AND op <> 'd')
+        FULL JOIN (SELECT user_id, COUNT(*) AS n FROM events WHERE event_type = 'click' GROUP BY user_id) USING (user_id)""",
+)
+def _missing_image(t: Tables) -> DataFrame:
+    """Updates without an ``after`` image go to the quarantine of the ingest and leave the rows as they are."""
+    base, events = scratch_dir(t.spark, "images"), account_events(t)
+    lines = t.raw("events").select("event_id", (F.col("event_type") == "click").alias("_bare"))
+    cut = events.join(lines, F.col("seq") == F.col("event_id"))
+    text = cdc.to_envelope(
+        F.when(~F.col("_bare"), F.col("after")),
+        F.when(F.col("_bare"), F.col("after")).otherwise(F.col("before")),
+        F.col("op"), F.col("ts_ms"), F.col("seq"),
+    )
+    cut.select(text.alias("value")).write.text(f"{base}/log")
+    table = KeyedTable(t.spark, f"{base}/table", ["user_id"], bucket_count(events))
+    stream = ingest.text_stream(t.spark, f"{base}/log")
+    ingest.ingest(stream, ACCOUNT, table, f"{base}/checkpoint", quarantine=f"{base}/bad").awaitTermination()
+    bad = t.spark.read.text(f"{base}/bad").select(
+        F.get_json_object("value", "$.before.user_id").cast("long").alias("user_id")
+    )
+    return table.read().join(bad.groupBy("user_id").agg(F.count(F.lit(1)).alias("set_aside")), "user_id", "full").select(
+        "user_id", "value", "ts", F.coalesce("set_aside", F.lit(0)).cast("long").alias("set_aside")
     )
 
 

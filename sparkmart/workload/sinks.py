@@ -13,9 +13,10 @@ from sparkmart.sources import lake, scan, topics
 from sparkmart.sources.keyed_table import KeyedTable, upsert_rows
 from sparkmart.workload.base import ROLES, Tables, query
 from sparkmart.workload.mart_sql import MART_SQL
-from sparkmart.workload.marts import newest
+from sparkmart.workload.marts import newest, tidy
 
 _BUCKET_BYTES = 256 << 20
+FILE_RECORDS = 5_000
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -81,9 +82,7 @@ def _append(t: Tables) -> DataFrame:
 )
 def _sizing(t: Tables) -> DataFrame:
     """No file holds more records than the cap."""
-    rows, path = t.raw("lineitem"), f"{scratch_dir(t.spark, 'sizing')}/lineitem"
-    # about 16 MB a file; less only where the whole table would fit a single one
-    cap = min(200_000, max(5000, (estimated_bytes(rows) or 0) // 1000))
+    rows, path, cap = t.raw("lineitem"), f"{scratch_dir(t.spark, 'sizing')}/lineitem", FILE_RECORDS
     lake.append(rows, path, max_records_per_file=cap)
     per_file = (
         t.spark.read.parquet(path)
@@ -103,46 +102,37 @@ def _topic(t: Tables) -> DataFrame:
     return topics.from_keyed(topics.compact(log, ["offset"]), mart.schema)
 
 
+def side_by_side(parts: dict[str, DataFrame], label: str) -> DataFrame:
+    """The rows of several tables as one, by column name; ``label`` says which table a row is from."""
+    named = [rows.select(F.lit(name).alias(label), "*") for name, rows in parts.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+
+
+def side_by_side_sql(parts: dict[str, str], label: str) -> str:
+    return " UNION ALL BY NAME ".join(f"SELECT '{name}' AS {label}, * FROM ({text})" for name, text in parts.items())
+
+
 @query(
     "keyed_topics_all_marts",
-    " UNION ALL ".join(
-        f"""SELECT '{name}' AS mart, COUNT(*) AS keys, max(event_time) AS newest
-            FROM ({MART_SQL[name, "linear"]})"""
-        for name in marts.BUILDERS
-    ),
+    side_by_side_sql({name: MART_SQL[name, "linear"] for name in marts.BUILDERS}, "mart"),
 )
 def _topics(t: Tables) -> DataFrame:
     """All five marts as keyed topics, read back after compaction."""
-    parts = []
+    parts = {}
     for name, build in marts.BUILDERS.items():
         mart = build(t, "linear")
         sent = topics.to_keyed(mart, marts.mart_key(name, "linear")).withColumn("offset", F.lit(0))
-        back = topics.from_keyed(topics.compact(sent, ["offset"]), mart.schema)
-        parts.append(
-            back.agg(F.count(F.lit(1)).alias("keys"), F.max("event_time").alias("newest")).select(
-                F.lit(name).alias("mart"), "keys", "newest"
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+        parts[name] = tidy(topics.from_keyed(topics.compact(sent, ["offset"]), mart.schema))
+    return side_by_side(parts, "mart")
 
 
-@query(
-    "lake_copy_all_tables",
-    " UNION ALL ".join(
-        f"SELECT '{role}' AS table_name, COUNT(*) AS rows, COUNT(DISTINCT id) AS keys FROM r_{role}"
-        for role in ROLES
-    ),
-)
+@query("lake_copy_all_tables", side_by_side_sql({role: f"SELECT * FROM r_{role}" for role in ROLES}, "table_name"))
 def _copies(t: Tables) -> DataFrame:
     """An append copy of every table, read back."""
-    base, parts = scratch_dir(t.spark, "copies"), []
+    base = scratch_dir(t.spark, "copies")
     for role in ROLES:
         lake.append(t[role], f"{base}/{role}")
-        counted = t.spark.read.parquet(f"{base}/{role}").agg(
-            F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("keys")
-        )
-        parts.append(counted.select(F.lit(role).alias("table_name"), "rows", "keys"))
-    return reduce(DataFrame.unionByName, parts)
+    return side_by_side({role: t.spark.read.parquet(f"{base}/{role}") for role in ROLES}, "table_name")
 
 
 @query(
@@ -168,7 +158,7 @@ def _mart_upsert(t: Tables) -> DataFrame:
     f"SELECT * FROM ({MART_SQL['supply_readiness', 'product']})",
 )
 def _mart_replace(t: Tables) -> DataFrame:
-    """Replace-all: a reader sees the old or the new rows, never a mix of both."""
+    """Replace-all by overwriting: the rows of the second write only (a reader meanwhile may find files gone)."""
     path = f"{scratch_dir(t.spark, 'replace')}/supply_readiness"
     marts.supply_readiness(t, "linear").write.mode("overwrite").parquet(path)
     marts.supply_readiness(t, "product").write.mode("overwrite").parquet(path)
@@ -229,11 +219,10 @@ def _bulk(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-@query(
-    "mart_month_layout",
-    """SELECT CAST(strftime(event_time, '%Y%m') AS INTEGER) AS month, COUNT(*) AS rows,
-            COUNT(DISTINCT id) AS keys, max(event_time) AS newest FROM r_instruction GROUP BY 1""",
-)
+_MONTH = "CAST(strftime(event_time, '%Y%m') AS INTEGER) AS month"
+
+
+@query("mart_month_layout", f"SELECT *, {_MONTH} FROM r_instruction")
 def _by_month(t: Tables) -> DataFrame:
     """Written by month twice; the second write replaces only the months it holds."""
     path = f"{scratch_dir(t.spark, 'month')}/instruction"
@@ -241,32 +230,22 @@ def _by_month(t: Tables) -> DataFrame:
     lake.write_by_month(rows, path, "event_time", ["user_id", "id", "event_time"])
     again = rows.filter(F.col("event_time") >= F.lit("1998-01-01").cast("timestamp_ntz"))
     lake.write_by_month(again, path, "event_time", ["user_id", "id", "event_time"])
-    stored = t.spark.read.parquet(path)
-    return stored.groupBy(F.col("month").cast("int").alias("month")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_distinct("id").alias("keys"),
-        F.max("event_time").alias("newest"),
-    )
+    return t.spark.read.parquet(path).withColumn("month", F.col("month").cast("int"))
 
 
 @query(
     "mart_month_layout_all_marts",
-    " UNION ALL ".join(
-        f"""SELECT '{name}' AS mart, CAST(strftime(event_time, '%Y%m') AS INTEGER) AS month,
-            COUNT(*) AS rows FROM ({MART_SQL[name, "product"]}) GROUP BY 2"""
-        for name in marts.BUILDERS
-    ),
+    side_by_side_sql({n: f"SELECT *, {_MONTH} FROM ({MART_SQL[n, 'product']})" for n in marts.BUILDERS}, "mart"),
 )
 def _months(t: Tables) -> DataFrame:
     """All five marts partitioned by month and clustered by region, key and time."""
-    base, parts = scratch_dir(t.spark, "months"), []
+    base, parts = scratch_dir(t.spark, "months"), {}
     for name, build in marts.BUILDERS.items():
         order = ["region_id", *marts.mart_key(name, "product"), "event_time"]
         lake.write_by_month(build(t, "product"), f"{base}/{name}", "event_time", order)
-        months = t.spark.read.parquet(f"{base}/{name}").groupBy(F.col("month").cast("int").alias("month"))
-        counted = months.agg(F.count(F.lit(1)).alias("rows"))
-        parts.append(counted.select(F.lit(name).alias("mart"), "month", "rows"))
-    return reduce(DataFrame.unionByName, parts)
+        stored = t.spark.read.parquet(f"{base}/{name}")
+        parts[name] = tidy(stored).withColumn("month", F.col("month").cast("int"))
+    return side_by_side(parts, "mart")
 
 
 @query(

@@ -19,7 +19,7 @@ from sparkmart.workload.changes import (
     account_lines,
 )
 from sparkmart.workload.mart_sql import MART_SQL, latest_sql
-from sparkmart.workload.sinks import bucket_count, file_count
+from sparkmart.workload.sinks import bucket_count, file_count, side_by_side, side_by_side_sql
 
 
 def _log_folder(t: Tables, label: str) -> tuple[str, str, int]:
@@ -105,19 +105,25 @@ def _rate_limited(t: Tables) -> DataFrame:
 
 @query(
     "stream_multi_table",
-    " UNION ALL ".join(
-        f"SELECT '{role}' AS table_name, COUNT(*) AS read, COUNT(DISTINCT id) AS keys FROM r_{role}"
-        for role in ROLES
+    side_by_side_sql(
+        {
+            r: f"SELECT *, (SELECT COUNT(*) FROM r_{r}) AS rows_read FROM r_{r}"
+            # the one table whose ids repeat: the latest row of each
+            + (" QUALIFY ROW_NUMBER() OVER (PARTITION BY id ORDER BY event_time DESC, incident_id DESC, user_id DESC, action DESC) = 1" if r == "instruction" else "")
+            for r in ROLES
+        },
+        "table_name",
     ),
 )
 def _multi(t: Tables) -> DataFrame:
-    """One query per table, side by side."""
+    """One query per table, side by side; every row, and how many lines its feed has read."""
     base = scratch_dir(t.spark, "multi")
     feeds = {}
     for role in ROLES:
         rows = t[role]
         row = F.struct(*rows.columns)
-        event = cdc.to_envelope(row, None, F.lit("r"), F.lit(0).cast("long"), F.xxhash64(*rows.columns))
+        at = micros(rows, "event_time") if "event_time" in rows.columns else F.lit(0).cast("long")
+        event = cdc.to_envelope(row, None, F.lit("r"), F.lit(0).cast("long"), at)
         rows.select(event.alias("value")).write.text(f"{base}/{role}/log")
         feeds[role] = ingest.Feed(
             ingest.text_stream(t.spark, f"{base}/{role}/log"),
@@ -127,13 +133,8 @@ def _multi(t: Tables) -> DataFrame:
             f"{base}/{role}/bad",
         )
     read = ingest.ingest_all(feeds)
-    parts = None
-    for role, feed in feeds.items():
-        part = feed.table.read().agg(F.count(F.lit(1)).alias("keys")).select(
-            F.lit(role).alias("table_name"), F.lit(read[role]).cast("long").alias("read"), "keys"
-        )
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    kept = {r: f.table.read().withColumn("rows_read", F.lit(read[r]).cast("long")) for r, f in feeds.items()}
+    return side_by_side(kept, "table_name")
 
 
 @query("stream_latest_state", f"SELECT asset_id, region_id, health_percent, event_time FROM {latest_sql('r_asset_status', 'asset_id')}")

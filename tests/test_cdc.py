@@ -102,3 +102,28 @@ def test_offsets_order_events(spark):
     line = '{"before":null,"after":{"id":"a","v":%s},"op":"u","ts_ms":7}'
     raw = spark.createDataFrame([(line % "9.0", 0, 1), (line % "2.0", 0, 2)], "value string, partition int, offset long")
     assert [r.v for r in cdc.apply_changes(cdc.decode(raw, row)[0], ["id"]).collect()] == [2.0]
+
+
+def test_events_without_their_image_are_set_aside(spark):
+    good = line("c", 1, "1", "1.5")
+    row = json.loads(good)["after"]
+    bare = [
+        json.dumps({"op": "u", "before": row, "after": None, "ts_ms": 2}),
+        json.dumps({"op": "c", "after": None, "ts_ms": 3}),
+        json.dumps({"op": "u", "ts_ms": 4}),
+        json.dumps({"op": "u", "before": row, "after": {**row, "id": None}, "ts_ms": 5}),
+        json.dumps({"op": "d", "before": None, "after": row, "ts_ms": 6}),
+    ]
+    events, bad = cdc.decode(log(spark, [good, *bare]), ROW, key=["id"])
+    assert sorted(r.value for r in bad.collect()) == sorted(bare)
+    assert [(r.id, r.supply_level) for r in cdc.apply_changes(events, ["id"]).collect()] == [("1", Decimal("1.5"))]
+    # without a key the image itself decides, and changes made elsewhere are held to the same rule
+    events, bad = cdc.decode(log(spark, [good, *bare]), ROW)
+    assert bad.count() == 4
+    assert [r.id for r in cdc.changes(events, ["id"]).collect()] == ["1"]
+
+
+def test_a_delete_names_its_row_in_the_image_before(spark):
+    moved = json.dumps({"op": "d", "before": {"id": "1"}, "after": {"id": "2"}, "ts_ms": 9})
+    events, _ = cdc.decode(log(spark, [line("c", 1, "1", "1"), line("c", 1, "2", "1"), moved]), ROW, key=["id"])
+    assert [r.id for r in cdc.apply_changes(events, ["id"]).collect()] == ["2"]

@@ -47,7 +47,8 @@ def lines_of(spark, base):
 
 
 def write(spark, base, name, rows, op="c", ts=1):
-    text = [(json.dumps({"before": None, "after": r, "op": op, "ts_ms": ts, "seq": ts}),) for r in rows]
+    images = [{"before": r, "after": None} if op == "d" else {"before": None, "after": r} for r in rows]
+    text = [(json.dumps({**image, "op": op, "ts_ms": ts, "seq": ts}),) for image in images]
     spark.createDataFrame(text, "value string").coalesce(1).write.mode("append").text(f"{base}/{name}")
 
 
@@ -99,3 +100,16 @@ def test_lake_copy(spark):
     jobs.lake_copy_job(spark, lines_of(spark, f"{base}/log"), f"{base}/lake", only)
     assert [r.value for r in spark.read.parquet(f"{base}/lake/_quarantine/supply").collect()] == ["not json"]
     assert spark.read.parquet(f"{base}/lake/supply").count() == 1
+
+
+def test_lake_copy_sets_rows_without_image_aside(spark):
+    base = scratch_dir(spark, "copy")
+    only = {"supply": TABLES["supply"]}
+    write(spark, f"{base}/log", "supply", ROWS["supply"])
+    bad = ['{"op":"c","after":null}', '{"op":"u"}', '{"op":"u","before":{"id":"s"},"after":{"asset_id":"a"}}']
+    lines = spark.createDataFrame([(x,) for x in bad], "value string")
+    lines.coalesce(1).write.mode("append").text(f"{base}/log/supply")
+    jobs.lake_copy_job(spark, lines_of(spark, f"{base}/log"), f"{base}/lake", only)
+    copied = spark.read.parquet(f"{base}/lake/supply").collect()
+    assert len(copied) == 1 and copied[0].id is not None
+    assert sorted(r.value for r in spark.read.parquet(f"{base}/lake/_quarantine/supply").collect()) == sorted(bad)
