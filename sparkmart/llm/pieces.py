@@ -68,11 +68,15 @@ class PieceCoder:
             return r"[\s\S]+"
         alone = "".join(c for c in "\n\t\r" if not any(c in p for p in merging))
         beside = {pair for p in merging for pair in zip(p, p[1:])}
-        worded = {c for pair in beside for c in pair if any(x.isalnum() for x in pair)}
+        near = {pair for pair in beside if any(c.isalnum() for c in pair) and any(c in string.punctuation for c in pair)}
+        # the few word characters beyond ASCII that stand beside a sign in some piece, and signs beside the others
+        odd = {c for pair in near for c in pair if c.isalnum() and not c.isascii()}
+        worded = {c for pair in near if not odd & set(pair) for c in pair}
+        odd_ones = re.escape("".join(sorted(odd)))
         signs = re.escape("".join(c for c in string.punctuation if c not in worded and c != "_"))
-        # words, then signs that stand beside no letter or digit in any piece, unless what follows may join them
-        runs = [r"[^\W_]++"] + ([f"[{signs}]++"] if signs else [])
-        unjoined = "|".join(f"{run}(?!_|[^\\w {alone}{signs}])" for run in runs)
+        # words, then signs that stand beside no word character in any piece, unless what follows may join them
+        runs = [rf"[^\W_{odd_ones}]++"] + ([f"[{signs}]++"] if signs else [])
+        unjoined = "|".join(f"{run}(?![_{odd_ones}]|[^\\w {alone}{signs}])" for run in runs)
         return f" *+(?:{unjoined}|[^ {alone}]+)| +" + (f"|[{alone}]" if alone else "")
 
     def merges(self, text: str) -> list[str]:
