@@ -24,6 +24,8 @@ ANCHOR = 200  # bytes that an anchor's hash covers
 PIECE = 1 << 19  # window starts of a text that are hashed at a time
 CLASS_LIMIT = 4000  # different surroundings of one anchor that are sorted in one task; beyond, see `_hot_spans`
 BUCKET_SEGMENTS = 2000  # segments per sorting task, about 1.2 MB of text
+WORDS = 50  # words of a passage that is looked for in other documents
+STRING = 26  # words of the strings that stand for passages
 SPAN_BITS = 10  # a segment's place is its first window start, shifted, plus its number of windows
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd multiplier, base of the rolling hash
@@ -250,6 +252,66 @@ def repeated_spans(docs: DataFrame, keep_first: bool = False, unique_ids: bool =
     return whole.unionByName(sorted_).unionByName(_hot_spans(found, keep_first))
 
 
+_BLANKS = np.isin(np.arange(256), [32, *range(9, 14)])
+
+
+def _word_hashes(text: bytes, roller: Roller) -> np.ndarray:
+    """A hash of each word (between ASCII white space), from pieces of the text that end with a word."""
+    found, at = [np.zeros(0, np.uint64)], 0
+    data = np.frombuffer(text, np.uint8)
+    while at < len(data):
+        end = min(len(data), at + PIECE)
+        while end < len(data) and not _BLANKS[data[end]]:  # to the end of the word
+            end += 1
+        part = data[at:end]
+        inside = ~_BLANKS[part]
+        first = np.flatnonzero(inside & np.concatenate([[True], ~inside[:-1]]))
+        if len(first):
+            lengths = np.diff(np.append(first, len(part)))
+            part, inside = part[first[0] :], inside[first[0] :]
+            place = np.arange(len(part)) - np.repeat(first - first[0], lengths)
+            up = roller.up if len(part) <= len(roller.up) else _powers(_ODD, len(part))
+            codes = np.where(inside, roller.codes[part] * up[place], np.uint64(0))
+            found.append(np.add.reduceat(codes, first - first[0]))
+        at = end
+    return np.concatenate(found)
+
+
+def passage_strings(text: bytes, roller: Roller) -> np.ndarray:
+    """Hashes of the strings of STRING words that stand for the passages of WORDS words: in each, the least."""
+    words = _word_hashes(text, roller)
+    found = [np.zeros(0, np.uint64)]
+    for at in range(0, max(0, len(words) - WORDS + 1), PIECE):
+        part = words[at : at + PIECE + WORDS - 1]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * roller.up[: len(part)], out=sums[1:])
+        start = np.arange(len(part) - STRING + 1)
+        found.append(np.unique(_sliding_min(roller.hashes(sums, start, start + STRING), WORDS - STRING + 1)))
+    return np.concatenate(found)
+
+
+def shared_passages(keyed: DataFrame) -> DataFrame:
+    """The ``doc``s of which a passage of WORDS words is in another document too, word for word.
+
+    Equal passages have the same least string of STRING words, so none is missed; strings are told apart by 64
+    bits, and passages that share no more than such a string (26 to 49 words) are found as well.
+    """
+
+    def run(batches):
+        roller = Roller()
+        for batch in batches:
+            for doc, text in zip(batch.column("doc").to_pylist(), texts_of(batch)):
+                strings = passage_strings(text, roller)
+                if len(strings):
+                    columns = [pa.array(strings.view(np.int64)), pa.array(np.full(len(strings), doc))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["string", "doc"])
+
+    strings = keyed.select("doc", "text").mapInArrow(run, "string long, doc long")
+    # summed before the exchange; read twice and not written, as the texts are near and the strings many
+    shared = strings.groupBy("string").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least <> most")
+    return strings.join(settle(shared.select("string"), "repeat-shared"), "string", "left_semi").select("doc").distinct()
+
+
 def _merged(spans) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for start, end in sorted((s["start"], s["end"]) for s in spans or ()):
@@ -264,7 +326,7 @@ def _with_spans(docs: DataFrame, keep_first: bool, unique_ids: bool) -> DataFram
     # rows equal in id and text give the same spans: distinct, so that a list is bounded by its text
     spans = repeated_spans(docs, keep_first, unique_ids).distinct()
     per_doc = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return _keyed(docs, unique_ids).join(per_doc, "doc", "left").select("doc_id", "text", "spans")
+    return _keyed(docs, unique_ids).join(per_doc, "doc", "left").select("doc_id", "doc", "text", "spans")
 
 
 def _kept(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -273,12 +335,13 @@ def _kept(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def repeat_digests(docs: DataFrame, keep_first: bool = False, unique_ids: bool = False) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every document after removal.
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, shared_passage`` of every document after removal.
 
     Every byte covered by a 400-byte string that also starts elsewhere (same document included, overlaps
     count) is removed. Null text: like an empty one, nothing to remove. Equal rows are copies of each
     other. Null ids are ids like others. Texts under 400 bytes keep all. Empty table: no rows. Other columns
-    are not read. Very long texts are hashed in pieces; a long run of one repeated character has an anchor per
+    are not read. ``shared_passage`` is 1 if a passage of 50 words is in another document too (by id and text), whatever its
+    length in bytes (see ``shared_passages``), else 0. Very long texts are hashed in pieces; a long run of one repeated character has an anchor per
     byte, which takes space in proportion to the run.
     """
 
@@ -291,13 +354,16 @@ def repeat_digests(docs: DataFrame, keep_first: bool = False, unique_ids: bool =
                 rows.append((len(text), len(text) - len(kept), len(merged), hashlib.sha256(kept).hexdigest()))
             columns = [pa.array(c) for c in zip(*rows)]
             if rows:
-                names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=names)
+                names = ["doc_id", "doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("doc"), *columns], names=names)
 
     schema = docs.select(
-        "doc_id", *[F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")], F.lit("").alias("kept_sha256")
-    ).schema
-    return _with_spans(docs, keep_first, unique_ids).mapInArrow(run, schema)
+        "doc_id", *[F.lit(0).cast("long").alias(c) for c in ("doc", "n_bytes", "n_removed", "n_spans")],
+        F.lit("").alias("kept_sha256"),
+    ).schema
+    digests = _with_spans(docs, keep_first, unique_ids).mapInArrow(run, schema)
+    shared = shared_passages(_keyed(docs, unique_ids)).withColumn("shared_passage", F.lit(1))
+    return digests.join(shared, "doc", "left").drop("doc").fillna(0, ["shared_passage"])
 
 
 def remove_repeats(docs: DataFrame, keep_first: bool = True, unique_ids: bool = False) -> DataFrame:
