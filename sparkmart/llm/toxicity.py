@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import shared_value, texts_of
@@ -14,12 +14,13 @@ from sparkmart.session import settle
 
 ORDERS = (3, 4, 5)  # characters of an n-gram
 HASH_BITS = 20  # n-grams are hashed to this many bits
-MAX_TRAIN = 12_000  # labelled rows, in the order of a hash of their ids, that the classifier learns from
-MAX_FEATURES = 6_000  # n-grams it may use, those whose ratio is farthest from chance
-MIN_CHANCE = 3.5  # in standard errors of the log-count ratio, towards the toxic class
+MAX_TRAIN = 12_000  # labelled ids, and then labelled texts, in the order of a hash, that the classifier learns from
+POOL = 12_000  # n-grams from which it may choose, those whose ratio is farthest from chance
+FEATURES = (500, 2_000, 6_000)  # how many of them it may use
+RIDGES = (1.0, 10.0)  # and how strongly their factors are held back; both are chosen by cross-validation
+FOLDS = 3
 MIN_DOCS = 5  # an n-gram must be in this many training texts
 SMOOTHING = 1.0
-RIDGE = 10.0
 STEPS = 200
 THRESHOLD = 0.3
 PIECE = 1 << 20  # characters of a text that are hashed at a time
@@ -87,8 +88,37 @@ def _counts(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def _vectors(rows: DataFrame, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class and chosen n-grams (as slots, one array after the other) of each training text."""
+def _ratios(clean: np.ndarray, toxic: np.ndarray, totals: tuple[float, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Log-count ratio of each n-gram towards the toxic class, and how many standard errors it is from chance."""
+    p, q = SMOOTHING + toxic, SMOOTHING + clean
+    ratio = np.log((p / totals[1]) / (q / totals[0]))
+    # only what speaks for the toxic class: a clean text is one in which none of it is found
+    return ratio, np.where(clean + toxic >= MIN_DOCS, ratio / np.sqrt(1 / p + 1 / q), -1)
+
+
+@dataclass
+class Sample:
+    """Training texts: class, fold, and the n-grams of the pool in each (as slots, one array after the other)."""
+
+    y: np.ndarray
+    fold: np.ndarray
+    lengths: np.ndarray
+    slots: np.ndarray
+
+    def part(self, rows: np.ndarray) -> Sample:
+        return Sample(self.y[rows], self.fold[rows], self.lengths[rows], self.slots[np.repeat(rows, self.lengths)])
+
+    def only(self, chosen: np.ndarray, size: int) -> Sample:
+        """With the chosen slots only, numbered anew."""
+        new = np.full(size, -1)
+        new[chosen] = np.arange(len(chosen))
+        row = np.repeat(np.arange(len(self.y)), self.lengths)
+        mapped = new[self.slots]
+        used = mapped >= 0
+        return Sample(self.y, self.fold, np.bincount(row[used], minlength=len(self.y)), mapped[used])
+
+
+def _vectors(rows: DataFrame, slots: np.ndarray) -> Sample:
     spark = rows.sparkSession
     table = shared_value(spark, slots)
 
@@ -100,18 +130,23 @@ def _vectors(rows: DataFrame, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray
                 parts = [slot_of[ids] for ids in ngram_ids(text)]
                 slots_ = np.unique(np.concatenate([p[p >= 0] for p in parts])) if parts else np.zeros(0, np.int32)
                 found.append(slots_.astype("<i4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.binary())], names=["toxic", "slots"])
+            columns = [batch.column("toxic"), batch.column("fold"), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["toxic", "fold", "slots"])
 
-    # ids may repeat in the documents, so the bound holds for rows as well
-    got = rows.select("toxic", "text").mapInArrow(run, "toxic int, slots binary").limit(MAX_TRAIN).toArrow()
+    # at most MAX_TRAIN rows
+    got = rows.select("toxic", "fold", "text").mapInArrow(run, "toxic int, fold int, slots binary").toArrow()
     parts = [np.frombuffer(x.as_py(), "<i4") for x in got.column("slots")]
-    y = (got.column("toxic").to_numpy() > 0).astype(float)
-    lengths = np.array([len(p) for p in parts], np.int64)
-    return y, lengths, np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    return Sample(
+        (got.column("toxic").to_numpy() > 0).astype(float),
+        got.column("fold").to_numpy(),
+        np.array([len(p) for p in parts], np.int64),
+        np.concatenate(parts) if parts else np.zeros(0, np.int32),
+    )
 
 
-def _fit(y: np.ndarray, lengths: np.ndarray, slots: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
+def _fit(sample: Sample, ratio: np.ndarray, ridge: float) -> tuple[np.ndarray, float]:
     """Ridge logistic regression on presence times ratio, by Adam steps over all rows."""
+    y, lengths, slots = sample.y, sample.lengths, sample.slots
     row = np.repeat(np.arange(len(y)), lengths)
     x = ratio[slots]
     w, bias = np.zeros(len(ratio)), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
@@ -119,7 +154,7 @@ def _fit(y: np.ndarray, lengths: np.ndarray, slots: np.ndarray, ratio: np.ndarra
     for step in range(1, STEPS + 1):
         margin = bias + np.bincount(row, x * w[slots], minlength=len(y))
         error = 1 / (1 + np.exp(-np.clip(margin, -500, 500))) - y
-        grad_w = np.bincount(slots, error[row] * x, minlength=len(ratio)) + RIDGE * w
+        grad_w = np.bincount(slots, error[row] * x, minlength=len(ratio)) + ridge * w
         grad_b = error.sum()
         # Adam, full batch: the scale of a coordinate's gradient does not matter
         mean_w, mean_b = 0.9 * mean_w + 0.1 * grad_w, 0.9 * mean_b + 0.1 * grad_b
@@ -130,30 +165,78 @@ def _fit(y: np.ndarray, lengths: np.ndarray, slots: np.ndarray, ratio: np.ndarra
     return w, float(bias)
 
 
+def _fold_losses(sample: Sample, size: int, totals: tuple[float, float], fold: int, features: int) -> list[float]:
+    """Log loss on one fold, for each ridge, of a model that has counted, chosen and learnt on the others."""
+    rest = sample.part(sample.fold != fold)
+    share = len(rest.y) / len(sample.y)
+    owner = np.repeat(rest.y, rest.lengths)
+    toxic = np.bincount(rest.slots, owner, size)
+    clean = np.bincount(rest.slots, 1 - owner, size)
+    ratio, chance = _ratios(clean, toxic, (totals[0] * share, totals[1] * share))
+    chosen = np.argsort(-chance, kind="stable")[:features]
+    chosen = chosen[chance[chosen] > 0]
+    held = sample.part(sample.fold == fold).only(chosen, size)
+    row = np.repeat(np.arange(len(held.y)), held.lengths)
+    out = []
+    for ridge in RIDGES:
+        learnt, bias = _fit(rest.only(chosen, size), ratio[chosen], ridge)
+        margin = bias + np.bincount(row, (ratio[chosen] * learnt)[held.slots], minlength=len(held.y))
+        out.append(float(np.logaddexp(0, np.where(held.y > 0, -margin, margin)).sum()))
+    return out
+
+
+def _strength(spark: SparkSession, sample: Sample, size: int, totals: tuple[float, float]) -> tuple[int, float]:
+    """The number of n-grams and the ridge with the least loss over all folds; each fold and number is a task's row."""
+    shared = shared_value(spark, (sample, size, totals))
+
+    def run(batches):
+        known = shared()
+        for batch in batches:
+            cells = zip(batch.column("fold").to_pylist(), batch.column("features").to_pylist())
+            losses = pa.array([_fold_losses(*known, *cell) for cell in cells], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("features"), losses], names=["features", "losses"])
+
+    cells = spark.createDataFrame([(k, n) for k in range(FOLDS) for n in FEATURES], "fold int, features int")
+    total = {n: np.zeros(len(RIDGES)) for n in FEATURES}
+    spread = cells.repartition(len(FEATURES) * FOLDS, "fold", "features")
+    for row in spread.mapInArrow(run, "features int, losses array<double>").collect():
+        total[row.features] += np.array(row.losses)
+    return min(((n, ridge) for n in FEATURES for ridge in RIDGES), key=lambda c: total[c[0]][RIDGES.index(c[1])])
+
+
+def _training_rows(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
+    """One row per labelled id and text, however often it occurs; at most MAX_TRAIN, in the order of a hash."""
+    sample = F.broadcast(_sample(labels, learn))
+    held = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(sample, "doc_id")
+    once = held.groupBy("doc_id", F.xxhash64("text").alias("_hash")).agg(F.max("toxic").alias("toxic"), F.max("text").alias("text"))
+    order = F.xxhash64("doc_id", "_hash")
+    fold = F.pmod(F.xxhash64("_hash", "doc_id"), F.lit(FOLDS)).cast("int").alias("fold")
+    return once.orderBy(order, "doc_id", "_hash").limit(MAX_TRAIN).select("toxic", "text", fold)
+
+
 def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     """Learn from the labelled rows for which ``learn`` (an expression on ``doc_id``) holds.
 
     A bounded sample of labels picks the texts, which are read where they are (the ids are broadcast: at most
-    MAX_TRAIN). Spark sums the counts per class; the driver holds tables of 2**HASH_BITS numbers and the
-    chosen n-grams of the sample. Without labelled texts every score is 0.5; with one class only, the
+    MAX_TRAIN); rows equal in id and text count once. Spark sums the counts per class and tries each strength on held
+    folds of the training rows; the driver holds tables of 2**HASH_BITS numbers and the
+    n-grams of the pool in the sample. Without labelled texts every score is 0.5; with one class only, the
     smoothed share of that class.
     """
-    sample = F.broadcast(_sample(labels, learn))
-    rows = docs.select("doc_id", "text").join(sample, "doc_id").select("toxic", F.col("text"))
-    rows = settle(rows, "toxicity-sample")
+    rows = settle(_training_rows(docs, labels, learn), "toxicity-sample")
     clean, toxic = _counts(rows)
-    p, q = SMOOTHING + toxic, SMOOTHING + clean
-    ratio = np.log((p / p.sum()) / (q / q.sum()))
-    # only what speaks for the toxic class: a clean text is one in which none of it is found
-    chance = np.where(clean + toxic > 0, ratio / np.sqrt(1 / p + 1 / q), -1)
-    chosen = np.argsort(-chance, kind="stable")[:MAX_FEATURES]
-    chosen = chosen[chance[chosen] > MIN_CHANCE]
+    totals = (float((SMOOTHING + clean).sum()), float((SMOOTHING + toxic).sum()))
+    ratio, chance = _ratios(clean, toxic, totals)
+    pool = np.argsort(-chance, kind="stable")[:POOL]
+    pool = pool[chance[pool] > 0]
     slots = np.full(1 << HASH_BITS, -1, np.int32)
-    slots[chosen] = np.arange(len(chosen))
-    y, lengths, used = _vectors(rows, slots)
-    weights = np.zeros(1 << HASH_BITS)
-    if 0 < y.sum() < len(y) and len(chosen):
-        learnt, bias = _fit(y, lengths, used, ratio[chosen])
+    slots[pool] = np.arange(len(pool))
+    sample = _vectors(rows, slots)
+    y, weights = sample.y, np.zeros(1 << HASH_BITS)
+    if 0 < y.sum() < len(y) and len(pool):
+        features, ridge = _strength(docs.sparkSession, sample, len(pool), totals)
+        chosen = pool[:features]
+        learnt, bias = _fit(sample.only(np.arange(len(chosen)), len(pool)), ratio[chosen], ridge)
         weights[chosen] = ratio[chosen] * learnt
     else:
         bias = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
@@ -169,7 +252,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Only the text is an input of a score. Null or empty text: no n-grams, the score of the bias alone.
     Null ids are not held out and have no label. Repeated rows and ids get a score each. No labels:
-    0.5 for all. Empty documents: no rows. Other columns are not read.
+    0.5 for all. Empty documents: no rows. Other columns are not read. A very long text is held whole by its task and
+    hashed in pieces.
     """
     model = shared_value(docs.sparkSession, train(docs, labels, ~held_out()))
 

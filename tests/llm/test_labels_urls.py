@@ -3,8 +3,11 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 
+import sparkmart.llm.toxicity as toxicity
+
 from sparkmart.llm import ORACLES, QUERIES
 from sparkmart.llm.host_reputation import judge_urls
 from sparkmart.llm.toxicity import toxicity_scores
@@ -42,6 +45,69 @@ def test_toxicity_on_held_out_texts(spark):
     assert toxicity_scores(frame.limit(0), marks).collect() == []
 
 
+def area_under_curve(scores, truth):
+    good, bad = [s for s, t in zip(scores, truth) if t], [s for s, t in zip(scores, truth) if not t]
+    return sum((a > b) + (a == b) / 2 for a in good for b in bad) / (len(good) * len(bad))
+
+
+@pytest.mark.parametrize("sf,least,found", [("sf0.01", 0.9, 0.6), ("sf0.1", 0.96, 0.8)])
+def test_toxicity_of_the_tables(spark, sf, least, found):
+    """A model at every size: held-out labels are told apart, and few clean texts are called toxic."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    labels = spark.read.parquet(f"/root/testdata/{sf}/labels.parquet")
+    marked = labels.groupBy("doc_id").agg({"toxic": "max"}).withColumnRenamed("max(toxic)", "toxic")
+    got = toxicity_scores(docs, labels).where("held_out").join(marked, "doc_id").where("toxic is not null").collect()
+    assert area_under_curve([r.score for r in got], [r.toxic for r in got]) >= least
+    toxic, clean = [r for r in got if r.toxic], [r for r in got if not r.toxic]
+    assert sum(r.predicted for r in toxic) >= found * len(toxic)
+    assert sum(r.predicted for r in clean) <= 0.02 * len(clean)
+
+
+def toxic_words(seed, n):
+    rng = random.Random(seed)
+    words = [f"{a}{b}" for a in ("ba", "ke", "lo", "mi", "nu") for b in ("ra", "se", "ti")]
+    texts = [[rng.choice(words) for _ in range(20)] for _ in range(n)]
+    for k in range(0, n, 4):
+        texts[k][rng.randrange(20)] = "snorkish"
+    return [(k, " ".join(t), 0.0, 0) for k, t in enumerate(texts)], [(k, 1, int(k % 4 == 0)) for k in range(n)]
+
+
+def test_a_repeated_id_does_not_crowd_out_the_others(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_TRAIN", 300)
+    rows, labels = toxic_words(3, 400)
+    first = next(k for k in range(1, 400) if zlib.crc32(str(k).encode()) % 4 != 2 and k % 4)
+    frame = spark.createDataFrame([rows[first]] * 2000 + rows, DOCS).repartition(4)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert toxicity._training_rows(frame, marks, ~toxicity.held_out()).count() <= 300
+    held = [r for r in toxicity_scores(frame, marks).collect() if r.held_out]
+    assert sum(r.predicted for r in held if r.doc_id % 4 == 0) >= 0.95 * sum(r.doc_id % 4 == 0 for r in held)
+    assert not any(r.predicted for r in held if r.doc_id % 4)
+
+
+def test_counts_by_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MIN_DOCS", 1)
+    rows, labels = toxic_words(4, 60)
+    rows += [(rows[5][0], rows[5][1], 0.0, 0), (rows[5][0], None, 0.0, 0), (rows[7][0], "snorkish", 0.0, 0)]
+    frame = spark.createDataFrame(rows, DOCS).repartition(3)
+    marks = spark.createDataFrame([*labels, (7, 1, 1)], "doc_id long, quality int, toxic int")
+    got = toxicity._counts(toxicity._training_rows(frame, marks, ~toxicity.held_out()))
+    want = np.zeros_like(got)
+    for doc, text in {(r[0], r[1] or "") for r in rows}:
+        if zlib.crc32(str(doc).encode()) % 4 != 2:
+            plain = " " + " ".join("".join(c if c.isalpha() or ord(c) > 127 else " " for c in text.lower()).split()) + " "
+            grams = {plain[i : i + n] for n in toxicity.ORDERS for i in range(len(plain) - n + 1)}
+            ids = {hash_of(g) for g in grams}
+            want[int(doc % 4 == 0 or doc == 7), sorted(ids)] += 1
+    assert (got == want).all()
+
+
+def hash_of(gram):
+    key = len(gram)
+    for c in gram:
+        key = (key * 0x100000001B3 ^ ord(c)) % (1 << 64)
+    return (key * 0x9E3779B97F4A7C15 % (1 << 64)) >> (64 - toxicity.HASH_BITS)
+
+
 def test_urls(spark):
     urls = {
         1: ("https://A.Example.ORG/es/1", "a.example.org", "/es/1", "example.org/es/", "block"),
