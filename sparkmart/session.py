@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,9 +56,30 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(hadoop_path)
     fs.deleteOnExit(hadoop_path)
+    if getattr(_SCOPE, "paths", None) is not None:
+        _SCOPE.paths.append(path)
     return path
 
 
+_SCOPE = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders that this thread makes inside, as soon as it leaves: for steps of an endless run.
+
+    What is built inside must have been written or read to the end by then.
+    """
+    outer, _SCOPE.paths = getattr(_SCOPE, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _SCOPE.paths:
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+        _SCOPE.paths = outer
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's own size estimate of a plan; ``None`` if the session does not expose it."""
     plan = getattr(df, "_jdf", None)

@@ -25,7 +25,7 @@ from sparkmart.operators.cdc import DELETE
 from sparkmart.operators.keyed import latest_per_key, newest_of
 from sparkmart.sources import storage
 
-META = ("_op", "_ts", "_seq", "_batch", "_created_at", "_updated_at", "_bucket")
+META = ("_op", "_ts", "_seq", "_batch", "_created_at", "_updated_at", "_bucket", "_version")
 
 
 class KeyedTable:
@@ -34,6 +34,10 @@ class KeyedTable:
     An older change never replaces a newer row, and a deleted key leaves a tombstone, so a late
     insert cannot bring it back.  Each writer's last batch id is recorded with the commit, so a
     replayed batch changes nothing.
+
+    ``bucket_by`` (columns of the key, all of them unless given) decides the bucket, so that ``read_near`` finds
+    the rows of such values in few buckets.  ``tombstones=False`` forgets deleted keys whenever a bucket is
+    written anew, which suits tables whose changes never come late: they hold about their live rows only.
     """
 
     def __init__(
@@ -43,9 +47,12 @@ class KeyedTable:
         key: Sequence[str],
         buckets: int = 16,
         compact_after: int = 4,
+        bucket_by: Sequence[str] | None = None,
+        tombstones: bool = True,
     ):
         self.spark, self.path, self.key = spark, path.rstrip("/"), list(key)
         self.buckets, self.compact_after = buckets, compact_after
+        self.bucket_by, self.tombstones = list(bucket_by or key), tombstones
 
     # -- state ---------------------------------------------------------------------------
 
@@ -80,12 +87,36 @@ class KeyedTable:
         paths = [f"{self.path}/data/{manifest['folders'][str(v)]}/_bucket={b}" for b, v in parts]
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def read(self, version: int | None = None, with_meta: bool = False) -> DataFrame:
-        """Live rows of the latest (or a kept earlier) version."""
+    def read(
+        self, version: int | None = None, with_meta: bool = False, audit: str | None = None
+    ) -> DataFrame:
+        """Live rows of the latest (or a kept earlier) version; ``audit`` names a column for the time of their last update."""
+        rows = self._state(self._committed(version))
+        return self._shown(rows.filter(F.col("_op") != DELETE), with_meta, audit)
+
+    def read_near(self, values: DataFrame, version: int | None = None) -> DataFrame:
+        """Live rows whose ``bucket_by`` columns are among ``values``, from the buckets of these values only."""
+        manifest = self._committed(version)
+        near = values.select(*self.bucket_by).distinct()
+        # at most one row per bucket comes back
+        touched = {str(r[0]) for r in near.select(self._bucket(manifest["count"])).distinct().collect()}
+        rows = self._state(manifest, touched).join(near, self.bucket_by, "left_semi")
+        return self._shown(rows.filter(F.col("_op") != DELETE))
+
+    def _committed(self, version: int | None) -> dict:
         manifest = self.manifest(version)
         if manifest["schema"] is None:
             raise FileNotFoundError(f"{self.path} has no committed version")
-        held = manifest["buckets"].items()
+        return manifest
+
+    def _shown(self, rows: DataFrame, with_meta: bool = False, audit: str | None = None) -> DataFrame:
+        if audit is not None:
+            rows = rows.withColumn(audit, F.col("_updated_at"))
+        return rows if with_meta else rows.drop(*META)
+
+    def _state(self, manifest: dict, only: set[str] | None = None) -> DataFrame:
+        """The newest change of every key, deletions included, in all buckets or some."""
+        held = [(b, v) for b, v in manifest["buckets"].items() if only is None or b in only]
         settled = [(b, versions[0]) for b, versions in held if len(versions) == 1]
         changed = [(b, v) for b, versions in held if len(versions) > 1 for v in versions]
         parts = []
@@ -93,9 +124,65 @@ class KeyedTable:
             parts.append(self._scan(manifest, settled))
         if changed:
             parts.append(self._reduced(self._scan(manifest, changed), self.key))
-        rows = reduce(DataFrame.unionByName, parts)
-        live = rows.filter(F.col("_op") != DELETE)
-        return live if with_meta else live.drop(*META)
+        if not parts:
+            return self.spark.createDataFrame([], T.StructType.fromJson(manifest["schema"]))
+        return reduce(DataFrame.unionByName, parts)
+
+    # -- changes between versions --------------------------------------------------------
+
+    def version_of(self, writer: str, batch_id: int) -> int | None:
+        """The kept version with which a writer committed a batch."""
+        for version in reversed(self.versions()):
+            manifest = self.manifest(version)
+            if manifest["writers"].get(writer, -1) < batch_id:
+                return None
+            if manifest["writers"][writer] == batch_id and self._writers_before(version).get(writer, -1) < batch_id:
+                return version
+        return None
+
+    def _writers_before(self, version: int) -> dict:
+        earlier = [v for v in self.versions() if v < version]
+        return self.manifest(earlier[-1])["writers"] if earlier else {}
+
+    def change_feed(self, since: int, until: int | None = None) -> DataFrame:
+        """Keys that changed after version ``since`` (0: from the start), with their rows ``before`` and ``after``.
+
+        Either is null where the key had, or has, no live row.  Only buckets that differ between the versions are
+        read, and of the older one only the keys that changed.  A change that lost to a newer row is none.
+        """
+        new = self._committed(until)
+        old = self.manifest(since) if since else None
+        held = old["buckets"] if old else {}
+        differ = {b for b, versions in new["buckets"].items() if held.get(b) != versions}
+        rows = self._state(new, differ).filter(F.coalesce(F.col("_version"), F.lit(0)) > since)
+        columns = [c for c in rows.columns if c not in META]
+
+        def image(df: DataFrame, name: str) -> DataFrame:
+            live = F.when(F.col("_op") != DELETE, F.struct(*[F.col(c) for c in columns]))
+            return df.select(*self.key, live.alias(name))
+
+        after = image(rows, "after")
+        if old is None:
+            kind = after.schema["after"].dataType
+            return after.select(*self.key, F.lit(None).cast(kind).alias("before"), "after").filter("after is not null")
+        past = self._state(old, differ & set(held))
+        for c in columns:  # columns that came later
+            past = past if c in past.columns else past.withColumn(c, F.lit(None).cast(rows.schema[c].dataType))
+        before = image(past.join(rows.select(*self.key), self.key, "left_semi"), "before")
+        both = after.join(before, self.key, "left").select(*self.key, "before", "after")
+        return both.filter("before is not null or after is not null")
+
+    def grow(self, buckets: int) -> None:
+        """Deal the rows out to more buckets, for a table that has outgrown its first number of them; a commit like any other."""
+        manifest = self._committed(None)
+        version = manifest["version"] + 1
+        folder = f"v{version:010d}-{uuid.uuid4().hex}"
+        rows = self._state(manifest).withColumn("_bucket", self._bucket(buckets))
+        rows.repartition(buckets, "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/data/{folder}")
+        names = storage.list_names(self.spark, f"{self.path}/data/{folder}")
+        held = {n.split("=")[1]: [version] for n in names if n.startswith("_bucket=")}
+        commit = {**manifest, "version": version, "count": buckets, "folders": {str(version): folder}, "buckets": held}
+        storage.create_text(self.spark, self._manifest_path(version), json.dumps(commit))
 
     # -- merge ---------------------------------------------------------------------------
 
@@ -105,7 +192,9 @@ class KeyedTable:
         if manifest["writers"].get(writer, -1) >= batch_id:
             return False
         count = manifest["count"]
-        incoming = self._last_changes(batch, batch_id, count).persist(StorageLevel.MEMORY_AND_DISK)
+        version = manifest["version"] + 1
+        incoming = self._last_changes(batch, batch_id, count).withColumn("_version", F.lit(version).cast("long"))
+        incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # at most one row per bucket comes back
             touched = [r[0] for r in incoming.select("_bucket").distinct().collect()]
@@ -121,7 +210,8 @@ class KeyedTable:
                 # one exchange serves the reduction (grouped by bucket and key) and the write
                 both = both.repartition(len(touched), "_bucket")
                 rows = self._reduced(both, ["_bucket", *self.key])
-            version = manifest["version"] + 1
+                if not self.tombstones:
+                    rows = rows.filter((F.col("_op") != DELETE) | ~F.col("_bucket").isin(*full))
             # a fresh name, so that what a failed attempt left behind is never read or in the way
             folder = f"v{version:010d}-{uuid.uuid4().hex}"
             rows.write.partitionBy("_bucket").parquet(f"{self.path}/data/{folder}")
@@ -133,6 +223,9 @@ class KeyedTable:
             **manifest["buckets"],
             **{str(b): [version] if b in rewritten else [*held[b], version] for b in touched},
         }
+        if full and not self.tombstones:  # a bucket may have forgotten its last row
+            written = storage.list_names(self.spark, f"{self.path}/data/{folder}")
+            buckets.update({str(b): [] for b in full if f"_bucket={b}" not in written})
         in_use = {v for versions in buckets.values() for v in versions}
         folders = {**manifest["folders"], str(version): folder}
         commit = {
@@ -147,7 +240,7 @@ class KeyedTable:
         return True
 
     def _bucket(self, count: int) -> Column:
-        return F.pmod(F.xxhash64(*self.key), F.lit(count)).cast("int")
+        return F.pmod(F.xxhash64(*self.bucket_by), F.lit(count)).cast("int")
 
     def _reduced(self, rows: DataFrame, grouping: Sequence[str]) -> DataFrame:
         """Newest change per key; the row keeps the time its key was first written."""
