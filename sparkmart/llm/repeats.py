@@ -300,11 +300,11 @@ def shared_passages(keyed: DataFrame) -> DataFrame:
     def run(batches):
         roller = Roller()
         for batch in batches:
-            for doc, text in zip(batch.column("doc").to_pylist(), texts_of(batch)):
-                strings = passage_strings(text, roller)
-                if len(strings):
-                    columns = [pa.array(strings.view(np.int64)), pa.array(np.full(len(strings), doc))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["string", "doc"])
+            found = [passage_strings(text, roller).view(np.int64) for text in texts_of(batch)]
+            owner = np.repeat(np.arange(len(found)), [len(x) for x in found])
+            if len(owner):
+                columns = [pa.array(np.concatenate(found)), batch.column("doc").take(pa.array(owner))]
+                yield pa.RecordBatch.from_arrays(columns, names=["string", "doc"])
 
     strings = keyed.select("doc", "text").mapInArrow(run, "string long, doc long")
     # summed before the exchange; read twice and not written, as the texts are near and the strings many
