@@ -7,15 +7,20 @@ scheduler's business.  Faults are raised.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from sparkmart.operators import cdc
 from sparkmart.plans import marts, refresh
+from sparkmart.session import scratch_scope
 from sparkmart.sources.keyed_table import KeyedTable, upsert_rows
 from sparkmart.specs import TABLES, TableSpec
 from sparkmart.streaming import ingest
+from sparkmart.streaming.retract import images, merge_with_feed
 
 Lines = Callable[[str], DataFrame]
 
@@ -134,6 +139,85 @@ def mart_refresh_job(
     }
 
 
+def marts_from_logs(
+    spark: SparkSession,
+    lines: Mapping[str, DataFrame],
+    rows: Mapping[str, T.StructType],
+    silver: Mapping[str, KeyedTable],
+    gold: Mapping[str, KeyedTable],
+    checkpoint: str,
+    variant: str = marts.PRODUCT,
+    quarantine: str | None = None,
+    every: str | None = None,
+    sink_types: bool = True,
+) -> StreamingQuery:
+    """Keep silver tables and marts current from change logs alone.
+
+    One stream reads the logs of all roles together. Each micro-batch is merged into the silver tables, whose change feed between the
+    two versions says which rows were there before and after; the marts recompute the keys that these rows reach. A batch that
+    runs again after a failure finds the same versions and feeds, and each mart takes it once. Its scratch folders go
+    with it. ``gold`` names the marts to keep.
+    """
+    parts = [stream.select(F.lit(role).alias("role"), "value") for role, stream in lines.items()]
+    every_line = reduce(DataFrame.unionByName, parts)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        writer = ingest.writer_of(spark, "marts", checkpoint)
+        batch.persist()
+        try:
+            with scratch_scope(spark):
+                changed = {}
+                # one row per role
+                for role in sorted(r[0] for r in batch.select("role").distinct().collect()):
+                    events, bad = cdc.decode(batch.filter(F.col("role") == role), rows[role], key=silver[role].key)
+                    if quarantine is not None:
+                        bad.write.mode("overwrite").text(f"{quarantine}/{role}/stream={writer.rpartition(':')[2]}/batch={batch_id}")
+                    found = merge_with_feed(silver[role], cdc.changes(events, silver[role].key), batch_id, writer)
+                    if found is not None:
+                        changed[role] = images(found[0], "before", "after")
+                if changed:
+                    _follow(spark, rows, silver, gold, changed, batch_id, writer, variant, sink_types)
+        finally:
+            batch.unpersist()
+
+    return ingest.start_batches(every_line, step, checkpoint, every)
+
+
+def _follow(spark, rows, silver, gold, changed, batch_id, stream, variant, sink_types) -> None:
+    tables = {
+        role: table.read() if table.versions() else spark.createDataFrame([], rows[role]) for role, table in silver.items()
+    }
+    for name, target in gold.items():
+        reach = {role: df for role, df in changed.items() if role in refresh.feeds(name)}
+        if reach:
+            refresh.refresh(name, tables, reach, target, batch_id, variant, stream, sink_types)
+
+
+def every_tick(spark: SparkSession, action: Callable[[int], None], interval: str, checkpoint: str, runs: int | None = None) -> int:
+    """Run an action at a steady interval, ``runs`` times or until it fails; returns how often it ran.
+
+    A rate source gives the ticks, so what is missed while an action takes long is not made up for. A fault in the
+    action ends the stream and is raised. An action gets the number of its run, counted in the checkpoint.
+    """
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    done: list[int] = []
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        if runs is None or len(done) < runs:
+            action(batch_id)
+            done.append(batch_id)
+
+    query = ingest.start_batches(ticks, step, checkpoint, interval)
+    try:
+        while query.isActive and (runs is None or len(done) < runs):
+            query.awaitTermination(0.2)
+    finally:
+        query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+    return len(done)
+
+
 def marts_job(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],

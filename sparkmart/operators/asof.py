@@ -10,8 +10,8 @@ these cells (so a burst is cut like any other stretch), refined evenly by the ro
 Each slice then starts with a carry row: the last right row of the earlier slices, found from
 one (partially aggregated) summary row per slice.  The result is the same with or without cuts.
 Every key above the limit is cut; their list and their cuts are written and joined without a hint,
-so Spark picks the join by their true size.  Finding hot keys costs one pass over keys and times;
-where none is found, the plan is the plain one.  Rows of one key at one instant stay together.
+so Spark picks the join by their true size.  Finding hot keys costs one pass over the keys (counted by
+hash bucket first, see ``skew.hot_keys``); where none is found, the plan is the plain one.  Rows of one key at one instant stay together.
 
 Left rows with a null key or time match nothing: they are set aside before the exchange and added
 to the result.  Building a result runs the search for hot keys (and writes ``derived`` left rows).
@@ -168,8 +168,8 @@ def _run(
     left = left.filter(all_present([*left_keys, left_time]))
     rows, keys = _stack(left, left_keys, left_time, rights)
     n, limit = len(rights), skew.SPLIT_ROWS if split_rows is None else split_rows
-    hot = settle(skew.hot_keys(rows, keys, limit), "hot-keys")
-    if hot.isEmpty():
+    hot = skew.hot_keys(rows, keys, limit)
+    if hot is None:
         rows = rows.withColumns(
             {"_way": F.lit(None).cast("string"), "_slice": F.lit(None).cast("long")}
         )

@@ -1,8 +1,8 @@
 """Table-level checks driven by the declared specs.
 
-Rows that refer to nothing, and all keys, are found together: each table is read once and gives a row
-per rule, so there is one exchange.  Counts of references take one pass per rule over typed values, which are
-counted before the exchange, so a parent with a third of all references is one row per task.
+Rows that refer to nothing are found together: each table is read once and gives a row per rule, so there is
+one exchange.  Counts of references and of keys take one pass per rule over typed values, which are counted before
+the exchange, so a parent with a third of all references, or a key with a third of all rows, is one row per task.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.operators.keyed import duplicate_keys
 from sparkmart.specs import TABLES, TableSpec
 
 
@@ -92,30 +93,17 @@ def reference_violation_counts(
     )
 
 
-def _key_values(tables: Mapping[str, DataFrame], specs: Mapping) -> DataFrame:
-    """(table, key columns, values) of every key that has no null in it."""
+def key_violations(tables: Mapping[str, DataFrame], specs: Mapping = TABLES) -> DataFrame:
+    """Duplicate primary and unique keys of every table or mart, as (table, key, value, copies).
+
+    Each rule counts its keys in their own types, summed before the exchange, so a key with a third of the rows is one row per
+    task; only keys that repeat become text. Keys with a null are outside a uniqueness rule.
+    """
     found = []
     for name, df in tables.items():
-        rules = (specs[name].key, *getattr(specs[name], "unique", ()))
-        for rule in rules:
+        for rule in (specs[name].key, *getattr(specs[name], "unique", ())):
             _need(df, rule, name)
-        each = F.array(
-            *[
-                F.struct(
-                    F.lit(",".join(rule)).alias("key_columns"),
-                    F.array(*[F.col(k).cast("string") for k in rule]).alias("_values"),
-                )
-                for rule in rules
-            ]
-        )
-        found.append(df.select(F.lit(name).alias("table_name"), F.inline(each)))
-    return reduce(DataFrame.unionByName, found).filter(~F.exists("_values", lambda v: v.isNull()))
-
-
-def key_violations(tables: Mapping[str, DataFrame], specs: Mapping = TABLES) -> DataFrame:
-    """Duplicate primary and unique keys of every table or mart, as (table, key, value, copies)."""
-    counted = _key_values(tables, specs).groupBy("table_name", "key_columns", "_values")
-    copies = counted.agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
-    return copies.select(
-        "table_name", "key_columns", F.array_join("_values", ",").alias("key_value"), "copies"
-    )
+            text = F.array_join(F.array(*[F.col(k).cast("string") for k in rule]), ",")
+            labels = [F.lit(name).alias("table_name"), F.lit(",".join(rule)).alias("key_columns")]
+            found.append(duplicate_keys(df, rule).select(*labels, text.alias("key_value"), "copies"))
+    return reduce(DataFrame.unionByName, found)

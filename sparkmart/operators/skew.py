@@ -12,19 +12,29 @@ from sparkmart.session import settle
 
 # Rows of one key that one task is expected to handle with ease.
 SPLIT_ROWS = 4_000_000
+BUCKETS = 1 << 16  # in which rows are counted before keys are
 
 
 def all_present(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], split_rows: int) -> DataFrame:
-    """All keys with more than ``split_rows`` rows, with their number of rows.
+def hot_keys(rows: DataFrame, keys: Sequence[str], split_rows: int) -> DataFrame | None:
+    """All keys with more than ``split_rows`` rows, with their number of rows, written out; none if there is none.
 
-    There are fewer of them than rows / ``split_rows``.  Rows are counted before they are exchanged.
+    A key cannot have more rows than its hash bucket.  So rows are counted by 2**16 buckets first, which takes an
+    exchange of so many numbers per task at most, and keys are counted one by one in the crowded buckets
+    only.  There are fewer hot keys than rows / ``split_rows``, and fewer crowded buckets.
     """
-    counted = rows.filter(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counted.filter(F.col("_rows") > split_rows)
+    present = rows.filter(all_present(keys))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    counted = present.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+    crowded = [r[0] for r in counted.filter(F.col("_rows") > split_rows).select("_bucket").collect()]
+    if not crowded:
+        return None
+    each = present.filter(bucket.isin(crowded)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = settle(each.filter(F.col("_rows") > split_rows), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def join_many_to_one(
@@ -39,16 +49,17 @@ def join_many_to_one(
     splits their partitions, as both sides come from an exchange.  All other rows are joined as usual.
     Rows with a null key match nothing and are set aside.
 
-    Building the result runs the search for hot keys: one pass over the keys of ``many``.
+    Building the result runs the search for hot keys (``hot_keys``): one pass over the keys of ``many``.
     """
     on = list(on)
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
-    hot = settle(hot_keys(many, on, SPLIT_ROWS if split_rows is None else split_rows), "hot-keys").select(*on)
+    hot = hot_keys(many, on, SPLIT_ROWS if split_rows is None else split_rows)
     keyed = many.filter(all_present(on))
-    if hot.isEmpty():
+    if hot is None:
         joined = keyed.join(one, on, how)
     else:
+        hot = hot.select(*on)
         needed = settle(one.join(hot, on, "left_semi"), "hot-rows")
         split = keyed.join(hot, on, "left_semi").join(needed, on, how)
         joined = split.unionByName(keyed.join(hot, on, "left_anti").join(one, on, how))

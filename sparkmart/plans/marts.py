@@ -409,7 +409,8 @@ def mart_key(name: str, variant: str) -> tuple[str, ...]:
     return key
 
 
-def publish(df: DataFrame, name: str) -> DataFrame:
-    """Sink types of a mart: measures as DECIMAL(19,4)."""
+def publish(df: DataFrame, name: str, asof: Column | None = None) -> DataFrame:
+    """Sink types of a mart: measures as DECIMAL(19,4); rows without a time get ``asof``, as a sink that requires one needs."""
     spec = MARTS[name]
-    return df.withColumns({c: F.col(c).cast("decimal(19,4)") for c in spec.decimals})
+    typed = df.withColumns({c: F.col(c).cast("decimal(19,4)") for c in spec.decimals})
+    return typed if asof is None else typed.withColumn("event_time", F.coalesce("event_time", asof))

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.operators.asof import asof_join
+from sparkmart.operators.keyed import latest_snapshot
 from sparkmart.plans import marts
 from sparkmart.session import settle
 from sparkmart.sources.keyed_table import KeyedTable, upsert_rows
@@ -20,11 +22,16 @@ from sparkmart.sources.keyed_table import KeyedTable, upsert_rows
 
 @dataclass(frozen=True)
 class Path:
-    """Changed rows of ``role`` reach the driving key by these hops of (column, role, column, next)."""
+    """Changed rows of ``role`` reach the driving key by these hops of (column, role, column, next).
+
+    ``facts`` (a role, its driving key first in its grain) say that in the linear variant a changed row applies only to the facts between its
+    time and the next row's: see ``_in_force``.
+    """
 
     role: str
     column: str
     hops: tuple[tuple[str, str, str], ...] = ()
+    facts: tuple[str, tuple[str, ...]] | None = None
 
 
 @dataclass(frozen=True)
@@ -49,7 +56,7 @@ DRIVERS: dict[str, Driver] = {
             Path("asset", "id"),
             Path("equipment", "asset_id"),
             Path("region", "id", (_STATUS_BY_REGION,)),
-            Path("condition", "region_id", (_STATUS_BY_REGION,)),
+            Path("condition", "region_id", (_STATUS_BY_REGION,), ("asset_status", ("asset_id", "region_id"))),
         ),
     ),
     "subject_priority": Driver(
@@ -60,7 +67,7 @@ DRIVERS: dict[str, Driver] = {
             Path("sensor", "id", (_OBSERVATION_BY_SENSOR,)),
             Path("interference", "sensor_id", (_OBSERVATION_BY_SENSOR,)),
             Path("asset_status", "asset_id", (_SENSOR_BY_ASSET, _OBSERVATION_BY_SENSOR)),
-            Path("condition", "region_id", (_OBSERVATION_BY_REGION,)),
+            Path("condition", "region_id", (_OBSERVATION_BY_REGION,), ("observation", ("subject_id", "region_id"))),
         ),
     ),
     "incident_instructions": Driver(
@@ -105,14 +112,41 @@ def feeds(name: str) -> set[str]:
     return {path.role for path in DRIVERS[name].paths}
 
 
+def _in_force(path: Path, tables: Mapping[str, DataFrame], changed: DataFrame) -> DataFrame:
+    """Driving keys of the facts that a changed row applies to, or applied to.
+
+    In the linear variant that is the newest row of the fact's ``column`` at or before it. The changed rows (before and after)
+    are put among the unchanged ones of their values; a fact is touched if the newest of all these is a changed one: else
+    the row that applies to it has not changed. One as-of join over the facts of these values, and no others.
+    """
+    role, grain = path.facts
+    moved = changed.select(path.column, "event_time", "id", F.lit(True).alias("_moved")).distinct()
+    near = moved.select(path.column).distinct()
+    still = tables[path.role].select(path.column, "event_time", "id")
+    still = still.join(near, path.column, "left_semi").join(moved.select("id"), "id", "left_anti")
+    rows = still.withColumn("_moved", F.lit(False)).unionByName(moved)
+    facts = latest_snapshot(tables[role].select(*grain, "event_time", "id"), grain, ties=("id",))
+    facts = facts.join(near, path.column, "left_semi").select(*grain, "event_time")
+    met = asof_join(
+        facts, rows, [(path.column, path.column)], "event_time", "event_time", {"_met": "_moved"}, ties=("_moved", "id"), how="inner"
+    )
+    return met.filter("_met").select(F.col(grain[0]).alias("_touched")).distinct()
+
+
 def touched_keys(
-    name: str, tables: Mapping[str, DataFrame], changed: Mapping[str, DataFrame]
+    name: str,
+    tables: Mapping[str, DataFrame],
+    changed: Mapping[str, DataFrame],
+    variant: str = marts.PRODUCT,
 ) -> DataFrame:
     """Distinct driving keys that the changed rows can affect, as column ``_touched``."""
     found = []
     for path in DRIVERS[name].paths:
         if path.role not in changed:
             continue
+        if variant == marts.LINEAR and path.facts:
+            found.append(_in_force(path, tables, changed[path.role]))
+            continue
         keys = changed[path.role].select(F.col(path.column).alias("_touched")).distinct()
         for role, source, target in path.hops:
             reached = tables[role].select(F.col(source).alias("_from"), F.col(target).alias("_to"))
@@ -158,7 +192,7 @@ def affected_rows(
     variant: str = marts.PRODUCT,
 ) -> DataFrame:
     """Mart rows of the touched keys, computed from those keys' facts only."""
-    return _build(name, tables, touched_keys(name, tables, changed), variant)
+    return _build(name, tables, touched_keys(name, tables, changed, variant), variant)
 
 
 def refresh(
@@ -181,7 +215,7 @@ def refresh(
     were before, after, or both, so that keys a row has left are touched too.
     """
     # read by three branches below
-    keys = settle(touched_keys(name, tables, changed), "touched")
+    keys = settle(touched_keys(name, tables, changed, variant), "touched")
     rows = _build(name, tables, keys, variant)
     rows = settle(marts.publish(rows, name) if sink_types else rows, "affected")
     generation = target.generation()

@@ -88,11 +88,6 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def is_small(df: DataFrame, limit_bytes: int) -> bool:
-    size = estimated_bytes(df)
-    return size is not None and size <= limit_bytes
-
-
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate to the shared scratch folder and go on from there.
 

@@ -6,16 +6,15 @@ database runs in a transaction.  Any driver on the session's classpath can be us
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkmart.operators.keyed import latest_per_key
-from sparkmart.session import is_small
 
 BATCH_ROWS = 2000
-TINY_BYTES = 1 << 20
 
 
 def cast_columns(columns: Sequence[str], casts: Mapping[str, str]) -> list[str]:
@@ -65,13 +64,12 @@ def replace_statements(
 
 
 def stage(df: DataFrame, url: str, staging: str, props: Mapping[str, str], partitions: int) -> None:
-    """Write rows to the staging table over ``partitions`` connections (one if the frame is tiny).
+    """Write rows to the staging table over ``partitions`` connections.
 
     The exchange keeps the work before it parallel; only the connections are few.
     """
-    connections = 1 if is_small(df, TINY_BYTES) else partitions
     (
-        df.repartition(connections)
+        df.repartition(partitions)
         .write.format("jdbc")
         .options(**props)
         .option("url", url)
@@ -83,6 +81,22 @@ def stage(df: DataFrame, url: str, staging: str, props: Mapping[str, str], parti
     )
 
 
+@contextmanager
+def _staged(df: DataFrame, url: str, table: str, props: Mapping[str, str], partitions: int):
+    """A staging table of this run's own, dropped whatever happens."""
+    staging = staging_name(table)
+    try:
+        stage(df, url, staging, props, partitions)
+        yield staging
+    finally:
+        _execute(df.sparkSession, url, props, [f"DROP TABLE IF EXISTS {staging}"])
+
+
+def staging_name(table: str) -> str:
+    """A name that no other run uses."""
+    return f"{table}_staging_{uuid.uuid4().hex[:12]}"
+
+
 @contextmanager
 def _transaction(spark: SparkSession, url: str, props: Mapping[str, str]):
     jvm_props = spark._jvm.java.util.Properties()
@@ -123,12 +137,10 @@ def upsert(
 ) -> None:
     """Deduplicate on the key, stage, then upsert in one statement; faults are raised."""
     spark = df.sparkSession
-    staging = f"{table}_staging"
     rows = latest_per_key(df, key, (time,))
-    stage(rows, url, staging, props, partitions)
     build = {"merge": merge_statement, "on_conflict": on_conflict_statement}[dialect]
-    _execute(spark, url, props, [build(table, staging, rows.columns, key, casts or {})])
-    _execute(spark, url, props, [f"DROP TABLE {staging}"])
+    with _staged(rows, url, table, props, partitions) as staging:
+        _execute(spark, url, props, [build(table, staging, rows.columns, key, casts or {})])
 
 
 def replace(
@@ -140,7 +152,5 @@ def replace(
     partitions: int = 4,
 ) -> None:
     """Replace all rows of the target in one transaction."""
-    staging = f"{table}_staging"
-    stage(df, url, staging, props, partitions)
-    _execute(df.sparkSession, url, props, replace_statements(table, staging, df.columns, casts or {}))
-    _execute(df.sparkSession, url, props, [f"DROP TABLE {staging}"])
+    with _staged(df, url, table, props, partitions) as staging:
+        _execute(df.sparkSession, url, props, replace_statements(table, staging, df.columns, casts or {}))

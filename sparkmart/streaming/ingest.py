@@ -16,6 +16,7 @@ from sparkmart.operators import cdc
 from sparkmart.operators.keyed import newest_of
 from sparkmart.sources import storage
 from sparkmart.sources.keyed_table import KeyedTable
+from sparkmart.streaming.metrics import BatchMetrics
 
 
 def text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -26,7 +27,7 @@ def text_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     return reader.text(path)
 
 
-def _start(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, every: str | None):
+def start_batches(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, every: str | None):
     """Start a batch-function sink: once over what is there, or at a steady interval."""
     writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
@@ -71,7 +72,7 @@ def ingest(
             if quarantine is not None:
                 batch.unpersist()
 
-    return _start(lines, merge, checkpoint, every)
+    return start_batches(lines, merge, checkpoint, every)
 
 
 @dataclass(frozen=True)
@@ -86,8 +87,7 @@ class Feed:
 
 
 def ingest_all(feeds: Mapping[str, Feed], every: str | None = None, wave: int = 8) -> dict[str, int]:
-    """Run the feeds as concurrent queries; any fault is raised.  Returns rows read per feed (in
-    the micro-batches whose progress Spark still keeps).
+    """Run the feeds as concurrent queries; any fault is raised.  Returns rows read per feed, in all micro-batches.
 
     With a steady interval all feeds run until one stops; otherwise they run to the end of the
     available input, ``wave`` at a time.
@@ -104,15 +104,18 @@ def ingest_all(feeds: Mapping[str, Feed], every: str | None = None, wave: int =
         return {}
     read: dict[str, int] = {}
     names = list(feeds)
-    for start in range(0, len(names), wave):
-        started = {
-            n: ingest(f.lines, f.row, f.table, f.checkpoint, quarantine=f.quarantine)
-            for n in names[start : start + wave]
-            for f in [feeds[n]]
-        }
-        for name, q in started.items():
-            q.awaitTermination()
-            read[name] = sum(p["numInputRows"] for p in q.recentProgress)
+    if not names:
+        return read
+    with BatchMetrics(feeds[names[0]].table.spark) as seen:
+        for start in range(0, len(names), wave):
+            started = {
+                n: ingest(f.lines, f.row, f.table, f.checkpoint, quarantine=f.quarantine)
+                for n in names[start : start + wave]
+                for f in [feeds[n]]
+            }
+            for name, q in started.items():
+                q.awaitTermination()
+                read[name] = seen.rows(q)
     return read
 
 
@@ -135,6 +138,46 @@ def latest_state(
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def pinned_version(table: KeyedTable, checkpoint: str, batch_id: int) -> int:
+    """The version of a table that a micro-batch reads: the newest when it first ran, the same one if it runs again.
+
+    It is written down next to the checkpoint before it is used; keep the versions that a replay may need.
+    """
+    note = f"{checkpoint}-versions/{batch_id}"
+    if not storage.exists(table.spark, note):
+        storage.create_text(table.spark, note, str((table.versions() or [0])[-1]))
+    return int(storage.read_text(table.spark, note))
+
+
+def join_versions(
+    facts: DataFrame,
+    table: KeyedTable,
+    path: str,
+    checkpoint: str,
+    how: str = "inner",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Stream to keyed-table join on the table's key, where the table changes while the stream runs.
+
+    Each micro-batch joins one version (``pinned_version``) and writes the folder of its own number, so a
+    batch that runs again after a failure writes the same rows in the same place.  Before the table has any
+    version, an inner join finds nothing and another ``how`` is an error.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        version = pinned_version(table, checkpoint, batch_id)
+        if not version:
+            if how != "inner":
+                raise FileNotFoundError(f"{table.path} has no committed version")
+            return
+        joined = batch.join(table.read(version), table.key, how)
+        joined.withColumn("table_version", F.lit(version).cast("long")).write.mode("overwrite").parquet(
+            f"{path}/batch={batch_id}"
+        )
+
+    return start_batches(facts, write, checkpoint, every)
+
+
 def append_stream(stream: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Append a stream to a parquet lake copy (exactly once through the sink's own log)."""
     writer = stream.writeStream.format("parquet").option("path", path)

@@ -8,6 +8,7 @@ from sparkmart.workload import (  # noqa: F401  (importing registers the queries
     functions,
     joins,
     marts,
+    retract,
     shaping,
     sinks,
     streams,

@@ -35,8 +35,7 @@ def _count_if(t: Tables) -> DataFrame:
 
 @query(
     "agg_rate_pct",
-    """SELECT asset_id, ROUND(100.0 * COUNT(*) FILTER (WHERE result = 'destroyed')
-            / NULLIF(COUNT(*) FILTER (WHERE result <> 'escaped'), 0), 2) AS rate_pct
+    """SELECT asset_id, round(mean(CASE result WHEN 'destroyed' THEN 1 WHEN 'escaped' THEN NULL ELSE 0 END) * 100, 2) AS rate_pct
         FROM r_interaction GROUP BY asset_id""",
 )
 def _rate(t: Tables) -> DataFrame:
