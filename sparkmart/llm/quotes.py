@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import let, numbered, running_sums
+from sparkmart.operators.asof import asof_join
 from sparkmart.session import settle
 
 # How lines end that announce a quote (English, German, French, Spanish).
 ANNOUNCED = r"(?i)^.{0,200}\b(wrote|writes|schrieb|a écrit|escribió)\s*:\s*$"
 MARKS = r"^(?:[ \t]*>)+"
+_PLACE = ["_row", "_no_conv", "_conv", "_at", "_pos"]
 
 
 def quote_level(line: Column) -> Column:
@@ -32,37 +34,123 @@ def unquoted_text(text: Column) -> Column:
     return F.regexp_replace(body, r"(?s)^\s*\n|\s+$", "")
 
 
+def _plain(line: Column) -> Column:
+    """The text of a line without quote marks: lower case, white space folded."""
+    return F.trim(F.regexp_replace(F.lower(F.regexp_replace(line, MARKS, "")), r"\s+", " "))
+
+
 def _lines(messages: DataFrame) -> DataFrame:
-    """One row per line that is not blank: its level, the hash of its normalised text, its length."""
+    """One row per line that is not blank: its level, its normalised text."""
     lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
-    cut = messages.select("_row", "_no_conv", "_conv", "_at", F.posexplode(lines).alias("line_no", "line"))
-    bare = F.regexp_replace(F.col("line"), MARKS, "")
-    plain = F.trim(F.regexp_replace(F.lower(bare), r"\s+", " "))
-    return cut.select(
-        "_row", "_no_conv", "_conv", "_at", "line_no", quote_level(F.col("line")).alias("level"), plain.alias("plain")
-    ).where("plain <> ''")
+    cut = messages.select(*_PLACE, F.posexplode(lines).alias("line_no", "line"))
+    return cut.select(*_PLACE, "line_no", quote_level(F.col("line")).alias("level"), _plain(F.col("line")).alias("plain")).where(
+        "plain <> ''"
+    )
+
+
+def _passages(messages: DataFrame) -> DataFrame:
+    """Lines of quoted passages (runs of lines of one level), with the number of the passage in its message."""
+    in_message = Window.partitionBy("_row").orderBy("line_no")
+    begins = F.coalesce(F.lag("level").over(in_message) != F.col("level"), F.lit(True))
+    cut = _lines(messages.where(F.rlike("text", F.lit(r"(?m)^[ \t]*>")))).withColumn("_begins", begins.cast("int"))
+    return cut.withColumn("passage", F.sum("_begins").over(in_message)).where("level > 0").drop("_begins")
+
+
+def _own_words(text: Column) -> Column:
+    """Words of the lines a message says itself."""
+    own = F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda line: quote_level(line) == 0)
+    return F.filter(F.split(_plain(F.array_join(own, " ")), " "), lambda w: w != "")
+
+
+def _with_runs(df: DataFrame, levels: int) -> DataFrame:
+    """Add ``runs``: for each k below ``levels`` the hashes of the 2**k words from each word on.
+
+    The hash of a run is that of its two halves, so every level costs one pass over the words.
+    """
+    run = F.transform("words", lambda w: F.xxhash64(w))
+    names = []
+    for k in range(levels):
+        names.append(f"_run{k}")
+        df = df.withColumn(names[-1], run)
+        half, this = 1 << k, F.col(names[-1])
+        left = F.slice(this, F.lit(1), F.greatest(F.size(this) - half, F.lit(0)))
+        right = F.slice(this, F.lit(half + 1), F.greatest(F.size(this) - half, F.lit(0)))
+        run = F.zip_with(left, right, lambda a, b: F.xxhash64(a, b))
+    return df.select("*", F.array(*names).alias("runs")).drop(*names)
+
+
+def _holders(messages: DataFrame, passages: DataFrame) -> DataFrame:
+    """``_row, passage, _source``: the latest earlier message of the conversation that holds a whole passage.
+
+    A passage of m words, 2**k <= m < 2**(k+1), is known by its first and its last 2**k words and by m. Originals look up
+    the run of 2**k words from each of their words on; where it begins a passage, their run that ends where the passage
+    would end must be its last one. So line ends do not matter, and passages quoted often are looked up once.
+    """
+    whole = passages.groupBy(*_PLACE, "passage").agg(F.sort_array(F.collect_list(F.struct("line_no", "plain"))).alias("lines"))
+    words = F.split(F.array_join(F.transform("lines", lambda x: x["plain"]), " "), " ")
+    whole = settle(whole.select(*_PLACE, "passage", words.alias("words")), "quote-passages")
+    longest = whole.agg(F.max(F.size("words"))).first()[0] or 0
+    if not longest:
+        return None
+    levels = longest.bit_length()  # of the number of words, so few
+    size = F.size("words")
+    level = sum((F.when(size >= 1 << k, 1).otherwise(0) for k in range(1, levels)), F.lit(0))
+    known = _with_runs(whole, levels).withColumn("k", level)
+    of_level = F.get("runs", F.col("k"))
+    key = ["_no_conv", "_conv", "k", "run", "m", "end"]
+    known = known.select(
+        *_PLACE, "passage", "k", size.alias("m"), F.get(of_level, F.lit(0)).alias("run"),
+        F.get(of_level, size - F.pow(F.lit(2), F.col("k")).cast("int")).alias("end"),
+    )
+    known = settle(known, "quote-known")
+    classes = known.select(*key).distinct()
+    asked = messages.join(known.select("_no_conv", "_conv").distinct(), ["_no_conv", "_conv"], "left_semi")
+    said = settle(_with_runs(asked.select(*_PLACE, _own_words(F.col("text")).alias("words")), levels).drop("words"), "quote-runs")
+    starts = said.select("_row", "_no_conv", "_conv", F.posexplode("runs").alias("k", "level_runs")).select(
+        "_row", "_no_conv", "_conv", "k", F.posexplode("level_runs").alias("i", "run")
+    )
+    met = starts.join(classes, ["_no_conv", "_conv", "k", "run"]).groupBy("_row").agg(
+        F.collect_set(F.struct("k", "i", "run", "m", "end")).alias("met")
+    )
+    last = lambda c: F.get(F.get("runs", c["k"]), c["i"] + c["m"] - F.pow(F.lit(2), c["k"]).cast("int"))
+    held = said.join(met, "_row").select(*_PLACE, F.explode(F.filter("met", lambda c: last(c) == c["end"])).alias("c"))
+    held = held.select(*_PLACE, "c.k", "c.run", "c.m", "c.end").distinct()
+    # places in the conversation are numbers, for the as-of join; an earlier message is one that stands before
+    return asof_join(
+        known.select(*key, "_row", "passage", (F.col("_pos") - 1).alias("_before")),
+        held.select(*key, "_pos", F.struct("_at", "_row").alias("_holder"), F.col("_row").alias("_held_by")),
+        [(c, c) for c in key],
+        "_before",
+        "_pos",
+        {"_source": "_holder"},
+        how="inner",
+        ties=("_held_by",),
+    ).select("_row", "passage", "_source")
 
 
 def _links(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Replies (``_row``, ``_parent``) and, per message with quotes, how many passages it has and links."""
     line_key = ["_no_conv", "_conv", "hash"]
     hashed = _lines(messages).withColumn("hash", F.xxhash64("plain"))
-    # the original of a line is the first message of the conversation that says it itself
+    # where no message says a passage as a whole: the first message that says a line itself
     originals = (
         hashed.where("level = 0").groupBy(*line_key).agg(F.min(F.struct("_at", "_row")).alias("first"))
     )
-    in_message = Window.partitionBy("_row").orderBy("line_no")
-    begins = F.coalesce(F.lag("level").over(in_message) != F.col("level"), F.lit(True))
-    of_quoting = _lines(messages.where(F.rlike("text", F.lit(r"(?m)^[ \t]*>")))).withColumn("hash", F.xxhash64("plain"))
-    cut = of_quoting.withColumn("_begins", begins.cast("int"))
-    passages = cut.withColumn("passage", F.sum("_begins").over(in_message)).where("level > 0")
-    found = passages.join(originals, line_key, "left").withColumn(
+    passages = settle(_passages(messages), "quote-lines")
+    found = passages.withColumn("hash", F.xxhash64("plain")).join(originals, line_key, "left").withColumn(
         "_source", F.when(F.col("first._at") < F.col("_at"), F.col("first"))
     )
     weighed = found.groupBy("_row", "passage", "level", "_source").agg(F.sum(F.length("plain")).alias("said"))
     # the message that says most of a passage; of equals, the latest
     best = F.max(F.when(F.col("_source").isNotNull(), F.struct("said", "_source")))
-    per_passage = weighed.groupBy("_row", "passage", "level").agg(best.alias("best"))
+    per_passage = weighed.groupBy("_row", "passage", "level").agg(best.alias("best"), F.sum("said").alias("all"))
+    holders = _holders(messages, passages)
+    if holders is not None:
+        whole = holders.withColumnRenamed("_source", "_whole")
+        said = F.struct(F.col("all").alias("said"), F.col("_whole").alias("_source"))
+        per_passage = per_passage.join(whole, ["_row", "passage"], "left").withColumn(
+            "best", F.when(F.col("_whole").isNotNull(), said).otherwise(F.col("best"))
+        )
     # the parent is what the shallowest linked passage quotes; of those, the longest
     shallow = F.max(F.when(F.col("best").isNotNull(), F.struct((-F.col("level")).alias("up"), "best")))
     per_message = settle(
@@ -93,9 +181,10 @@ def _threads(replies: DataFrame) -> DataFrame:
 def reply_ordered(messages: DataFrame) -> DataFrame:
     """Messages of every conversation in reply order, with their own words only.
 
-    Quoted passages (runs of lines of one level of ``>`` marks) are normalised (lower case, white space
-    folded), hashed line by line and joined to the earlier message of the same conversation that first
-    said the line itself. A message replies to what its shallowest linked passage quotes. Threads
+    Quoted passages (runs of lines of one level of ``>`` marks) are normalised (lower case, white space and line ends
+    folded), hashed, and joined to the latest earlier message of the same conversation that holds the whole passage among
+    its own words. Where none does, lines decide: the message that first said most of the passage, line by line. A
+    message replies to what its shallowest linked passage quotes. Threads
     stand in the order of their first messages, the messages of a thread in the order of their turns, so a
     reply always follows what it answers.
 
@@ -103,10 +192,10 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     ``depth, n_quotes, n_linked`` (passages), ``text``. Null text: empty, quotes nothing. Null conversation:
     one of its own. Null turn: last. Equal turns are ordered by role and text; equal rows all stay, in an
     order that makes no difference. A quote that no earlier message said is removed, but links nothing.
-    Empty table: no rows. Other columns are not read. A line that very many messages say has one
-    original, so no pairs arise; positions come from distributed prefix sums, so a conversation may be of any size.
+    Empty table: no rows. Other columns are not read. A very long text takes space in proportion to its words, in the task
+    that has it. A line that very many messages say has one original and passages are looked up once for all that quote them, so no pairs arise; positions come from distributed prefix sums, so a conversation may be of any size.
     """
-    rows = numbered(messages.select("conv_id", "turn", "role", "text"), "quote-rows").select(
+    numbered_rows = numbered(messages.select("conv_id", "turn", "role", "text"), "quote-rows").select(
         "*",
         F.col("conv_id").isNull().alias("_no_conv"),
         F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("_conv"),
@@ -117,6 +206,11 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
             F.xxhash64("text").alias("text"),
         ).alias("_at"),
     )
+    # the number of messages that stand before, the same for those that stand at one place
+    group = ["_no_conv", "_conv"]
+    placed = running_sums(numbered_rows.select("_row", *group, "_at"), group, ["_at"], [], "quote-places")
+    first = placed.groupBy(*group, "_at").agg(F.min("rows_before").alias("_pos"))
+    rows = settle(numbered_rows.join(first, [*group, "_at"]), "quote-messages")
     replies, counts = _links(rows)
     threads = settle(_threads(replies).join(replies, "_row"), "quote-threads")
     places = rows.select(F.col("_row").alias("_other"), F.col("_at").alias("_other_at"), F.col("turn").alias("_other_turn"))

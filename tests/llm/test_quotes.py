@@ -56,8 +56,9 @@ def test_nulls_repeats_and_empty(spark):
 
 
 def brute(rows):
-    """Parent of each message by scanning all earlier ones."""
+    """Parent of each message by searching its passages, as text, in all earlier ones; lines where no text has them."""
     plain = lambda s: " ".join(s.lower().split())
+    own = {(c, t): [x for x in other.split("\n") if not x.lstrip(" \t").startswith(">")] for c, t, _, other in rows}
     out = {}
     for conv, turn, role, text in rows:
         passages, level = [], 0
@@ -68,20 +69,72 @@ def brute(rows):
             if not plain(rest):
                 continue
             if depth and depth != level:
-                passages.append((depth, defaultdict(int)))
+                passages.append((depth, []))
             level = depth
             if depth:
-                for c, t, _, other in sorted(rows):
-                    own = [x for x in other.split("\n") if not x.lstrip(" \t").startswith(">")]
-                    if c == conv and plain(rest) in map(plain, own):
-                        if t < turn:
-                            passages[-1][1][t] += len(plain(rest))
-                        break
-        best = [(-d, max((n, t) for t, n in votes.items())) for d, votes in passages if votes]
+                passages[-1][1].append(plain(rest))
+        best = []
+        for depth, lines in passages:
+            whole = [t for (c, t), said in own.items() if c == conv and t < turn and f" {' '.join(lines)} " in f" {plain(' '.join(said))} "]
+            if whole:
+                best.append((-depth, (sum(map(len, lines)), max(whole))))
+                continue
+            votes = defaultdict(int)
+            for line in lines:
+                first = min((t for (c, t), said in own.items() if c == conv and line in map(plain, said)), default=turn)
+                if first < turn:
+                    votes[first] += len(line)
+            if votes:
+                best.append((-depth, max((n, t) for t, n in votes.items())))
         out[conv, turn, role] = max(best)[1][1] if best else None
     return out
 
 
+def test_the_message_that_holds_the_whole_passage(spark):
+    rows = [
+        (1, 0, "a", "Hello all,\nThanks in advance"),
+        (1, 1, "b", "Hello all,\nThe fix\nThanks in advance"),
+        (1, 2, "c", "> Hello all,\n> The fix\n> Thanks in advance\nIt works."),
+        # another width, and the middle of a line
+        (1, 3, "d", "> hello all, the\n> fix   thanks\n> in advance\nSame here."),
+        (1, 4, "e", "> fix Thanks\nWhich one?"),
+        # said by two: the latest of them; and one that only says it in a quote does not hold it
+        (1, 5, "f", ">> Hello all,\n> Same here.\nAgreed."),
+        (1, 6, "g", "> Hello all, The fix Thanks in\n> advance and more\nHm."),
+        (1, 7, "h", "> The fix\n\n> Thanks in advance\nOne passage with a blank line."),
+    ]
+    got = {t: r.reply_to for (_, t, _), r in rows_of(spark, rows).items()}
+    assert got == {k: v for (_, k, _), v in brute(rows).items()}
+    assert (got[2], got[3], got[4], got[5], got[7]) == (1, 1, 1, 3, 1)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_passages_by_brute_force(spark, seed):
+    """Longer texts of few words, quoted at other widths, at several levels, whole or in part."""
+    import random
+
+    rng = random.Random(seed)
+    words = "yes no we go to it and the".split()
+    rows = []
+    for conv in range(5):
+        said = []
+        for turn in range(9):
+            text = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 7))) for _ in range(rng.randrange(1, 5))]
+            lines = list(text)
+            for level in range(rng.randrange(0, 3)):
+                if said:
+                    source = " ".join(rng.choice(said)).split()
+                    a = rng.randrange(len(source))
+                    cut, width = source[a : a + rng.randrange(1, 20)], rng.randrange(1, 6)
+                    quoted = [">" * (level + 1) + " " + "  ".join(cut[i : i + width]) for i in range(0, len(cut), width)]
+                    lines = quoted + lines
+            said.append(text)
+            rows.append((conv, turn, "u", "\n".join(lines)))
+    want = brute(rows)
+    assert {k: r.reply_to for k, r in rows_of(spark, rows).items()} == want
+    assert sum(v is not None for v in want.values()) > 10
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_against_brute_force(spark, seed):
     import random
