@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart.llm.common import shared_value, texts_of
+from sparkmart.session import settle
 
 WINDOW = 13  # words of an overlap
 SIMILARITY_PCT = 80  # share of them that must be equal, place by place
@@ -114,7 +115,7 @@ class Block:
         return {w: i + 1 for i, w in enumerate(self.words)}
 
     def overlaps(self, tokens: np.ndarray) -> list[tuple[int, int, int, float]]:
-        """(item, first word, words covered, best share) of each item that the document overlaps."""
+        """(item, first word, word after the last, best share of the item) of each run of words that overlaps an item."""
         codes = self.codes[tokens]
         found = []
         for mask, bloom, keys, places in self.seeds:
@@ -151,12 +152,14 @@ class Block:
                 covered.setdefault(int(k), []).extend((int(low + s), int(low + s) + window, best) for s in starts)
         out = []
         for k, spans in covered.items():
-            spans.sort()
-            words, reach = 0, -1
-            for start, end, _ in spans:
-                words += end - max(start, reach) if end > reach else 0
-                reach = max(reach, end)
-            out.append((k, spans[0][0], words, max(s[2] for s in spans)))
+            best = max(s[2] for s in spans)
+            merged: list[list[int]] = []
+            for start, end, _ in sorted(spans):
+                if merged and start <= merged[-1][1]:
+                    merged[-1][1] = max(end, merged[-1][1])
+                else:
+                    merged.append([start, end])
+            out += [(k, start, end, best) for start, end in merged]
         return out
 
 
@@ -188,14 +191,28 @@ def _search(block: Block, batch: pa.RecordBatch, ids: dict[bytes, int]):
 HIT_SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
+        T.StructField("text_key", T.LongType()),
         T.StructField("item_id", T.LongType()),
-        T.StructField("first_word", T.LongType()),
-        T.StructField("n_words", T.LongType()),
+        T.StructField("start", T.LongType()),
+        T.StructField("end", T.LongType()),
         T.StructField("similarity", T.DoubleType()),
     ]
 )
 
 
+def _covered_words(spans):
+    """Words in the union of spans that come sorted by their start."""
+    step = F.aggregate(
+        spans,
+        F.struct(F.lit(0).cast("long").alias("words"), F.lit(-1).cast("long").alias("reach")),
+        lambda held, x: F.struct(
+            (held["words"] + F.greatest(x["end"] - F.greatest(x["start"], held["reach"]), F.lit(0))).alias("words"),
+            F.greatest(held["reach"], x["end"]).alias("reach"),
+        ),
+    )
+    return step["words"]
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Which documents contain words of which benchmark items.
 
@@ -206,12 +223,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     One row per document id and item id: the first overlapping word, the number of words in
     overlaps, the best share of equal words. Null or empty text on either side: no overlap. Items
-    under five words are not searched. Rows with the same id count as one document. Empty tables: no
+    under five words are not searched; longer ones than PIECE_WORDS are searched in overlapping pieces, whose overlaps are
+    put together. Rows with the same id count as one document, with the largest figures of its texts. Null ids are an id. Empty tables: no
     rows. Other columns are not read. A benchmark beyond BLOCK_WORDS words is searched in blocks, one
-    pass over the documents each, so neither the broadcast nor a task grows with it.
+    pass over the documents each, so neither the broadcast nor a task grows with it. A very long text is held whole by its task.
     """
     spark = docs.sparkSession
     found = spark.createDataFrame([], HIT_SCHEMA)
+    rows_in = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
     for block in benchmark_blocks(benchmark):
         shared = shared_value(spark, block)
 
@@ -219,26 +238,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             part = shared()
             ids = part.vocabulary()
             for batch in batches:
+                who = zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist())
                 rows = [
-                    (doc, part.item_ids[k], *rest)
-                    for doc, over in zip(batch.column("doc_id").to_pylist(), _search(part, batch, ids))
+                    (doc, key, part.item_ids[k], *rest)
+                    for (doc, key), over in zip(who, _search(part, batch, ids))
                     for k, *rest in over
                 ]
                 if rows:
-                    kinds = [pa.int64()] * 4 + [pa.float64()]
+                    kinds = [pa.int64()] * 5 + [pa.float64()]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=HIT_SCHEMA.names
                     )
 
-        found = found.unionByName(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(hits, HIT_SCHEMA))
-    return found.groupBy("doc_id", "item_id").agg(
+        found = found.unionByName(rows_in.mapInArrow(hits, HIT_SCHEMA))
+    # the spans of one text and item, from all pieces and blocks: at most as many as the text has words
+    per_text = found.groupBy("doc_id", "item_id", "text_key").agg(
+        F.min("start").alias("first_word"),
+        _covered_words(F.sort_array(F.collect_set(F.struct("start", "end")))).alias("n_words"),
+        F.max("similarity").alias("similarity"),
+    )
+    return per_text.groupBy("doc_id", "item_id").agg(
         F.min("first_word").alias("first_word"), F.max("n_words").alias("n_words"), F.max("similarity").alias("similarity")
     )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that overlap no benchmark item, as they came; cases as in ``contaminated``."""
-    spark = docs.sparkSession
+    """The documents that overlap no benchmark item, as they came; cases as in ``contaminated``.
+
+    What one block of the benchmark leaves is written before the next one is searched, so a task holds one block.
+    """
+    spark, searched = docs.sparkSession, False
     for block in benchmark_blocks(benchmark):
         shared = shared_value(spark, block)
 
@@ -248,5 +277,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for batch in batches:
                 yield batch.filter(pa.array([not over for over in _search(part, batch, ids)], pa.bool_()))
 
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = settle(docs, "clean-so-far") if searched else docs
+        docs, searched = docs.mapInArrow(clean, docs.schema), True
     return docs

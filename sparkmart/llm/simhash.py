@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import numbered, texts_of
+from sparkmart.llm.common import texts_of
 from sparkmart.llm.components import connected_components
 from sparkmart.session import settle
 
@@ -122,19 +122,11 @@ def near_duplicate_components(docs: DataFrame) -> DataFrame:
     Documents link if their fingerprints differ in four bits at most; the component is named after the
     smallest id that links reach. Null or empty text: fingerprint zero, which links like any other.
     Null ids belong to components, but name one (as null) only where no other id is in it. Repeated rows
-    stay, each with its component. Empty table: no rows. Other columns are not read.
+    stay, each with its component. Empty table: no rows. Other columns are not read. A very long text is held whole by
+    its task, with its words.
     """
     rows = settle(fingerprints(docs), "simhash-rows")
     # copies share a fingerprint: a large group is one row of the classes, and its skewed side is split
     return rows.join(_components(rows, F.col("doc_id")), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first").alias("component_id")
     )
-
-
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each component, as it came: the one with the smallest id (nulls last, then any)."""
-    rows = numbered(docs, "simhash-docs", "_simhash_row")
-    marked = settle(fingerprints(rows, ("doc_id", "_simhash_row")), "simhash-rows")
-    place = F.struct(F.col("doc_id").isNull(), "doc_id", "_simhash_row")
-    kept = _components(marked, place).select(F.col("first._simhash_row").alias("_simhash_row")).distinct()
-    return rows.join(kept, "_simhash_row", "left_semi").select(*docs.columns)

@@ -16,7 +16,7 @@ from sparkmart.llm.decontaminate import contaminated, decontaminate, errors_in,
 from sparkmart.llm.mixing import mix, mix_plan
 from sparkmart.llm.outliers import keep_good, quality_verdicts
 from sparkmart.llm.sharding import byte_shards
-from sparkmart.llm.simhash import RADIUS, keep_one_of_each, near_duplicate_components
+from sparkmart.llm.simhash import RADIUS, near_duplicate_components
 
 # names that operators use themselves
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, _row string, shard int, kept string, fp string"
@@ -199,9 +199,6 @@ def test_near_duplicates(spark):
             least[k] = d if least[k] is None else min(d, least[k])
     want = [(d, f"{prints[i]:016x}", least[find(i)]) for i, (d, *_) in enumerate(rows)]
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
-    kept = keep_one_of_each(docs(spark, rows))
-    assert kept.columns == docs(spark, rows).columns
-    assert len(kept.collect()) == len({find(i) for i in range(len(rows))})
     assert near_duplicate_components(docs(spark, rows).limit(0)).collect() == []
 
 
@@ -220,17 +217,17 @@ def test_components(spark):
 # -- decontamination -----------------------------------------------------------------------------
 
 
-def overlaps(doc, item):
-    """Any window of the item, on any diagonal, with enough equal words."""
+def covered(doc, item):
+    """Words of the document in any window, on any diagonal, with enough words equal to the item's."""
     d, b = plain_words((doc or "").encode()), plain_words((item or "").encode())
-    window = min(13, len(b))
+    window, out = min(13, len(b)), set()
     if len(b) < 5:
-        return False
+        return out
     for i in range(len(d) - window + 1):
         for j in range(len(b) - window + 1):
             if sum(x == y for x, y in zip(d[i : i + window], b[j : j + window])) >= window - errors_in(window):
-                return True
-    return False
+                out.update(range(i, i + window))
+    return out
 
 
 @pytest.mark.parametrize("block,piece", [(1_000_000, 50_000), (30, 20)])
@@ -250,9 +247,11 @@ def test_decontamination(spark, block, piece, monkeypatch):
             passage[rng.randrange(len(passage))] = rng.choice(["zz", "The"])
         rows.append((200 + k, " ".join(some(9)) + ", " + " ".join(passage).upper() + "! " + " ".join(some(9)), "en", "s"))
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = {(r.doc_id, r.item_id) for r in contaminated(docs(spark, rows), bench).collect()}
-    want = {(d, i) for d, t, _, _ in rows for i, b in items if overlaps(t, b)}
-    assert got == want and len(want) > 15
+    found = contaminated(docs(spark, rows), bench).collect()
+    got = {(r.doc_id, r.item_id): (r.n_words, r.first_word) for r in found}
+    words = {(d, i): covered(t, b) for d, t, _, _ in rows for i, b in items}
+    want = {key: (len(w), min(w)) for key, w in words.items() if w}
+    assert got == want and len(want) > 15 and len(found) == len(got)
     kept = decontaminate(docs(spark, rows), bench)
     assert kept.columns == docs(spark, rows).columns
     bad = {d for d, _ in want}
