@@ -121,9 +121,11 @@ def mix(docs: DataFrame, **targets) -> DataFrame:
     """The mixed documents themselves, with the columns they came with.
 
     A document is left out, kept, or repeated once per epoch it is taken in; texts stay whole, so
-    a source misses its target by half a document at most. Cases as in ``mix_plan``.
+    a source misses its target by half a document at most. Cases as in ``mix_plan``; other columns, whatever their
+    names, come back as they were, and very long texts are only counted.
     """
-    rows = numbered(docs, "mix-rows", "_mix_row")
+    kept = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("held"))
+    rows = numbered(kept.select("held", "held.doc_id", "held.text", "held.source"), "mix-rows", "_mix_row")
     plan = mix_plan(rows, whole=True, carry=["_mix_row"], **targets)
     copies = plan.where("epochs > 0").select("_mix_row", F.explode(F.sequence(F.lit(1), F.col("epochs"))).alias("_epoch"))
-    return rows.join(copies, "_mix_row").select(*docs.columns)
+    return rows.join(copies, "_mix_row").select("held.*")

@@ -4,7 +4,9 @@ import random
 
 import pytest
 
+import sparkmart.llm.near_copies as near_copies
 from corpus_pipeline import near_duplicates
+from sparkmart.llm.mixing import mix
 
 SCHEMA = "doc_id long, text string, lang string, row long"
 
@@ -71,3 +73,51 @@ def test_crowded_groups_leave_no_near_copies(spark):
         if t not in left:  # connected to one that stays
             assert any(similarity(t, by_id[o]) >= 0.8 for o in by_id if o // 1000 == d // 1000 and o != d)
     assert stage(spark, []) == []
+
+
+def template_pages(rng, n):
+    """Pages with one template: 400 words in common, 90 of their own."""
+    common = " ".join(some(rng, 400))
+    return [(i, common + " " + " ".join(f"own{i}x{k}" for k in range(90))) for i in range(n)]
+
+
+def test_pages_of_one_template_do_not_meet_in_pairs(spark, monkeypatch):
+    counted = []
+    verified = near_copies._verified
+
+    def watched(pairs, rows):
+        counted[-1] += pairs.count()
+        return verified(pairs, rows)
+
+    monkeypatch.setattr(near_copies, "_verified", watched)
+    for n in (300, 600, 1200):
+        counted.append(0)
+        assert len(stage(spark, template_pages(random.Random(3), n))) == n
+    assert counted[2] <= 2.5 * counted[1] <= 6.25 * counted[0] and counted[2] < 60 * 1200
+
+
+@pytest.mark.parametrize("low,high", [(0.80, 0.87), (0.87, 0.955)])
+def test_near_copies_amid_a_template_are_found(spark, low, high):
+    rng = random.Random(int(100 * low))
+    rows, near = template_pages(rng, 300), 0
+    while near < 60:
+        page = rows[near][1].split()
+        other = page[:400] + changed(rng, page[400:], rng.randrange(1, 30))
+        for i in rng.sample(range(400), rng.randrange(0, 6)):
+            other[i] = f"z{rng.randrange(10**9)}"
+        text = " ".join(other)
+        if low <= similarity(rows[near][1], text) < high:
+            rows.append((1000 + near, text))
+            near += 1
+    kept = {d for d, _ in stage(spark, rows)}
+    assert kept >= set(range(300)) and sum(1000 + k not in kept for k in range(near)) >= 0.9 * near
+
+
+def test_columns_with_the_names_used_inside(spark):
+    names = ["held", "_copy_row", "row", "n", "key", "bands", "u", "_mix_row", "_epoch", "epochs", "size"]
+    rows = [(k, f"word{k} " * 3, "s", *[f"{name}{k}" for name in names]) for k in range(20)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    for out in (near_copies.keep_one_of_near_copies(df), mix(df)):
+        assert out.columns == df.columns
+        assert {tuple(r) for r in out.collect()} <= set(rows)
+    assert sorted(map(tuple, near_copies.keep_one_of_near_copies(df).collect())) == sorted(rows)
