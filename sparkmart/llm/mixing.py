@@ -92,6 +92,7 @@ def mix_plan(docs: DataFrame, whole: bool = False, carry: Sequence[str] = (), **
     Size of a null or empty text: 0, and nothing is taken of it but the epochs (it comes along with
     the rows before it). Null source: a source of its own, last. Equal ids are ordered by
     text; equal rows share a place, and which of them is cut makes no difference. Empty table: no rows.
+    Other columns are not read, and very long texts are only counted. Targets are one row per source, in one task.
     """
     sized = _sized(docs, *carry)
     goals = source_targets(sized.select("_null", "_source", "size"), **targets)

@@ -274,7 +274,7 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
     Null or empty text: no words, so the base rules fail. Null language or source: a value of its own.
     Groups under 60 rows are pooled by language, then altogether; what is still too few is judged
     all the same (the floors hold). Repeated rows count each time. Empty table: no rows. Very long
-    texts take time in proportion to their words (times the logarithm where windows repeat).
+    texts take time in proportion to their words (times the logarithm where windows repeat). Other columns are not read.
     """
     stats = settle(_narrow(docs, "doc_id"), "quality-counts")
     judged = _verdicts(stats, _estimates(stats))
