@@ -62,6 +62,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE
     seconds: dict[str, float] = {}
+    spread: dict[str, list[float]] = {}
     for name in names:
         taken = []
         for attempt in range(runs + 1):
@@ -70,6 +71,7 @@ def main() -> None:
             if attempt or runs == 0:
                 taken.append(time.perf_counter() - started)
         seconds[name] = round(statistics.median(taken), 3)
+        spread[name] = [round(min(taken), 3), round(max(taken), 3)]
         print(f"{name:40s} {seconds[name]:8.3f}", file=sys.stderr, flush=True)
     events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     extra = {}
@@ -83,6 +85,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "spread": spread,
                 "sf": os.path.basename(sf_dir.rstrip("/")),
                 **extra,
             }

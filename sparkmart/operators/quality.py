@@ -1,8 +1,7 @@
 """Table-level checks driven by the declared specs.
 
-Rows that refer to nothing are found together: each table is read once and gives a row per rule, so there is
-one exchange.  Counts of references and of keys take one pass per rule over typed values, which are counted before
-the exchange, so a parent with a third of all references, or a key with a third of all rows, is one row per task.
+Each rule takes one pass over typed values. Counts of references and of keys are summed before the exchange, so a
+parent with a third of all references, or a key with a third of all rows, is one row per task.
 """
 
 from __future__ import annotations
@@ -23,72 +22,46 @@ def _need(df: DataFrame, columns: tuple[str, ...], table: str) -> None:
         raise ValueError(f"table {table} has no column {', '.join(absent)}, which a rule names")
 
 
-def _references(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:
-    """(table, column, target, row id, key) of every reference that is not null."""
-    found = []
+def _missing_parents(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec], keep: bool):
+    """For each reference its rule and the rows that refer to no parent, or with ``keep`` off their keys counted."""
     for name, child in tables.items():
-        refs = [r for r in specs[name].references if r.target in tables]
-        if not refs:
-            continue
-        key = specs[name].key[0]
-        _need(child, (key, *[r.column for r in refs]), name)
-        each = F.array(
-            *[
-                F.struct(
-                    F.lit(r.column).alias("column_name"),
-                    F.lit(r.target).alias("target"),
-                    F.col(r.column).cast("string").alias("missing_key"),
-                )
-                for r in refs
-            ]
-        )
-        found.append(
-            child.select(
-                F.lit(name).alias("table_name"), F.col(key).cast("string").alias("row_id"), F.inline(each)
-            )
-        )
-    return reduce(DataFrame.unionByName, found).filter(F.col("missing_key").isNotNull())
-
-
-def _parents(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:
-    """(target, key) of every table that is referred to."""
-    targets = sorted({r.target for name in tables for r in specs[name].references if r.target in tables})
-    keys = [
-        tables[name].select(
-            F.lit(name).alias("target"), F.col(specs[name].key[0]).cast("string").alias("missing_key")
-        )
-        for name in targets
-    ]
-    return reduce(DataFrame.unionByName, keys)
+        for ref in specs[name].references:
+            if ref.target not in tables:
+                continue
+            key = specs[name].key[0]
+            _need(child, (key, ref.column) if keep else (ref.column,), name)
+            rule = {"table_name": name, "column_name": ref.column, "target": ref.target}
+            used = child.select(F.col(ref.column).alias("_key"), *([F.col(key).alias("_id")] if keep else []))
+            if not keep:
+                used = used.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
+            known = tables[ref.target].select(F.col(specs[ref.target].key[0]).alias("_key"))
+            missing = used.filter(F.col("_key").isNotNull()).join(known, "_key", "left_anti")
+            yield missing.select(*[F.lit(v).alias(k) for k, v in rule.items()], *[c for c in missing.columns if keep or c != "_key"])
 
 
 def reference_violations(
     tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec] = TABLES
 ) -> DataFrame:
-    """Rows that refer to a missing parent: (table, column, target, id, missing key).
+    """Rows that refer to a missing parent: (table, column, target, id, missing key), keys compared in their own types.
 
     References to tables that are not given are not checked; an absent column is an error.
     """
-    rows = _references(tables, specs).join(_parents(tables, specs), ["target", "missing_key"], "left_anti")
-    return rows.select("table_name", "column_name", "target", "row_id", "missing_key")
+    found = [
+        rows.select(
+            "table_name", "column_name", "target", F.col("_id").cast("string").alias("row_id"),
+            F.col("_key").cast("string").alias("missing_key"),
+        )
+        for rows in _missing_parents(tables, specs, keep=True)
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 def reference_violation_counts(
     tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec] = TABLES
 ) -> DataFrame:
     """Violations and distinct missing keys per reference that has any; counted by key before they are joined."""
-    found = []
-    for name, child in tables.items():
-        for ref in specs[name].references:
-            if ref.target not in tables:
-                continue
-            _need(child, (ref.column,), name)
-            used = child.groupBy(F.col(ref.column).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
-            known = tables[ref.target].select(F.col(specs[ref.target].key[0]).alias("_key"))
-            missing = used.filter(F.col("_key").isNotNull()).join(known, "_key", "left_anti")
-            rule = {"table_name": name, "column_name": ref.column, "target": ref.target}
-            found.append(missing.select(*[F.lit(v).alias(k) for k, v in rule.items()], "_rows"))
-    return reduce(DataFrame.unionByName, found).groupBy("table_name", "column_name", "target").agg(
+    found = reduce(DataFrame.unionByName, _missing_parents(tables, specs, keep=False))
+    return found.groupBy("table_name", "column_name", "target").agg(
         F.sum("_rows").alias("violations"), F.count(F.lit(1)).alias("missing_keys")
     )
 

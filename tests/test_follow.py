@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkmart import jobs
 from sparkmart.operators import skew
-from sparkmart.operators.quality import key_violations
+from sparkmart.operators.quality import key_violations, reference_violation_counts, reference_violations
 from sparkmart.plans import marts, refresh
 from sparkmart.session import scratch_dir, scratch_scope, settle
 from sparkmart.sources import lake, storage
@@ -112,6 +112,24 @@ def test_keys_are_counted_in_their_own_types(spark):
     assert got == [("t", "a", "1", 2), ("t", "b,c", "x,1.5", 2)]
 
 
+def test_references_are_compared_in_their_own_types(spark):
+    class Ref:
+        column, target = "p", "parent"
+
+    class Child:
+        key, references = ("id",), (Ref,)
+
+    class Parent:
+        key, references = ("id",), ()
+
+    child = spark.createDataFrame([(1, 10), (2, 11), (3, 11), (4, None), (5, 12)], "id long, p long")
+    tables = {"child": child, "parent": spark.createDataFrame([(10,)], "id long")}
+    specs = {"child": Child, "parent": Parent}
+    got = sorted(map(tuple, reference_violations(tables, specs).collect()))
+    assert got == [("child", "p", "parent", i, k) for i, k in (("2", "11"), ("3", "11"), ("5", "12"))]
+    assert [tuple(r) for r in reference_violation_counts(tables, specs).collect()] == [("child", "p", "parent", 3, 2)]
+
+
 def test_scratch_folders_go_with_their_step(spark):
     with scratch_scope(spark):
         path = scratch_dir(spark, "gone")
