@@ -7,6 +7,7 @@ scheduler's business.  Faults are raised.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,7 +21,7 @@ from sparkmart.session import scratch_scope
 from sparkmart.sources.keyed_table import KeyedTable, upsert_rows
 from sparkmart.specs import TABLES, TableSpec
 from sparkmart.streaming import ingest
-from sparkmart.streaming.retract import images, merge_with_feed
+from sparkmart.streaming.retract import feed_of, images
 
 Lines = Callable[[str], DataFrame]
 
@@ -165,16 +166,20 @@ def marts_from_logs(
         writer = ingest.writer_of(spark, "marts", checkpoint)
         batch.persist()
         try:
+            # one row per role
+            touched = sorted(r[0] for r in batch.select("role").distinct().collect())
+
+            def merge(role: str) -> None:
+                events, bad = cdc.decode(batch.filter(F.col("role") == role), rows[role], key=silver[role].key)
+                if quarantine is not None:
+                    bad.write.mode("overwrite").text(f"{quarantine}/{role}/stream={writer.rpartition(':')[2]}/batch={batch_id}")
+                silver[role].merge(cdc.changes(events, silver[role].key), batch_id, writer)
+
+            with ThreadPoolExecutor(4) as pool:  # tables do not depend on each other
+                list(pool.map(merge, touched))
             with scratch_scope(spark):
-                changed = {}
-                # one row per role
-                for role in sorted(r[0] for r in batch.select("role").distinct().collect()):
-                    events, bad = cdc.decode(batch.filter(F.col("role") == role), rows[role], key=silver[role].key)
-                    if quarantine is not None:
-                        bad.write.mode("overwrite").text(f"{quarantine}/{role}/stream={writer.rpartition(':')[2]}/batch={batch_id}")
-                    found = merge_with_feed(silver[role], cdc.changes(events, silver[role].key), batch_id, writer)
-                    if found is not None:
-                        changed[role] = images(found[0], "before", "after")
+                feeds = {role: feed_of(silver[role], batch_id, writer) for role in touched}
+                changed = {role: images(found[0], "before", "after") for role, found in feeds.items() if found}
                 if changed:
                     _follow(spark, rows, silver, gold, changed, batch_id, writer, variant, sink_types)
         finally:

@@ -19,15 +19,19 @@ from sparkmart.sources.keyed_table import KeyedTable
 Step = tuple[DataFrame, int]
 
 
-def merge_with_feed(table: KeyedTable, changes: DataFrame, batch_id: int, writer: str) -> Step | None:
-    """Merge a batch; its effect as rows before and after, and the version that holds it (none if it had no row)."""
-    table.merge(changes, batch_id, writer)
+def feed_of(table: KeyedTable, batch_id: int, writer: str) -> Step | None:
+    """What a merged batch has changed, as rows before and after, and the version that holds it (none if it had no row)."""
     version = table.version_of(writer, batch_id)
     if version is None:
         return None
     return settle(table.change_feed(version - 1, version), "feed"), version
 
 
+def merge_with_feed(table: KeyedTable, changes: DataFrame, batch_id: int, writer: str) -> Step | None:
+    table.merge(changes, batch_id, writer)
+    return feed_of(table, batch_id, writer)
+
+
 def images(feed: DataFrame, *which: str) -> DataFrame:
     """The rows before, after, or both, of a feed."""
     parts = [feed.filter(F.col(w).isNotNull()).select(f"{w}.*") for w in which]

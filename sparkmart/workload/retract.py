@@ -51,7 +51,7 @@ def _batches(lines: dict[str, DataFrame], step, checkpoint: str):
 
 # -- the newest row of a group, taken back -----------------------------------------------------
 
-# Rows are created in two batches; then every third gets a time a day earlier, every fifth moves to the next asset
+# Rows are created; then every third gets a time a day earlier, every fifth moves to the next asset
 # and every fourth is deleted; at last every eighth (deleted, then) comes back.
 _FINAL_STATUS = """SELECT id, CASE WHEN id % 5 = 0 AND id % 8 <> 0 THEN asset_id + 1 ELSE asset_id END AS asset_id, region_id, health_percent,
         CASE WHEN id % 3 = 0 AND id % 8 <> 0 THEN event_time - INTERVAL 1 DAY ELSE event_time END AS event_time
@@ -64,7 +64,7 @@ _FINAL_STATUS = """SELECT id, CASE WHEN id % 5 = 0 AND id % 8 <> 0 THEN asset_id
         PARTITION BY asset_id ORDER BY event_time DESC, id DESC) AS rn FROM ({_FINAL_STATUS})) WHERE rn = 1""",
 )
 def _latest(t: Tables) -> DataFrame:
-    """Latest status of every asset under creates, updates, moves and deletes in five batches, the last delivered twice."""
+    """Latest status of every asset under creates, updates, moves and deletes in four batches, the last delivered twice."""
     base = scratch_dir(t.spark, "retract")
     rows = t["asset_status"].select("id", "asset_id", "region_id", "health_percent", "event_time")
     table = KeyedTable(t.spark, f"{base}/rows", ["id"], bucket_count(rows))
@@ -78,8 +78,7 @@ def _latest(t: Tables) -> DataFrame:
         F.when(F.col("id") % 3 == 0, early).otherwise(F.col("event_time")).alias("event_time"),
     )
     phases = [
-        _lines(rows.filter("id % 2 = 0"), "c", 1),
-        _lines(rows.filter("id % 2 = 1"), "c", 2),
+        _lines(rows, "c", 1),
         _lines(changed, "u", 3),
         _lines(rows.filter("id % 4 = 0"), "d", 4, before=True),
         _lines(rows.filter("id % 8 = 0"), "c", 5),
@@ -111,7 +110,7 @@ def _latest(t: Tables) -> DataFrame:
             FROM r_equipment WHERE id % 6 <> 0) w ON w.id = i.equipment_id""",
 )
 def _change_join(t: Tables) -> DataFrame:
-    """Interactions with their equipment under updates and deletes on both sides in five batches, one delivered twice."""
+    """Interactions with their equipment under updates and deletes on both sides in four batches, one delivered twice."""
     base = scratch_dir(t.spark, "change-join")
     facts = t["interaction"].select(F.col("id").alias("interaction_id"), "equipment_id", "result")
     kinds = t["equipment"].select(F.col("id").alias("equipment_id"), "hit_probability")
@@ -128,8 +127,7 @@ def _change_join(t: Tables) -> DataFrame:
     phases = [
         {"facts": _lines(facts, "c", 1), "kinds": _lines(kinds.filter("equipment_id % 2 = 0"), "c", 1)},
         {"facts": _lines(moved, "u", 2), "kinds": _lines(kinds.filter("equipment_id % 2 = 1"), "c", 2)},
-        {"kinds": _lines(weaker, "u", 3)},
-        {"facts": _lines(facts.filter("interaction_id % 9 = 0"), "d", 4, before=True)},
+        {"facts": _lines(facts.filter("interaction_id % 9 = 0"), "d", 3, before=True), "kinds": _lines(weaker, "u", 3)},
         {"kinds": _lines(kinds.filter("equipment_id % 6 = 0"), "d", 5, before=True)},
     ]
     schemas = {"facts": (facts.schema, ["interaction_id"]), "kinds": (kinds.schema, ["equipment_id"])}
