@@ -125,8 +125,7 @@ def mix(docs: DataFrame, **targets) -> DataFrame:
     a source misses its target by half a document at most. Cases as in ``mix_plan``; other columns, whatever their
     names, come back as they were, and very long texts are only counted.
     """
-    kept = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("held"))
-    rows = numbered(kept.select("held", "held.doc_id", "held.text", "held.source"), "mix-rows", "_mix_row")
-    plan = mix_plan(rows, whole=True, carry=["_mix_row"], **targets)
+    rows = numbered(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("held")), "mix-rows", "_mix_row")
+    plan = mix_plan(rows.select("held.doc_id", "held.text", "held.source", "_mix_row"), whole=True, carry=["_mix_row"], **targets)
     copies = plan.where("epochs > 0").select("_mix_row", F.explode(F.sequence(F.lit(1), F.col("epochs"))).alias("_epoch"))
     return rows.join(copies, "_mix_row").select("held.*")
