@@ -140,11 +140,11 @@ def changed_columns(events: DataFrame, key: Sequence[str]) -> DataFrame:
             new.cast("string").alias("new_value"),
         )
         entries.append(F.when(~old.eqNullSafe(new), entry))
-    return (
-        events.filter(F.col("op") == UPDATE)
-        .select(*row_image(key), "ts_ms", F.explode(F.array_compact(F.array(*entries))).alias("_d"))
-        .select(*key, "ts_ms", "_d.*")
+    # the images are taken apart before the generator: above it, Spark loses one of them if ``op`` is a constant
+    audited = events.filter(F.col("op") == UPDATE).select(
+        *row_image(key), "ts_ms", F.array_compact(F.array(*entries)).alias("_d")
     )
+    return audited.select(*key, "ts_ms", F.explode("_d").alias("_d")).select(*key, "ts_ms", "_d.*")
 
 
 def snapshot_diff(before: DataFrame | None, after: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 from decimal import Decimal
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart.operators import cdc
@@ -60,6 +61,15 @@ def test_changed_columns(spark):
     assert got == {"asset_id": ("A", "B"), "supply_level": ("1.0000", None)}
 
 
+def test_changed_columns_of_a_log_of_one_operation(spark):
+    # the operation is a constant of the plan, and all columns are taken, not only counted
+    rows = spark.range(3).select("id", F.col("id").cast("string").alias("a"), (F.col("id") * 2).alias("b"))
+    before = F.struct("id", F.lit("1").alias("a"), F.lit(4).cast("long").alias("b")).alias("before")
+    images = rows.select(before, F.struct("id", "a", "b").alias("after"), F.lit("u").alias("op"), F.lit(7).alias("ts_ms"))
+    got = {tuple(r) for r in cdc.changed_columns(images, ["id"]).collect()}
+    assert got == {(0, 7, "a", "1", "0"), (0, 7, "b", "4", "0"), (1, 7, "b", "4", "2"), (2, 7, "a", "1", "2")}
+
+
 def test_snapshot_diff(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, v string")
     new = spark.createDataFrame([(2, "B"), (3, None), (4, "d")], "id int, v string")
