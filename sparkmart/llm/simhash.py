@@ -32,12 +32,16 @@ def fingerprint(text: bytes) -> int:
     n = max(1, len(words) - SHINGLE_WORDS + 1)
     ends = starts[SHINGLE_WORDS:] if len(words) >= SHINGLE_WORDS else starts[-1:]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a : b - 1], SEED) for a, b in zip(starts[:n], ends)], np.uint64)
+    return majority(np.array([digest(joined[a : b - 1], SEED) for a, b in zip(starts[:n], ends)], np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """64 bits; a bit is 1 if it is set in over half of the hashes."""
     ones = np.zeros(64, np.int64)
-    for at in range(0, n, _BLOCK):
+    for at in range(0, len(hashes), _BLOCK):
         part = hashes[at : at + _BLOCK].astype("<u8").view(np.uint8)
         ones += np.unpackbits(part, bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -2,11 +2,13 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import sparkmart.llm.near_copies as near_copies
 from corpus_pipeline import near_duplicates
 from sparkmart.llm.mixing import mix
+from sparkmart.llm.simhash import RADIUS, majority
 
 SCHEMA = "doc_id long, text string, lang string, row long"
 
@@ -121,3 +123,20 @@ def test_columns_with_the_names_used_inside(spark):
         assert out.columns == df.columns
         assert {tuple(r) for r in out.collect()} <= set(rows)
     assert sorted(map(tuple, near_copies.keep_one_of_near_copies(df).collect())) == sorted(rows)
+
+
+def test_fingerprints_link_and_each_link_is_verified(spark, monkeypatch):
+    # no two rows share a band, so what goes has met in the balls of fingerprints
+    monkeypatch.setattr(near_copies, "bands", lambda hashes: [int(hashes.sum() >> np.uint64(1))] if len(hashes) else [0])
+    rng, rows = random.Random(12), []
+    for i in range(40):
+        words = " ".join(some(rng, 1200))
+        rows += [(2 * i, words + " end"), (2 * i + 1, words + " other")]
+    fps = [majority(near_copies.shingles(t.encode())) for _, t in rows]
+    assert all((a ^ b).bit_count() <= RADIUS for a, b in zip(fps[::2], fps[1::2]))
+    rows += [(100, "a b"), (101, "a b c"), (102, None), (103, "")]
+    assert sorted(d for d, _ in stage(spark, rows)) == [2 * i for i in range(40)] + [100, 101, 102]
+    # one fingerprint for all: only texts with the similarity go
+    monkeypatch.setattr(near_copies, "majority", lambda hashes: 7)
+    kept = sorted(d for d, _ in stage(spark, rows))
+    assert [d for d in kept if d % 2 == 0] == [2 * i for i in range(40)] + [100, 102] and 101 in kept
