@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sparkmart.operators import cdc
 from sparkmart.plans import marts, refresh
-from sparkmart.session import scratch_scope
+from sparkmart.session import scratch_scope, settle
 from sparkmart.sources.keyed_table import KeyedTable, upsert_rows
 from sparkmart.specs import TABLES, TableSpec
 from sparkmart.streaming import ingest
@@ -188,10 +188,15 @@ def marts_from_logs(
     return ingest.start_batches(every_line, step, checkpoint, every)
 
 
+def _current(spark, table, row) -> DataFrame:
+    """Live rows of a table that several joins read: reduced once, if they have to be."""
+    if not table.versions():
+        return spark.createDataFrame([], row)
+    return settle(table.read(), "current") if table.layered() else table.read()
+
+
 def _follow(spark, rows, silver, gold, changed, batch_id, stream, variant, sink_types) -> None:
-    tables = {
-        role: table.read() if table.versions() else spark.createDataFrame([], rows[role]) for role, table in silver.items()
-    }
+    tables = {role: _current(spark, table, rows[role]) for role, table in silver.items()}
     for name, target in gold.items():
         reach = {role: df for role, df in changed.items() if role in refresh.feeds(name)}
         if reach:

@@ -11,13 +11,13 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 
-def _unordered(dtype: T.DataType) -> bool:
+def unordered(dtype: T.DataType) -> bool:
     """Types Spark cannot compare."""
     if isinstance(dtype, (T.MapType, T.VariantType)):
         return True
     if isinstance(dtype, T.ArrayType):
-        return _unordered(dtype.elementType)
-    return isinstance(dtype, T.StructType) and any(_unordered(f.dataType) for f in dtype.fields)
+        return unordered(dtype.elementType)
+    return isinstance(dtype, T.StructType) and any(unordered(f.dataType) for f in dtype.fields)
 
 
 def newest_of(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Column:
@@ -27,7 +27,7 @@ def newest_of(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Colum
     shuffled hold each column once.
     """
     rest = [f for f in df.schema.fields if f.name not in (*keys, *order)]
-    ordered = [*order, *[f.name for f in rest if not _unordered(f.dataType)]]
+    ordered = [*order, *[f.name for f in rest if not unordered(f.dataType)]]
     if len(ordered) == len(order) + len(rest):
         return F.max(F.struct(*ordered))
     return F.max_by(F.struct(*order, *[f.name for f in rest]), F.struct(*ordered))

@@ -22,9 +22,12 @@ from pyspark.sql import types as T
 
 from sparkmart.functions.timeval import micros
 from sparkmart.operators.cdc import DELETE
-from sparkmart.operators.keyed import latest_per_key, newest_of
+from sparkmart.operators.keyed import latest_per_key, newest_of, unordered
+from sparkmart.session import settle
 from sparkmart.sources import storage
 
+SLICE_ROWS = 1 << 19  # rows that one task of a merge writes, about
+
 META = ("_op", "_ts", "_seq", "_batch", "_created_at", "_updated_at", "_bucket", "_version")
 
 
@@ -87,6 +90,17 @@ class KeyedTable:
         paths = [f"{self.path}/data/{manifest['folders'][str(v)]}/_bucket={b}" for b, v in parts]
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def _rows(self, manifest: dict, parts: Sequence[tuple[str, int]], schema: dict | None = None) -> DataFrame:
+        """As ``_scan``, in the shape of a later schema if given; no parts have no rows."""
+        shaped = {**manifest, "schema": schema or manifest["schema"]}
+        if not parts:
+            return self.spark.createDataFrame([], T.StructType.fromJson(shaped["schema"]))
+        return self._scan(shaped, parts)
+
+    def layered(self) -> bool:
+        """Whether some bucket holds more than one folder, so that a read has to reduce it."""
+        return any(len(versions) > 1 for versions in self.manifest()["buckets"].values())
+
     def read(
         self, version: int | None = None, with_meta: bool = False, audit: str | None = None
     ) -> DataFrame:
@@ -124,9 +138,7 @@ class KeyedTable:
             parts.append(self._scan(manifest, settled))
         if changed:
             parts.append(self._reduced(self._scan(manifest, changed), self.key))
-        if not parts:
-            return self.spark.createDataFrame([], T.StructType.fromJson(manifest["schema"]))
-        return reduce(DataFrame.unionByName, parts)
+        return reduce(DataFrame.unionByName, parts) if parts else self._rows(manifest, [])
 
     # -- changes between versions --------------------------------------------------------
 
@@ -148,29 +160,34 @@ class KeyedTable:
         """Keys that changed after version ``since`` (0: from the start), with their rows ``before`` and ``after``.
 
         Either is null where the key had, or has, no live row.  Only buckets that differ between the versions are
-        read, and of the older one only the keys that changed.  A change that lost to a newer row is none.
+        read, and of the older one only the keys that changed.  A change that lost to a newer row is none, nor is one that
+        leaves the row as it was, so what follows the feed has no work with it.
         """
         new = self._committed(until)
         old = self.manifest(since) if since else None
         held = old["buckets"] if old else {}
         differ = {b for b, versions in new["buckets"].items() if held.get(b) != versions}
-        rows = self._state(new, differ).filter(F.coalesce(F.col("_version"), F.lit(0)) > since)
-        columns = [c for c in rows.columns if c not in META]
+        columns = [f["name"] for f in new["schema"]["fields"] if f["name"] not in META]
 
         def image(df: DataFrame, name: str) -> DataFrame:
             live = F.when(F.col("_op") != DELETE, F.struct(*[F.col(c) for c in columns]))
             return df.select(*self.key, live.alias(name))
 
-        after = image(rows, "after")
+        came = F.coalesce(F.col("_version"), F.lit(0)) > since
         if old is None:
+            after = image(self._state(new, differ).filter(came), "after")
             kind = after.schema["after"].dataType
             return after.select(*self.key, F.lit(None).cast(kind).alias("before"), "after").filter("after is not null")
-        past = self._state(old, differ & set(held))
-        for c in columns:  # columns that came later
-            past = past if c in past.columns else past.withColumn(c, F.lit(None).cast(rows.schema[c].dataType))
-        before = image(past.join(rows.select(*self.key), self.key, "left_semi"), "before")
+        # what came lies in later folders; only rows of its keys can have been there before or beat it
+        fresh = self._rows(new, [(b, v) for b in differ for v in new["buckets"][b] if v > since]).filter(came)
+        past = self._rows(old, [(b, v) for b in differ & set(held) for v in held[b]], new["schema"])
+        past = settle(past.join(fresh.select(*self.key).distinct(), self.key, "left_semi").select(*fresh.columns), "past")
+        after = image(self._reduced(past.unionByName(fresh), self.key).filter(came), "after")
+        before = image(self._reduced(past, self.key), "before")
         both = after.join(before, self.key, "left").select(*self.key, "before", "after")
-        return both.filter("before is not null or after is not null")
+        if unordered(both.schema["after"].dataType):  # such rows cannot be compared
+            return both.filter("before is not null or after is not null")
+        return both.filter(~F.col("before").eqNullSafe(F.col("after")))
 
     def grow(self, buckets: int) -> None:
         """Deal the rows out to more buckets, for a table that has outgrown its first number of them; a commit like any other."""
@@ -178,7 +195,8 @@ class KeyedTable:
         version = manifest["version"] + 1
         folder = f"v{version:010d}-{uuid.uuid4().hex}"
         rows = self._state(manifest).withColumn("_bucket", self._bucket(buckets))
-        rows.repartition(buckets, "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/data/{folder}")
+        most = rows.groupBy("_bucket").count().agg(F.max("count")).first()[0] or 1
+        self._dealt(rows, buckets, most).drop("_slice").write.partitionBy("_bucket").parquet(f"{self.path}/data/{folder}")
         names = storage.list_names(self.spark, f"{self.path}/data/{folder}")
         held = {n.split("=")[1]: [version] for n in names if n.startswith("_bucket=")}
         commit = {**manifest, "version": version, "count": buckets, "folders": {str(version): folder}, "buckets": held}
@@ -197,19 +215,23 @@ class KeyedTable:
         incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # at most one row per bucket comes back
-            touched = [r[0] for r in incoming.select("_bucket").distinct().collect()]
+            sizes = {r[0]: r[1] for r in incoming.groupBy("_bucket").count().collect()}
+            touched = list(sizes)
             if not touched:
                 return False
             held = {b: manifest["buckets"].get(str(b), []) for b in touched}
             full = [b for b in touched if len(held[b]) > self.compact_after]
-            rows = incoming.repartition(len(touched), "_bucket")
-            if full:
+            if not full:
+                rows = self._dealt(incoming, len(touched), max(sizes.values())).drop("_slice")
+            else:
                 old = self._scan(manifest, [(str(b), v) for b in full for v in held[b]])
                 old = old.withColumn("_bucket", self._bucket(count))
+                for r in old.groupBy("_bucket").count().collect():
+                    sizes[r[0]] += r[1]
                 both = old.unionByName(incoming, allowMissingColumns=True)
-                # one exchange serves the reduction (grouped by bucket and key) and the write
-                both = both.repartition(len(touched), "_bucket")
-                rows = self._reduced(both, ["_bucket", *self.key])
+                # one exchange serves the reduction (grouped by slice, bucket and key) and the write
+                both = self._dealt(both, len(touched), max(sizes.values()))
+                rows = self._reduced(both, ["_slice", "_bucket", *self.key]).drop("_slice")
                 if not self.tombstones:
                     rows = rows.filter((F.col("_op") != DELETE) | ~F.col("_bucket").isin(*full))
             # a fresh name, so that what a failed attempt left behind is never read or in the way
@@ -239,6 +261,16 @@ class KeyedTable:
         storage.create_text(self.spark, self._manifest_path(version), json.dumps(commit))
         return True
 
+    def _dealt(self, rows: DataFrame, buckets: int, most: int) -> DataFrame:
+        """The rows with the ``_slice`` of their bucket (of at most ``most`` rows), each slice in a task of its own.
+
+        No task gathers a large bucket, and a grouping by slice and key needs no further exchange.
+        """
+        slices = -(-most // SLICE_ROWS)
+        place = F.col("_bucket") * slices + F.pmod(F.hash(*self.key), F.lit(slices))
+        tasks = buckets * slices
+        return rows.withColumn("_slice", F.pmod(place, F.lit(tasks)).cast("int")).repartitionById(tasks, F.col("_slice"))
+
     def _bucket(self, count: int) -> Column:
         return F.pmod(F.xxhash64(*self.bucket_by), F.lit(count)).cast("int")
 

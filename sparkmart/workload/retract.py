@@ -30,11 +30,16 @@ def _lines(rows: DataFrame, op: str, phase: int, before: bool = False) -> DataFr
     return rows.select(text.alias("value"))
 
 
+LOG_RECORDS = 100_000
+
+
 def _run_phases(phases: list[dict[str, DataFrame]], base: str, start) -> None:
     """Write the logs phase by phase; after each the stream runs over what is new, so phases never share a batch."""
     for phase in phases:
         for name, lines in phase.items():
-            lines.write.mode("append").text(f"{base}/log/{name}")
+            # packed files cannot be cut, so each holds few enough lines for one task
+            packed = lines.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", LOG_RECORDS)
+            packed.text(f"{base}/log/{name}")
         start().awaitTermination()
 
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkmart.session import scratch_dir
-from sparkmart.sources import storage
+from sparkmart.sources import keyed_table, storage
 from sparkmart.sources.keyed_table import KeyedTable, upsert_rows
 
 COLUMNS = "id long, v string, _op string, _ts long, _seq long"
@@ -117,3 +117,21 @@ def test_upsert_rows_orders_by_time(spark, table):
     )
     table.merge(upsert_rows(df, "event_time"), 0)
     assert state(table) == {1: "new"}
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(keyed_table, "SLICE_ROWS", 100)
+    table = KeyedTable(spark, scratch_dir(spark, "large"), ["id"], buckets=2, compact_after=1)
+    rows = spark.range(2000).selectExpr("id", "cast(id as string) v", "'c' _op", "1L _ts", "0L _seq")
+    for b in range(3):  # the last merge writes the buckets anew
+        table.merge(rows.withColumn("_ts", F.lit(b).cast("long")), b)
+        files = table._scan(table.manifest(), [(k, v[-1]) for k, v in table.manifest()["buckets"].items()])
+        per_file = [r[1] for r in files.groupBy(F.input_file_name()).count().collect()]
+        assert sum(per_file) == 2000 and max(per_file) <= 150
+    assert state(table) == {i: str(i) for i in range(2000)}
+
+
+def test_an_update_that_changes_nothing_is_not_in_the_feed(spark, table):
+    table.merge(batch(spark, (1, "a", "c", 1), (2, "b", "c", 1), (3, None, "c", 1)), 0)
+    table.merge(batch(spark, (1, "a", "u", 2), (2, "c", "u", 2), (3, None, "u", 2)), 1)
+    assert [(r.id, r.before.v, r.after.v) for r in table.change_feed(1).collect()] == [(2, "b", "c")]
