@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from sparkmart.operators.skew import all_present, key_counts
+
 
 def unordered(dtype: T.DataType) -> bool:
     """Types Spark cannot compare."""
@@ -99,10 +100,11 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once; null keys are outside a uniqueness rule."""
-    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    counted = df.filter(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    return counted.filter(F.col("copies") > 1)
+    """Keys that occur more than once; null keys are outside a uniqueness rule.
+
+    A task counts a bounded number of keys (``skew.key_counts``); building looks through the keys of large tables once.
+    """
+    return key_counts(df.filter(all_present(keys)).select(*keys), keys, "copies").filter(F.col("copies") > 1)
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:

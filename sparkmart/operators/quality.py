@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.operators.keyed import duplicate_keys
+from sparkmart.operators.skew import key_counts, tasks_for_keys
 from sparkmart.specs import TABLES, TableSpec
 
 
@@ -24,6 +25,7 @@ def _need(df: DataFrame, columns: tuple[str, ...], table: str) -> None:
 
 def _missing_parents(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec], keep: bool):
     """For each reference its rule and the rows that refer to no parent, or with ``keep`` off their keys counted."""
+    parents: dict[str, int] = {}  # tasks that the keys of a referenced table need
     for name, child in tables.items():
         for ref in specs[name].references:
             if ref.target not in tables:
@@ -32,10 +34,17 @@ def _missing_parents(tables: Mapping[str, DataFrame], specs: Mapping[str, TableS
             _need(child, (key, ref.column) if keep else (ref.column,), name)
             rule = {"table_name": name, "column_name": ref.column, "target": ref.target}
             used = child.select(F.col(ref.column).alias("_key"), *([F.col(key).alias("_id")] if keep else []))
-            if not keep:
-                used = used.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
+            used = used.filter(F.col("_key").isNotNull())
             known = tables[ref.target].select(F.col(specs[ref.target].key[0]).alias("_key"))
-            missing = used.filter(F.col("_key").isNotNull()).join(known, "_key", "left_anti")
+            if not keep:
+                # both sides dealt out to tasks of a bounded number of keys, whichever has more of them
+                if ref.target not in parents:
+                    parents[ref.target] = tasks_for_keys(known, ["_key"])
+                needed = tasks_for_keys(used, ["_key"])
+                wanted = max(parents[ref.target], needed)
+                used = key_counts(used, ["_key"], "_rows", needed, wanted)
+                known = known.repartition(wanted, "_key") if wanted else known
+            missing = used.join(known, "_key", "left_anti")
             yield missing.select(*[F.lit(v).alias(k) for k, v in rule.items()], *[c for c in missing.columns if keep or c != "_key"])
 
 

@@ -8,17 +8,66 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.session import settle
+from sparkmart.session import estimated_bytes, settle
 
 # Rows of one key that one task is expected to handle with ease.
 SPLIT_ROWS = 4_000_000
 BUCKETS = 1 << 16  # in which rows are counted before keys are
+KEYS_A_TASK = 1 << 18  # different keys that one task counts or joins, about
 
 
 def all_present(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def crowded_buckets(rows: DataFrame, keys: Sequence[str], split_rows: int) -> list[int]:
+    """Those of 2**16 hash buckets with more than ``split_rows`` rows; there are fewer of them than rows / ``split_rows``."""
+    counted = rows.groupBy(_bucket(keys).alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+    return [r[0] for r in counted.filter(F.col("_rows") > split_rows).select("_bucket").collect()]
+
+
+def tasks_for_keys(rows: DataFrame, keys: Sequence[str]) -> int:
+    """How many tasks the different keys of ``rows`` need, or 0 if the session's shuffle partitions will do.
+
+    Tables that are small by Catalyst's estimate are not looked at; else the keys are estimated in one pass.
+    """
+    enough = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) * KEYS_A_TASK
+    size = estimated_bytes(rows.select(*keys))
+    if size is not None and size < enough // 4:  # packed well, a key may take a quarter of a byte
+        return 0
+    different = rows.agg(F.approx_count_distinct(F.xxhash64(*keys))).first()[0]
+    return -(-different // KEYS_A_TASK) if different > enough else 0
+
+
+def key_counts(
+    rows: DataFrame, keys: Sequence[str], name: str, needed: int | None = None, join_tasks: int = 0
+) -> DataFrame:
+    """Rows of every key, as column ``name``; dealt out by key to ``join_tasks`` at least, if given, for a join.
+
+    Few keys are summed before the exchange, so that a key with a third of the rows sends one row per task. More
+    keys than the session's shuffle partitions should hold are dealt out to tasks of KEYS_A_TASK each, however many there are;
+    the rows of crowded buckets, which are few keys, are summed before the exchange there too. ``needed``: what
+    ``tasks_for_keys`` said, where it is known.
+    """
+    keys, count = list(keys), F.count(F.lit(1)).alias(name)
+    needed = tasks_for_keys(rows, keys) if needed is None else needed
+    dealt = max(needed, join_tasks)
+    if not needed:
+        counted = rows.groupBy(*keys).agg(count)
+        return counted.repartition(dealt, *keys) if dealt else counted
+    crowded = crowded_buckets(rows, keys, SPLIT_ROWS)
+    hot = _bucket(keys).isin(crowded)
+    spread = (rows.filter(~hot) if crowded else rows).select(*keys).repartition(dealt, *keys).groupBy(*keys).agg(count)
+    if not crowded:
+        return spread
+    counted = spread.unionByName(rows.filter(hot).groupBy(*keys).agg(count))
+    return counted.repartition(dealt, *keys) if join_tasks else counted
+
+
 def hot_keys(rows: DataFrame, keys: Sequence[str], split_rows: int) -> DataFrame | None:
     """All keys with more than ``split_rows`` rows, with their number of rows, written out; none if there is none.
 
@@ -27,12 +76,10 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], split_rows: int) -> DataFrame
     only.  There are fewer hot keys than rows / ``split_rows``, and fewer crowded buckets.
     """
     present = rows.filter(all_present(keys))
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
-    counted = present.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
-    crowded = [r[0] for r in counted.filter(F.col("_rows") > split_rows).select("_bucket").collect()]
+    crowded = crowded_buckets(present, keys, split_rows)
     if not crowded:
         return None
-    each = present.filter(bucket.isin(crowded)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    each = present.filter(_bucket(keys).isin(crowded)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     hot = settle(each.filter(F.col("_rows") > split_rows), "hot-keys")
     return None if hot.isEmpty() else hot
 

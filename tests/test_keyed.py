@@ -2,7 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from sparkmart.operators import keyed
+from sparkmart.operators import keyed, skew
+from sparkmart.operators.quality import reference_violation_counts
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -69,6 +70,31 @@ def test_gates_defaults_duplicates_orphans(spark):
     assert keyed.orphans(df, "k", parents, "id").count() == 2
 
 
+def test_a_task_counts_a_bounded_number_of_keys(spark, monkeypatch):
+    monkeypatch.setattr(skew, "KEYS_A_TASK", 500, raising=False)
+    monkeypatch.setattr(skew, "SPLIT_ROWS", 3000)
+    df = spark.range(40_000).select((F.col("id") % 20_000).alias("k")).unionByName(spark.range(9000).select(F.lit(7).cast("long").alias("k")))
+    found = keyed.duplicate_keys(df, ["k"])
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 1000 and sum(sizes) == 20_000
+    assert {r.copies: r["count"] for r in found.groupBy("copies").count().collect()} == {2: 19_999, 9002: 1}
+
+    class Ref:
+        column, target = "p", "parent"
+
+    class Child:
+        key, references = ("id",), (Ref,)
+
+    class Parent:
+        key, references = ("id",), ()
+
+    tables = {"child": df.select(F.lit(1).alias("id"), F.col("k").alias("p")), "parent": spark.range(10, 30_000)}
+    specs = {"child": Child, "parent": Parent}
+    assert [tuple(r) for r in reference_violation_counts(tables, specs).collect()] == [("child", "p", "parent", 9020, 10)]
+    tables["child"] = tables["child"].where("p < 30")  # few keys, many parents
+    assert [tuple(r) for r in reference_violation_counts(tables, specs).collect()] == [("child", "p", "parent", 9020, 10)]
+
+
 def test_latest_n(spark):
     df = spark.createDataFrame([(i, at(i)) for i in range(10)], "id int, event_time timestamp_ntz")
     assert [r.id for r in keyed.latest_n(df, 3).collect()] == [9, 8, 7]
