@@ -57,7 +57,7 @@ class PieceCoder:
         first = lib.encode("a", out_type=str)
         self.prefix = " " if first and first[0].startswith(MARK) else ""
         self.cut = re.compile(self._chunk_pattern())
-        self.held: dict[str, tuple[int, str, str]] = {}
+        self.held: dict[str, str] = {}
 
     def _chunk_pattern(self) -> str:
         """What parts texts into chunks that no merge can leave: every merge makes a piece of the vocabulary, so
@@ -81,37 +81,37 @@ class PieceCoder:
 
     def merges(self, text: str) -> list[str]:
         """Pieces of a chunk: the pair with the best score merges first, the leftmost among equals."""
-        symbols, cost, unused = list(text), self.cost, self.unused
-        n = len(symbols)
-        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        cost_of, unused, n = self.cost.get, self.unused, len(text)
+        # symbols are spans of the text, known by their first character; 0 and -1 stand for no span that could merge
+        before, after = list(range(-1, n - 1)), [*range(1, n + 1), 0]
         parts: dict[str, tuple[str, str]] = {}
-        pairs = map(cost.get, map(add, symbols, symbols[1:]))
-        agenda = [(known, i, 2) for i, known in enumerate(pairs) if known is not None]
+        pairs = map(cost_of, map(add, text, text[1:]))
+        agenda = [(known, i, i + 2) for i, known in enumerate(pairs) if known is not None]
         heapify(agenda)
         while agenda:
-            _, left, size = heappop(agenda)
+            _, left, end = heappop(agenda)
             right = after[left]
-            if right == n or not symbols[left]:
-                continue
-            whole = symbols[left] + symbols[right]
-            if len(whole) != size:
+            if after[right] != end:
                 continue  # symbols only grow: one of the two has merged with another since
-            if whole in unused:
-                parts[whole] = (symbols[left], symbols[right])
-            symbols[left], symbols[right] = whole, ""
-            behind = after[right]
-            after[left] = behind
-            if behind < n:
-                before[behind] = left
-                known = cost.get(whole + symbols[behind])
+            if unused and text[left:end] in unused:
+                parts[text[left:end]] = (text[left:right], text[right:end])
+            after[left], after[right] = end, -1
+            if end < n:
+                before[end] = left
+                upto = after[end]
+                known = cost_of(text[left:upto])
                 if known is not None:
-                    heappush(agenda, (known, left, size + len(symbols[behind])))
+                    heappush(agenda, (known, left, upto))
             ahead = before[left]
             if ahead >= 0:
-                known = cost.get(symbols[ahead] + whole)
+                known = cost_of(text[ahead:end])
                 if known is not None:
-                    heappush(agenda, (known, ahead, len(symbols[ahead]) + size))
-        found = list(filter(None, symbols))
+                    heappush(agenda, (known, ahead, end))
+        found, left = [], 0
+        while left < n:
+            end = after[left]
+            found.append(text[left:end])
+            left = end
         while parts and any(s in parts for s in found):  # pieces not to be used fall back to what they came from
             found = [x for s in found for x in (parts[s] if s in parts else (s,))]
         return found
@@ -162,24 +162,30 @@ class PieceCoder:
         text = self.plain(ids)
         return text[1:] if self.prefix and text.startswith(" ") else text
 
-    def _of_chunk(self, chunk: str) -> tuple[int, str, str]:
+    def _of_chunk(self, chunk: str) -> tuple[str, str]:
+        """The ids of a chunk, joined by commas, and what they decode to; remembered if that is the chunk itself."""
         ids = self.chunk_ids(chunk)
-        found = len(ids), ",".join([self.numbers[i] for i in ids]), self.plain(ids)
-        if len(chunk) <= HELD_LENGTH:
+        joined, plain = ",".join([self.numbers[i] for i in ids]), self.plain(ids)
+        if len(chunk) <= HELD_LENGTH and plain == chunk:
             if len(self.held) >= HELD_CHUNKS:
                 self.held.clear()
-            self.held[chunk] = found
-        return found
+            self.held[chunk] = joined
+        return joined, plain
 
     def text_digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, the ids joined by commas, and what they decode to, chunk by chunk."""
-        held = self.held
-        found = [held.get(c) or self._of_chunk(c) for c in self.chunks(text)]
-        if not found:
+        parts = self.chunks(text)
+        if not parts:
             return 0, "", ""
-        counts, ids, parts = zip(*found)
-        plain = "".join(parts)
-        return sum(counts), ",".join(ids), plain[1:] if self.prefix and plain.startswith(" ") else plain
+        found = list(map(self.held.get, parts))
+        if None in found:
+            for at, known in enumerate(found):
+                if known is None:
+                    chunk = parts[at]
+                    known = self.held.get(chunk)  # it may have come earlier in this text
+                    found[at], parts[at] = self._of_chunk(chunk) if known is None else (known, chunk)
+        joined, plain = ",".join(found), "".join(parts)
+        return joined.count(",") + 1, joined, plain[1:] if self.prefix and plain.startswith(" ") else plain
 
 
 def _coder(df: DataFrame, model_path: str):

@@ -46,6 +46,19 @@ def test_agenda_equals_library():
         assert coder.merges(text) == plain_merges(coder, text)
 
 
+def test_a_remembered_chunk_is_its_ids_as_text():
+    with open(PATH, "rb") as file:
+        coder = PieceCoder(file.read())
+    for text in TEXTS + some_texts():
+        assert coder.text_digest(text) == coder.text_digest(text)
+    for chunk, ids in coder.held.items():  # no second copy of the chunk: only what decodes to itself is remembered
+        assert ids == ",".join(map(str, coder.chunk_ids(chunk))) and coder.plain(coder.chunk_ids(chunk)) == chunk
+    coder.held.clear()
+    coder.byte_ids = {}  # unknown signs do not decode to themselves
+    n, ids, plain = coder.text_digest("a \U000e0041 a \U000e0041")
+    assert n == ids.count(",") + 1 and coder.unknown_text in plain and not any("\U000e0041" in c for c in coder.held)
+
+
 def test_ids_that_no_text_has():
     library = sentencepiece.SentencePieceProcessor(model_file=PATH)
     with open(PATH, "rb") as file:
