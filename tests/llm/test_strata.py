@@ -85,6 +85,15 @@ def test_pieces_are_bounded_and_hold_neighbouring_strata(spark, monkeypatch):
     assert all(a.hi <= b.lo for a, b in zip(ordered, ordered[1:]))
 
 
+def test_terms_of_a_row_are_one_text(spark):
+    docs, items = corpus(6)
+    d, _ = frames(spark, docs, items)
+    rows = strata._terms(d, "doc_id")
+    assert dict(rows.dtypes)["terms"] == "string" and dict(rows.dtypes)["tfs"] == "array<int>"
+    got = sorted((str(r.id), r.n, sorted(zip(r.terms.split(" "), r.tfs))) for r in rows.collect())
+    assert got == sorted((str(i), len(terms(t)), sorted(Counter(terms(t)).items())) for i, t in docs if terms(t))
+
+
 def test_empty_tables(spark):
     d, q = frames(spark, *corpus(5))
     assert search(build_index(d.limit(0)), q).collect() == []
