@@ -7,8 +7,7 @@ scheduler's business.  Faults are raised.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sparkmart.operators import cdc
 from sparkmart.plans import marts, refresh
-from sparkmart.session import scratch_scope, settle
+from sparkmart.session import scratch_scope, settle, side_by_side
 from sparkmart.sources.keyed_table import KeyedTable, upsert_rows
 from sparkmart.specs import TABLES, TableSpec
 from sparkmart.streaming import ingest
@@ -175,10 +174,10 @@ def marts_from_logs(
                     bad.write.mode("overwrite").text(f"{quarantine}/{role}/stream={writer.rpartition(':')[2]}/batch={batch_id}")
                 silver[role].merge(cdc.changes(events, silver[role].key), batch_id, writer)
 
-            with ThreadPoolExecutor(4) as pool:  # tables do not depend on each other
-                list(pool.map(merge, touched))
+            side_by_side(*[partial(merge, role) for role in touched])  # tables do not depend on each other
             with scratch_scope(spark):
-                feeds = {role: feed_of(silver[role], batch_id, writer) for role in touched}
+                found = side_by_side(*[partial(feed_of, silver[role], batch_id, writer) for role in touched])
+                feeds = dict(zip(touched, found))
                 changed = {role: images(found[0], "before", "after") for role, found in feeds.items() if found}
                 if changed:
                     _follow(spark, rows, silver, gold, changed, batch_id, writer, variant, sink_types)
@@ -196,7 +195,8 @@ def _current(spark, table, row) -> DataFrame:
 
 
 def _follow(spark, rows, silver, gold, changed, batch_id, stream, variant, sink_types) -> None:
-    tables = {role: _current(spark, table, rows[role]) for role, table in silver.items()}
+    current = side_by_side(*[partial(_current, spark, table, rows[role]) for role, table in silver.items()])
+    tables = dict(zip(silver, current))
     for name, target in gold.items():
         reach = {role: df for role, df in changed.items() if role in refresh.feeds(name)}
         if reach:

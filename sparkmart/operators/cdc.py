@@ -61,14 +61,15 @@ def has_image(key: Sequence[str] = (), at: str = "") -> Column:
 def decode(
     raw: DataFrame, row: T.StructType, value: str = "value", key: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
-    """(change events, undecodable lines) from JSON text; one parse per line.
+    """(change events, undecodable lines) from JSON text; each reads a line with one parse.
 
     Undecodable are malformed lines, lines with a field that does not parse as its declared type (it would
     else become null and overwrite a good value), unknown operations and events without the image they are
     about or, with ``key``, without its key (see ``has_image``). ``seq`` orders events of equal time: the envelope's own, else the log position in
     ``source.lsn``, else the ``offset`` of the record where the reader kept it.
     """
-    text = F.col(value).cast("string")
+    # always true, but not to the optimizer, which would copy the parse into the filters above, once for each field they read
+    text = F.when(F.spark_partition_id() >= 0, F.col(value).cast("string"))
     parsed = raw.withColumn("_e", F.from_json(text, _parse_schema(row), {"columnNameOfCorruptRecord": _CORRUPT}))
     readable = F.col(f"_e.{_CORRUPT}").isNull() & F.coalesce(F.col("_e.op").isin(*UPSERTS, DELETE), F.lit(False))
     readable = readable & has_image(key, "_e.")

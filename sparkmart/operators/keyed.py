@@ -21,17 +21,18 @@ def unordered(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.StructType) and any(unordered(f.dataType) for f in dtype.fields)
 
 
-def newest_of(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Column:
-    """Aggregate that keeps a whole row: the greatest by ``order``, then by the other columns.
+def newest_of(df: DataFrame, keys: Sequence[str], order: Sequence[str], among: Column | None = None) -> Column:
+    """Aggregate that keeps a whole row: the greatest by ``order``, then by the other columns (``among`` some rows; null if none).
 
     One struct carries both the ordering and the row, so that the partial results which are
     shuffled hold each column once.
     """
     rest = [f for f in df.schema.fields if f.name not in (*keys, *order)]
     ordered = [*order, *[f.name for f in rest if not unordered(f.dataType)]]
+    rank = F.struct(*ordered) if among is None else F.when(among, F.struct(*ordered))
     if len(ordered) == len(order) + len(rest):
-        return F.max(F.struct(*ordered))
-    return F.max_by(F.struct(*order, *[f.name for f in rest]), F.struct(*ordered))
+        return F.max(rank)
+    return F.max_by(F.struct(*order, *[f.name for f in rest]), rank)
 
 
 def resolve_time_column(df: DataFrame, time_column: str = "event_time") -> str | None:

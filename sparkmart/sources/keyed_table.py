@@ -23,10 +23,11 @@ from pyspark.sql import types as T
 from sparkmart.functions.timeval import micros
 from sparkmart.operators.cdc import DELETE
 from sparkmart.operators.keyed import latest_per_key, newest_of, unordered
-from sparkmart.session import settle
+from sparkmart.session import estimated_bytes, settle
 from sparkmart.sources import storage
 
 SLICE_ROWS = 1 << 19  # rows that one task of a merge writes, about
+NEAR_BYTES = 8 << 20  # values up to this size, as written, are looked for before the rows are reduced
 
 META = ("_op", "_ts", "_seq", "_batch", "_created_at", "_updated_at", "_bucket", "_version")
 
@@ -108,13 +109,19 @@ class KeyedTable:
         rows = self._state(self._committed(version))
         return self._shown(rows.filter(F.col("_op") != DELETE), with_meta, audit)
 
-    def read_near(self, values: DataFrame, version: int | None = None) -> DataFrame:
-        """Live rows whose ``bucket_by`` columns are among ``values``, from the buckets of these values only."""
+    def read_near(self, values: DataFrame, version: int | None = None, exact: bool = True) -> DataFrame:
+        """Live rows whose ``bucket_by`` columns are among ``values``, from the buckets of these values only.
+
+        Other rows go before the buckets are reduced, as all changes of a key have one value. Unless ``exact``, other rows
+        of these buckets may come too, for a join that drops them anyway: many values are then not looked for.
+        """
         manifest = self._committed(version)
-        near = values.select(*self.bucket_by).distinct()
+        # written, so that Spark knows the size of few values before it moves the rows
+        near = settle(values.select(*self.bucket_by).distinct(), "near")
         # at most one row per bucket comes back
         touched = {str(r[0]) for r in near.select(self._bucket(manifest["count"])).distinct().collect()}
-        rows = self._state(manifest, touched).join(near, self.bucket_by, "left_semi")
+        few = exact or (estimated_bytes(near) or 0) <= NEAR_BYTES
+        rows = self._state(manifest, touched, near if few else None)
         return self._shown(rows.filter(F.col("_op") != DELETE))
 
     def _committed(self, version: int | None) -> dict:
@@ -128,16 +135,21 @@ class KeyedTable:
             rows = rows.withColumn(audit, F.col("_updated_at"))
         return rows if with_meta else rows.drop(*META)
 
-    def _state(self, manifest: dict, only: set[str] | None = None) -> DataFrame:
-        """The newest change of every key, deletions included, in all buckets or some."""
+    def _state(self, manifest: dict, only: set[str] | None = None, near: DataFrame | None = None) -> DataFrame:
+        """The newest change of every key, deletions included, in all buckets or some, and of all values or those ``near``."""
+
+        def scan(parts: Sequence[tuple[str, int]]) -> DataFrame:
+            rows = self._scan(manifest, parts)
+            return rows if near is None else rows.join(near, self.bucket_by, "left_semi").select(*rows.columns)
+
         held = [(b, v) for b, v in manifest["buckets"].items() if only is None or b in only]
         settled = [(b, versions[0]) for b, versions in held if len(versions) == 1]
         changed = [(b, v) for b, versions in held if len(versions) > 1 for v in versions]
         parts = []
         if settled:
-            parts.append(self._scan(manifest, settled))
+            parts.append(scan(settled))
         if changed:
-            parts.append(self._reduced(self._scan(manifest, changed), self.key))
+            parts.append(self._reduced(scan(changed), self.key))
         return reduce(DataFrame.unionByName, parts) if parts else self._rows(manifest, [])
 
     # -- changes between versions --------------------------------------------------------
@@ -152,6 +164,10 @@ class KeyedTable:
                 return version
         return None
 
+    def has(self, writer: str, batch_id: int) -> bool:
+        """Whether a writer has committed this batch or a later one."""
+        return self.manifest()["writers"].get(writer, -1) >= batch_id
+
     def _writers_before(self, version: int) -> dict:
         earlier = [v for v in self.versions() if v < version]
         return self.manifest(earlier[-1])["writers"] if earlier else {}
@@ -181,10 +197,20 @@ class KeyedTable:
         # what came lies in later folders; only rows of its keys can have been there before or beat it
         fresh = self._rows(new, [(b, v) for b in differ for v in new["buckets"][b] if v > since]).filter(came)
         past = self._rows(old, [(b, v) for b in differ & set(held) for v in held[b]], new["schema"])
-        past = settle(past.join(fresh.select(*self.key).distinct(), self.key, "left_semi").select(*fresh.columns), "past")
-        after = image(self._reduced(past.unionByName(fresh), self.key).filter(came), "after")
-        before = image(self._reduced(past, self.key), "before")
-        both = after.join(before, self.key, "left").select(*self.key, "before", "after")
+        if 4 * (estimated_bytes(fresh) or 0) < (estimated_bytes(past) or 0):
+            past = past.join(fresh.select(*self.key), self.key, "left_semi").select(*fresh.columns)
+        # one pass over both: the newest of all changes of a key, and the newest of those before
+        rows, order = past.unionByName(fresh), ["_ts", "_seq", "_batch"]
+        newest = rows.groupBy(*self.key).agg(
+            newest_of(rows, self.key, order).alias("_new"), newest_of(rows, self.key, order, ~came).alias("_old")
+        )
+        newest = newest.filter(F.coalesce(F.col("_new._version"), F.lit(0)) > since)
+
+        def found(which: str) -> Column:
+            row = F.struct(*[F.col(c) if c in self.key else F.col(f"{which}.{c}").alias(c) for c in columns])
+            return F.when(F.col(f"{which}._op") != DELETE, row)
+
+        both = newest.select(*self.key, found("_old").alias("before"), found("_new").alias("after"))
         if unordered(both.schema["after"].dataType):  # such rows cannot be compared
             return both.filter("before is not null or after is not null")
         return both.filter(~F.col("before").eqNullSafe(F.col("after")))
@@ -204,14 +230,17 @@ class KeyedTable:
 
     # -- merge ---------------------------------------------------------------------------
 
-    def merge(self, batch: DataFrame, batch_id: int, writer: str = "default") -> bool:
-        """Apply a batch; False if it was empty or this writer already committed it."""
+    def merge(self, batch: DataFrame, batch_id: int, writer: str = "default", single: bool = False) -> bool:
+        """Apply a batch; False if it was empty or this writer already committed it.
+
+        ``single`` says that the batch has at most one change of a key, so it need not be reduced.
+        """
         manifest = self.manifest()
         if manifest["writers"].get(writer, -1) >= batch_id:
             return False
         count = manifest["count"]
         version = manifest["version"] + 1
-        incoming = self._last_changes(batch, batch_id, count).withColumn("_version", F.lit(version).cast("long"))
+        incoming = self._last_changes(batch, batch_id, count, single).withColumn("_version", F.lit(version).cast("long"))
         incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # at most one row per bucket comes back
@@ -282,9 +311,9 @@ class KeyedTable:
         )
         return picked.select(*grouping, "_best.*", "_created_at").select(*rows.columns)
 
-    def _last_changes(self, batch: DataFrame, batch_id: int, buckets: int) -> DataFrame:
+    def _last_changes(self, batch: DataFrame, batch_id: int, buckets: int, single: bool) -> DataFrame:
         rows = batch.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.key]))
-        last = latest_per_key(rows, self.key, order=("_ts", "_seq"))
+        last = rows if single else latest_per_key(rows, self.key, order=("_ts", "_seq"))
         now = F.current_timestamp()
         return last.withColumns(
             {

@@ -8,12 +8,13 @@ it changes nothing twice.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.operators.keyed import latest_per_key
-from sparkmart.session import scratch_scope, settle
+from sparkmart.session import scratch_scope, settle, side_by_side
 from sparkmart.sources.keyed_table import KeyedTable
 
 Step = tuple[DataFrame, int]
@@ -24,7 +25,8 @@ def feed_of(table: KeyedTable, batch_id: int, writer: str) -> Step | None:
     version = table.version_of(writer, batch_id)
     if version is None:
         return None
-    return settle(table.change_feed(version - 1, version), "feed"), version
+    feed = table.change_feed(version - 1, version)
+    return feed if version == 1 else settle(feed, "feed"), version  # the first one is what was just written
 
 
 def merge_with_feed(table: KeyedTable, changes: DataFrame, batch_id: int, writer: str) -> Step | None:
@@ -61,11 +63,12 @@ class _Members:
         )
         left = images(feed.filter(F.col("after").isNull() | moved), "before")
         changes = as_changes(left, "d", order).unionByName(as_changes(images(feed, "after"), "u", order))
-        self.table.merge(changes, batch_id, writer)
+        # a feed has a key once, and a row that moved has another key here
+        self.table.merge(changes, batch_id, writer, single=True)
         return self.table.version_of(writer, batch_id) or (self.table.versions() or [0])[-1]
 
-    def near(self, values: DataFrame, version: int) -> DataFrame | None:
-        return self.table.read_near(values, version) if version else None
+    def near(self, values: DataFrame, version: int, exact: bool = True) -> DataFrame | None:
+        return self.table.read_near(values, version, exact) if version else None
 
 
 class LatestOfGroup:
@@ -83,6 +86,8 @@ class LatestOfGroup:
 
     def apply(self, changes: DataFrame, batch_id: int, writer: str = "latest") -> None:
         """Merge a batch of changes (``cdc.changes``) and bring the groups it touches up to date."""
+        if self.latest.has(writer, batch_id):  # written last, so all of the batch is done
+            return
         with scratch_scope(self.rows.spark):
             step = merge_with_feed(self.rows, changes, batch_id, writer)
             if step is None:
@@ -99,7 +104,7 @@ class LatestOfGroup:
             out = as_changes(gone, "d", order)
             if best is not None:
                 out = as_changes(best, "u", order).unionByName(out, allowMissingColumns=True)
-            self.latest.merge(out, batch_id, writer)
+            self.latest.merge(out, batch_id, writer, single=True)
 
 
 class ChangeJoin:
@@ -118,34 +123,40 @@ class ChangeJoin:
         key = list(dict.fromkeys([*left.key, *right.key]))
         self.result = KeyedTable(left.spark, f"{base}/result", key, left.buckets, left.compact_after)
 
-    def _pairs(self, image: str, steps: list[Step | None], versions: list[int]) -> list[DataFrame]:
+    def _pairs(self, image: str, steps: list[Step | None], versions: list[int], old: list[int]) -> list[DataFrame]:
         """Changed rows of each side, as of ``image``, with the other side's rows at the given versions."""
         found = []
         for i, step in enumerate(steps):
             other = self.members[1 - i]
             if step is None or not versions[1 - i]:
                 continue
+            if i and steps[0] is not None and not old[0]:
+                continue  # all rows of the left side are new: their pairs are found already
             mine = images(step[0], image).dropna(subset=self.on)
-            found.append(mine.join(other.near(mine, versions[1 - i]), self.on))
+            found.append(mine.join(other.near(mine, versions[1 - i], exact=False), self.on))
         return found
 
+    def _follow(self, side: int, changes: DataFrame, batch_id: int, writer: str) -> tuple[Step | None, int, int]:
+        """Bring a side up to date: its difference, and the versions of its members before and after."""
+        members = self.members[side]
+        step = merge_with_feed(self.sides[side], changes, batch_id, writer)
+        if step is None:
+            held = (members.table.versions() or [0])[-1]
+            return None, held, held
+        after = members.follow(step, batch_id, writer)
+        own = members.table.version_of(writer, batch_id)
+        return step, after if own is None else own - 1, after
+
     def apply(self, left: DataFrame, right: DataFrame, batch_id: int, writer: str = "join") -> None:
         """Merge a batch of changes of both sides and move the result by the difference."""
+        if self.result.has(writer, batch_id):  # written last, so all of the batch is done
+            return
         with scratch_scope(self.result.spark):
-            steps, old, new = [], [], []
-            for table, members, changes in zip(self.sides, self.members, (left, right)):
-                step = merge_with_feed(table, changes, batch_id, writer)
-                steps.append(step)
-                if step is None:
-                    held = (members.table.versions() or [0])[-1]
-                    old.append(held)
-                    new.append(held)
-                else:
-                    after = members.follow(step, batch_id, writer)
-                    own = members.table.version_of(writer, batch_id)
-                    old.append(after if own is None else own - 1)
-                    new.append(after)
-            plus, minus = self._pairs("after", steps, new), self._pairs("before", steps, old)
+            sides = side_by_side(
+                lambda: self._follow(0, left, batch_id, writer), lambda: self._follow(1, right, batch_id, writer)
+            )
+            steps, old, new = map(list, zip(*sides))
+            plus, minus = self._pairs("after", steps, new, old), self._pairs("before", steps, old, old)
             if not plus and not minus:
                 return
             order, key = F.lit(batch_id).cast("long"), self.result.key
@@ -155,11 +166,12 @@ class ChangeJoin:
                 added = part.select(*columns) if added is None else added.unionByName(part.select(*columns))
             out = None
             if added is not None:
-                added = settle(added.dropDuplicates(key), "pairs")
+                added = settle(added if len(plus) == 1 else added.dropDuplicates(key), "pairs")
                 out = as_changes(added, "u", order)
-            for part in minus:
-                gone = part.select(*key).distinct()
+            if minus:
+                gone = reduce(DataFrame.unionByName, [part.select(*key) for part in minus])
+                gone = gone.distinct() if len(minus) > 1 else gone
                 gone = gone if added is None else gone.join(added, key, "left_anti")
                 gone = as_changes(gone, "d", order)
                 out = gone if out is None else out.unionByName(gone, allowMissingColumns=True)
-            self.result.merge(out, batch_id, writer)
+            self.result.merge(out, batch_id, writer, single=True)

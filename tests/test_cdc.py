@@ -137,3 +137,14 @@ def test_a_delete_names_its_row_in_the_image_before(spark):
     moved = json.dumps({"op": "d", "before": {"id": "1"}, "after": {"id": "2"}, "ts_ms": 9})
     events, _ = cdc.decode(log(spark, [line("c", 1, "1", "1"), line("c", 1, "2", "1"), moved]), ROW, key=["id"])
     assert [r.id for r in cdc.apply_changes(events, ["id"]).collect()] == ["2"]
+
+
+def test_a_line_is_parsed_once(spark):
+    row = T.StructType.fromDDL("id long, v string")
+    lines = spark.createDataFrame([('{"after":{"id":1,"v":"a"},"op":"c","ts_ms":1,"seq":1}',), ('{"after":{"id":"x"},"op":"c"}',), ("{",), (None,)], "value string")
+    events, bad = cdc.decode(lines, row, key=["id"])
+    flat = cdc.changes(events, ["id"])
+    for df in (flat, bad):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert [(r.id, r.v, r["_op"]) for r in flat.collect()] == [(1, "a", "c")]
+    assert bad.count() == 3

@@ -5,8 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sparkmart.session import scratch_dir
+from sparkmart.session import scratch_dir, scratch_scope, side_by_side
+from sparkmart.sources import storage
 from sparkmart.sources.keyed_table import KeyedTable
+from sparkmart.streaming import retract
 from sparkmart.streaming.retract import ChangeJoin, LatestOfGroup, merge_with_feed
 
 COLUMNS = "id long, g string, at long, v string, _op string, _ts long, _seq long"
@@ -134,3 +136,55 @@ def test_a_step_that_broke_off_is_finished(spark):
     assert [(r.g, r.v) for r in view.latest.read().collect()] == [("a", "x")]
     view.apply(frame(spark, [(1, None, None, None, "d", 3, 0)]).where(F.lit(True)), 2)
     assert view.latest.read().collect() == []
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_few_values_are_found_before_the_buckets_are_reduced(spark):
+    t = table(spark, scratch_dir(spark, "few"), key=("g", "id"), bucket_by=["g"])
+    for b in range(2):
+        t.merge(frame(spark, [(k, f"g{k % 6}", b, f"{b}-{k}", "u", b, 0) for k in range(60)]), b)
+    values = spark.createDataFrame([("g1",), ("none",)], "g string")
+    near = t.read_near(values)
+    assert "Aggregate" in plan(near) and "LeftSemi" in plan(near).split("Aggregate", 1)[1]
+    assert {(r.id, r.v) for r in near.collect()} == {(k, f"1-{k}") for k in range(1, 60, 6)}
+    rough = t.read_near(values, exact=False)
+    assert {(r.id, r.v) for r in rough.collect() if r.g == "g1"} == {(k, f"1-{k}") for k in range(1, 60, 6)}
+
+
+def test_a_feed_reduces_its_rows_once(spark):
+    t = table(spark, scratch_dir(spark, "once"))
+    t.merge(frame(spark, [(k, "a", k, "x", "c", 1, 0) for k in range(40)]), 0)
+    changes = [(k, "b", k, "y", "u", 2, 0) for k in range(0, 40, 2)] + [(1, None, None, None, "d", 2, 0), (3, "a", 3, "late", "u", 0, 0), (77, "n", 1, "n", "c", 2, 0)]
+    t.merge(frame(spark, changes), 1)
+    feed = t.change_feed(1)
+    assert plan(feed).count("Aggregate") == 1
+    got = {r.id: (r.before and r.before.v, r.after and r.after.v, r.after and r.after.id) for r in feed.collect()}
+    assert got == {**{k: ("x", "y", k) for k in range(0, 40, 2)}, 1: ("x", None, None), 77: (None, "n", 77)}
+
+
+def test_a_finished_batch_is_not_worked_through_again(spark, monkeypatch):
+    base = scratch_dir(spark, "done")
+    view = LatestOfGroup(table(spark, f"{base}/rows"), ["g"], ["at"], base)
+    changes = frame(spark, [(1, "a", 1, "x", "c", 1, 0)])
+    side = lambda n: frame(spark, [(1, 1, n, "c", 1, 0)], f"{n}_id long, k long, {n} string, _op string, _ts long, _seq long")
+    join = ChangeJoin(table(spark, f"{base}/a", ["a_id"]), table(spark, f"{base}/b", ["b_id"]), ["k"], f"{base}/join")
+    view.apply(changes, 0)
+    join.apply(side("a"), side("b"), 0)
+
+    def again(*args):
+        raise AssertionError("the batch was finished")
+
+    monkeypatch.setattr(retract, "merge_with_feed", again)
+    view.apply(changes, 0)
+    join.apply(side("a"), side("b"), 0)
+    assert [(r.a, r.b) for r in join.result.read().collect()] == [("a", "b")]
+
+
+def test_scratch_of_actions_side_by_side_goes_with_the_step(spark):
+    with scratch_scope(spark):
+        paths = side_by_side(lambda: scratch_dir(spark, "one"), lambda: scratch_dir(spark, "two"))
+        assert all(storage.exists(spark, p) for p in paths)
+    assert not any(storage.exists(spark, p) for p in paths)
