@@ -122,6 +122,7 @@ class KeyedTable:
         touched = {str(r[0]) for r in near.select(self._bucket(manifest["count"])).distinct().collect()}
         few = exact or (estimated_bytes(near) or 0) <= NEAR_BYTES
         rows = self._state(manifest, touched, near if few else None)
+        rows = rows.select(*self.bucket_by, *[c for c in rows.columns if c not in self.bucket_by])
         return self._shown(rows.filter(F.col("_op") != DELETE))
 
     def _committed(self, version: int | None) -> dict:

@@ -188,3 +188,10 @@ def test_scratch_of_actions_side_by_side_goes_with_the_step(spark):
         paths = side_by_side(lambda: scratch_dir(spark, "one"), lambda: scratch_dir(spark, "two"))
         assert all(storage.exists(spark, p) for p in paths)
     assert not any(storage.exists(spark, p) for p in paths)
+
+
+def test_near_rows_keep_their_column_order(spark):
+    t = table(spark, scratch_dir(spark, "order"), key=("g", "id"), bucket_by=["g"])
+    t.merge(frame(spark, [(1, "a", 1, "x", "c", 1, 0)]), 0)
+    values = spark.createDataFrame([("a",)], "g string")
+    assert t.read_near(values).columns == t.read_near(values, exact=False).columns == ["g", "id", "at", "v"]
