@@ -175,3 +175,26 @@ def test_unknown_times_get_the_time_of_the_run(spark):
     now = F.lit(dt.datetime(2030, 1, 1)).cast("timestamp_ntz")
     assert {r.event_time for r in marts.publish(mart, "supply_readiness", now).select("event_time").collect()} == {dt.datetime(2030, 1, 1)}
     assert {r.event_time for r in marts.publish(mart, "supply_readiness").select("event_time").collect()} == {None}
+
+
+def test_marts_from_logs_reads_each_line_once_for_changes(spark, monkeypatch):
+    """The changes that a batch merges come from one parse of its lines."""
+    base, t = scratch_dir(spark, "once"), Tables(spark, SF)
+    rows = {r: t[r].schema for r in sorted(refresh.feeds("supply_readiness"))}
+    silver = {r: KeyedTable(spark, f"{base}/silver/{r}", ["id"], 2) for r in rows}
+    mart = KeyedTable(spark, f"{base}/gold", marts.mart_key("supply_readiness", "product"), 2)
+    for r in rows:
+        image = F.to_json(F.struct(F.struct(*t[r].columns).alias("after"), F.lit("c").alias("op"), F.lit(1).alias("ts_ms")))
+        t[r].select(image.alias("value")).write.text(f"{base}/log/{r}")
+    parses, merge = [], KeyedTable.merge
+
+    def seen(table, batch, *more, **named):
+        if "/silver/" in table.path:
+            parses.append(batch._jdf.queryExecution().optimizedPlan().toString().count("from_json("))
+        return merge(table, batch, *more, **named)
+
+    monkeypatch.setattr(KeyedTable, "merge", seen)
+    lines = {r: ingest.text_stream(spark, f"{base}/log/{r}") for r in rows}
+    jobs.marts_from_logs(spark, lines, rows, silver, {"supply_readiness": mart}, f"{base}/checkpoint", sink_types=False).awaitTermination()
+    assert parses == [1] * len(rows)
+    assert mart.read().count() == marts.supply_readiness({r: t[r] for r in rows}).count()
