@@ -163,30 +163,37 @@ def marts_from_logs(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         writer = ingest.writer_of(spark, "marts", checkpoint)
-        batch.persist()
-        try:
-            # one row per role
-            touched = sorted(r[0] for r in batch.select("role").distinct().collect())
-
-            def merge(role: str) -> None:
-                events, bad = cdc.decode(batch.filter(F.col("role") == role), rows[role], key=silver[role].key)
-                if quarantine is not None:
-                    bad.write.mode("overwrite").text(f"{quarantine}/{role}/stream={writer.rpartition(':')[2]}/batch={batch_id}")
-                silver[role].merge(cdc.changes(events, silver[role].key), batch_id, writer)
-
-            side_by_side(*[partial(merge, role) for role in touched])  # tables do not depend on each other
-            with scratch_scope(spark):
-                found = side_by_side(*[partial(feed_of, silver[role], batch_id, writer) for role in touched])
-                feeds = dict(zip(touched, found))
-                changed = {role: images(found[0], "before", "after") for role, found in feeds.items() if found}
-                if changed:
-                    _follow(spark, rows, silver, gold, changed, batch_id, writer, variant, sink_types)
-        finally:
-            batch.unpersist()
+
+        def merge(role: str) -> None:
+            # the lines are not kept: each role unpacks them once, which takes about as long and no memory
+            aside = None if quarantine is None else f"{quarantine}/{role}/stream={writer.rpartition(':')[2]}/batch={batch_id}"
+            ingest.merge_lines(batch.filter(F.col("role") == role), rows[role], silver[role], batch_id, writer, aside)
+
+        side_by_side(*[partial(merge, role) for role in lines])  # tables do not depend on each other
+        if not any(silver[role].version_of(writer, batch_id) for role in lines):
+            return
+        with scratch_scope(spark):
+            steps = side_by_side(*[partial(_step, spark, silver[role], rows[role], batch_id, writer) for role in silver])
+            changed = {role: moved for role, (moved, _) in zip(silver, steps) if moved is not None}
+            tables = {role: current for role, (_, current) in zip(silver, steps)}
+            for name, target in gold.items():
+                reach = {role: df for role, df in changed.items() if role in refresh.feeds(name)}
+                if reach:
+                    refresh.refresh(name, tables, reach, target, batch_id, variant, writer, sink_types)
 
     return ingest.start_batches(every_line, step, checkpoint, every)
 
 
+def _step(spark, table, row, batch_id, writer) -> tuple[DataFrame | None, DataFrame]:
+    """The rows that a batch has changed in a table, before and after (none if it had none there), and the live rows."""
+    version = table.version_of(writer, batch_id)
+    if version is None or version == 1 or version != table.versions()[-1] or not table.layered():
+        feed = feed_of(table, batch_id, writer)
+        return None if feed is None else images(feed[0], "before", "after"), _current(spark, table, row)
+    step = settle(table.follow(version - 1, version), "step")
+    return images(step.filter("_moved"), "before", "after"), images(step, "after")
+
+
 def _current(spark, table, row) -> DataFrame:
     """Live rows of a table that several joins read: reduced once, if they have to be."""
     if not table.versions():
@@ -194,15 +201,6 @@ def _current(spark, table, row) -> DataFrame:
     return settle(table.read(), "current") if table.layered() else table.read()
 
 
-def _follow(spark, rows, silver, gold, changed, batch_id, stream, variant, sink_types) -> None:
-    current = side_by_side(*[partial(_current, spark, table, rows[role]) for role, table in silver.items()])
-    tables = dict(zip(silver, current))
-    for name, target in gold.items():
-        reach = {role: df for role, df in changed.items() if role in refresh.feeds(name)}
-        if reach:
-            refresh.refresh(name, tables, reach, target, batch_id, variant, stream, sink_types)
-
-
 def every_tick(spark: SparkSession, action: Callable[[int], None], interval: str, checkpoint: str, runs: int | None = None) -> int:
     """Run an action at a steady interval, ``runs`` times or until it fails; returns how often it ran.
 

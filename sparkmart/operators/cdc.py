@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,10 +59,12 @@ def has_image(key: Sequence[str] = (), at: str = "") -> Column:
 
 
 def decode(
-    raw: DataFrame, row: T.StructType, value: str = "value", key: Sequence[str] = ()
+    raw: DataFrame, row: T.StructType, value: str = "value", key: Sequence[str] = (), seen: Observation | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(change events, undecodable lines) from JSON text; each reads a line with one parse.
 
+    ``seen`` counts the undecodable lines as ``bad`` while the events are read, so that nobody parses all lines again for none.
+
     Undecodable are malformed lines, lines with a field that does not parse as its declared type (it would
     else become null and overwrite a good value), unknown operations and events without the image they are
     about or, with ``key``, without its key (see ``has_image``). ``seq`` orders events of equal time: the envelope's own, else the log position in
@@ -74,7 +76,8 @@ def decode(
     readable = F.col(f"_e.{_CORRUPT}").isNull() & F.coalesce(F.col("_e.op").isin(*UPSERTS, DELETE), F.lit(False))
     readable = readable & has_image(key, "_e.")
     position = [F.col("_e.seq"), F.col("_e.source.lsn")] + ([F.col("offset")] if "offset" in raw.columns else [])
-    events = parsed.filter(readable).select(
+    told = parsed if seen is None else parsed.observe(seen, F.count_if(~readable).alias("bad"))
+    events = told.filter(readable).select(
         "_e.before", "_e.after", "_e.op", "_e.ts_ms", F.coalesce(*position).alias("seq")
     )
     quarantine = parsed.filter(~readable).select(F.col(value).cast("string").alias("value"))

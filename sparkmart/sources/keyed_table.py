@@ -27,6 +27,7 @@ from sparkmart.session import estimated_bytes, settle
 from sparkmart.sources import storage
 
 SLICE_ROWS = 1 << 19  # rows that one task of a merge writes, about
+KEYS_LG = 11  # a bucket's different keys are counted in 2**11 registers: with an error of about 2.3 %
 NEAR_BYTES = 8 << 20  # values up to this size, as written, are looked for before the rows are reduced
 
 META = ("_op", "_ts", "_seq", "_batch", "_created_at", "_updated_at", "_bucket", "_version")
@@ -150,7 +151,8 @@ class KeyedTable:
         if settled:
             parts.append(scan(settled))
         if changed:
-            parts.append(self._reduced(scan(changed), self.key))
+            # a folder holds a key once: there is next to nothing to reduce before the exchange, and a sort to save
+            parts.append(self._reduced(scan(changed).repartition(*self.key), self.key))
         return reduce(DataFrame.unionByName, parts) if parts else self._rows(manifest, [])
 
     # -- changes between versions --------------------------------------------------------
@@ -195,26 +197,60 @@ class KeyedTable:
             after = image(self._state(new, differ).filter(came), "after")
             kind = after.schema["after"].dataType
             return after.select(*self.key, F.lit(None).cast(kind).alias("before"), "after").filter("after is not null")
-        # what came lies in later folders; only rows of its keys can have been there before or beat it
-        fresh = self._rows(new, [(b, v) for b in differ for v in new["buckets"][b] if v > since]).filter(came)
-        past = self._rows(old, [(b, v) for b in differ & set(held) for v in held[b]], new["schema"])
+        past, fresh = self._past_and_fresh(old, new, differ, since)
         if 4 * (estimated_bytes(fresh) or 0) < (estimated_bytes(past) or 0):
             past = past.join(fresh.select(*self.key), self.key, "left_semi").select(*fresh.columns)
-        # one pass over both: the newest of all changes of a key, and the newest of those before
-        rows, order = past.unionByName(fresh), ["_ts", "_seq", "_batch"]
-        newest = rows.groupBy(*self.key).agg(
+        return self._images(past.unionByName(fresh), columns, since).filter("_moved").drop("_moved")
+
+    def follow(self, since: int, until: int | None = None) -> DataFrame:
+        """The rows of a version and how they came about since an earlier one, in one pass for who needs both.
+
+        Keys that have a live row, or had one and changed: the row ``before`` (null unless it changed), the row ``after`` (null
+        if it is gone), and ``_moved``, true for the rows of ``change_feed``.
+        """
+        old, new = self.manifest(since), self._committed(until)
+        differ = {b for b, versions in new["buckets"].items() if old["buckets"].get(b) != versions}
+        columns = [f["name"] for f in new["schema"]["fields"] if f["name"] not in META]
+        past, fresh = self._past_and_fresh(old, new, differ, since)
+        found = self._images(past.unionByName(fresh), columns, since)
+        found = found.withColumn("before", F.when(F.col("_moved"), F.col("before"))).filter("_moved or after is not null")
+        same = set(new["buckets"]) - differ
+        if not same:
+            return found
+        rest = self._state(new, same).filter(F.col("_op") != DELETE)
+        none = F.lit(None).cast(found.schema["before"].dataType)
+        rest = rest.select(*self.key, none.alias("before"), F.struct(*columns).alias("after"), F.lit(False).alias("_moved"))
+        return found.unionByName(rest)
+
+    def _past_and_fresh(self, old: dict, new: dict, buckets: set[str], since: int) -> tuple[DataFrame, DataFrame]:
+        """What some buckets held, and what came: it lies in later folders, and only rows of its keys can have been there before or beat it."""
+        came = F.coalesce(F.col("_version"), F.lit(0)) > since
+        fresh = self._rows(new, [(b, v) for b in buckets for v in new["buckets"][b] if v > since]).filter(came)
+        held = old["buckets"]
+        return self._rows(old, [(b, v) for b in buckets & set(held) for v in held[b]], new["schema"]), fresh
+
+    def _images(self, rows: DataFrame, columns: Sequence[str], since: int) -> DataFrame:
+        """Every key with its rows ``before`` and ``after``, and ``_moved``: whether what came since has changed the row.
+
+        One pass: the newest of all changes of a key, and the newest of those before.
+        """
+        order = ["_ts", "_seq", "_batch"]
+        came = F.coalesce(F.col("_version"), F.lit(0)) > since
+        newest = rows.repartition(*self.key).groupBy(*self.key).agg(
             newest_of(rows, self.key, order).alias("_new"), newest_of(rows, self.key, order, ~came).alias("_old")
         )
-        newest = newest.filter(F.coalesce(F.col("_new._version"), F.lit(0)) > since)
 
         def found(which: str) -> Column:
             row = F.struct(*[F.col(c) if c in self.key else F.col(f"{which}.{c}").alias(c) for c in columns])
             return F.when(F.col(f"{which}._op") != DELETE, row)
 
-        both = newest.select(*self.key, found("_old").alias("before"), found("_new").alias("after"))
+        won = F.coalesce(F.col("_new._version"), F.lit(0)) > since
+        both = newest.select(*self.key, found("_old").alias("before"), found("_new").alias("after"), won.alias("_won"))
         if unordered(both.schema["after"].dataType):  # such rows cannot be compared
-            return both.filter("before is not null or after is not null")
-        return both.filter(~F.col("before").eqNullSafe(F.col("after")))
+            differs = F.col("before").isNotNull() | F.col("after").isNotNull()
+        else:
+            differs = ~F.col("before").eqNullSafe(F.col("after"))
+        return both.select(*self.key, "before", "after", (F.col("_won") & differs).alias("_moved"))
 
     def grow(self, buckets: int) -> None:
         """Deal the rows out to more buckets, for a table that has outgrown its first number of them; a commit like any other."""
@@ -241,19 +277,30 @@ class KeyedTable:
             return False
         count = manifest["count"]
         version = manifest["version"] + 1
-        incoming = self._last_changes(batch, batch_id, count, single).withColumn("_version", F.lit(version).cast("long"))
-        incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
+        flat = batch.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.key]))
+        flat = flat.withColumn("_bucket", self._bucket(count)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            keys = F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(*self.key), KEYS_LG))
+            keys = F.lit(None).cast("long") if single else keys
             # at most one row per bucket comes back
-            sizes = {r[0]: r[1] for r in incoming.groupBy("_bucket").count().collect()}
-            touched = list(sizes)
+            counted = flat.groupBy("_bucket").agg(F.count(F.lit(1)), keys).collect()
+            touched = [r[0] for r in counted]
             if not touched:
                 return False
+            few = single or _few_repeats(counted)
+            sizes = {b: rows if few else min(rows, different) for b, rows, different in counted}
             held = {b: manifest["buckets"].get(str(b), []) for b in touched}
             full = [b for b in touched if len(held[b]) > self.compact_after]
-            if not full:
+            if not full and few and not single:
+                # one exchange serves the reduction (grouped by bucket, slice and key) and the write
+                dealt = self._dealt(flat, len(touched), max(sizes.values()))
+                last = latest_per_key(dealt, ["_bucket", "_slice", *self.key], order=("_ts", "_seq"))
+                rows = self._stamped(last.drop("_slice"), batch_id, version)
+            elif not full:
+                incoming = self._stamped(flat if single else self._last_changes(flat), batch_id, version)
                 rows = self._dealt(incoming, len(touched), max(sizes.values())).drop("_slice")
             else:
+                incoming = self._stamped(flat if single else self._last_changes(flat), batch_id, version)
                 old = self._scan(manifest, [(str(b), v) for b in full for v in held[b]])
                 old = old.withColumn("_bucket", self._bucket(count))
                 for r in old.groupBy("_bucket").count().collect():
@@ -268,7 +315,7 @@ class KeyedTable:
             folder = f"v{version:010d}-{uuid.uuid4().hex}"
             rows.write.partitionBy("_bucket").parquet(f"{self.path}/data/{folder}")
         finally:
-            incoming.unpersist()
+            flat.unpersist()
         stored = T.StructType([f for f in rows.schema.fields if f.name != "_bucket"])
         rewritten = set(full)
         buckets = {
@@ -312,16 +359,17 @@ class KeyedTable:
         )
         return picked.select(*grouping, "_best.*", "_created_at").select(*rows.columns)
 
-    def _last_changes(self, batch: DataFrame, batch_id: int, buckets: int, single: bool) -> DataFrame:
-        rows = batch.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.key]))
-        last = rows if single else latest_per_key(rows, self.key, order=("_ts", "_seq"))
+    def _last_changes(self, flat: DataFrame) -> DataFrame:
+        return latest_per_key(flat, ["_bucket", *self.key], order=("_ts", "_seq"))
+
+    def _stamped(self, last: DataFrame, batch_id: int, version: int) -> DataFrame:
         now = F.current_timestamp()
         return last.withColumns(
             {
                 "_batch": F.lit(batch_id).cast("long"),
                 "_created_at": now,
                 "_updated_at": now,
-                "_bucket": self._bucket(buckets),
+                "_version": F.lit(version).cast("long"),
             }
         )
 
@@ -354,6 +402,13 @@ class KeyedTable:
         return removed
 
 
+def _few_repeats(counted: Sequence[tuple[int, int, int]]) -> bool:
+    """Whether (bucket, rows, different keys, about) leave little to reduce before an exchange, and no key that would crowd a task."""
+    extra = [max(0, rows - keys) for _, rows, keys in counted]
+    crowded = any(more > max(SLICE_ROWS, rows // 16) for more, (_, rows, _) in zip(extra, counted))
+    return not crowded and 4 * sum(extra) <= sum(rows for _, rows, _ in counted)
+
+
 def _merged_schema(old: dict | None, new: T.StructType) -> T.StructType:
     """Columns of the earlier schema, then new ones; folders of old shape read as null there."""
     if old is None:

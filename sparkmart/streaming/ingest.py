@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -39,6 +39,23 @@ def writer_of(spark: SparkSession, name: str, checkpoint: str) -> str:
     return f"{name}:{json.loads(storage.read_text(spark, f'{checkpoint}/metadata'))['id']}"
 
 
+def merge_lines(
+    lines: DataFrame, row: T.StructType, table: KeyedTable, batch_id: int, writer: str, quarantine: str | None = None, deletes: str = "apply"
+) -> None:
+    """Decode change-log lines and merge them; lines that do not decode are written to the folder ``quarantine``, if there are any.
+
+    The merge counts them as it parses; only if it met some, or a replay did not parse at all, are lines parsed again.
+    """
+    seen = None if quarantine is None else Observation()
+    events, bad = cdc.decode(lines, row, key=table.key, seen=seen)
+    flat = cdc.changes(events, table.key)
+    if deletes == "ignore":
+        flat = flat.filter(F.col("_op") != cdc.DELETE)
+    merged = table.merge(flat, batch_id, writer)
+    if seen is not None and (seen.get["bad"] if merged else not lines.isEmpty()):
+        bad.write.mode("overwrite").text(quarantine)
+
+
 def ingest(
     lines: DataFrame,
     row: T.StructType,
@@ -56,18 +73,13 @@ def ingest(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         if quarantine is not None:
-            # read by both writes below; the second one parses only operation and key
+            # read again if some lines do not decode
             batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            events, bad = cdc.decode(batch, row, key=table.key)
-            flat = cdc.changes(events, table.key)
-            if deletes == "ignore":
-                flat = flat.filter(F.col("_op") != cdc.DELETE)
-            table.merge(flat, batch_id, writer_of(table.spark, writer, checkpoint))
-            if quarantine is not None:
-                # one folder per stream and batch: a replay rewrites it, a new checkpoint leaves it alone
-                stream = writer_of(table.spark, writer, checkpoint).rpartition(":")[2]
-                bad.write.mode("overwrite").text(f"{quarantine}/stream={stream}/batch={batch_id}")
+            stream = writer_of(table.spark, writer, checkpoint)
+            # one folder per stream and batch: a replay rewrites it, a new checkpoint leaves it alone
+            aside = None if quarantine is None else f"{quarantine}/stream={stream.rpartition(':')[2]}/batch={batch_id}"
+            merge_lines(batch, row, table, batch_id, stream, aside, deletes)
         finally:
             if quarantine is not None:
                 batch.unpersist()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from sparkmart.functions.timeval import micros
 from sparkmart.operators import cdc
 from sparkmart.plans import marts, refresh
 from sparkmart.session import scratch_dir
+from sparkmart.session import side_by_side as at_once
 from sparkmart.sources import lake
 from sparkmart.sources.keyed_table import KeyedTable
 from sparkmart.streaming import ingest
@@ -35,11 +38,14 @@ LOG_RECORDS = 100_000
 
 def _run_phases(phases: list[dict[str, DataFrame]], base: str, start) -> None:
     """Write the logs phase by phase; after each the stream runs over what is new, so phases never share a batch."""
+
+    def write(name: str, lines: DataFrame) -> None:
+        # packed files cannot be cut, so each holds few enough lines for one task
+        packed = lines.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", LOG_RECORDS)
+        packed.text(f"{base}/log/{name}")
+
     for phase in phases:
-        for name, lines in phase.items():
-            # packed files cannot be cut, so each holds few enough lines for one task
-            packed = lines.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", LOG_RECORDS)
-            packed.text(f"{base}/log/{name}")
+        at_once(*[partial(write, name, lines) for name, lines in phase.items()])
         start().awaitTermination()
 
 

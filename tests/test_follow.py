@@ -198,3 +198,29 @@ def test_marts_from_logs_reads_each_line_once_for_changes(spark, monkeypatch):
     jobs.marts_from_logs(spark, lines, rows, silver, {"supply_readiness": mart}, f"{base}/checkpoint", sink_types=False).awaitTermination()
     assert parses == [1] * len(rows)
     assert mart.read().count() == marts.supply_readiness({r: t[r] for r in rows}).count()
+
+
+def test_lines_are_parsed_for_the_quarantine_only_if_some_do_not_decode(spark):
+    base, t = scratch_dir(spark, "aside"), Tables(spark, SF)
+    rows = {r: t[r].schema for r in sorted(refresh.feeds("supply_readiness"))}
+    silver = {r: KeyedTable(spark, f"{base}/silver/{r}", ["id"], 2) for r in rows}
+    mart = KeyedTable(spark, f"{base}/gold", marts.mart_key("supply_readiness", "product"), 2)
+    for r in rows:
+        image = F.to_json(F.struct(F.struct(*t[r].columns).alias("after"), F.lit("c").alias("op"), F.lit(1).alias("ts_ms")))
+        t[r].select(image.alias("value")).write.text(f"{base}/log/{r}")
+    spark.createDataFrame([("not json",)], "value string").write.mode("append").text(f"{base}/log/supply")
+
+    def run(checkpoint):
+        lines = {r: ingest.text_stream(spark, f"{base}/log/{r}") for r in rows}
+        jobs.marts_from_logs(
+            spark, lines, rows, silver, {"supply_readiness": mart}, f"{base}/{checkpoint}", quarantine=f"{base}/bad", sink_types=False
+        ).awaitTermination()
+
+    run("checkpoint")
+    assert storage.list_names(spark, f"{base}/bad") == ["supply"]
+    assert [r.value for r in spark.read.text(f"{base}/bad/supply").collect()] == ["not json"]
+    storage.remove(spark, f"{base}/bad")
+    storage.remove(spark, f"{base}/checkpoint/commits/0")  # a replay merges nothing, and still sets the line aside
+    run("checkpoint")
+    assert [r.value for r in spark.read.text(f"{base}/bad/supply").collect()] == ["not json"]
+    assert mart.read().count() == marts.supply_readiness({r: t[r] for r in rows}).count()

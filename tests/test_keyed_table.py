@@ -135,3 +135,39 @@ def test_an_update_that_changes_nothing_is_not_in_the_feed(spark, table):
     table.merge(batch(spark, (1, "a", "c", 1), (2, "b", "c", 1), (3, None, "c", 1)), 0)
     table.merge(batch(spark, (1, "a", "u", 2), (2, "c", "u", 2), (3, None, "u", 2)), 1)
     assert [(r.id, r.before.v, r.after.v) for r in table.change_feed(1).collect()] == [(2, "b", "c")]
+
+
+def test_follow_gives_rows_and_changes_in_one_pass(spark):
+    table = KeyedTable(spark, scratch_dir(spark, "follow"), ["id"], buckets=8, compact_after=1)
+    table.merge(batch(spark, *[(i, f"a{i}", "c", 5) for i in range(40)]), 0)
+    # changed, unchanged, late, deleted, new, new and gone at once; most buckets of the second step stay as they were
+    table.merge(batch(spark, (1, "b", "u", 6), (2, "a2", "u", 6), (3, "late", "u", 1), (4, None, "d", 6), (50, "n", "c", 6), (51, None, "d", 6)), 1)
+    table.merge(batch(spark, (4, "back", "c", 7), (50, None, "d", 7)), 2)
+    table.merge(batch(spark, (1, "c", "u", 8), (60, "n", "c", 8)), 3)
+    for version in (2, 3, 4):
+        rows = table.follow(version - 1, version).collect()
+        value = lambda r: r and r.v
+        moved = sorted((r.id, value(r.before), value(r.after)) for r in rows if r._moved)
+        feed = table.change_feed(version - 1, version).collect()
+        assert moved == sorted((r.id, value(r.before), value(r.after)) for r in feed) != []
+        assert all(r.before is None for r in rows if not r._moved)
+        assert sorted((r.id, r.after.v) for r in rows if r.after) == sorted((r.id, r.v) for r in table.read(version).collect())
+
+
+def test_a_layered_read_sorts_rows_once(spark, table):
+    for b in range(2):
+        table.merge(batch(spark, (1, f"a{b}", "u", b), (2, f"b{b}", "u", b)), b)
+    plan = table.read()._jdf.queryExecution().sparkPlan().toString()
+    assert state(table) == {1: "a1", 2: "b1"}
+    assert plan.index("Exchange") > plan.rindex("Aggregate")  # rows move first, then one sort serves both steps of the aggregate
+
+
+@pytest.mark.parametrize("modulus,few", [(5000, True), (100, False)])
+def test_only_batches_that_repeat_keys_are_reduced_before_they_move(spark, table, monkeypatch, modulus, few):
+    seen = []
+    last = KeyedTable._last_changes
+    monkeypatch.setattr(KeyedTable, "_last_changes", lambda self, *a: seen.append(1) or last(self, *a))
+    rows = spark.range(6000).selectExpr(f"id % {modulus} id", "cast(id as string) v", "'u' _op", "id _ts", "0L _seq")
+    table.merge(rows, 0)
+    assert bool(seen) != few
+    assert state(table) == {k: str(max(range(k, 6000, modulus))) for k in range(modulus)}
