@@ -63,7 +63,7 @@ def decode(
 ) -> tuple[DataFrame, DataFrame]:
     """(change events, undecodable lines) from JSON text; each reads a line with one parse.
 
-    ``seen`` counts the undecodable lines as ``bad`` while the events are read, so that nobody parses all lines again for none.
+    ``seen`` counts the lines as ``rows`` and the undecodable ones as ``bad`` while the events are read, so that nobody parses all lines again for none.
 
     Undecodable are malformed lines, lines with a field that does not parse as its declared type (it would
     else become null and overwrite a good value), unknown operations and events without the image they are
@@ -76,7 +76,7 @@ def decode(
     readable = F.col(f"_e.{_CORRUPT}").isNull() & F.coalesce(F.col("_e.op").isin(*UPSERTS, DELETE), F.lit(False))
     readable = readable & has_image(key, "_e.")
     position = [F.col("_e.seq"), F.col("_e.source.lsn")] + ([F.col("offset")] if "offset" in raw.columns else [])
-    told = parsed if seen is None else parsed.observe(seen, F.count_if(~readable).alias("bad"))
+    told = parsed if seen is None else parsed.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(~readable).alias("bad"))
     events = told.filter(readable).select(
         "_e.before", "_e.after", "_e.op", "_e.ts_ms", F.coalesce(*position).alias("seq")
     )

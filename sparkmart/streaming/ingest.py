@@ -6,7 +6,6 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +15,6 @@ from sparkmart.operators import cdc
 from sparkmart.operators.keyed import newest_of
 from sparkmart.sources import storage
 from sparkmart.sources.keyed_table import KeyedTable
-from sparkmart.streaming.metrics import BatchMetrics
 
 
 def text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -41,10 +39,11 @@ def writer_of(spark: SparkSession, name: str, checkpoint: str) -> str:
 
 def merge_lines(
     lines: DataFrame, row: T.StructType, table: KeyedTable, batch_id: int, writer: str, quarantine: str | None = None, deletes: str = "apply"
-) -> None:
+) -> int | None:
     """Decode change-log lines and merge them; lines that do not decode are written to the folder ``quarantine``, if there are any.
 
     The merge counts them as it parses; only if it met some, or a replay did not parse at all, are lines parsed again.
+    Returns how many lines there are (with ``quarantine``; else they are not counted).
     """
     seen = None if quarantine is None else Observation()
     events, bad = cdc.decode(lines, row, key=table.key, seen=seen)
@@ -52,8 +51,12 @@ def merge_lines(
     if deletes == "ignore":
         flat = flat.filter(F.col("_op") != cdc.DELETE)
     merged = table.merge(flat, batch_id, writer)
-    if seen is not None and (seen.get["bad"] if merged else not lines.isEmpty()):
+    if seen is None:
+        return None
+    rows, spoilt = (seen.get["rows"], seen.get["bad"]) if merged else (lines.count(), None)
+    if rows if spoilt is None else spoilt:
         bad.write.mode("overwrite").text(quarantine)
+    return rows
 
 
 def ingest(
@@ -65,24 +68,22 @@ def ingest(
     every: str | None = None,
     quarantine: str | None = None,
     writer: str = "ingest",
+    read: dict[int, int] | None = None,
 ) -> StreamingQuery:
     """Decode change-log lines and merge each micro-batch into a keyed table.
 
-    Undecodable lines (see ``cdc.decode``) go to ``quarantine`` if given.  The merge records the batch id, so a batch replayed after a failure changes nothing.
+    Undecodable lines (see ``cdc.decode``) go to ``quarantine`` if given; ``read`` then gets the lines of each batch by
+    its number.  The merge records the batch id, so a batch replayed after a failure changes nothing.
+    The lines of a batch are not kept: they would fill memory and disk to be read again only where some do not decode.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if quarantine is not None:
-            # read again if some lines do not decode
-            batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            stream = writer_of(table.spark, writer, checkpoint)
-            # one folder per stream and batch: a replay rewrites it, a new checkpoint leaves it alone
-            aside = None if quarantine is None else f"{quarantine}/stream={stream.rpartition(':')[2]}/batch={batch_id}"
-            merge_lines(batch, row, table, batch_id, stream, aside, deletes)
-        finally:
-            if quarantine is not None:
-                batch.unpersist()
+        stream = writer_of(table.spark, writer, checkpoint)
+        # one folder per stream and batch: a replay rewrites it, a new checkpoint leaves it alone
+        aside = None if quarantine is None else f"{quarantine}/stream={stream.rpartition(':')[2]}/batch={batch_id}"
+        rows = merge_lines(batch, row, table, batch_id, stream, aside, deletes)
+        if read is not None and rows is not None:
+            read[batch_id] = rows
 
     return start_batches(lines, merge, checkpoint, every)
 
@@ -114,21 +115,18 @@ def ingest_all(feeds: Mapping[str, Feed], every: str | None = None, wave: int =
             if q.exception() is not None:
                 raise q.exception()
         return {}
-    read: dict[str, int] = {}
+    # counted by the merges: a stream's own count has a line as often as a batch reads it
+    read: dict[str, dict[int, int]] = {name: {} for name in feeds}
     names = list(feeds)
-    if not names:
-        return read
-    with BatchMetrics(feeds[names[0]].table.spark) as seen:
-        for start in range(0, len(names), wave):
-            started = {
-                n: ingest(f.lines, f.row, f.table, f.checkpoint, quarantine=f.quarantine)
-                for n in names[start : start + wave]
-                for f in [feeds[n]]
-            }
-            for name, q in started.items():
-                q.awaitTermination()
-                read[name] = seen.rows(q)
-    return read
+    for start in range(0, len(names), wave):
+        started = [
+            ingest(f.lines, f.row, f.table, f.checkpoint, quarantine=f.quarantine, read=read[n])
+            for n in names[start : start + wave]
+            for f in [feeds[n]]
+        ]
+        for q in started:
+            q.awaitTermination()
+    return {name: sum(batches.values()) for name, batches in read.items()}
 
 
 def latest_state(

@@ -47,6 +47,7 @@ def _account_table(t: Tables, base: str) -> KeyedTable:
 
 # micro-batches of the rate-limited stream
 BATCHES = 4
+LOG_LINES = 1 << 20  # lines of a packed log file, which one task reads whole
 
 
 @query("cdc_stream_ingest", LAST_ACCOUNT)
@@ -124,7 +125,8 @@ def _multi(t: Tables) -> DataFrame:
         row = F.struct(*rows.columns)
         at = micros(rows, "event_time") if "event_time" in rows.columns else F.lit(0).cast("long")
         event = cdc.to_envelope(row, None, F.lit("r"), F.lit(0).cast("long"), at)
-        rows.select(event.alias("value")).write.text(f"{base}/{role}/log")
+        packed = rows.select(event.alias("value")).write.option("maxRecordsPerFile", LOG_LINES)
+        packed.text(f"{base}/{role}/log", compression="snappy")
         feeds[role] = ingest.Feed(
             ingest.text_stream(t.spark, f"{base}/{role}/log"),
             rows.schema,

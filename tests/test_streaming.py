@@ -89,6 +89,43 @@ def test_many_tables_side_by_side(spark):
     assert [feeds[n].table.read().count() for n in feeds] == [1, 2, 3]
 
 
+def test_lines_of_a_batch_are_not_kept_and_count_once(spark, monkeypatch):
+    base, kept = scratch_dir(spark, "counted"), []
+    merge_lines = ingest.merge_lines
+
+    def watched(lines, *args):
+        kept.append(lines.storageLevel.useDisk or lines.storageLevel.useMemory)
+        return merge_lines(lines, *args)
+
+    monkeypatch.setattr(ingest, "merge_lines", watched)
+    logs = {"good": [line("c", 1, "1", "1"), line("c", 2, "1", "2")], "mixed": ["garbage", line("c", 1, "2", "1"), "{}"], "bad": ["garbage"]}
+    for name, lines in logs.items():
+        drop(spark, f"{base}/{name}/log", *lines)
+        drop(spark, f"{base}/{name}/log", *lines)
+    feeds = {
+        n: ingest.Feed(
+            ingest.text_stream(spark, f"{base}/{n}/log", 1), ROW, KeyedTable(spark, f"{base}/{n}/t", ["id"], 2), f"{base}/{n}/cp", f"{base}/{n}/bad"
+        )
+        for n in logs
+    }
+    assert ingest.ingest_all(feeds) == {"good": 4, "mixed": 6, "bad": 2}  # the bad ones are read twice
+    assert kept == [False] * 6
+    assert sorted(r.value for r in spark.read.text(f"{base}/mixed/bad").collect()) == ["garbage"] * 2 + ["{}"] * 2
+    assert ingest.ingest_all(feeds) == {"good": 0, "mixed": 0, "bad": 0}
+
+
+def test_logs_of_many_tables_are_packed(spark, tmp_path, monkeypatch):
+    from sparkmart.workload import REGISTRY, streams
+
+    monkeypatch.setattr(streams, "LOG_LINES", 1000)
+    monkeypatch.setattr(streams, "scratch_dir", lambda spark, label: str(tmp_path))
+    REGISTRY["stream_multi_table"](spark, "/root/testdata/sf0.001")
+    files = list((tmp_path / "instruction" / "log").glob("part-*"))
+    lines = spark.read.text(f"{tmp_path}/instruction/log")
+    assert max(r[0] for r in lines.groupBy("_metadata.file_path").count().select("count").collect()) <= 1000
+    assert 2 * sum(f.stat().st_size for f in files) < sum(len(r.value) for r in lines.collect())
+
+
 def test_late_rows_leave_the_state_alone(spark):
     base = scratch_dir(spark, "state")
     schema = "k long, v string, _op string, _ts long, _seq long"
