@@ -115,6 +115,71 @@ def test_near_copies_amid_a_template_are_found(spark, low, high):
     assert kept >= set(range(300)) and sum(1000 + k not in kept for k in range(near)) >= 0.9 * near
 
 
+def block_pages(rng, n, near):
+    """Pages of 25 blocks in one of two variants each, most of them different, and near copies with other variants of two blocks."""
+    codes = []
+    while len(codes) < n:
+        code = [rng.randrange(2) for _ in range(25)]
+        if all(sum(a != b for a, b in zip(code, other)) > 7 for other in codes):
+            codes.append(code)
+    copies = [[c ^ (k in (2 * i % 25, (2 * i + 7) % 25)) for k, c in enumerate(codes[i])] for i in range(near)]
+    block = [[" ".join(f"b{k}v{v}x{i}" for i in range(8)) for v in (0, 1)] for k in range(25)]
+    gap = [" ".join(f"gap{k}x{i}" for i in range(6)) for k in range(25)]
+    return [(i, " ".join(f"{gap[k]} {block[k][c]}" for k, c in enumerate(code))) for i, code in enumerate(codes + copies)]
+
+
+def test_near_copies_of_a_crowded_band_need_no_rare_shingle(spark, monkeypatch):
+    # one band holds all rows, fingerprints tell nothing, and each shingle is in a third of the rows at least
+    monkeypatch.setattr(near_copies, "bands", lambda hashes: [7])
+    monkeypatch.setattr(near_copies, "majority", lambda hashes: int(hashes.sum()))
+    monkeypatch.setattr(near_copies, "PORTION", 8)  # verified in portions
+    rows = block_pages(random.Random(14), 110, 30)
+    texts = [t for _, t in rows]
+    near = [(i, j) for j in range(140) for i in range(j) if similarity(texts[i], texts[j]) >= 0.8]
+    assert set(near) >= {(i, 110 + i) for i in range(30)}
+    kept = {d for d, _ in stage(spark, rows)}
+    assert not any(i in kept and j in kept for i, j in near)
+    linked = {d for pair in near for d in pair}
+    assert kept >= set(range(140)) - linked and all(any(d in pair for pair in near) for d in set(range(140)) - kept)
+
+
+def test_prefixes_leave_no_pair_out(spark):
+    rng, rows = random.Random(15), [(0, ""), (1, "a"), (2, "a b c d e"), (3, "a b c d e f"), (4, "b c d e f g"), (5, "a b c d e f g")]
+    bases = [[f"w{rng.randrange(40)}" for _ in range(n)] for n in (6, 9, 15, 30, 31, 60, 100)]
+    for base in bases:
+        for _ in range(25):
+            words = base[: rng.randrange(len(base) * 3 // 4, len(base) + 1)] + some(rng, rng.randrange(3))
+            rows.append((len(rows), " ".join(changed(rng, words, rng.randrange(0, 1 + len(words) // 15)))))
+    df = spark.createDataFrame(rows, "_copy_row long, text string").repartition(4)
+    ids = df.select(near_copies.F.col("_copy_row").alias("row"))
+    got = {(r.u, r.v) for r in near_copies._prefix_candidates(ids, df).collect()}
+    wanted = {
+        (i, j)
+        for j, b in rows
+        for i, a in rows[:j]
+        if a != b and a and b and 0.8 <= similarity(a, b) < 1
+    }
+    assert len(wanted) > 200 and got >= wanted and all(u < v for u, v in got)
+    assert len(got) < len(rows) * (len(rows) - 1) / 4
+
+
+def test_a_crowd_around_one_text_meets_it_first(spark, monkeypatch):
+    # copies of a text, each changed apart, are near it but not each other; its id is the last
+    rng, counted = random.Random(16), []
+    words = some(rng, 300)
+    rows = [(i, " ".join(changed(rng, words, 5))) for i in range(120)] + [(500, " ".join(words))]
+    verified = near_copies._verified
+
+    def watched(pairs, rows):
+        counted.append(pairs.count())
+        return verified(pairs, rows)
+
+    monkeypatch.setattr(near_copies, "_verified", watched)
+    left = [t for _, t in stage(spark, rows)]
+    assert all(similarity(a, b) < 0.8 for i, a in enumerate(left) for b in left[:i])
+    assert len(left) <= 3 and sum(counted) < 121 * 120 / 4
+
+
 def test_columns_with_the_names_used_inside(spark):
     names = ["held", "_copy_row", "row", "n", "key", "bands", "u", "_mix_row", "_epoch", "epochs", "size"]
     rows = [(k, f"word{k} " * 3, "s", *[f"{name}{k}" for name in names]) for k in range(20)]
